@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from math import ceil, log
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -18,10 +18,14 @@ from ._common import WORD, durable
 BUCKET_ROWS = 50_000
 
 
+def place(seed: int = 42) -> Column:
+    """Where a row stands in its source's shuffle: a hash of seed, doc_id and text."""
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("doc_id").cast("string"), F.col("text")))
+
+
 def measured(docs: DataFrame, seed: int = 42) -> DataFrame:
     """doc_id, source, size (words), place (hex, orders the shuffle) and rid, which tells rows apart; written once."""
-    place = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("doc_id").cast("string"), F.col("text")))
-    out = docs.select("doc_id", "source", F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long").alias("size"), place.alias("place"))
+    out = docs.select("doc_id", "source", F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long").alias("size"), place(seed).alias("place"))
     return durable(out.withColumn("rid", F.monotonically_increasing_id()))
 
 
@@ -33,8 +37,8 @@ def targets(sized: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int =
     one pass over them finds which are full.
     """
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    place = F.row_number().over(W.orderBy(F.col("source").asc_nulls_last())) - 1
-    weight = F.element_at(F.array(*[F.lit(w).cast("long") for w in weights]), (place % len(weights) + 1).cast("int"))
+    nth = F.row_number().over(W.orderBy(F.col("source").asc_nulls_last())) - 1
+    weight = F.element_at(F.array(*[F.lit(w).cast("long") for w in weights]), (nth % len(weights) + 1).cast("int"))
     by_fill = W.orderBy(F.col("source_size") / F.col("weight"), F.col("source").asc_nulls_last())
     full = F.col("source_size") * most
     rest = F.sum("source_size").over(W.partitionBy()) - F.sum(full).over(by_fill.rowsBetween(W.unboundedPreceding, 0)) + full
