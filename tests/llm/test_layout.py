@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -172,8 +173,20 @@ def test_units_of_the_tokenizer():
     t.encode_special_tokens = True
     w = packing.WordTokenizer(tokenizer_path())
     texts = ["", " ", "  ", "a  b", "a \n b", "a\n b", "\ta b ", " a", "it's  we 're", "x\xa0 y", "x \xa0y", "a\u2003b \u2003 c", "a \x1c b", "a<|endoftext|> b", "é è\r\n\r\n ü", "12 345  6", "a \x85b", "日本 語"]
-    for text, ids in zip(texts, w.encode(texts)):
-        assert np.frombuffer(ids, "<u4").tolist() == t.encode(text, add_special_tokens=False).ids, text
+    texts += ["(can't) we'll I'M x'd'", "ça où Ω mixed5words ×÷ _a_", "a\nb\n\nc \n", "a|b | c || !? ...", "0x1F 3.14e5 […] — \u200b"]
+    for text in texts * 2:
+        assert np.frombuffer(w.encode(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids, text
+    assert w.encode_all(pa.array(texts)[3:]) == [w.encode(text) for text in texts][3:]
+    assert w.encode_all(pa.array(["  "])) == [w.encode("  ")] and w.encode_all(pa.array([], pa.string())) == []
+
+
+def test_tokenizer_on_the_documents(spark, data):
+    t = Tokenizer.from_file(tokenizer_path())
+    t.encode_special_tokens = True
+    w = packing.WordTokenizer(tokenizer_path())
+    texts = [r.text for r in spark.read.parquet(f"{data}/documents.parquet").select("text").collect()]
+    for text, ids in zip(texts, w.encode_all(pa.array(texts))):
+        assert np.frombuffer(ids, "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
 
 
 def test_packing_any_lengths(spark):
