@@ -152,7 +152,7 @@ def fold_chunks(cov: DataFrame, target: int, alone: int) -> DataFrame:
         return pdf.assign(chunk=chunks)[["contig", "start", "end", "depth", "load", "chunk"]]
 
     rows = cov.select("contig", "start", "end", "depth", ((F.col("end") - F.col("start")) * F.col("depth")).alias("load"))
-    return rows.groupBy(F.lit(1)).applyInPandas(fold, "contig string, start long, end long, depth long, load long, chunk long")
+    return rows.withColumn("_all", F.lit(1)).groupBy("_all").applyInPandas(fold, "contig string, start long, end long, depth long, load long, chunk long")
 
 
 def merge_alignments(*aln: DataFrame) -> DataFrame:
