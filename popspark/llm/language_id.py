@@ -8,6 +8,8 @@ forward-backward over chains of up to 64 words of the whole text; a document's l
 from __future__ import annotations
 
 import re
+from array import array
+from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -56,26 +58,30 @@ class Model:
             self.rows, new = {}, list(set(words))
             self.potentials, self.lettered = np.ones((1, len(self.labels))), np.zeros(1, bool)
         if new:
-            own = [features(w) for w in new]
-            found = [[self.numbers[f] for f in x if f in self.numbers] for x in own]
-            score = _emissions(self.weights, *_flat(found))
+            score = _emissions(self.weights, *_numbered(new, self.numbers))
             at = len(self.potentials)
             self.potentials = np.concatenate([self.potentials, np.exp(score - score.max(1, keepdims=True))])
-            self.lettered = np.concatenate([self.lettered, np.array([bool(x) for x in own])])
+            self.lettered = np.concatenate([self.lettered, np.array([bool(_NO_LETTERS.sub("", w)) for w in new])])
             self.rows.update(zip(new, range(at, at + len(new))))
         return np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))
 
 
-def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    counts = np.array([len(x) for x in lists], np.int64)
-    return np.array([i for x in lists for i in x], np.int64), counts
+def _numbered(words: list[str], numbers: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """The known features of all words in a row, and how many each word has."""
+    flat, counts = array("q"), array("q")
+    for w in words:
+        before = len(flat)
+        flat.extend(numbers[f] for f in features(w) if f in numbers)
+        counts.append(len(flat) - before)
+    return np.array(flat, np.int64), np.array(counts, np.int64)
 
 
 def _emissions(weights: np.ndarray, numbers: np.ndarray, counts: np.ndarray) -> np.ndarray:
     out = np.zeros((len(counts), weights.shape[1]))
     some = np.flatnonzero(counts)
-    if len(some):
-        out[some] = np.add.reduceat(weights[numbers], np.cumsum(counts)[some] - counts[some])
+    begin = np.cumsum(counts)[some] - counts[some]
+    for j in range(weights.shape[1] if len(some) else 0):  # label by label, to hold less at a time
+        out[some, j] = np.add.reduceat(weights[:, j][numbers], begin)
     return out
 
 
@@ -126,25 +132,25 @@ def train(texts: list[str], labels_of: list[str], rounds: int = 40, rate: float
     forms = sorted(set(words))
     row = {w: i for i, w in enumerate(forms)}
     index = np.fromiter(map(row.__getitem__, words), np.int64, len(words))
-    own = [features(w) for w in forms]
-    counts: dict[str, int] = {}
-    for x in own:
-        for f in x:
-            counts[f] = counts.get(f, 0) + 1
+    total, n_forms = len(words), len(forms)
+    del words, spans, row
+    counts = Counter(f for w in forms for f in features(w))
     named = sorted(f for f, c in counts.items() if c >= least or f[0] == "=")
+    del counts
     numbers = {f: i for i, f in enumerate(named)}
-    flat, sizes = _flat([[numbers[f] for f in x if f in numbers] for x in own])
-    steps, chains = CHAIN, -(-len(words) // CHAIN)
+    flat, sizes = _numbered(forms, numbers)
+    del forms
+    chains = -(-total // CHAIN)
     lengths = np.full(chains, CHAIN)
-    lengths[-1] = len(words) - CHAIN * (chains - 1)
-    grid = np.full(chains * CHAIN, len(forms))
-    grid[: len(words)] = index
+    lengths[-1] = total - CHAIN * (chains - 1)
+    grid = np.full(chains * CHAIN, n_forms)
+    grid[:total] = index
     grid = grid.reshape(chains, CHAIN).T
     weights, transitions, start = np.zeros((len(named), k)), np.zeros((k, k)), np.zeros(k)
-    hot = np.zeros((len(forms), k))
+    hot = np.zeros((n_forms, k))
     np.add.at(hot, (index, truth), 1)
     pair = np.zeros((k, k))
-    inner = np.arange(1, len(words)) % CHAIN != 0
+    inner = np.arange(1, total) % CHAIN != 0
     np.add.at(pair, (truth[:-1][inner], truth[1:][inner]), 1)
     first = np.bincount(truth[::CHAIN], minlength=k)
     params, squares = [weights, transitions, start], [np.full(x.shape, 1e-8) for x in (weights, transitions, start)]
@@ -152,10 +158,10 @@ def train(texts: list[str], labels_of: list[str], rounds: int = 40, rate: float
         score = _emissions(weights, flat, sizes)
         potential = np.concatenate([np.exp(score - score.max(1, keepdims=True)), np.ones((1, k))])
         posterior, pairs, _ = forward_backward(potential[grid], lengths, transitions, start)
-        expected = np.stack([np.bincount(grid.ravel(), posterior[:, :, j].ravel(), len(forms) + 1)[:-1] for j in range(k)], 1)
-        miss = np.repeat(hot - expected, sizes, axis=0)
-        gradient = np.stack([np.bincount(flat, miss[:, j], len(named)) for j in range(k)], 1)
-        gradients = [gradient / len(words) - l2 * weights / len(named), (pair - pairs) / len(words), (first - posterior[0].sum(0)) / len(words)]
+        expected = np.stack([np.bincount(grid.ravel(), posterior[:, :, j].ravel(), n_forms + 1)[:-1] for j in range(k)], 1)
+        miss = hot - expected
+        gradient = np.stack([np.bincount(flat, np.repeat(miss[:, j], sizes), len(named)) for j in range(k)], 1)
+        gradients = [gradient / total - l2 * weights / len(named), (pair - pairs) / total, (first - posterior[0].sum(0)) / total]
         for x, g, s in zip(params, gradients, squares):
             s += g * g
             x += rate * g / np.sqrt(s)
