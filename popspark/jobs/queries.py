@@ -14,7 +14,9 @@ from ..operators import reads as R
 from ..operators import samples as P
 from ..operators import sites as V
 from ..operators import unique as U
+from ..sources import formats as X
 from ..sources.bindings import Tables, with_tables
+from ..sources.shared import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -331,3 +333,64 @@ q("rp_1_histogram", lambda t: M.histogram(t.calls, "dp", 1, 0, 30), "calls", "SE
 q("rp_2_step_report", lambda t: M.step_report(t.sites, V.min_qual(t.sites, 30), "quality"), "sites", "SELECT 'quality' AS label, count(*) AS before, count(CASE WHEN qual >= 30 THEN 1 END) AS after, count(CASE WHEN qual < 30 THEN 1 END) AS removed FROM sites")
 q("rp_3_mean_depth_per_site", lambda t: rounded(M.mean_depth_per_site(t.calls, n_samples(t)), "mean_dp"), "sites popmap", "SELECT chrom, pos, round(dp / (SELECT count(*) FROM popmap), 6) AS mean_dp FROM sites")
 q("rp_4_top_values", lambda t: M.top_values(t.calls, "gt"), "calls", "SELECT gt AS value, count(*) AS n FROM calls GROUP BY gt ORDER BY n DESC, value LIMIT 3")
+
+
+# Text formats: the bound tables are written to the shared folder and read again
+def _again(t: Tables, write: Callable[[str], None]) -> str:
+    path = new_path(t.spark)
+    write(path)
+    return path
+
+
+def _vcf(t: Tables) -> tuple[DataFrame, DataFrame]:
+    info = ["dp", "ab", "saf", "sar", "srf", "srr", "mqm", "mqmr", "paired", "pairedr"]
+    return X.read_vcf(t.spark, _again(t, lambda p: X.write_vcf(t.sites, t.calls, p, info, ["gt", "dp", "ro", "ao"])))
+
+
+def _halves(t: Tables) -> list[tuple[DataFrame, DataFrame]]:
+    own = [t.calls.where(f"sid {x} 20") for x in ("<", ">=")]
+    return [(c.groupBy("chrom", "pos").agg(F.sum("dp").alias("dp"), F.count("*").alias("called")), c) for c in own]
+
+
+q("io_1_fastq", lambda t: X.read_fastq(t.spark, _again(t, lambda p: X.write_fastq(t.fastq, p, "doc_id", "line"))), "fastq",
+  "SELECT sample, mate, row_number() OVER (PARTITION BY sample ORDER BY doc_id, line) - 1 AS ordinal, name, seq, qual FROM fastq")
+q("io_2_read_vcf_calls", lambda t: _vcf(t)[1].selectExpr("chrom", "pos", "sample", "gt", "a1", "a2", *[f"CAST(data['{k.upper()}'] AS BIGINT) AS {k}" for k in ("dp", "ro", "ao")]), "calls", "SELECT chrom, pos, sample, gt, a1, a2, dp, ro, ao FROM calls")
+q("io_3_write_vcf_sites", lambda t: _vcf(t)[0].selectExpr("chrom", "pos", "ref", "array_join(alts, ',') AS alts", "qual", "CAST(info['DP'] AS BIGINT) AS dp", "CAST(info['AB'] AS DOUBLE) AS ab", "CAST(info['SAF'] AS BIGINT) AS saf"), "sites",
+  "SELECT chrom, pos, ref, alt1 || CASE WHEN alt2 IS NULL THEN '' ELSE ',' || alt2 END AS alts, qual, dp, ab, saf FROM sites")
+q("io_4_fasta", lambda t: X.read_fasta(t.spark, _again(t, lambda p: X.write_fasta(t.contigs, p))), "contigs", "SELECT contig, seq FROM contigs")
+q("io_5_bed", lambda t: X.read_bed(t.spark, _again(t, lambda p: X.write_bed(_depths(t), p, "depth")), depth="long"), "cov", f"SELECT contig, {_SE}, depth FROM cov")
+q("io_6_sam", lambda t: X.read_sam(t.spark, _again(t, lambda p: X.write_sam(t.sequenced.withColumn("rnext", F.lit("=")), p))).select("sample", "flag", "contig", "pos", "mapq", "seq", "qual"), "sequenced", "SELECT sample, flag, contig, pos, mapq, seq, qual FROM sequenced")
+q("io_9_uniq", lambda t: X.read_uniq(t.spark, _again(t, lambda p: X.write_uniq(U.unique_per_sample(t.reads), p))), "uniq", "SELECT sample, n, seq FROM uniq")
+q("io_11_merge_call_sets", lambda t: X.merge_call_sets(*_halves(t))[0], "calls",
+  """WITH h AS (SELECT chrom, pos, sid < 20 AS first, CAST(sum(dp) AS BIGINT) AS dp, count(*) AS called, sum(a1 + a2) AS ac FROM calls GROUP BY 1, 2, 3)
+  SELECT chrom, pos, dp, called FROM (SELECT *, row_number() OVER (PARTITION BY chrom, pos ORDER BY ac DESC, first DESC) AS r FROM h) WHERE r = 1""")
+_HAP = "concat_ws('\t', locus, ordinal, '-', 3, 40, q, status, '-', 1, 2, comment) AS value"
+q("io_12_hap_stats", lambda t: X.read_hap_stats(t.spark, _again(t, lambda p: t.hap_stats.selectExpr(_HAP).write.text(p))).select("locus", "sites", "haplotypes", "prop_haplotyped", "status", "comment"), "hap_stats",
+  "SELECT locus, ordinal AS sites, CAST(NULL AS BIGINT) AS haplotypes, q AS prop_haplotyped, status, nullif(comment, '-') AS comment FROM hap_stats")
+
+# Trimming, overlaps, cluster tables, pile-up, decomposition
+q("rd_4_trim_reads", lambda t: R.trim_reads(t.fastq.select("sample", "doc_id", "line", "seq", "qual"), min_len=10))
+q("rd_9_merge_overlaps", lambda t: R.merge_overlaps(t.dna.select("sample", "doc_id", "line", F.substring("seq", 1, 60).alias("fwd"), R.revcomp(F.expr("substring(seq, 31, 60)")).alias("rev")), 40)[0])
+q("cl_2_cluster_table", lambda t: C.cluster_table(R.glue_pairs(R.pair_reads(t.mates)).select(F.col("ordinal").alias("read_id"), "seq"), R.pair_reads(t.mates).selectExpr("ordinal AS read_id", "ordinal % 97 AS cluster")), "pairs", "SELECT ordinal AS read_id, ordinal % 97 AS cluster, fwd, rev FROM pairs")
+q("mp_7_pileup_counts", lambda t: M.pileup_counts(t.sequenced), "pile", "SELECT * FROM pile")
+
+
+def _called(t: Tables) -> DataFrame:
+    pile = M.pileup_counts(t.sequenced).withColumn("pos", F.expr("pos div 100"))  # tens of reads for each position
+    pile = pile.groupBy("contig", "pos", "sample", "base").agg(F.sum("n").alias("n"))
+    ref = pile.select("contig", "pos").distinct().withColumn("ref", F.expr("substring('ACGT', CAST(pos % 4 AS INT) + 1, 1)"))
+    return M.call_by_threshold(pile, ref).withColumn("alts", F.array_join("alts", ","))
+
+
+q("mp_8_call_by_threshold", _called, "pile",
+  """WITH p AS (SELECT contig, pos // 100 AS pos, sample, base, CAST(sum(n) AS BIGINT) AS n, substr('ACGT', (pos // 100) % 4 + 1, 1) AS ref FROM pile GROUP BY contig, pos // 100, sample, base),
+  c AS (SELECT *, n >= 2 AND n >= 0.1 * cov AS seen FROM (SELECT *, CAST(sum(n) OVER (PARTITION BY contig, pos, sample) AS BIGINT) AS cov FROM p) WHERE cov >= 5),
+  s AS (SELECT contig, pos, base, row_number() OVER (PARTITION BY contig, pos ORDER BY sum(n) DESC, base) AS no FROM c WHERE seen AND base <> ref GROUP BY contig, pos, base),
+  al AS (SELECT contig, pos, string_agg(base, ',' ORDER BY no) AS alts FROM s WHERE no < 10 GROUP BY contig, pos),
+  k AS (SELECT c.*, CASE WHEN c.base = ref THEN 0 ELSE no END AS a, row_number() OVER (PARTITION BY c.contig, c.pos, sample ORDER BY n DESC, c.base) AS r FROM c LEFT JOIN s ON c.contig = s.contig AND c.pos = s.pos AND c.base = s.base WHERE seen),
+  g AS (SELECT contig, pos, sample, min(a) || '/' || max(a) AS gt FROM k WHERE r <= 2 GROUP BY contig, pos, sample)
+  SELECT d.contig, d.pos, d.sample, cov, ref, coalesce(alts, '') AS alts, gt FROM (SELECT DISTINCT contig, pos, sample, cov, ref FROM c) AS d LEFT JOIN al USING (contig, pos) LEFT JOIN g ON d.contig = g.contig AND d.pos = g.pos AND d.sample = g.sample""")
+_DEC = "dc AS (SELECT chrom, pos, ref, alt1 AS alt, 1 AS k, qual FROM sites UNION ALL SELECT chrom, pos, ref, alt2, 2, qual FROM sites WHERE alt2 IS NOT NULL)"
+q("v_23_decompose_sites", lambda t: V.decompose(t.sites, t.calls)[0].select("chrom", "pos", "origin", "ref", "alt", "qual"), "sites", f"WITH {_DEC} SELECT chrom, pos, pos AS origin, ref, alt, qual FROM dc")
+q("v_23_decompose_calls", lambda t: V.decompose(t.sites, t.calls)[1].select("chrom", "pos", "alt", "sample", "gt"), "sites",
+  f"WITH {_DEC} SELECT c.chrom, c.pos, alt, sample, CASE WHEN a1 = k THEN 1 ELSE 0 END || '/' || CASE WHEN a2 = k THEN 1 ELSE 0 END AS gt FROM calls AS c JOIN dc ON c.chrom = dc.chrom AND c.pos = dc.pos")

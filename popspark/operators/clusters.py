@@ -43,3 +43,10 @@ def union_contigs(*contigs: DataFrame) -> DataFrame:
     for c in contigs[1:]:
         out = out.unionByName(c)
     return out
+
+
+def cluster_table(contigs: DataFrame, clusters: DataFrame) -> DataFrame:
+    """read_id, cluster, fwd, rev by cluster and read, of contigs (read_id, seq) and their clusters (read_id, cluster); rev is empty without the ten N."""
+    two = F.split("seq", "N" * 10, 2)
+    own = contigs.join(clusters, "read_id").select("read_id", "cluster", two[0].alias("fwd"), F.coalesce(F.get(two, F.lit(1)), F.lit("")).alias("rev"))
+    return own.repartitionByRange("cluster", "read_id").sortWithinPartitions("cluster", "read_id")

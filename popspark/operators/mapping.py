@@ -85,3 +85,36 @@ def summarise_sweep(kopt: DataFrame) -> DataFrame:
     exact = top_values(kopt, "n_contigs").select(F.lit("count").alias("kind"), F.col("value").cast("double").alias("value"), "n")
     hundreds = top_values(kopt.select(F.bround("n_contigs", -2).alias("x")), "x").select(F.lit("hundreds").alias("kind"), F.col("value").cast("double").alias("value"), "n")
     return mean.unionByName(exact).unionByName(hundreds)
+
+
+def pileup_counts(aln: DataFrame, min_mapq: int = 5, min_baseq: int = 5) -> DataFrame:
+    """contig, pos, sample, base, n over the aligned bases of mapped reads.  Clips, insertions and deletions give no base; without qualities (*) all bases count."""
+    own = aln.where(f"mapq >= {min_mapq} AND flag & 4 = 0").select("contig", "sample", F.col("pos").cast("long").alias("pos"), "seq", "qual", "cigar")
+    own = own.withColumn("steps", F.expr("transform(arrays_zip(regexp_extract_all(cigar, '([0-9]+)[MIDNSHP=X]', 1), regexp_extract_all(cigar, '[0-9]+([MIDNSHP=X])', 1)), x -> struct(CAST(x['0'] AS INT) AS n, x['1'] AS op))"))
+    spans = """aggregate(steps, struct(0 AS r, 0 AS a, CAST(array() AS ARRAY<STRUCT<r: INT, a: INT, n: INT>>) AS spans), (s, x) -> struct(
+      s.r + if(x.op IN ('M', 'D', 'N', '=', 'X'), x.n, 0) AS r, s.a + if(x.op IN ('M', 'I', 'S', '=', 'X'), x.n, 0) AS a,
+      if(x.op IN ('M', '=', 'X') AND x.n > 0, concat(s.spans, array(struct(s.r AS r, s.a AS a, x.n AS n))), s.spans) AS spans)).spans"""
+    span = own.select("contig", "sample", "pos", "seq", "qual", F.explode(F.expr(spans)).alias("x"))
+    one = span.select("contig", "sample", "pos", "seq", "qual", "x", F.explode(F.expr("sequence(0, x.n - 1)")).alias("i"))
+    base = one.select("contig", F.expr("pos + x.r + i AS pos"), "sample", F.expr("substring(seq, x.a + i + 1, 1) AS base"), F.expr("if(qual = '*', NULL, ascii(substring(qual, x.a + i + 1, 1)) - 33) AS q"))
+    return base.where(f"base <> '' AND coalesce(q >= {min_baseq}, true)").groupBy("contig", "pos", "sample", "base").agg(F.count("*").alias("n"))
+
+
+def call_by_threshold(pileup: DataFrame, ref: DataFrame, min_cov: int = 5, min_frac: float = 0.1, min_alt: int = 2, max_alleles: int = 10) -> DataFrame:
+    """contig, pos, sample, cov, ref, alts, gt from counts and the reference's bases (contig, pos, ref).
+
+    A sample with less than min_cov reads has no row.  A base is seen in a sample with min_alt reads and min_frac of its
+    cover; alts are the bases other than ref seen in any sample, the most reads first (then by letter), max_alleles with
+    ref.  gt holds the sample's one or two best-supported alleles by number; it is null where none of them is seen.
+    """
+    site, own = W.partitionBy("contig", "pos"), W.partitionBy("contig", "pos", "sample")
+    seen = pileup.withColumn("cov", F.sum("n").over(own)).where(F.col("cov") >= min_cov).join(ref, ["contig", "pos"])
+    seen = seen.withColumn("seen", F.expr(f"n >= {min_alt} AND n >= {min_frac}D * cov"))
+    support = seen.where("seen AND base <> ref").groupBy("contig", "pos", "base").agg(F.sum("n").alias("total"))
+    ranked = support.withColumn("no", F.row_number().over(site.orderBy(F.desc("total"), "base"))).where(F.col("no") < max_alleles)
+    alts = ranked.groupBy("contig", "pos").agg(F.expr("transform(sort_array(collect_list(struct(no, base))), x -> x.base) AS alts"))
+    rows = seen.groupBy("contig", "pos", "sample", "cov", "ref").agg(F.expr("sort_array(collect_list(if(seen, struct(-n AS n, base), NULL))) AS found"))
+    numbered = rows.join(alts, ["contig", "pos"], "left").withColumn("alts", F.coalesce("alts", F.array().cast("array<string>")))
+    best = "slice(filter(transform(found, x -> if(x.base = ref, 0, nullif(array_position(alts, x.base), 0))), x -> x IS NOT NULL), 1, 2)"
+    gt = F.expr(f"transform(array({best}), b -> if(size(b) = 0, NULL, concat(array_min(b), '/', array_max(b))))[0]")
+    return numbered.select("contig", "pos", "sample", "cov", "ref", "alts", gt.alias("gt"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from itertools import product
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -121,3 +123,61 @@ def mask_range(df: DataFrame, lo: int, hi: int) -> DataFrame:
 def barcode_mutants(barcode: str) -> list[str]:
     """All texts that differ from barcode in one base (for tests and small tables)."""
     return sorted({barcode[:i] + b + barcode[i + 1 :] for i, b in product(range(len(barcode)), "ACGTN")} - {barcode})
+
+
+def _span(qual: str, window: int, mean_q: int, q: int, unqual_pct: int) -> tuple[int, int]:
+    """Where the kept span of a read starts, and its size; 0 if the read goes."""
+    scores = np.frombuffer(qual.encode("latin-1", "replace"), np.uint8).astype(np.int64) - 33
+    width = min(window, len(scores))
+    sums = np.cumsum(np.concatenate([[0], scores]))
+    good = np.flatnonzero(sums[width:] - sums[:-width] >= mean_q * width)
+    if not len(good):
+        return 0, 0
+    kept = scores[good[0] : good[-1] + width]
+    return int(good[0]), 0 if 100 * int((kept < q).sum()) > unqual_pct * len(kept) else len(kept)
+
+
+def trim_reads(reads: DataFrame, window: int = 5, mean_q: int = 15, q: int = 15, unqual_pct: int = 50, min_len: int = 1, paired: bool = False) -> DataFrame:
+    """Cut each read to the span from its first to its last window with a mean quality of mean_q or more.
+
+    Reads without such a window go (null and empty ones too), then those with more than unqual_pct % of bases below q, and
+    those shorter than min_len.  paired: a mate stays only if both mates of its sample and ordinal stay.  Qualities are
+    Phred + 33; a read shorter than the window is one window.
+    """
+
+    @F.pandas_udf("start int, size int")
+    def span(qual: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([_span(x, window, mean_q, q, unqual_pct) for x in qual], columns=["start", "size"])
+
+    own = reads.where("length(seq) > 0 AND length(seq) = length(qual)").withColumn("_cut", span("qual")).where(F.col("_cut.size") >= max(min_len, 1))
+    kept = own.withColumns({c: F.expr(f"substring({c}, _cut.start + 1, _cut.size)") for c in ("seq", "qual")}).select(*reads.columns)
+    if not paired:
+        return kept
+    both = kept.groupBy("sample", "ordinal").agg(F.countDistinct("mate").alias("n")).where("n = 2")
+    return kept.join(both, ["sample", "ordinal"], "left_semi")
+
+
+def _merged(fwd: str, other: str, min_overlap: int, max_mismatch_frac: float) -> str | None:
+    a, b = np.frombuffer(fwd.encode("latin-1", "replace"), np.uint8), np.frombuffer(other.encode("latin-1", "replace"), np.uint8)
+    best = (0, 0)
+    for n in range(min(len(a), len(b)), max(min_overlap, 1) - 1, -1):
+        wrong = int(np.count_nonzero(a[len(a) - n :] != b[:n]))
+        if wrong <= max_mismatch_frac * n:
+            best = max(best, (n - 2 * wrong, n))
+    return fwd + other[best[1] :] if best[0] > 0 else None
+
+
+def merge_overlaps(pairs: DataFrame, min_len: int, max_mismatch_frac: float = 0.1, min_overlap: int = 10) -> tuple[DataFrame, DataFrame]:
+    """Pairs whose forward read ends as the reverse read's other strand begins, as one read (seq), and all other pairs.
+
+    The ungapped overlap with the most matches less mismatches wins, the longer one on a tie; bases come from the forward
+    read there.  Merged reads shorter than min_len, and pairs with a null mate, are left un-merged.
+    """
+
+    @F.pandas_udf("string")
+    def merged(fwd: pd.Series, other: pd.Series) -> pd.Series:
+        return pd.Series([None if f is None or o is None else _merged(f, o, min_overlap, max_mismatch_frac) for f, o in zip(fwd, other)], dtype=object)
+
+    tried = pairs.withColumn("seq", merged("fwd", revcomp(F.col("rev"))))
+    good = F.coalesce(F.length("seq") >= min_len, F.lit(False))
+    return tried.where(good).drop("fwd", "rev"), tried.where(~good).drop("seq")

@@ -322,3 +322,34 @@ def low_maf_loci(freqs: DataFrame, loci: DataFrame, x: float = 0.95) -> DataFram
 def keep_scored(sites: DataFrame, key: str, tag_pattern: str) -> DataFrame:
     """Sites whose info map has the key and whose filter has no tag that fits the pattern."""
     return sites.where(F.map_contains_key("info", key) & ~F.exists("filter", lambda t: t.rlike(tag_pattern)))
+
+
+def decompose(sites: DataFrame, calls: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Variants as single-base substitutions and indels, one alternate each: sites with alt and origin, and calls over them.
+
+    A column cigars (one for each alternate; M, =, X, I, D) says how an alternate lies on ref.  Without one, the bases of
+    equal lengths face each other, and else the gap comes first if the shorter text ends the longer, last if not.  Indels
+    carry the base before them (the one after, at the start).  Alleles of a record that come from several alternates count
+    together; a1, a2 and gt are renumbered, other columns stay.  A site whose alternates equal ref gives no record.
+    """
+    has = "get(cigars, _k)" if "cigars" in sites.columns else "CAST(NULL AS STRING)"
+    one = sites.select("*", F.posexplode("alts").alias("_k", "_alt")).withColumn("_gap", F.expr("length(_alt) - length(ref)")).withColumn("_m", F.expr("least(length(_alt), length(ref))"))
+    gap = "concat(abs(_gap), if(_gap > 0, 'I', 'D'))"
+    default = f"CASE WHEN _gap = 0 THEN concat(_m, 'M') WHEN endswith(if(_gap > 0, _alt, ref), if(_gap > 0, ref, _alt)) THEN concat({gap}, _m, 'M') ELSE concat(_m, 'M', {gap}) END"
+    one = one.withColumn("_cigar", F.expr(f"coalesce({has}, {default})"))
+    one = one.withColumn("_steps", F.expr("transform(arrays_zip(regexp_extract_all(_cigar, '([0-9]+)[MID=X]', 1), regexp_extract_all(_cigar, '[0-9]+([MID=X])', 1)), x -> struct(CAST(x['0'] AS INT) AS n, x['1'] AS op))"))
+    edits = """aggregate(_steps, struct(0 AS r, 0 AS a, CAST(array() AS ARRAY<STRUCT<at: INT, ref: STRING, alt: STRING>>) AS out), (s, x) -> struct(
+      s.r + if(x.op = 'I', 0, x.n) AS r, s.a + if(x.op = 'D', 0, x.n) AS a,
+      concat(s.out, CASE WHEN x.n = 0 THEN CAST(array() AS ARRAY<STRUCT<at: INT, ref: STRING, alt: STRING>>)
+        WHEN x.op = 'I' AND s.r = 0 THEN array(struct(0 AS at, substring(ref, 1, 1) AS ref, concat(substring(_alt, 1, x.n), substring(ref, 1, 1)) AS alt))
+        WHEN x.op = 'I' THEN array(struct(s.r - 1 AS at, substring(ref, s.r, 1) AS ref, concat(substring(ref, s.r, 1), substring(_alt, s.a + 1, x.n)) AS alt))
+        WHEN x.op = 'D' AND s.r = 0 THEN array(struct(0 AS at, substring(ref, 1, x.n + 1) AS ref, substring(ref, x.n + 1, 1) AS alt))
+        WHEN x.op = 'D' THEN array(struct(s.r - 1 AS at, substring(ref, s.r, x.n + 1) AS ref, substring(ref, s.r, 1) AS alt))
+        ELSE filter(transform(sequence(0, x.n - 1), j -> struct(s.r + j AS at, substring(ref, s.r + j + 1, 1) AS ref, substring(_alt, s.a + j + 1, 1) AS alt)), e -> e.ref <> e.alt) END) AS out)).out"""
+    each = one.withColumn("_e", F.explode(F.expr(edits))).select("chrom", F.col("pos").alias("origin"), F.expr("pos + _e.at AS pos"), F.col("_e.ref").alias("ref"), F.col("_e.alt").alias("alt"), (F.col("_k") + 1).alias("_k"))
+    records = each.groupBy("chrom", "origin", "pos", "ref", "alt").agg(F.collect_set("_k").alias("_ks"))
+    info = sites.drop("ref", "alts", "cigars").withColumnRenamed("pos", "origin")
+    new = lambda a: f"if(array_contains(_ks, CAST({a} AS INT)), 1L, if({a} IS NULL, NULL, 0L))"
+    own = calls.withColumnRenamed("pos", "origin").join(records, ["chrom", "origin"]).withColumns({"a1": F.expr(new("a1")), "a2": F.expr(new("a2"))})
+    own = own.withColumn("gt", F.expr("if(a1 IS NULL OR a2 IS NULL, NULL, concat(a1, '/', a2))")) if "gt" in calls.columns else own
+    return records.drop("_ks").join(info, ["chrom", "origin"]), own.drop("_ks")

@@ -75,6 +75,23 @@ class Tables:
             "concat(5 + 20 * l_linenumber % 30, 'S', CAST(floor(l_quantity) AS BIGINT), 'M') AS cigar", "if(l_linenumber % 3 = 0, concat('ctg_', l_suppkey + 1), '=') AS rnext",
         )
 
+    @cached_property
+    def sequenced(self) -> DataFrame:
+        """aln with seq and qual, of the clipped and the aligned length."""
+        n = "CAST(5 + 20 * l_linenumber % 30 + floor(l_quantity) AS INT)"
+        own = self.read("lineitem").selectExpr("*", f"{n} AS n")
+        return own.selectExpr(
+            "concat('P', l_orderkey % 4, '_', l_orderkey % 40) AS sample", "concat('ctg_', l_suppkey) AS contig", "l_partkey * 40 + l_linenumber + 1 AS pos", "CAST(floor(l_discount * 600) AS BIGINT) AS mapq", "CAST(1 + if(l_linestatus = 'O', 4, 0) AS BIGINT) AS flag",
+            "concat(5 + 20 * l_linenumber % 30, 'S', CAST(floor(l_quantity) AS BIGINT), 'M') AS cigar", "substring(repeat('ACGGTTCA', 12), CAST(1 + l_orderkey % 8 AS INT), n) AS seq", "substring(repeat('#*5:?', 20), CAST(1 + l_linenumber % 5 AS INT), n) AS qual",
+        )
+
+    @cached_property
+    def fastq(self) -> DataFrame:
+        """Mate 1 of each dna read, with a name and a quality for each letter."""
+        letters = F.regexp_replace("seq", "[^a-z]", "")
+        own = self.reads.where(letters != "").select("sample", F.lit(1).alias("mate"), "doc_id", "line", letters.alias("x"))
+        return own.selectExpr("sample", "mate", "doc_id", "line", "concat('r', doc_id, '_', line) AS name", "translate(x, 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC') AS seq", "translate(x, 'abcdefghijklmnopqrstuvwxyz', '@ABCDEFGHI+,-./0123456#$%&') AS qual")
+
     @cached_property
     def contigs(self) -> DataFrame:
         return self.read("supplier").selectExpr("concat('ctg_', s_suppkey) AS contig", "s_suppkey AS contig_no", "translate(regexp_replace(lower(s_name), '[^a-z]', ''), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC') AS seq")
@@ -108,10 +125,17 @@ CTE = {
     "merged": """merged AS (SELECT contig, min(s) AS s, max(e) AS e FROM (SELECT *, sum(CASE WHEN m IS NULL OR s > m THEN 1 ELSE 0 END) OVER (PARTITION BY contig ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS g
   FROM (SELECT *, max(e) OVER (PARTITION BY contig ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m FROM iv)) GROUP BY contig, g)""",
     "cov": "cov AS (SELECT m.contig, m.s, m.e, count(*) AS depth FROM merged AS m JOIN iv ON m.contig = iv.contig AND iv.s < m.e AND m.s < iv.e GROUP BY m.contig, m.s, m.e)",
+    "sequenced": """sequenced AS (SELECT *, substr(repeat('ACGGTTCA', 12), 1 + okey % 8, clip + len) AS seq, substr(repeat('#*5:?', 20), 1 + ln % 5, clip + len) AS qual FROM (
+  SELECT 'P' || (l_orderkey % 4) || '_' || (l_orderkey % 40) AS sample, 'ctg_' || l_suppkey AS contig, l_partkey * 40 + l_linenumber + 1 AS pos, CAST(floor(l_discount * 600) AS BIGINT) AS mapq, CASE WHEN l_linestatus = 'O' THEN 5 ELSE 1 END AS flag,
+  5 + 20 * l_linenumber % 30 AS clip, CAST(floor(l_quantity) AS BIGINT) AS len, l_orderkey AS okey, l_linenumber AS ln FROM lineitem))""",
+    "fastq": """fastq AS (SELECT sample, 1 AS mate, doc_id, line, 'r' || doc_id || '_' || line AS name, translate(x, 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC') AS seq,
+  translate(x, 'abcdefghijklmnopqrstuvwxyz', '@ABCDEFGHI+,-./0123456#$%&') AS qual FROM (SELECT *, regexp_replace(seq, '[^a-z]', '', 'g') AS x FROM reads) WHERE x <> '')""",
+    "pile": """pile AS (SELECT contig, pos + i AS pos, sample, substr(seq, clip + i + 1, 1) AS base, count(*) AS n FROM (SELECT *, unnest(range(0, len)) AS i FROM sequenced WHERE mapq >= 5 AND flag & 4 = 0)
+  WHERE ascii(substr(qual, clip + i + 1, 1)) - 33 >= 5 GROUP BY 1, 2, 3, 4)""",
     "contigs": "contigs AS (SELECT 'ctg_' || s_suppkey AS contig, s_suppkey AS contig_no, translate(regexp_replace(lower(s_name), '[^a-z]', '', 'g'), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC') AS seq FROM supplier)",
     "hap_stats": "hap_stats AS (SELECT 'ctg_' || (p_partkey // 20) AS locus, CASE WHEN p_size % 5 = 0 THEN 'FILTERED' ELSE 'PASSED' END AS status, CASE WHEN p_size % 10 = 0 THEN 'Complex' ELSE '-' END AS comment, p_partkey AS ordinal, (p_partkey * 29 % 100) / 100 AS q, CAST(900 + p_size AS BIGINT) AS n_contigs FROM part)",
 }
-_NEEDS = {"sites": ["calls"], "dna": ["reads"], "uniq": ["reads"], "pairs": ["mates"], "iv": ["aln"], "merged": ["iv"], "cov": ["merged", "iv"]}
+_NEEDS = {"fastq": ["reads"], "pile": ["sequenced"], "sites": ["calls"], "dna": ["reads"], "uniq": ["reads"], "pairs": ["mates"], "iv": ["aln"], "merged": ["iv"], "cov": ["merged", "iv"]}
 
 
 def with_tables(names: str, sql: str) -> str:

@@ -13,6 +13,7 @@ from popspark.operators import reads as R
 from popspark.operators import samples as P
 from popspark.operators import sites as V
 from popspark.operators import unique as U
+from popspark.sources import formats as X
 
 CALLS = "chrom string, pos long, sample string, gt string, a1 long, a2 long, dp long"
 
@@ -129,3 +130,65 @@ def test_empty_tables(spark):
     c = calls(spark, [])
     assert V.mac(c, 1).count() == 0 and P.site_pi(c).count() == 0 and V.site_depth(c).count() == 0
     assert M.histogram(c, "dp", 1).count() == 0 and M.step_report(c, c, "x").first()[1:] == (0, 0, 0)
+
+
+def test_trim_reads_against_plain_python(spark):
+    import random
+
+    rng = random.Random(5)
+    rows = [("S_1", 1 + i % 2, i // 2, "".join(rng.choice("ACGT") for _ in range(n)), "".join(chr(33 + max(0, min(40, int(rng.gauss(rng.choice((8, 16, 30)), 8))))) for _ in range(n))) for i, n in enumerate([0, 1, 3, 5, 6, *[rng.randrange(5, 60) for _ in range(95)]])]
+
+    def plain(seq, qual, least):
+        s, w = [ord(c) - 33 for c in qual], min(5, len(qual))
+        good = [i for i in range(len(s) - w + 1) if w and sum(s[i : i + w]) >= 15 * w]
+        a, b = (good[0], good[-1] + w) if good else (0, 0)
+        return (seq[a:b], qual[a:b]) if b > a and b - a >= least and 100 * sum(x < 15 for x in s[a:b]) <= 50 * (b - a) else None
+
+    schema = "sample string, mate int, ordinal int, seq string, qual string"
+    df = spark.createDataFrame([*rows, ("S_1", 1, 900, None, None), ("S_1", 2, 900, "A", None)], schema)
+    want = {(m, o): plain(seq, qual, 4) for _, m, o, seq, qual in rows}
+    want = {k: v for k, v in want.items() if v}
+    assert {(r.mate, r.ordinal): (r.seq, r.qual) for r in R.trim_reads(df, min_len=4).collect()} == want and want
+    both = {k: v for k, v in want.items() if (3 - k[0], k[1]) in want}
+    assert {(r.mate, r.ordinal): (r.seq, r.qual) for r in R.trim_reads(df, min_len=4, paired=True).collect()} == both
+    assert R.trim_reads(df.limit(0)).count() == 0
+
+
+def test_merge_overlaps(spark):
+    rc = lambda s: s[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    whole = "ACGTTGCAAGGCTTACCGATAGGCTAACGTCATTGACC"
+    rows = [(1, whole[:25], rc(whole[12:])), (2, whole[:25], rc("T" * 20)), (3, None, "ACGT"), (4, whole[:20] + "T" + whole[21:25], rc(whole[12:])), (5, "", "")]
+    merged, rest = R.merge_overlaps(spark.createDataFrame(rows, "id int, fwd string, rev string"), 30)
+    assert {r.id: r.seq for r in merged.collect()} == {1: whole, 4: whole[:20] + "T" + whole[21:]}
+    assert {r.id for r in rest.collect()} == {2, 3, 5}
+
+
+def test_decompose_walks_the_cigar(spark):
+    sites = spark.createDataFrame([("c", 10, "ACGT", ["AGGT", "AGT", "TCGT"], ["1M1X2M", "1M1D2M", None], 5.0), ("c", 50, "A", ["GA", "AT", "A"], None, 1.0)], "chrom string, pos long, ref string, alts array<string>, cigars array<string>, qual double")
+    of = calls(spark, [("c", 10, "s", 1, 3, 7), ("c", 10, "t", None, 2, 7), ("c", 50, "s", 0, 2, 1)])
+    records, own = V.decompose(sites, of)
+    assert {(r.pos, r.ref, r.alt, r.qual) for r in records.collect()} == {(11, "C", "G", 5.0), (10, "AC", "A", 5.0), (10, "A", "T", 5.0), (50, "A", "GA", 1.0), (50, "A", "AT", 1.0)}
+    got = {(r.origin, r.ref, r.alt, r["sample"]): r.gt for r in own.collect()}
+    assert got[10, "C", "G", "s"] == "1/0" and got[10, "A", "T", "s"] == "0/1" and got[10, "AC", "A", "t"] is None and got[50, "A", "AT", "s"] == "0/1"
+
+
+def test_pileup_walks_the_cigar(spark):
+    rows = [("s", "c", 100, 60, 0, "2S3M1I2M2D1M", "TTACGTCAG", "IIIIIIIII"), ("s", "c", 100, 4, 0, "3M", "ACG", "III"), ("s", "c", 100, 9, 4, "3M", "ACG", "III"), ("s", "c", 101, 9, 0, "2M", "CG", "I#")]
+    aln = spark.createDataFrame(rows, "sample string, contig string, pos long, mapq int, flag int, cigar string, seq string, qual string")
+    assert {(r.pos, r.base): r.n for r in M.pileup_counts(aln).collect()} == {(100, "A"): 1, (101, "C"): 2, (102, "G"): 1, (103, "C"): 1, (104, "A"): 1, (107, "G"): 1}
+
+
+def test_readers_of_written_and_found_files(spark, tmp_path):
+    import gzip
+
+    with gzip.open(tmp_path / "P_1.R.fq.gz", "wt") as out:
+        out.write("@a\nAC\n+\n@@\n@b\nGT\n+\nI+\n")
+    assert [tuple(r) for r in X.read_fastq(spark, str(tmp_path)).orderBy("ordinal").collect()] == [("P_1", 2, 0, "a", "AC", "@@"), ("P_1", 2, 1, "b", "GT", "I+")]
+    vcf = tmp_path / "x.vcf"
+    vcf.write_text("##x\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tA_1\tA_2\nc\t5\t.\tA\tC,G\t.\tPASS\tDP=3;FLAG\tGT:DP\t1|2:3\t.\nc\t6\t.\tA\t.\t9\tlow\t.\tGT\t./.\t0/0\n")
+    sites, own = X.read_vcf(spark, str(vcf))
+    assert [(r.pos, r.alts, r.qual, r["filter"], r.info.get("DP")) for r in sites.orderBy("pos").collect()] == [(5, ["C", "G"], None, [], "3"), (6, [], 9.0, ["low"], None)]
+    assert [(r.pos, r["sample"], r.gt, r.data.get("DP")) for r in own.orderBy("pos").collect()] == [(5, "A_1", "1/2", "3"), (6, "A_2", "0/0", None)]
+    fasta = tmp_path / "x.fa"
+    fasta.write_text(">c1 first\nAC\nGT\n>c2\n\n")
+    assert {tuple(r) for r in X.read_fasta(spark, str(fasta)).collect()} == {("c1", "ACGT"), ("c2", "")}
