@@ -394,3 +394,21 @@ _DEC = "dc AS (SELECT chrom, pos, ref, alt1 AS alt, 1 AS k, qual FROM sites UNIO
 q("v_23_decompose_sites", lambda t: V.decompose(t.sites, t.calls)[0].select("chrom", "pos", "origin", "ref", "alt", "qual"), "sites", f"WITH {_DEC} SELECT chrom, pos, pos AS origin, ref, alt, qual FROM dc")
 q("v_23_decompose_calls", lambda t: V.decompose(t.sites, t.calls)[1].select("chrom", "pos", "alt", "sample", "gt"), "sites",
   f"WITH {_DEC} SELECT c.chrom, c.pos, alt, sample, CASE WHEN a1 = k THEN 1 ELSE 0 END || '/' || CASE WHEN a2 = k THEN 1 ELSE 0 END AS gt FROM calls AS c JOIN dc ON c.chrom = dc.chrom AND c.pos = dc.pos")
+
+
+# Clustering by identity: no SQL; tests hold it against one-by-one clustering
+def _reads(t: Tables) -> DataFrame:
+    return t.dna.selectExpr("concat(doc_id, '_', line) AS id", "seq")
+
+
+def _assembled(t: Tables) -> DataFrame:
+    """Each document's lines as candidates: every third forward, reverse, mixed."""
+    kind = "(doc_id + line) % 3"
+    return t.dna.selectExpr("doc_id AS cluster", "line AS ordinal", "seq", "length(seq) % 7 AS freq", f"{kind} <> 1 AS fwd", f"{kind} <> 0 AS rev")
+
+
+q("cl_1_cluster_sequences", lambda t: C.cluster_sequences(_reads(t)))
+q("cl_3_cluster_table_rpe", lambda t: C.cluster_table_rpe(R.glue_pairs(R.pair_reads(t.mates)).select(F.col("ordinal").alias("read_id"), "seq")))
+q("cl_8_best_contigs", lambda t: C.best_contigs(_assembled(t), 60))
+q("cl_10_build_reference", lambda t: C.build_reference(t.dna.selectExpr("concat('ctg_', doc_id, '_', line) AS contig", "seq")))
+q("cl_11_sweep_reference", lambda t: C.sweep_reference(U.unique_per_sample(t.dna), [1, 2], [2], [0.8, 0.9]))

@@ -1,11 +1,186 @@
-"""Clusters of sequences: base profiles, division into alleles, consensus."""
+"""Clusters of sequences: clustering by identity, base profiles, division into alleles, consensus, choice of contigs."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.ranking import number_rows
+from ..sources.shared import new_path, written
+from .reads import pad_contigs
+from .unique import filter_k2, individuals_per_seq
+
+_BASE = np.full(256, 4, np.uint64)
+_BASE[np.frombuffer(b"ACGT", np.uint8)] = range(4)
+_NONE = np.uint64(2**64 - 1)
+
+
+def minimizers(seq: str, k: int, w: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the k-mers of A, C, G and T that are the least of w neighbours, and where each is met first.
+
+    Two sequences that share w + k - 1 bases in a row share one.
+    """
+    base = _BASE[np.frombuffer(seq.encode(), np.uint8)]
+    n = len(base) - k + 1
+    if n < 1:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    word, other = np.zeros(n, np.uint64), np.zeros(n, bool)
+    for i in range(k):
+        word = word * np.uint64(4) + base[i : i + n]
+        other |= base[i : i + n] > 3
+    word = (word ^ np.uint64(0x5851F42D4C957F2D)) * np.uint64(0x9E3779B97F4A7C15)
+    word = np.where(other, _NONE, word ^ (word >> np.uint64(29)))
+    windows = np.lib.stride_tricks.sliding_window_view(word, min(w, n))
+    at = np.unique(windows.argmin(1) + np.arange(len(windows)))
+    at = at[word[at] != _NONE]
+    found, first = np.unique(word[at], return_index=True)
+    return found.view(np.int64), at[first]
+
+
+def identity_of(short: Column, long: Column, least: float) -> Column:
+    """Share of the bases of short that need no edit beyond those that the length of long makes needed; null if below least."""
+    n, gap = F.length(short), F.greatest(F.length(long) - F.length(short), F.lit(0))
+    edits = F.floor((1 - least) * n + 1e-9).cast("int") + gap
+    distance = F.call_function("levenshtein", short, long, edits)
+    return F.when(distance >= 0, 1 - (distance - gap) / n)
+
+
+def cluster_sequences(df: DataFrame, identity: float = 0.9, k: int = 12, w: int = 8, block: int = 32, band: int = 20) -> DataFrame:
+    """id, cluster (from 1) and rep_id of each row of df (id, seq): greedy clusters around the longest sequences.
+
+    Sequences go longest first (equal lengths: by falling md5).  One is a representative if no earlier representative
+    that it can be compared with has the identity; any other joins the most similar such representative (ties: the
+    earlier).  Two sequences are compared if they share a minimizer and at least half the share of the later one's that the
+    identity lets expect, identity ** (k + w).  The later one is laid on the other where most of these lie (ties: leftmost),
+    with `band` bases more at both ends.  Equal sequences (null: empty) are one, named by their least id.
+
+    The outcome is that of going through them one by one, but found in rounds: of each minimizer the first `block`
+    undecided sequences are compared; one that is among these under all its minimizers and like no undecided earlier
+    one is a representative, and what is like it is decided.  So a round's pairs grow with the number of minimizers,
+    not with the square of a frequent one's sequences, and no group meets in one task.
+    """
+
+    def seeds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [minimizers(x, k, w) for x in batch["seq"]]
+            sizes = [len(x) for x, _ in found]
+            rows = batch[["key", "n"]].assign(m=sizes).loc[batch.index.repeat(sizes)]
+            if len(rows):
+                yield rows.assign(seed=np.concatenate([x for x, _ in found]), at=np.concatenate([x for _, x in found]))
+
+    named = df.select("id", F.coalesce("seq", F.lit("")).alias("seq")).withColumn("key", F.md5(F.col("seq").cast("binary")))
+    nodes = written(named.groupBy("key", "seq").agg(F.min("id").alias("rep_id")).withColumn("n", F.length("seq")))
+    every = written(nodes.mapInPandas(seeds, "key string, n int, m int, seed bigint, at int"))
+    shared = every.join(every.groupBy("seed").agg(F.count("*").alias("c")).where("c > 1").select("seed"), "seed")
+    postings = written(shared.join(shared.groupBy("key").agg(F.count("*").alias("seeds")), "key"))
+
+    texts = nodes.select("key", "seq")
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        """Those of pairs (late, early, m, shift), one for each minimizer in common, with the identity."""
+        shifts = pairs.groupBy("late", "early", "m", "shift").agg(F.count("*").alias("c"))
+        both = shifts.groupBy("late", "early", "m").agg(F.sum("c").alias("c"), F.max_by("shift", F.struct("c", -F.col("shift"))).alias("shift"))
+        both = both.where(F.col("c") >= F.col("m") * (identity ** (k + w) / 2)).drop("m", "c")
+        both = both.join(texts.toDF("late", "short"), "late").join(texts.toDF("early", "long"), "early")
+        start = F.greatest(F.col("shift") - band, F.lit(0))
+        laid = F.substring("long", start + 1, F.col("shift") + F.length("short") + band - start)
+        return both.withColumn("identity", identity_of(F.col("short"), laid, identity)).where("identity IS NOT NULL").drop("short", "long", "shift")
+
+    def pairs(late: DataFrame, early: DataFrame) -> DataFrame:
+        a = late.select("seed", F.col("key").alias("late"), F.col("n").alias("_n"), "m", F.col("at").alias("_a"))
+        b = early.select("seed", F.col("key").alias("early"), F.col("n").alias("_m"), F.col("at").alias("_b"))
+        return a.join(b, "seed").where("_m > _n OR (_m = _n AND early > late)").select("late", "early", "m", (F.col("_b") - F.col("_a")).alias("shift"))
+
+    reps = new_path(df.sparkSession)
+    nodes.join(postings.select("key"), "key", "left_anti").select("key").write.parquet(reps)
+    live, place = postings, F.row_number().over(W.partitionBy("seed").orderBy(F.desc("n"), F.desc("key")))
+    while not live.isEmpty():
+        top = written(live.withColumn("nth", place).where(F.col("nth") <= block).drop("nth"))
+        first = top.groupBy("key", "seeds").agg(F.count("*").alias("c")).where("c = seeds").select("key")
+        blocked = alike(pairs(top.join(first, "key"), top)).select(F.col("late").alias("key"))
+        new = written(first.join(blocked, "key", "left_anti"))
+        new.write.mode("append").parquet(reps)
+        like = alike(pairs(live.join(new, "key", "left_anti"), top.join(new, "key"))).select(F.col("late").alias("key"))
+        live = written(live.join(new.unionByName(like), "key", "left_anti"))
+
+    chosen = df.sparkSession.read.schema("key string").parquet(reps)
+    near = alike(pairs(postings.join(chosen, "key", "left_anti"), postings.join(chosen, "key"))).join(nodes.select(F.col("key").alias("early"), "n"), "early")
+    joined = near.groupBy(F.col("late").alias("key")).agg(F.max_by("early", F.struct("identity", "n", "early")).alias("rep"))
+    of = written(joined.unionByName(chosen.select("key", F.col("key").alias("rep"))))
+    numbered = number_rows(nodes.join(chosen, "key").select("key", "n", "rep_id"), [F.col("n"), F.substring("key", 1, 4)], [F.desc("n"), F.desc("key")], "cluster")
+    return named.select("id", "key").join(of, "key").join(numbered.select(F.col("key").alias("rep"), "cluster", "rep_id"), "rep").select("id", "cluster", "rep_id")
+
+
+def forward_identity(identity: float) -> float:
+    """The looser identity at which forward reads are clustered."""
+    return max(round(identity - 0.1, 9), 0.8)
+
+
+def cluster_table_rpe(contigs: DataFrame, identity: float = 0.9, **settings) -> DataFrame:
+    """read_id, cluster, fwd, rev of all contigs (read_id, seq): their different forward reads are clustered, then each pair gets its forward's cluster."""
+    two = F.split("seq", "N" * 10, 2)
+    own = contigs.select("read_id", two[0].alias("fwd"), F.coalesce(F.get(two, F.lit(1)), F.lit("")).alias("rev"))
+    forwards = own.groupBy("fwd").agg(F.min("read_id").alias("id"))
+    found = cluster_sequences(forwards.select("id", F.col("fwd").alias("seq")), forward_identity(identity), **settings)
+    per = forwards.join(found, "id").select("fwd", "cluster")
+    return own.join(per, "fwd").select("read_id", "cluster", "fwd", "rev")
+
+
+def build_reference(contigs: DataFrame, identity: float = 0.9, **settings) -> DataFrame:
+    """contig and seq of one representative of each cluster of contigs (contig, seq), its ends padded."""
+    found = cluster_sequences(contigs.select(F.col("contig").alias("id"), "seq"), identity, **settings)
+    return pad_contigs(contigs.join(found.where("id = rep_id").select(F.col("id").alias("contig")), "contig"))
+
+
+def sweep_reference(uniq: DataFrame, k1s: Iterable[int], k2s: Iterable[int], identities: Iterable[float], **settings) -> DataFrame:
+    """k1, k2, identity and the number of reference contigs for every cell; the cells are Spark jobs, one after another."""
+    out = None
+    for k1 in k1s:
+        counted = written(individuals_per_seq(uniq, k1))
+        for k2 in k2s:
+            kept = filter_k2(counted, k2).select(F.col("seq").alias("contig"), "seq")
+            for identity in identities:
+                cell = build_reference(kept, identity, **settings).agg(F.count("*").alias("contigs"))
+                cell = cell.select(F.lit(k1).cast("long").alias("k1"), F.lit(k2).cast("long").alias("k2"), F.lit(float(identity)).alias("identity"), "contigs")
+                out = cell if out is None else out.unionByName(cell)
+    return out
+
+
+def best_contigs(asm: DataFrame, shortest: int) -> DataFrame:
+    """cluster and seq, chosen from the assembled candidates asm (cluster, ordinal, seq, freq, fwd, rev).
+
+    fwd and rev say whether a candidate holds forward or reverse reads; shortest is the length of the shortest forward
+    read, and candidates up to 1.1 times as long count as short.  In order of ordinal: a mixed candidate is taken as the forward
+    contig; one of forward reads only is taken if longer than the forward-only ones since the last short mixed one, and
+    than that.  All that are left, forward ones that lost included, compete for the reverse contig: it must have more reads and be no
+    shorter, or as many and be longer.  If it is longer than the last long mixed candidate, both are glued by ten N.
+    A cluster without a forward contig has an empty text in its place.
+    """
+    limit = shortest * 11 // 10
+    by_place = W.partitionBy("cluster").orderBy("ordinal")
+    own = asm.withColumn("n", F.length("seq")).withColumn("_mixed", F.col("fwd") & F.col("rev"))
+    own = own.withColumn("_short", F.col("_mixed") & (F.col("n") <= limit))
+    own = own.withColumn("_run", F.sum(F.col("_short").cast("int")).over(by_place))
+    lasting = F.when(F.col("_short") | (F.col("fwd") & ~F.col("rev")), F.col("n"))
+    before = F.coalesce(F.max(lasting).over(W.partitionBy("cluster", "_run").orderBy("ordinal").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    own = own.withColumn("_taken", F.col("_mixed") | (F.col("fwd") & ~F.col("rev") & (F.col("n") > before)))
+    long_mixed = F.when(F.col("_mixed") & ~F.col("_short"), F.col("ordinal"))
+    forward = own.groupBy("cluster").agg(F.max_by("seq", F.when(F.col("_taken"), F.col("ordinal"))).alias("seq1"), F.coalesce(F.max_by("n", long_mixed), F.lit(0)).alias("len1"))
+    # Only the first of equal (reads, length) can win, so this array holds a row for each different one.
+    rest = own.where(~F.col("_taken")).groupBy("cluster", "freq", "n").agg(F.min("ordinal").alias("ordinal"))
+    in_order = F.array_sort(F.collect_list(F.struct("ordinal", F.col("freq").cast("long").alias("freq"), F.col("n").cast("long").alias("n"))))
+    start = F.struct(F.lit(None).cast(asm.schema["ordinal"].dataType).alias("ordinal"), F.lit(0).cast("long").alias("freq"), F.lit(0).cast("long").alias("n"))
+    wins = lambda best, x: ((x["freq"] > best["freq"]) & (x["n"] >= best["n"])) | ((x["freq"] == best["freq"]) & (x["n"] > best["n"]))
+    reverse = rest.groupBy("cluster").agg(F.aggregate(in_order, start, lambda best, x: F.when(wins(best, x), x).otherwise(best))["ordinal"].alias("ordinal"))
+    second = own.join(reverse, ["cluster", "ordinal"]).select("cluster", F.col("seq").alias("seq2"), F.col("n").alias("lenp"))
+    glued = F.when(F.col("lenp") > F.col("len1"), F.concat("seq2", F.lit("N" * 10), F.coalesce("seq1", F.lit("")))).otherwise(F.coalesce("seq1", F.lit("")))
+    return forward.join(second, "cluster", "left").select("cluster", glued.alias("seq"))
+
 
 def count_clusters(rcluster: DataFrame) -> DataFrame:
     return rcluster.agg(F.count_distinct("cluster").alias("clusters"))

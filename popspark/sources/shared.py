@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def new_path(spark: SparkSession) -> str:
@@ -17,3 +17,10 @@ def new_path(spark: SparkSession) -> str:
         folder = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(folder)
     return f"{folder.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df written to the shared folder and read again: its lineage ends there and a lost executor loses nothing."""
+    path = new_path(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
