@@ -277,6 +277,10 @@ q("iv_6_coverage_by_interval", lambda t: I.coverage_by_interval(_merged(t).where
   f"""WITH e AS (SELECT m.contig, m.s, m.e, p.sample FROM merged AS m, (SELECT DISTINCT sample FROM iv) AS p WHERE m.contig LIKE 'ctg_1%'),
   c AS (SELECT m.contig, m.s, m.e, iv.sample, count(*) AS n FROM merged AS m JOIN iv ON m.contig = iv.contig AND iv.s < m.e AND m.s < iv.e GROUP BY ALL)
   SELECT e.contig, e.s AS start, e.e AS "end", e.sample, coalesce(n, 0) AS depth FROM e LEFT JOIN c ON e.contig = c.contig AND e.s = c.s AND e.e = c.e AND e.sample = c.sample""")
+q("iv_6_coverage_by_interval_whole", lambda t: I.coverage_by_interval(_merged(t), I.to_intervals(t.aln)), "merged iv",
+  """WITH e AS (SELECT m.contig, m.s, m.e, p.sample FROM merged AS m, (SELECT DISTINCT sample FROM iv) AS p),
+  c AS (SELECT m.contig, m.s, m.e, iv.sample, count(*) AS n FROM merged AS m JOIN iv ON m.contig = iv.contig AND iv.s < m.e AND m.s < iv.e GROUP BY ALL)
+  SELECT e.contig, e.s AS start, e.e AS "end", e.sample, coalesce(n, 0) AS depth FROM e LEFT JOIN c ON e.contig = c.contig AND e.s = c.s AND e.e = c.e AND e.sample = c.sample""")
 q("iv_7_total_coverage", _depths, "cov", f"SELECT contig, {_SE}, depth FROM cov")
 _CEIL = "k AS (SELECT depth AS c FROM (SELECT depth, row_number() OVER (ORDER BY depth DESC) - 1 AS i, count(*) OVER () AS n FROM cov) WHERE i = CAST(floor(0.001 * n) AS BIGINT))"
 q("iv_8_depth_ceiling", lambda t: I.depth_ceiling(_depths(t)), "cov", f"WITH {_CEIL} SELECT c AS ceiling FROM k")
@@ -287,6 +291,8 @@ q("iv_10_split_by_depth_low", lambda t: I.split_by_depth(_depths(t), 3)[1], "cov
 q("iv_11_make_windows", lambda t: I.make_windows(_depths(t), 25, 26), "cov", 'SELECT contig, w AS start, least(w + 25, e) AS "end", depth FROM (SELECT contig, e, depth, unnest(range(s, e, 26)) AS w FROM cov)')
 q("iv_12_intersect_intervals", lambda t: I.intersect_intervals(I.to_intervals(t.aln).where("sample = 'P1_1'"), _merged(t)), "merged iv",
   "SELECT sample, iv.contig, greatest(iv.s, m.s) AS start, least(iv.e, m.e) AS \"end\" FROM iv JOIN merged AS m ON iv.contig = m.contig AND iv.s < m.e AND m.s < iv.e WHERE sample = 'P1_1'")
+q("iv_12_intersect_intervals_whole", lambda t: I.intersect_intervals(I.to_intervals(t.aln), _merged(t)), "merged iv",
+  "SELECT sample, iv.contig, greatest(iv.s, m.s) AS start, least(iv.e, m.e) AS \"end\" FROM iv JOIN merged AS m ON iv.contig = m.contig AND iv.s < m.e AND m.s < iv.e")
 q("iv_13_split_coverage", lambda t: I.split_coverage(_depths(t), 3, 25), "cov",
   f'SELECT contig, w AS start, least(w + 25, e) AS "end", depth FROM (SELECT contig, e, depth, unnest(range(s, e, 26)) AS w FROM cov WHERE depth > 3) UNION ALL SELECT contig, {_SE}, depth FROM cov WHERE depth <= 3')
 q("iv_14_balance_chunks", lambda t: I.balance_chunks(_depths(t), 5000), "cov",
