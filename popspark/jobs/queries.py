@@ -330,6 +330,18 @@ q("cl_6_divide_clusters", lambda t: C.divide_clusters(_clusters(t), 0.9), "dna",
   f"WITH {_RCL}, {_PROF}, {_VAR} SELECT rc.cluster, doc_id, line, fwd, coalesce(string_agg(substr(fwd, pos, 1), '' ORDER BY pos), '') AS allele FROM rc LEFT JOIN va ON rc.cluster = va.cluster GROUP BY rc.cluster, doc_id, line, fwd")
 q("cl_7_cluster_consensus", lambda t: C.cluster_consensus(_clusters(t)), "dna",
   f"WITH {_RCL}, {_PROF} SELECT cluster, string_agg(base, '' ORDER BY pos) AS seq FROM (SELECT *, row_number() OVER (PARTITION BY cluster, pos ORDER BY n DESC, base DESC) AS r FROM pr) WHERE r = 1 GROUP BY cluster")
+# The same over whole sequences
+def _whole_clusters(t: Tables) -> DataFrame:
+    return t.dna.select(F.concat_ws("_", "sample", F.pmod("doc_id", F.lit(5)).cast("string")).alias("cluster"), "doc_id", "line", F.col("seq").alias("fwd"))
+
+
+_RCLW = "rc AS (SELECT sample || '_' || (doc_id % 5) AS cluster, doc_id, line, seq AS fwd FROM dna)"
+q("cl_5_base_profile_whole", lambda t: C.base_profile(_whole_clusters(t)), "dna", f"WITH {_RCLW}, {_PROF} SELECT * FROM pr")
+q("cl_5_variable_columns_whole", lambda t: C.variable_columns(C.base_profile(_whole_clusters(t)), 0.9), "dna", f"WITH {_RCLW}, {_PROF}, {_VAR} SELECT * FROM va")
+q("cl_6_divide_clusters_whole", lambda t: C.divide_clusters(_whole_clusters(t), 0.9), "dna",
+  f"WITH {_RCLW}, {_PROF}, {_VAR} SELECT rc.cluster, doc_id, line, fwd, coalesce(string_agg(substr(fwd, pos, 1), '' ORDER BY pos), '') AS allele FROM rc LEFT JOIN va ON rc.cluster = va.cluster GROUP BY rc.cluster, doc_id, line, fwd")
+q("cl_7_cluster_consensus_whole", lambda t: C.cluster_consensus(_whole_clusters(t)), "dna",
+  f"WITH {_RCLW}, {_PROF} SELECT cluster, string_agg(base, '' ORDER BY pos) AS seq FROM (SELECT *, row_number() OVER (PARTITION BY cluster, pos ORDER BY n DESC, base DESC) AS r FROM pr) WHERE r = 1 GROUP BY cluster")
 q("cl_9_union_contigs", lambda t: C.union_contigs(R.relabel_contigs(t.contigs, "A_"), R.relabel_contigs(t.contigs, "B_")).select("contig", "seq"), "contigs", "SELECT 'A_' || contig_no AS contig, seq FROM contigs UNION ALL SELECT 'B_' || contig_no, seq FROM contigs")
 q("cl_12_summarise_sweep", lambda t: rounded(M.summarise_sweep(t.hap_stats), "value"), "hap_stats",
   """SELECT 'mean' AS kind, round(avg(n_contigs), 6) AS value, count(*) AS n FROM hap_stats
@@ -376,7 +388,15 @@ q("io_12_hap_stats", lambda t: X.read_hap_stats(t.spark, _again(t, lambda p: t.h
 
 # Trimming, overlaps, cluster tables, pile-up, decomposition
 q("rd_4_trim_reads", lambda t: R.trim_reads(t.fastq.select("sample", "doc_id", "line", "seq", "qual"), min_len=10))
-q("rd_9_merge_overlaps", lambda t: R.merge_overlaps(t.dna.select("sample", "doc_id", "line", F.substring("seq", 1, 60).alias("fwd"), R.revcomp(F.expr("substring(seq, 31, 60)")).alias("rev")), 40)[0])
+
+
+def _mates_of_lines(t: Tables) -> DataFrame:
+    """Mates that cover each whole line: its first and its last two thirds (rounded up), so the overlap grows with the line."""
+    two = "CAST(ceil(length(seq) * 2 / 3) AS INT)"
+    return t.dna.select("sample", "doc_id", "line", F.expr(f"substring(seq, 1, {two})").alias("fwd"), R.revcomp(F.expr(f"right(seq, {two})")).alias("rev"))
+
+
+q("rd_9_merge_overlaps", lambda t: R.merge_overlaps(_mates_of_lines(t), 40)[0])
 q("cl_2_cluster_table", lambda t: C.cluster_table(R.glue_pairs(R.pair_reads(t.mates)).select(F.col("ordinal").alias("read_id"), "seq"), R.pair_reads(t.mates).selectExpr("ordinal AS read_id", "ordinal % 97 AS cluster")), "pairs", "SELECT ordinal AS read_id, ordinal % 97 AS cluster, fwd, rev FROM pairs")
 q("mp_7_pileup_counts", lambda t: M.pileup_counts(t.sequenced), "pile", "SELECT * FROM pile")
 

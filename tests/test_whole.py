@@ -14,3 +14,20 @@ def test_coverage_and_intersection_have_all_contigs_and_samples(spark, data):
     depth = QUERIES["iv_6_coverage_by_interval_whole"](spark, data).agg(F.count("*"), F.sum("depth"), F.count_distinct("contig")).first()
     assert tuple(depth) == (merged * samples, rows, contigs)  # each alignment lies in one merged interval
     assert sorted(map(tuple, QUERIES["iv_12_intersect_intervals_whole"](spark, data).select("sample", "contig", "start", "end").collect())) == sorted(map(tuple, iv.select("sample", "contig", "start", "end").collect()))
+
+
+def test_profiles_have_every_base_of_every_line(spark, data):
+    dna = Tables(spark, data).dna
+    bases, longest = dna.agg(F.sum(F.length("seq")), F.max(F.length("seq"))).first()
+    assert tuple(QUERIES["cl_5_base_profile_whole"](spark, data).agg(F.sum("n"), F.max("pos")).first()) == (bases, longest)
+    assert QUERIES["cl_7_cluster_consensus_whole"](spark, data).agg(F.max(F.length("seq"))).first()[0] == longest
+    own = QUERIES["cl_6_divide_clusters_whole"](spark, data)
+    assert tuple(own.agg(F.count("*"), F.sum(F.length("fwd"))).first()) == (dna.count(), bases)
+    assert own.where("length(allele) > 60").count() > 0
+
+
+def test_mates_cover_whole_lines(spark, data):
+    lines = Tables(spark, data).dna.where("length(seq) >= 40")
+    merged = QUERIES["rd_9_merge_overlaps"](spark, data).withColumnRenamed("seq", "got")
+    whole, long_ones = lines.join(merged, ["sample", "doc_id", "line"]).agg(F.count_if(F.expr("got = seq")), F.count_if(F.expr("got = seq AND length(seq) > 90"))).first()
+    assert whole >= 0.95 * lines.count() and long_ones > 0.95 * lines.where("length(seq) > 90").count()
