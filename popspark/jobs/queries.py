@@ -342,6 +342,21 @@ q("cl_6_divide_clusters_whole", lambda t: C.divide_clusters(_whole_clusters(t),
   f"WITH {_RCLW}, {_PROF}, {_VAR} SELECT rc.cluster, doc_id, line, fwd, coalesce(string_agg(substr(fwd, pos, 1), '' ORDER BY pos), '') AS allele FROM rc LEFT JOIN va ON rc.cluster = va.cluster GROUP BY rc.cluster, doc_id, line, fwd")
 q("cl_7_cluster_consensus_whole", lambda t: C.cluster_consensus(_whole_clusters(t)), "dna",
   f"WITH {_RCLW}, {_PROF} SELECT cluster, string_agg(base, '' ORDER BY pos) AS seq FROM (SELECT *, row_number() OVER (PARTITION BY cluster, pos ORDER BY n DESC, base DESC) AS r FROM pr) WHERE r = 1 GROUP BY cluster")
+
+
+def _paired_clusters(t: Tables) -> DataFrame:
+    """Conversation pairs with the lower-case letters as bases, as in dna, in 97 clusters."""
+    base = "translate(regexp_replace({0}, '[^a-z]', ''), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC') AS {0}"
+    return R.pair_reads(t.mates).selectExpr("ordinal % 97 AS cluster", base.format("fwd"), base.format("rev"))
+
+
+_BASES = "translate(regexp_replace({0}, '[^a-z]', '', 'g'), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC')"
+q("cl_7_paired_consensus", lambda t: C.paired_consensus(_paired_clusters(t)), "pairs",
+  f"""WITH m AS (SELECT ordinal % 97 AS cluster, 1 AS side, {_BASES.format('fwd')} AS seq FROM pairs UNION ALL SELECT ordinal % 97, 2, {_BASES.format('rev')} FROM pairs),
+  pr AS (SELECT cluster, side, i AS pos, substr(seq, i, 1) AS base, count(*) AS n FROM (SELECT *, unnest(range(1, length(seq) + 1)) AS i FROM m) GROUP BY 1, 2, 3, 4),
+  b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cluster, side, pos ORDER BY n DESC, base DESC) AS r FROM pr) WHERE r = 1),
+  s AS (SELECT cluster, coalesce(string_agg(base, '' ORDER BY pos) FILTER (side = 1), '') AS fwd, coalesce(string_agg(base, '' ORDER BY pos) FILTER (side = 2), '') AS rev FROM b GROUP BY cluster)
+  SELECT cluster, CASE WHEN rev = '' THEN fwd ELSE fwd || repeat('N', 10) || rev END AS seq FROM s""")
 q("cl_9_union_contigs", lambda t: C.union_contigs(R.relabel_contigs(t.contigs, "A_"), R.relabel_contigs(t.contigs, "B_")).select("contig", "seq"), "contigs", "SELECT 'A_' || contig_no AS contig, seq FROM contigs UNION ALL SELECT 'B_' || contig_no, seq FROM contigs")
 q("cl_12_summarise_sweep", lambda t: rounded(M.summarise_sweep(t.hap_stats), "value"), "hap_stats",
   """SELECT 'mean' AS kind, round(avg(n_contigs), 6) AS value, count(*) AS n FROM hap_stats

@@ -213,6 +213,18 @@ def cluster_consensus(rcluster: DataFrame, side: str = "fwd") -> DataFrame:
     return best.groupBy("cluster").agg(F.array_join(F.transform(ordered, lambda x: x["base"]), "").alias("seq"))
 
 
+def paired_consensus(rcluster: DataFrame) -> DataFrame:
+    """cluster and the consensus of its forward mates, ten N and that of its reverse mates (ties: the later letter).
+
+    A cluster without a reverse base has no ten N; without a forward base its text begins with them.
+    """
+    sides = [base_profile(rcluster, side).withColumn("side", F.lit(side)) for side in ("fwd", "rev")]
+    best = sides[0].unionByName(sides[1]).groupBy("cluster", "side", "pos").agg(F.max_by("base", F.struct("n", "base")).alias("base"))
+    text = lambda side: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("side") == side, F.struct("pos", "base")))), lambda x: x["base"]), "")
+    both = best.groupBy("cluster").agg(text("fwd").alias("fwd"), text("rev").alias("rev"))
+    return both.select("cluster", F.when(F.col("rev") == "", F.col("fwd")).otherwise(F.concat("fwd", F.lit("N" * 10), "rev")).alias("seq"))
+
+
 def union_contigs(*contigs: DataFrame) -> DataFrame:
     out = contigs[0]
     for c in contigs[1:]:

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from popspark.jobs.queries import QUERIES
+from popspark.operators import clusters as C
 from popspark.operators import intervals as I
 from popspark.sources.bindings import Tables
 
@@ -31,3 +32,9 @@ def test_mates_cover_whole_lines(spark, data):
     merged = QUERIES["rd_9_merge_overlaps"](spark, data).withColumnRenamed("seq", "got")
     whole, long_ones = lines.join(merged, ["sample", "doc_id", "line"]).agg(F.count_if(F.expr("got = seq")), F.count_if(F.expr("got = seq AND length(seq) > 90"))).first()
     assert whole >= 0.95 * lines.count() and long_ones > 0.95 * lines.where("length(seq) > 90").count()
+
+
+def test_consensus_of_both_mates_is_glued(spark):
+    rows = [(1, "ACGT", "TTA"), (1, "ACG", "TTC"), (1, "AGG", "GTC"), (2, "AC", ""), (2, "AG", None), (3, "", "GG")]
+    got = C.paired_consensus(spark.createDataFrame(rows, "cluster int, fwd string, rev string")).collect()
+    assert {r.cluster: r.seq for r in got} == {1: "ACGT" + "N" * 10 + "TTC", 2: "AG", 3: "N" * 10 + "GG"} and len(got) == 3
