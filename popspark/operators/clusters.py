@@ -42,6 +42,102 @@ def minimizers(seq: str, k: int, w: int) -> tuple[np.ndarray, np.ndarray]:
     return found.view(np.int64), at[first]
 
 
+#: Sizes of the parts that sequences are cut into.
+_PARTS = (1, 2, 3, 4, 5, 7, 9, 12, 16)
+
+
+def allowed_edits(n: int, identity: float) -> int:
+    return int((1 - identity) * n + 1e-9)
+
+
+def part_size(n: int, identity: float) -> int:
+    """The largest size of which a sequence of n bases has one part more than the identity allows edits: one part is left whole."""
+    return max((p for p in _PARTS if p * (allowed_edits(n, identity) + 1) <= n), default=0)
+
+
+def _words(seq: str, size: int) -> np.ndarray:
+    """Hashes of all words of a size, in order."""
+    raw = np.frombuffer(seq.encode("utf-32-le"), np.uint32).astype(np.uint64)
+    n = len(raw) - size + 1
+    if n < 1:
+        return np.zeros(0, np.int64)
+    word = np.full(n, size, np.uint64)
+    for i in range(size):
+        word = word * np.uint64(0x9E3779B97F4A7C15) + raw[i : i + n] + np.uint64(1)
+        word ^= word >> np.uint64(29)
+    return word.view(np.int64)
+
+
+def part_seeds(seq: str, identity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the parts of seq, of which one is left whole by the edits that the identity allows, and where each starts."""
+    size, parts = part_size(len(seq), identity), allowed_edits(len(seq), identity) + 1
+    if not size:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at = np.arange(parts) * (len(seq) // parts)
+    return _words(seq, size)[at], at
+
+
+def word_seeds(seq: str, sizes: Iterable[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all words of the sizes, and where each is met first and last."""
+    out = []
+    for size in sizes:
+        words = _words(seq, size)
+        found, first = np.unique(words, return_index=True)
+        out.append((found, first, len(words) - 1 - np.unique(words[::-1], return_index=True)[1]))
+    return tuple(np.concatenate([np.zeros(0, np.int64), *x]).astype(np.int64) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
+
+
+def least_edits(short: list[str], long: list[str]) -> np.ndarray:
+    """Edits that make each of short a part of its long, whose ends are free: Myers' bit vectors, for all pairs at once."""
+    n = np.array([len(x) for x in short])
+    out = np.zeros(len(n), np.int64)
+    words, width = -(-n // 64), np.array([len(x) for x in long])
+    order, at = np.lexsort((-width, -words)), 0
+    while at < len(order):
+        own = order[at : at + max(1, min(2048, (1 << 20) // int(64 * words[order[at]] + width[order[at]] + 1)))]
+        own = own[words[own] == words[own[0]]]
+        out[own], at = _myers([short[i] for i in own], [long[i] for i in own]), at + len(own)
+    return out
+
+
+def _codes(texts: list[str], width: int) -> np.ndarray:
+    """Characters by number from 1 (0: behind the end)."""
+    out = np.zeros((len(texts), width), np.uint32)
+    for i, x in enumerate(texts):
+        out[i, : len(x)] = np.frombuffer(x.encode("utf-32-le"), np.uint32) + 1
+    return out
+
+
+def _myers(short: list[str], long: list[str]) -> np.ndarray:
+    n, m = np.array([len(x) for x in short]), np.array([len(x) for x in long])
+    words = max(1, -(-int(n.max()) // 64))
+    s, t = _codes(short, words * 64), _codes(long, max(1, int(m.max())))
+    letters = np.unique(np.concatenate([np.unique(s), np.unique(t)]))
+    bit = np.uint64(1) << np.arange(64, dtype=np.uint64)
+    peq = np.stack([((s == c).reshape(len(s), words, 64) * bit).sum(2, dtype=np.uint64) for c in letters])
+    t, rows, one, top = np.searchsorted(letters, t), np.arange(len(s)), np.uint64(1), np.uint64(63)
+    shift = ((n - 1) % 64).astype(np.uint64)
+    pv, mv = [np.full(len(s), _NONE) for _ in range(words)], [np.zeros(len(s), np.uint64) for _ in range(words)]
+    score, best = n.astype(np.int64), n.astype(np.int64)
+    for j in range(t.shape[1]):
+        eqs = peq[t[:, j], rows]
+        up, down = np.zeros(len(s), np.uint64), np.zeros(len(s), np.uint64)
+        for w in range(words):
+            p, q, eq = pv[w], mv[w], eqs[:, w]
+            xv = eq | q
+            eq = eq | down
+            xh = (((eq & p) + p) ^ p) | eq
+            ph, mh = q | ~(xh | p), p & xh
+            if w == words - 1:
+                score = score + ((ph >> shift) & one).astype(np.int64) - ((mh >> shift) & one).astype(np.int64)
+            up_next, down_next = ph >> top, mh >> top
+            ph, mh = (ph << one) | up, (mh << one) | down
+            pv[w], mv[w] = mh | ~(xv | ph), ph & xv
+            up, down = up_next, down_next
+        best = np.where(j < m, np.minimum(best, score), best)
+    return best
+
+
 def identity_of(short: Column, long: Column, least: float) -> Column:
     """Share of the bases of short that need no edit beyond those that the length of long makes needed; null if below least."""
     n, gap = F.length(short), F.greatest(F.length(long) - F.length(short), F.lit(0))
@@ -50,62 +146,100 @@ def identity_of(short: Column, long: Column, least: float) -> Column:
     return F.when(distance >= 0, 1 - (distance - gap) / n)
 
 
-def cluster_sequences(df: DataFrame, identity: float = 0.9, k: int = 12, w: int = 8, block: int = 32, band: int = 20) -> DataFrame:
+def cluster_sequences(df: DataFrame, identity: float = 0.9, k: int | None = None, w: int = 8, block: int = 32, band: int = 20) -> DataFrame:
     """id, cluster (from 1) and rep_id of each row of df (id, seq): greedy clusters around the longest sequences.
 
     Sequences go longest first (equal lengths: by falling md5).  One is a representative if no earlier representative
-    that it can be compared with has the identity; any other joins the most similar such representative (ties: the
-    earlier).  Two sequences are compared if they share a minimizer and at least half the share of the later one's that the
+    has the identity with it; any other joins the most similar such representative (ties: the earlier).  The identity is
+    1 less the edits for each of its bases that make it a part of the representative, whose ends are free.  No pair is
+    missed: the later sequence is cut into one part more than it may have edits, and the other holds one of them whole.
+    Equal sequences (null: empty) are one, named by their least id; an empty one is like no other.
+
+    With k, two sequences are compared only if they share a minimizer and at least half the share of the later one's that the
     identity lets expect, identity ** (k + w).  The later one is laid on the other where most of these lie (ties: leftmost),
-    with `band` bases more at both ends.  Equal sequences (null: empty) are one, named by their least id.
+    with `band` bases more at both ends; edits are counted there.  This is cheaper, but short sequences are missed.
 
     The outcome is that of going through them one by one, but found in rounds: of each minimizer the first `block`
-    undecided sequences are compared; one that is among these under all its minimizers and like no undecided earlier
+    undecided sequences are compared (or of each part); one that is among these under all its minimizers and like no undecided earlier
     one is a representative, and what is like it is decided.  So a round's pairs grow with the number of minimizers,
     not with the square of a frequent one's sequences, and no group meets in one task.
     """
 
-    def seeds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = [minimizers(x, k, w) for x in batch["seq"]]
-            sizes = [len(x) for x, _ in found]
-            rows = batch[["key", "n"]].assign(m=sizes).loc[batch.index.repeat(sizes)]
-            if len(rows):
-                yield rows.assign(seed=np.concatenate([x for x, _ in found]), at=np.concatenate([x for _, x in found]))
-
+    if not 0 < identity <= 1:
+        raise ValueError("identity is above 0 and at most 1")
     named = df.select("id", F.coalesce("seq", F.lit("")).alias("seq")).withColumn("key", F.md5(F.col("seq").cast("binary")))
     nodes = written(named.groupBy("key", "seq").agg(F.min("id").alias("rep_id")).withColumn("n", F.length("seq")))
-    every = written(nodes.mapInPandas(seeds, "key string, n int, m int, seed bigint, at int"))
-    shared = every.join(every.groupBy("seed").agg(F.count("*").alias("c")).where("c > 1").select("seed"), "seed")
-    postings = written(shared.join(shared.groupBy("key").agg(F.count("*").alias("seeds")), "key"))
-
     texts = nodes.select("key", "seq")
+    least: dict[int, int] = {}  # of each size of parts, the shortest sequence that is cut so
+    for (n,) in [] if k else nodes.select("n").distinct().orderBy("n").collect():
+        least.setdefault(part_size(n, identity), n)
+    least.pop(0, None)
 
-    def alike(pairs: DataFrame) -> DataFrame:
-        """Those of pairs (late, early, m, shift), one for each minimizer in common, with the identity."""
-        shifts = pairs.groupBy("late", "early", "m", "shift").agg(F.count("*").alias("c"))
+    def seeds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """As the later sequence of a pair (own) and as the earlier one; a seed lies between at and until."""
+        for batch in batches:
+            for i in range(0, len(batch), 256):
+                some, late, early = batch[i : i + 256], [], []
+                for x in some["seq"]:
+                    seed, at = minimizers(x, k, w) if k else part_seeds(x, identity)
+                    late.append((seed, at, at))
+                    early.append((seed, at, at) if k else word_seeds(x, [p for p, n in least.items() if n <= len(x)]))
+                for own, found in ((True, late), (False, early)):
+                    count = [len(x[0]) for x in found]
+                    rows = some[["key", "n"]].assign(m=count).loc[some.index.repeat(count)]
+                    if len(rows):
+                        yield rows.assign(own=own, **{c: np.concatenate([x[j] for x in found]) for j, c in enumerate(("seed", "at", "until"))})
+
+    every = written(nodes.mapInPandas(seeds, "key string, n int, m int, own boolean, seed bigint, at int, until int"))
+    shared = every.groupBy("seed").agg(F.max("key").alias("_a"), F.min("key").alias("_b"), F.bool_or("own").alias("_own")).where("_own AND _a <> _b").select("seed")
+    shared = every.join(shared, "seed")
+    counts = shared.where("own").groupBy("key").agg(F.count_distinct("seed").alias("seeds"))
+    postings = written(shared.join(counts, "key", "left"))
+
+    def alike_by_minimizers(pairs: DataFrame) -> DataFrame:
+        shifts = pairs.groupBy("late", "early", "m", F.col("low").alias("shift")).agg(F.count("*").alias("c"))
         both = shifts.groupBy("late", "early", "m").agg(F.sum("c").alias("c"), F.max_by("shift", F.struct("c", -F.col("shift"))).alias("shift"))
-        both = both.where(F.col("c") >= F.col("m") * (identity ** (k + w) / 2)).drop("m", "c")
+        both = both.where(F.col("c") >= F.col("m") * (identity ** ((k or 0) + w) / 2)).drop("m", "c")
         both = both.join(texts.toDF("late", "short"), "late").join(texts.toDF("early", "long"), "early")
         start = F.greatest(F.col("shift") - band, F.lit(0))
         laid = F.substring("long", start + 1, F.col("shift") + F.length("short") + band - start)
         return both.withColumn("identity", identity_of(F.col("short"), laid, identity)).where("identity IS NOT NULL").drop("short", "long", "shift")
 
+    @F.pandas_udf("int")
+    def edits_of(short: pd.Series, long: pd.Series) -> pd.Series:
+        return pd.Series(least_edits(list(short), list(long)))
+
+    def alike_by_parts(pairs: DataFrame) -> DataFrame:
+        both = pairs.groupBy("late", "early").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+        both = both.join(texts.toDF("late", "short"), "late").join(texts.toDF("early", "long"), "early")
+        most = F.floor((1 - F.lit(float(identity))) * F.length("short") + 1e-9).cast("int")
+        start = F.greatest(F.col("low") - most, F.lit(0))
+        laid = F.substring("long", start + 1, F.col("high") + F.length("short") + most - start)
+        both = both.withColumn("_edits", edits_of("short", laid)).where(F.col("_edits") <= most)
+        return both.select("late", "early", (1 - F.col("_edits") / F.length("short")).alias("identity"))
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        """Those of pairs (late, early, m, low, high), one for each seed in common, with the identity."""
+        return alike_by_minimizers(pairs) if k else alike_by_parts(pairs)
+
     def pairs(late: DataFrame, early: DataFrame) -> DataFrame:
-        a = late.select("seed", F.col("key").alias("late"), F.col("n").alias("_n"), "m", F.col("at").alias("_a"))
-        b = early.select("seed", F.col("key").alias("early"), F.col("n").alias("_m"), F.col("at").alias("_b"))
-        return a.join(b, "seed").where("_m > _n OR (_m = _n AND early > late)").select("late", "early", "m", (F.col("_b") - F.col("_a")).alias("shift"))
+        a = late.where("own").select("seed", F.col("key").alias("late"), F.col("n").alias("_n"), "m", F.col("at").alias("_a"))
+        b = early.where("NOT own").select("seed", F.col("key").alias("early"), F.col("n").alias("_m"), F.col("at").alias("_b"), F.col("until").alias("_u"))
+        return a.join(b, "seed").where("_m > _n OR (_m = _n AND early > late)").select("late", "early", "m", (F.col("_b") - F.col("_a")).alias("low"), (F.col("_u") - F.col("_a")).alias("high"))
 
     reps = new_path(df.sparkSession)
-    nodes.join(postings.select("key"), "key", "left_anti").select("key").write.parquet(reps)
-    live, place = postings, F.row_number().over(W.partitionBy("seed").orderBy(F.desc("n"), F.desc("key")))
+    undecided = postings.where("seeds IS NOT NULL")
+    nodes.join(undecided, "key", "left_anti").select("key").write.parquet(reps)
+    chosen = df.sparkSession.read.schema("key string").parquet(reps)
+    like = alike(pairs(undecided, postings.join(chosen, "key"))).select(F.col("late").alias("key"))
+    live, place = written(undecided.join(like, "key", "left_anti")), F.dense_rank().over(W.partitionBy("seed").orderBy(F.desc("n"), F.desc("key")))
     while not live.isEmpty():
         top = written(live.withColumn("nth", place).where(F.col("nth") <= block).drop("nth"))
-        first = top.groupBy("key", "seeds").agg(F.count("*").alias("c")).where("c = seeds").select("key")
+        first = top.where("own").groupBy("key", "seeds").agg(F.count_distinct("seed").alias("c")).where("c = seeds").select("key")
         blocked = alike(pairs(top.join(first, "key"), top)).select(F.col("late").alias("key"))
         new = written(first.join(blocked, "key", "left_anti"))
         new.write.mode("append").parquet(reps)
-        like = alike(pairs(live.join(new, "key", "left_anti"), top.join(new, "key"))).select(F.col("late").alias("key"))
+        like = alike(pairs(live.join(new, "key", "left_anti"), live.join(new, "key"))).select(F.col("late").alias("key"))
         live = written(live.join(new.unionByName(like), "key", "left_anti"))
 
     chosen = df.sparkSession.read.schema("key string").parquet(reps)

@@ -112,3 +112,55 @@ def test_best_contigs(spark):
             rows.append((cluster, ordinal, "".join(rng.choice("ACGT") for _ in range(rng.randint(3, 12))), rng.randint(1, 4), fwd, rev))
     got = C.best_contigs(spark.createDataFrame(rows, "cluster int, ordinal int, seq string, freq int, fwd boolean, rev boolean"), 7).collect()
     assert {r.cluster: r.seq for r in got} == {c: walk([r[1:] for r in rows if r[0] == c], 7) for c in range(60)} and len(got) == 60
+
+
+def edits_inside(short, long):
+    """Edits that make short a part of long, by the plain table."""
+    row = [0] * (len(long) + 1)
+    for i, x in enumerate(short, 1):
+        before, row[0] = row[0], i
+        for j, y in enumerate(long, 1):
+            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+    return min(row)
+
+
+def one_by_one_without_seeds(rows, identity):
+    ids, reps, of = {}, [], {}
+    for i, s in rows:
+        ids[s or ""] = min(ids.get(s or "", i), i)
+    for s in sorted(ids, key=lambda s: (len(s), hashlib.md5(s.encode()).hexdigest()), reverse=True):
+        near = [(edits_inside(s, r) / len(s), at) for at, r in enumerate(reps) if s]
+        best = min([x for x in near if x[0] <= 1 - identity + 1e-9], default=None)
+        of[s] = reps[best[1]] if best else s
+        if best is None:
+            reps.append(s)
+    return {(i, reps.index(of[s or ""]) + 1, ids[of[s or ""]]) for i, s in rows}
+
+
+def test_edits_inside():
+    rng = random.Random(6)
+    pairs = [("".join(rng.choice("ACGé") for _ in range(rng.choice([1, 5, 63, 64, 65, 130]))), "".join(rng.choice("ACGT") for _ in range(rng.choice([0, 7, 64, 150])))) for _ in range(60)]
+    pairs += [(x[3:70] + "TT", x) for x, _ in pairs if len(x) > 60]
+    assert C.least_edits([a for a, _ in pairs], [b for _, b in pairs]).tolist() == [edits_inside(*p) for p in pairs]
+
+
+@pytest.mark.parametrize("seed,identity,block", [(11, 0.9, 2), (12, 0.8, 32), (13, 0.8, 3)])
+def test_no_pair_is_missed(spark, seed, identity, block):
+    rows = made(seed, 40)
+    got = C.cluster_sequences(spark.createDataFrame(rows, "id int, seq string"), identity, block=block).collect()
+    assert {(r.id, r.cluster, r.rep_id) for r in got} == one_by_one_without_seeds(rows, identity) and len(got) == len(rows)
+
+
+@pytest.mark.parametrize("identity", [0.8, 0.9])
+def test_planted_pairs_of_all_lengths_are_found(spark, identity):
+    rng, rows = random.Random(8), []
+    for n in (30, 60, 150, 400):
+        for _ in range(15):
+            s = [rng.choice("ACGT") for _ in range(n)]
+            near = list(s)
+            for at in rng.sample(range(n), C.allowed_edits(n, identity)):
+                near[at] = rng.choice([x for x in "ACGT" if x != s[at]])
+            rows += [(n, "".join(s)), (n, "".join(near))]
+    df = spark.createDataFrame([(i, s) for i, (_, s) in enumerate(rows)], "id int, seq string")
+    of = {r.id: r.cluster for r in C.cluster_sequences(df, identity).collect()}
+    assert sum(of[i] == of[i + 1] for i in range(0, len(rows), 2)) == len(rows) // 2
