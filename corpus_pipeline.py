@@ -35,11 +35,16 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component: the one with the smallest id.  Rows that repeat that id stay."""
+    """One row of each SimHash component: the one with the smallest id (ties, and a component without an id: by text and columns)."""
     docs = docs.select(*COLUMNS)
-    found = simhash.simhash_components(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = found.select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").select(*COLUMNS)
+    digest = F.md5(F.to_json(F.struct("text", "lang", "source", "n_chars")).cast("binary"))
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", digest.alias("digest"))
+    keyed = durable(docs.withColumn("key", place))
+    found = simhash.simhash_roots(keyed.select(F.col("key").alias("doc_id"), "text"))
+    kept = found.groupBy("root").agg(F.min("doc_id").alias("key")).select(F.to_json("key").alias("row_key"))
+    first = F.row_number().over(W.partitionBy("row_key").orderBy("doc_id"))
+    own = keyed.withColumn("row_key", F.to_json("key")).join(kept, "row_key", "left_semi")
+    return own.withColumn("nth", first).where("nth = 1").select(*COLUMNS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

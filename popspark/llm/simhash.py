@@ -136,10 +136,21 @@ def simhash_components(docs: DataFrame, radius: int = 4, shingle: int = 4) -> Da
     other.  Repeated rows and repeated ids share a component; null ids never become a component's id unless it has no
     other (then it is null).  An empty table gives no rows; other columns are ignored.
     """
-    hashed = durable(fingerprints(docs, shingle))
-    by_fp = durable(hashed.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    roots = connected_components(near_links(by_fp.select("fp"), radius))
-    rooted = by_fp.join(roots, by_fp.fp == roots.node, "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
+    hashed, rooted = _rooted(docs, radius, shingle)
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     known = rooted.join(least, "root").select("fp", "component_id")
     return hashed.join(known, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def simhash_roots(docs: DataFrame, radius: int = 4, shingle: int = 4) -> DataFrame:
+    """doc_id (of any type) of each row and root, which rows have in common if they are in one component."""
+    hashed, rooted = _rooted(docs, radius, shingle)
+    return hashed.join(rooted.select("fp", "root"), "fp").select("doc_id", "root")
+
+
+def _rooted(docs: DataFrame, radius: int, shingle: int) -> tuple[DataFrame, DataFrame]:
+    """doc_id and fp of each row; fp, its least id and the root of its component."""
+    hashed = durable(fingerprints(docs, shingle))
+    by_fp = durable(hashed.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
+    roots = connected_components(near_links(by_fp.select("fp"), radius))
+    return hashed, by_fp.join(roots, by_fp.fp == roots.node, "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
