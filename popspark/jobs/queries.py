@@ -245,6 +245,10 @@ q("p_13_resample_pi", lambda t: rounded(P.resample_pi(t.calls.drop("pop"), t.pop
   f"""WITH d AS (SELECT sample, pop, round FROM (SELECT *, row_number() OVER (PARTITION BY pop, round ORDER BY md5('1|' || round || '|' || sample), sample) AS k FROM popmap, range(1, 21) AS r(round)) WHERE k <= 5),
   s AS (SELECT d.pop, round, chrom, pos, CAST(sum(a1 + a2) AS BIGINT) AS c, 2 * count(*) AS n FROM calls JOIN d ON calls.sample = d.sample GROUP BY d.pop, round, chrom, pos)
   SELECT pop, round, round(avg({_PI}), 6) AS pi FROM s GROUP BY pop, round""")
+q("p_13_resample_pi_whole", lambda t: rounded(P.resample_pi(t.calls.drop("pop"), t.popmap, rounds=100, n=5), "pi"), "calls popmap",
+  f"""WITH d AS (SELECT sample, pop, round FROM (SELECT *, row_number() OVER (PARTITION BY pop, round ORDER BY md5('1|' || round || '|' || sample), sample) AS k FROM popmap, range(1, 101) AS r(round)) WHERE k <= 5),
+  s AS (SELECT d.pop, round, chrom, pos, CAST(sum(a1 + a2) AS BIGINT) AS c, 2 * count(*) AS n FROM calls JOIN d ON calls.sample = d.sample GROUP BY d.pop, round, chrom, pos)
+  SELECT pop, round, round(avg({_PI}), 6) AS pi FROM s GROUP BY pop, round""")
 q("p_14_samples_of_pop", lambda t: P.samples_of_pop(t.popmap), "popmap", "SELECT pop, string_agg(sample, ',' ORDER BY sample) AS samples, count(*) AS n FROM popmap GROUP BY pop")
 q("io_7_popmap_from_names", lambda t: P.popmap_from_names(t.popmap), "popmap", "SELECT * FROM popmap")
 q("io_8_check_sample_names", lambda t: P.check_sample_names(t.reads.select("sample").distinct()), "reads", "SELECT DISTINCT sample FROM reads WHERE NOT contains(sample, '_')")

@@ -38,3 +38,8 @@ def test_consensus_of_both_mates_is_glued(spark):
     rows = [(1, "ACGT", "TTA"), (1, "ACG", "TTC"), (1, "AGG", "GTC"), (2, "AC", ""), (2, "AG", None), (3, "", "GG")]
     got = C.paired_consensus(spark.createDataFrame(rows, "cluster int, fwd string, rev string")).collect()
     assert {r.cluster: r.seq for r in got} == {1: "ACGT" + "N" * 10 + "TTC", 2: "AG", 3: "N" * 10 + "GG"} and len(got) == 3
+
+
+def test_hundred_rounds(spark, data):
+    pops = Tables(spark, data).popmap.select("pop").distinct().count()
+    assert tuple(QUERIES["p_13_resample_pi_whole"](spark, data).agg(F.count("*"), F.max("round")).first()) == (100 * pops, 100)
