@@ -1,5 +1,6 @@
 """URL filters, mixing, sharding, packing."""
 
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -151,7 +152,6 @@ def check_packing(got, capacity):
 
 def test_packing_documents(docs, rows, nothing):
     t = Tokenizer.from_file(tokenizer_path())
-    t.encode_special_tokens = True
     out = packing.pack_documents(docs, tokenizer_path(), with_ids=True, block_pieces=20)
     got = out.collect()
     want = Counter()
@@ -170,19 +170,24 @@ def test_packing_documents(docs, rows, nothing):
 
 def test_units_of_the_tokenizer():
     t = Tokenizer.from_file(tokenizer_path())
-    t.encode_special_tokens = True
     w = packing.WordTokenizer(tokenizer_path())
     texts = ["", " ", "  ", "a  b", "a \n b", "a\n b", "\ta b ", " a", "it's  we 're", "x\xa0 y", "x \xa0y", "a\u2003b \u2003 c", "a \x1c b", "a<|endoftext|> b", "é è\r\n\r\n ü", "12 345  6", "a \x85b", "日本 語"]
+    texts += ["a <|endoftext|>  b", "a  <|endoftext|>", "<|endoftext|><|endoftext|> x", " <|endoftext| >", "é<|endoftext|>\n\n x"]
     texts += ["(can't) we'll I'M x'd'", "ça où Ω mixed5words ×÷ _a_", "a\nb\n\nc \n", "a|b | c || !? ...", "0x1F 3.14e5 […] — \u200b"]
     for text in texts * 2:
         assert np.frombuffer(w.encode(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids, text
+    assert np.frombuffer(w.encode("a<|endoftext|> b"), "<u4").tolist() == [64, 50256, 275]
+    rng = random.Random(9)
+    for _ in range(300):
+        text = "".join(rng.choice(["a", "B2", " ", "  ", "\n", "<|endoftext|>", "<|", "é", "'s", "."]) for _ in range(rng.randint(0, 12)))
+        assert np.frombuffer(w.encode(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids, text
+        texts.append(text)
     assert w.encode_all(pa.array(texts)[3:]) == [w.encode(text) for text in texts][3:]
     assert w.encode_all(pa.array(["  "])) == [w.encode("  ")] and w.encode_all(pa.array([], pa.string())) == []
 
 
 def test_tokenizer_on_the_documents(spark, data):
     t = Tokenizer.from_file(tokenizer_path())
-    t.encode_special_tokens = True
     w = packing.WordTokenizer(tokenizer_path())
     texts = [r.text for r in spark.read.parquet(f"{data}/documents.parquet").select("text").collect()]
     for text, ids in zip(texts, w.encode_all(pa.array(texts))):
@@ -199,14 +204,38 @@ def test_packing_any_lengths(spark):
     assert {r.name: (r.sequence_id, r.offset) for r in got if r.length == 1000}.values()
 
 
+def test_crossover_packs_the_blocks(spark):
+    rng = np.random.default_rng(3)
+    rows = spark.createDataFrame([(int(n), i) for i, n in enumerate(rng.integers(100, 700, 1500))], "length long, name long")
+    got = packing.pack(rows, capacity=1000, block_pieces=400).collect()
+    assert all(r.generations > 0 for r in got)
+    assert check_packing(got, 1000) <= 1.02 * sum(r.length for r in got) / 1000
+
+
+def test_best_fit_takes_the_fullest_bin_with_room():
+    rng = np.random.default_rng(4)
+    lengths, fill, want = rng.integers(1, 40, 400), [30, 0, 95, 60], {}
+    mine, bins = list(fill), np.zeros(400, np.int32)
+    packing.best_fit(lengths, np.arange(400), bins, mine, 100)
+    for n, b in zip(lengths.tolist(), bins.tolist()):
+        room = [100 - f for f in fill if f + n <= 100]
+        if room:
+            assert 100 - fill[b] == min(room)
+        else:
+            assert b == len(fill)
+            fill.append(0)
+        fill[b] += n
+    assert fill == mine
+
+
 def test_crossover_keeps_every_piece_once_and_evolution_improves():
     rng = np.random.default_rng(2)
     lengths = rng.integers(20, 60, 300).astype(np.int64)
-    population = [packing.fresh(lengths, 100, k, rng) for k in (0.5, 1.0, 2.0, 3.0)]
+    population = [packing.fresh(lengths, 100, rng) for _ in range(4)]
     before = min(packing.fitness(lengths, p, 100) for p in population)
     child = packing.crossover(lengths, population[0], population[1], 100, rng)
     assert len(child) == 300 and child.min() == 0 and np.bincount(child, lengths).max() <= 100 and (np.bincount(child) > 0).all()
-    after = packing.evolve(lengths, population, 100, 60, rng)
-    assert packing.fitness(lengths, after[0], 100) < before and all(np.bincount(p, lengths).max() <= 100 for p in after)
+    after, ran = packing.evolve(lengths, population, 100, 60, rng)
+    assert 0 < ran <= 60 and packing.fitness(lengths, after[0], 100) < before and all(np.bincount(p, lengths).max() <= 100 for p in after)
 
 
