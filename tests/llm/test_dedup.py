@@ -4,7 +4,9 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow.compute  # noqa: F401
 import xxhash
+from pyspark.sql import functions as F
 
 from popspark.llm import components, exact_dedup, simhash, substring_dedup
 
@@ -39,9 +41,69 @@ def test_substring_dedup(docs, rows, nothing):
 
 def test_rolling_hash_is_that_of_the_words():
     data = np.frombuffer(b"ab cd  ab cd ab", np.uint8)
-    at, h, first = substring_dedup.window_hashes(np.array([0, 7, 7, 15]), data, 2)
+    at, (h, g), first = substring_dedup.window_hashes(np.array([0, 7, 7, 15]), data, 2)
     assert first.tolist() == [0, 2, 2, 5] and at.tolist() == [0, 2, 3]
-    assert h[0] == h[1] != h[2]
+    assert h[0] == h[1] != h[2] and g[0] == g[1] != g[2]
+
+
+def test_rolling_hash_is_the_polynomial():
+    rng, p = random.Random(8), substring_dedup._PRIME
+    values = [0, 1, p - 1, p - 1, *[rng.randrange(p) for _ in range(80)]]
+    for window in (1, 2, 3, 35, 64, 84, 85):
+        for base in substring_dedup._BASES:
+            want = [sum(v * pow(base, window - 1 - k, p) for k, v in enumerate(values[i : i + window])) % p for i in range(len(values) - window + 1)]
+            assert substring_dedup._rolling(np.array(values, np.uint64), window, base).tolist() == want
+
+
+def test_words_that_differ_are_not_taken_for_each_other(spark):
+    morse = "a"
+    while len(morse) < 1024:
+        morse += morse.translate(str.maketrans("ab", "ba"))
+    rest = " ".join(f"w{i}" for i in range(34))
+    texts = [f"{morse} {rest}", f"{morse.translate(str.maketrans('ab', 'ba'))} {rest}", f"x {rest}", f"x {rest}"]
+    got = substring_dedup.substring_dedup(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.n_removed for r in got} == {0: 0, 1: 0, 2: 35, 3: 35}
+
+
+def test_hits_are_confirmed_by_whole_hashes(spark, docs, rows, monkeypatch):
+    # a first hash of 4 bits hits nearly everywhere
+    monkeypatch.setattr(substring_dedup, "_short", lambda h, bits: h >> np.uint64(57 - bits))
+    monkeypatch.setattr(substring_dedup, "_short_bits", lambda bits: 4 + bits)
+    texts = [r[1] for r in rows]
+    h = substring_dedup.window_hashes(np.cumsum([0, *[len((t or "").encode()) for t in texts]]), np.frombuffer("".join(t or "" for t in texts).encode(), np.uint8), 5)[1]
+    assert len(np.unique(substring_dedup._short(h[0], 0))) == 16
+    got = _in_one_process(texts, 5, 1)
+    assert got == [(n, gone) for n, gone, *_ in brute_substring(texts, 5)]
+
+
+def _in_one_process(texts, window, bits):
+    """The steps of the operator on two chunks, without Spark."""
+    import pyarrow as pa
+
+    s = substring_dedup
+    chunks = [pa.table({"doc_id": list(range(k, len(texts), 2)), "text": pa.array(texts[k::2], pa.string()), "chunk": [k] * len(texts[k::2])}) for k in (0, 1)]
+
+    def count(sent):
+        whole = pa.concat_tables(sent)
+        told = [s._count(whole.filter(pa.compute.equal(whole["bucket"], b))) for b in range(1 << bits) if b in whole["bucket"].to_pylist()]
+        told = pa.concat_tables(told)
+        return [told.filter(pa.compute.equal(told["chunk"], k)) for k in (0, 1)]
+
+    first = count([s._send(window, bits)(c) for c in chunks])
+    last = count([s._confirm(window, bits)(c, a) for c, a in zip(chunks, first)])
+    out = {}
+    for c, a in zip(chunks, last):
+        for r in s._remove(window, bits, False)(c, a).to_pylist():
+            out[r["doc_id"]] = (r["n_words"], r["n_removed"])
+    return [out[i] for i in range(len(texts))]
+
+
+def test_rows_without_words_are_dealt_out(spark):
+    docs = spark.range(1000).selectExpr("1L AS doc_id", "if(id % 2 = 0, NULL, '') AS text")
+    got = substring_dedup.substring_dedup(docs, chunk_rows=100)
+    assert got.agg({"n_words": "sum"}).first()[0] == 0 and got.count() == 1000
+    sizes = [r["count"] for r in docs.withColumn("chunk", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(10))).groupBy("chunk").count().collect()]
+    assert len(sizes) == 10 and max(sizes) < 200
 
 
 def test_exact_dedup(docs, rows, nothing):
