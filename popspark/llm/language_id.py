@@ -1,13 +1,12 @@
 """Language ID of words and documents by a linear-chain conditional random field.
 
 Each word is a state with affix, letter-trigram and lexicon features; learned transitions tie neighbours.  The model is
-fitted on a bounded sample of labelled rows, whose texts are spliced into code-switched chains.  Prediction runs
+fitted on a bounded sample of spans of labelled rows, spliced into code-switched chains.  Prediction runs
 forward-backward over chains of up to 64 words of the whole text; a document's language has the most expected words.
 """
 
 from __future__ import annotations
 
-import re
 from array import array
 from collections import Counter
 from dataclasses import dataclass, field
@@ -18,22 +17,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ._common import crc32, slices
+from ._common import durable, slices
 
-#: Rows that the model is fitted on, for each language: those with the least hash of id and text.
+#: The model is fitted on about so many different rows of each language, all if there are fewer, drawn by a hash of id and text.
 ROWS_PER_LANGUAGE = 250
+#: Of these, on all spans of so many words, but for spans of more bytes; beyond so many spans a language, on those with the least hash.
+SPAN_WORDS, SPAN_BYTES, SPANS_PER_LANGUAGE = 256, 16_384, 2_000
 CHAIN = 64
 _CACHE_WORDS = 400_000
-_NO_LETTERS = re.compile(r"[\W\d_]+")
 
 
 def held_out(doc_id: str | Column = "doc_id") -> Column:
-    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    c = F.col(doc_id) if isinstance(doc_id, str) else doc_id
+    return F.coalesce(F.crc32(c.cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+def letters(word: str) -> str:
+    """The letters of a word, those of Unicode category L, in lower case."""
+    word = word.lower()
+    return word if word.isalpha() else "".join(filter(str.isalpha, word))
 
 
 def features(word: str) -> list[str]:
     """Features of a word; none if it has no letter."""
-    form = _NO_LETTERS.sub("", word.lower())
+    form = letters(word)
     if not form:
         return []
     marked = f"^{form}$"
@@ -61,7 +68,7 @@ class Model:
             score = _emissions(self.weights, *_numbered(new, self.numbers))
             at = len(self.potentials)
             self.potentials = np.concatenate([self.potentials, np.exp(score - score.max(1, keepdims=True))])
-            self.lettered = np.concatenate([self.lettered, np.array([bool(_NO_LETTERS.sub("", w)) for w in new])])
+            self.lettered = np.concatenate([self.lettered, np.array([bool(letters(w)) for w in new])])
             self.rows.update(zip(new, range(at, at + len(new))))
         return np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))
 
@@ -168,12 +175,33 @@ def train(texts: list[str], labels_of: list[str], rounds: int = 40, rate: float
     return Model(labels, numbers, weights, transitions, start)
 
 
-def fit(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE, **settings) -> Model | None:
-    """A model from the labelled rows of docs that aren't held out; None if there are none."""
-    own = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
-    place = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("doc_id", "text"), "doc_id"))
-    sample = own.withColumn("place", place).where(F.col("place") <= rows_per_language).orderBy("lang", "place").select("text", "lang").collect()
-    sample = [r for r in sample if r["text"].split()]
+def _spans(batches):
+    """lang, key and text of each span of SPAN_WORDS words of whole texts."""
+    for batch in slices(batches, "text"):
+        out = []
+        for lang, h, text in zip(*(c.to_pylist() for c in batch.columns)):
+            words = text.split()
+            out += [(lang, h, n, " ".join(words[i : i + SPAN_WORDS])) for n, i in enumerate(range(0, len(words), SPAN_WORDS))]
+        out = [x for x in out if len(x[3].encode()) <= SPAN_BYTES]
+        columns = list(zip(*out)) or [()] * 4
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int64(), pa.string()))], ["lang", "h", "n", "text"])
+
+
+def fit(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE, spans_per_language: int = SPANS_PER_LANGUAGE, **settings) -> Model | None:
+    """A model from labelled rows of docs that aren't held out; None if there are none.
+
+    What comes to the driver is bounded for each language by spans_per_language * SPAN_BYTES.  Rows of one id and text
+    count once.  Ranks are taken over hashes alone; texts only pass through tasks one by one.
+    """
+    own = docs.select("text", "lang", F.xxhash64("doc_id", "text").alias("h")).where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(docs["doc_id"]))
+    different = own.groupBy("lang").agg(F.approx_count_distinct("h", 0.02).alias("rows"))
+    share = different.select("lang", F.least(F.lit(1.0), F.lit(float(rows_per_language)) / F.col("rows")).alias("share"))  # a row a language
+    drawn = own.join(share, "lang").where(F.shiftrightunsigned("h", 11) / float(1 << 53) < F.when(F.col("share") > 0.9, 1.0).otherwise(F.col("share")))
+    spans = durable(drawn.dropDuplicates(["lang", "h"]).select("lang", "h", "text").mapInArrow(_spans, "lang string, h long, n long, text string"))
+    keyed = spans.withColumn("key", F.xxhash64("h", "n"))
+    nth = F.row_number().over(W.partitionBy("lang").orderBy("key", "h", "n"))
+    last = keyed.select("lang", "key", "h", "n").withColumn("nth", nth).where(F.col("nth") <= spans_per_language).groupBy("lang").agg(F.max("key").alias("last"))
+    sample = keyed.join(last, "lang").where("key <= last").orderBy("lang", "key", "h", "n").select("text", "lang").collect()
     return train([r["text"] for r in sample], [r["lang"] for r in sample], **settings) if sample else None
 
 

@@ -56,6 +56,59 @@ def test_language_id_learns_only_from_labelled_rows_that_are_not_held_out(spark,
     assert "held" not in language_id.fit(marked, rounds=1).labels
 
 
+def test_predict_is_the_sum_over_all_labellings(monkeypatch):
+    """Shares of the languages from every labelling of every chain, with features scored one by one."""
+    texts = ["the ein que", "ein Ein, der! the", "que 12 -- eau mixed ein", "eau", "the the der que que eau ein der", "½ ² Ⅷ", "", None]
+    model = language_id.train(["the of the and", "ein der ein", "que eau que le"] * 3, ["en", "de", "fr"] * 3, rounds=4)
+    model.transitions[:] += np.random.default_rng(1).normal(size=(3, 3))
+    monkeypatch.setattr(language_id, "CHAIN", 3)
+
+    def shares(text):
+        words, total = (text or "").split(), np.zeros(3)
+        for i in range(0, len(words), 3):
+            chain, z, own = words[i : i + 3], 0.0, np.zeros(3)
+            for y in product(range(3), repeat=len(chain)):
+                score = model.start[y[0]] + sum(model.transitions[a, b] for a, b in zip(y, y[1:]))
+                score += sum(model.weights[model.numbers[f], label] for w, label in zip(chain, y) for f in language_id.features(w) if f in model.numbers)
+                z += np.exp(score)
+                for w, label in zip(chain, y):
+                    own[label] += np.exp(score) * any(c.isalpha() for c in w)
+            total += own / z
+        return total / total.sum() if total.sum() else None
+
+    for text, (lang, score, found) in zip(texts, language_id.predict(model, texts)):
+        want = shares(text)
+        if want is None:
+            assert (lang, score, found) == ("und", 0.0, {})
+        else:
+            assert lang == model.labels[int(want.argmax())] and np.isclose(score, want.max()) and np.allclose([found[x] for x in model.labels], want)
+
+
+def test_letters_are_those_of_category_l():
+    import unicodedata
+
+    for i in range(0x30000):
+        c = chr(i)
+        assert bool(language_id.letters(c)) == any(unicodedata.category(x)[0] == "L" for x in c.lower())
+    model = language_id.train(["the of"] * 3, ["en"] * 3, rounds=1)
+    assert [x[:2] for x in language_id.predict(model, ["½ ½", "²", "Ⅷ", "1_2"])] == [("und", 0.0)] * 4
+    assert language_id.predict(model, ["ª"])[0][0] == "en"
+
+
+def test_language_id_is_fitted_on_a_bounded_sample_of_whole_texts(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(language_id, "train", lambda texts, langs, **_: seen.append(list(zip(langs, texts))))
+    long_text = " ".join(f"w{i}" for i in range(256 * 40))
+    rows = [(i, f"{long_text} {i}", "en") for i in range(40)] + [(100, "z" * 50_000, "de")] + [(101, "ein der", "de")] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    language_id.fit(docs, rows_per_language=50)
+    held = sum(zlib.crc32(str(i).encode()) % 4 == 2 for i in range(40))
+    assert [t for lang, t in seen[0] if lang == "de"] == ["ein der"]  # repeated rows count once; one word above the bound
+    assert len(seen[0]) - 1 == 41 * (40 - held) and any(t.startswith(f"w{256 * 39} ") for _, t in seen[0])
+    language_id.fit(docs, rows_per_language=10, spans_per_language=30)
+    assert len([1 for lang, _ in seen[1] if lang == "en"]) == 30
+
+
 def test_language_id_edge_cases(docs, rows, nothing):
     model = language_id.fit(docs, rounds=5)
     got = {(r.doc_id, r.text): r for r in language_id.identify(docs, model).collect()}
