@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: Rules sent to every executor at most; a longer list is joined by shuffle.
 BROADCAST_RULES = 20_000
+#: A url is hot from so many rows on; at most so many hot urls, the hottest, are sent to every executor.
+HOT_ROWS, HOT_URLS = 10_000, 10_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _SPECIAL = r"([\\.\[\]{}()*+?^$|#&~-])"
 
@@ -48,24 +50,42 @@ def rule_table(spark: SparkSession, rules: list[tuple[str, str]]) -> DataFrame:
     return listed.select("rule", "action", rank.alias("rank"), regex.alias("regex"), F.explode(tokens(host_, path_, True)).alias("token"))
 
 
-def filter_urls(pages: DataFrame, rules: list[tuple[str, str]], default: str = "allow") -> DataFrame:
+def decide(urls: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
+    """urls(u), distinct and not null -> u, rule and action of those that a rule fits: the longest one's."""
+    filed = rule_table(urls.sparkSession, rules)
+    parted = urls.select("u", host(F.col("u")).alias("h"), path(F.col("u")).alias("p"))
+    held = parted.select("u", F.concat("h", "p").alias("target"), F.explode(tokens(F.col("h"), F.col("p"), False)).alias("token"))
+    bounded = F.broadcast if len(rules) <= BROADCAST_RULES else lambda x: x
+    common = held.join(bounded(filed.select("token").distinct()), "token").groupBy("token").agg(F.count("*").alias("urls"))
+    rarest = F.row_number().over(W.partitionBy("rank").orderBy(F.coalesce("urls", F.lit(0)), "token"))
+    index = filed.join(common, "token", "left").withColumn("place", rarest).where("place = 1").select("token", "rule", "action", "rank", "regex")
+    fits = held.join(bounded(index), "token").where("target rlike regex")
+    return fits.groupBy("u").agg(F.max_by(F.struct("rule", "action"), "rank").alias("won")).select("u", "won.rule", "won.action")
+
+
+def filter_urls(pages: DataFrame, rules: list[tuple[str, str]], default: str = "allow", hot_rows: int = HOT_ROWS) -> DataFrame:
     """The rows of pages, all columns, with host, path, rule and verdict.
 
     host follows the first ://, up to / ? # or the end, A-Z lower-cased; path follows it, up to ? # or the end.  A null
     url, or one without ://, has both empty.  The longest rule that fits decides; where none fits, rule is null and the
     verdict is `default`.  Each row in gives one row out; an empty table gives none.  Columns of pages that are named
-    host, path, rule or verdict are replaced.
+    host, path, rule or verdict are replaced; any other names may be in use, since those of this function are made new.
+
+    Every different url is decided once.  Decisions of the hottest urls are sent to every executor, and their rows, like those
+    without a url, are dealt out evenly when the others meet theirs.
     """
-    spark = pages.sparkSession
     pages = pages.drop("host", "path", "rule", "verdict")
-    urls = pages.select(F.col("url").alias("u")).where("u is not null").distinct().withColumn("h", host(F.col("u"))).withColumn("p", path(F.col("u")))
-    held = urls.select("u", F.concat("h", "p").alias("target"), F.explode(tokens(F.col("h"), F.col("p"), False)).alias("token"))
-    filed = rule_table(spark, rules)
-    bounded = F.broadcast if len(rules) <= BROADCAST_RULES else lambda x: x
-    common = held.join(bounded(filed.select("token").distinct()), "token").groupBy("token").agg(F.count("*").alias("urls"))
-    rarest = F.row_number().over(W.partitionBy("rank").orderBy(F.coalesce("urls", F.lit(0)), "token"))
-    index = filed.join(common, "token", "left").withColumn("place", rarest).where("place = 1").select("token", "rule", "action", "rank", "regex")
-    fits = held.join(bounded(index), "token").where("target rlike regex")
-    won = fits.groupBy("u").agg(F.max_by(F.struct("rule", "action"), "rank").alias("won")).select("u", "won.rule", "won.action")
-    out = pages.join(won, F.col("url") == F.col("u"), "left").drop("u")
-    return out.withColumn("host", host(F.col("url"))).withColumn("path", path(F.col("url"))).withColumn("verdict", F.coalesce("action", F.lit(default))).drop("action")
+    own = "_"
+    while any(c.lower().startswith(own) for c in pages.columns):
+        own += "_"
+    url, name = F.col("url"), lambda *columns: [f"{own}{c}" for c in columns]
+    counted = pages.where(url.isNotNull()).groupBy(url.alias("u")).agg(F.count("*").alias("n"))
+    won = decide(counted.select("u"), rules)
+    hot = counted.where(F.col("n") >= hot_rows).orderBy(F.desc("n"), "u").limit(HOT_URLS).select("u").join(won, "u", "left").toDF(*name("hot", "hot_rule", "hot_action"))
+    cold = won.withColumn("salt", F.lit(0).cast("long")).toDF(*name("u", "rule", "action", "salt"))
+    out = pages.join(F.broadcast(hot), url == F.col(f"{own}hot"), "left")
+    alone = url.isNull() | F.col(f"{own}hot").isNotNull()
+    out = out.withColumns({f"{own}key": F.when(~alone, url).otherwise(""), f"{own}of": F.when(alone, 1 + F.monotonically_increasing_id()).otherwise(0)})
+    out = out.join(cold, (F.col(f"{own}key") == F.col(f"{own}u")) & (F.col(f"{own}of") == F.col(f"{own}salt")), "left")
+    rule, action = (F.coalesce(*name(c, f"hot_{c}")) for c in ("rule", "action"))
+    return out.select(*[F.col(f"`{c}`") for c in pages.columns], host(url).alias("host"), path(url).alias("path"), rule.alias("rule"), F.coalesce(action, F.lit(default)).alias("verdict"))

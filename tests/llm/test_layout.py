@@ -49,6 +49,17 @@ def test_url_filter_has_no_python(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_url_filter_with_hot_urls_and_any_columns(spark):
+    names = ["u", "h", "p", "n", "action", "Regex", "token", "target", "rank", "urls", "place", "won", "_key", "__of", "salt", "hot", "verdict", "a.b"]
+    urls = [*URLS, *["http://example.org/en/1"] * 40, *["http://nothing.net/"] * 30, *[None] * 50, "http://b.example.org/es/" + "x/" * 200_000, "://" + "a" * 300_000 + ".com/de/", "x" * 500_000]
+    pages = spark.createDataFrame([(i, u, *["x"] * len(names)) for i, u in enumerate(urls)], "page_id long, url string, " + ", ".join(f"`{c}` string" for c in names)).repartition(3)
+    for hot_rows in (10, 1, 10**6):
+        out = url_filter.filter_urls(pages, URL_RULES, hot_rows=hot_rows)
+        assert set(out.columns) == set(pages.columns) | {"host", "path", "rule"}
+        assert {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in out.collect()} == {i: brute_verdict(u, URL_RULES) for i, u in enumerate(urls)}
+        assert out.count() == len(urls) and out.where("action = 'x' AND u = 'x' AND `a.b` = 'x'").count() == len(urls)
+
+
 def test_longer_rule_lists_are_joined_by_shuffle(spark, monkeypatch):
     monkeypatch.setattr(url_filter, "BROADCAST_RULES", 0)
     pages = spark.createDataFrame([(i, u) for i, u in enumerate(URLS)], "page_id long, url string")
