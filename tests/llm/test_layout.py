@@ -82,6 +82,8 @@ def brute_targets(sizes, weights=(1, 2, 3), most=3):
 @pytest.mark.parametrize("bucket_rows", [50_000, 6])
 def test_mixing(docs, rows, nothing, monkeypatch, bucket_rows):
     monkeypatch.setattr(mixing, "BUCKET_ROWS", bucket_rows)
+    monkeypatch.setattr(mixing, "COARSE_RANGES", 256 if bucket_rows > 6 else 5)
+    monkeypatch.setattr(mixing, "COARSE_DIGITS", 2 if bucket_rows > 6 else 1)
     out, mix = mixing.mix_sources(docs)
     got = out.collect()
     size = lambda t: len(WORD.findall(t or ""))
