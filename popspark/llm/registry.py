@@ -67,13 +67,22 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_docs(spark, sf_dir))
 
 
+def exact_index_withdrawals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents enter the index of op9; then the toxic ones are withdrawn, and all come again: the decisions on these."""
+    docs = _docs(spark, sf_dir)
+    toxic = spark.read.parquet(f"{sf_dir}/labels.parquet").where("toxic = 1").select("doc_id")
+    buckets = max(1, -(-docs.count() // exact_dedup.BUCKET_DIGESTS))
+    index, _ = exact_dedup.update_index(None, docs, buckets=buckets)
+    return exact_dedup.update_index(index, docs, docs.join(toxic, "doc_id", "left_semi"), buckets=buckets)[1]
+
+
 def op10_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(_docs(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_substring_dedup, op2_url_filters, op3_source_mixing, op4_best_fit_packing, op5_language_id, op6_kd_sharding, op7_warc_revisits, op8_mpeg_ts, op9_exact_dedup, op10_simhash_components)
+    for f in (op1_substring_dedup, op2_url_filters, op3_source_mixing, op4_best_fit_packing, op5_language_id, op6_kd_sharding, op7_warc_revisits, op8_mpeg_ts, op9_exact_dedup, op10_simhash_components, exact_index_withdrawals)
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -140,4 +149,10 @@ WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\
 SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept, text_sha256 FROM d WINDOW w AS (PARTITION BY text_sha256)
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_substring_dedup": _OP1, "op2_url_filters": _OP2, "op3_source_mixing": _OP3, "op7_warc_revisits": _OP7, "op9_exact_dedup": _OP9}
+_WITHDRAWALS = r"""
+WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS sha, EXISTS (SELECT 1 FROM labels AS l WHERE l.doc_id = documents.doc_id AND toxic = 1) AS toxic FROM documents),
+k AS (SELECT sha, min(doc_id) AS keep_id, coalesce(bool_or(toxic AND doc_id = m), false) AS gone FROM (SELECT *, min(doc_id) OVER (PARTITION BY sha) AS m FROM d) GROUP BY sha)
+SELECT doc_id, keep_id, gone AND doc_id = keep_id AS is_new FROM d JOIN k USING (sha)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_substring_dedup": _OP1, "op2_url_filters": _OP2, "op3_source_mixing": _OP3, "op7_warc_revisits": _OP7, "op9_exact_dedup": _OP9, "exact_index_withdrawals": _WITHDRAWALS}

@@ -127,29 +127,55 @@ def test_exact_dedup(docs, rows, nothing):
     assert exact_dedup.exact_dedup(nothing).count() == 0
 
 
-def test_cuckoo_filter_grows_and_deletes():
-    f, rng = exact_dedup.CuckooFilter(rows=1), random.Random(3)
+def test_cuckoo_index_grows_and_deletes():
+    rng = random.Random(3)
     digests = [rng.randbytes(32) for _ in range(5000)]
-    digests += [d[:10] + rng.randbytes(22) for d in digests[:50]]  # the same fingerprint and places
-    for i, d in enumerate(digests):
-        assert f.find(d) is None
-        f.insert(d, [i])
-    assert f.rows > 1000 and all(f.find(d) == [i] for i, d in enumerate(digests))
-    for d in digests[::2]:
-        assert f.delete(d) and not f.delete(d)
-    f = exact_dedup.CuckooFilter.load(f.dump())
-    assert [f.find(d) is None for d in digests] == [i % 2 == 0 for i in range(len(digests))]
+    digests += [d[:16] + rng.randbytes(16) for d in digests[:50]]  # the same mark and rows
+    digests += [d[:31] + b"\0" for d in digests[:20]] + [b"\0" * 32]
+    all_ = np.array(digests, "S32")
+    index, live = exact_dedup.CuckooIndex(rows=1), {}
+    for step in range(60):
+        some = np.array(rng.sample(range(len(all_)), rng.choice([1, 30, 400])))
+        new = np.array([i for i in some if i not in live], np.int64)
+        assert index.find(all_[some]).tolist() == [live.get(i, -1) for i in some]
+        index.insert(all_[new], new + step)
+        live.update({i: i + step for i in new.tolist()})
+        out = rng.sample(range(len(all_)), 150)
+        assert index.delete(all_[out]).tolist() == [i in live for i in out]
+        for i in out:
+            live.pop(i, None)
+    assert index.filter.rows > 100 and len(index.keys) == len(live) == int((index.filter.marks > 0).sum())
+    assert index.find(all_).tolist() == [live.get(i, -1) for i in range(len(all_))]
+
+
+def test_a_sooner_row_takes_the_place_of_a_live_one(monkeypatch):
+    import pyarrow as pa
+
+    deleted, delete = [], exact_dedup.CuckooIndex.delete
+    monkeypatch.setattr(exact_dedup, "_BATCH", 3)
+    monkeypatch.setattr(exact_dedup.CuckooIndex, "delete", lambda self, d: deleted.extend(d) or delete(self, d))
+    rows = [("aa", 5), ("bb", 4), ("aa", 3), ("aa", 2), ("cc", None), ("bb", 9), ("cc", 7), ("aa", 8)]
+    table = pa.table({
+        "sha": [x * 32 for x, _ in rows], "salt": pa.array(range(8), pa.int32()), "n": pa.array([1] * 8),
+        "least": [{"none": i is None, "id": i, "rid": n} for n, (_, i) in enumerate(rows)],
+    })
+    got = exact_dedup._index(table).to_pylist()
+    assert [(r["keep_id"], r["keep_rid"], r["group_size"]) for r in got] == [{"aa": (2, 3, 4), "bb": (4, 1, 2), "cc": (7, 6, 2)}[x] for x, _ in rows]
+    assert len(deleted) == 2  # aa: 3, then 2; cc: none, then 7
 
 
 def test_index_takes_additions_and_withdrawals(spark):
-    docs = lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
-    index, told = exact_dedup.update_index(None, docs([(2, "a  b"), (1, "a b"), (3, "c"), (4, None)]), buckets=3)
-    assert sorted(map(tuple, told.collect())) == [(1, 1, True), (2, 1, False), (3, 3, True), (4, 4, True)]
-    index, told = exact_dedup.update_index(index, docs([(5, "c"), (6, "d")]), docs([(1, "a b"), (9, "c")]), buckets=3)
-    assert sorted(map(tuple, told.collect())) == [(5, 3, False), (6, 6, True)]
-    assert index.agg({"live": "sum"}).first()[0] == 3
-    _, told = exact_dedup.update_index(index, docs([(7, "a b"), (8, "c")]), buckets=3)
-    assert sorted(map(tuple, told.collect())) == [(7, 7, True), (8, 3, False)]
+    for kind in ("long", "string"):
+        docs = lambda rows: spark.createDataFrame([(i if kind == "long" else str(i), t) for i, t in rows], f"doc_id {kind}, text string")  # noqa: B023, E731
+        told_of = lambda told: sorted((int(a), int(b), c) for a, b, c in told.collect())
+        index, told = exact_dedup.update_index(None, docs([(2, "a  b"), (1, "a b"), (3, "c"), (4, None)]), buckets=3)
+        assert told_of(told) == [(1, 1, True), (2, 1, False), (3, 3, True), (4, 4, True)]
+        index, told = exact_dedup.update_index(index, docs([(5, "c"), (6, "d"), (7, "a b")]), docs([(1, "a b"), (9, "c")]), buckets=3)
+        assert told_of(told) == [(5, 3, False), (6, 6, True), (7, 7, True)]
+        assert index.agg({"live": "sum"}).first()[0] == 4
+        index, told = exact_dedup.update_index(index, docs([(8, "c"), (1, "a b")]), docs([(7, "a b"), (4, "")]), buckets=3)
+        assert told_of(told) == [(1, 1, True), (8, 3, False)] and index.agg({"live": "sum"}).first()[0] == 3
+        assert exact_dedup.update_index(index, docs([]), docs([]), buckets=3)[0].agg({"live": "sum"}).first()[0] == 3
 
 
 def brute_fingerprint(text):
