@@ -1,5 +1,6 @@
 """Language ID, WARC, media columns."""
 
+import gzip
 import hashlib
 import random
 import zlib
@@ -132,11 +133,15 @@ def page_rows():
     return rows
 
 
-def test_warc(spark, tmp_path):
+@pytest.mark.parametrize("most", [10**6, 0])
+def test_warc(spark, tmp_path, monkeypatch, most):
+    monkeypatch.setattr(warc, "BROADCAST_REVISITS", most)
+    monkeypatch.setattr(warc, "GROUP_ROWS", 10)
     rows = page_rows()
     pages = spark.createDataFrame([(*r, "d", "o", "c") for r in rows], PAGES).repartition(3)
-    path = warc.write_archives(pages, f"file://{tmp_path}/warc", archive_bytes=9000)
-    assert len(list((tmp_path / "warc").glob("*.gz"))) > 3
+    path = warc.write_archives(pages, f"file://{tmp_path}/warc", archive_bytes=3000)
+    files = list((tmp_path / "warc").glob("*.warc.gz"))
+    assert len(files) > 3
     first = {}
     for i, _, html in rows:
         if i is not None and len((html or "").encode()) >= 100:
@@ -150,15 +155,34 @@ def test_warc(spark, tmp_path):
     assert Counter(map(tuple, got.collect())) == want
     payloads = {bytes(r.payload) for r in warc.read_archives(spark, path, with_payload=True).where("record_type = 'response'").collect()}
     assert payloads == {(r[2] or "").encode() for r in rows}
+    # any gzip reader gets the whole file, and the index finds each record
+    for file in files:
+        records = list(warc.parse(gzip.decompress(file.read_bytes())))
+        assert records[0][0]["warc-type"] == "warcinfo" and all(h["warc-record-id"] for h, _ in records)
+    for r in spark.read.parquet(f"{path}/index").collect():
+        (headers, _), = warc.parse(gzip.decompress((tmp_path / "warc" / r.file).read_bytes()[r.offset : r.offset + r.length]))
+        assert headers.get("x-page-id") == (None if r.page_id is None else str(r.page_id))
     empty = warc.write_archives(pages.limit(0), f"file://{tmp_path}/empty")
     assert warc.read_resolved(spark, empty).count() == 0
 
 
+def test_headers_alone_are_shuffled(spark):
+    pages = spark.createDataFrame([(i, "u", "p" * 200) for i in range(9)], "page_id long, url string, html string")
+    plan = warc.resolve(pages)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
 def test_warc_records_that_are_cut_short(spark):
+    import io
+
     record = b"WARC/1.1\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
     assert [b for _, b in warc.parse(record * 2)] == [b"abc"] * 2
     with pytest.raises(ValueError):
         list(warc.parse(record[:-3]))
+    whole = gzip.compress(record) * 3
+    assert list(warc.members(io.BytesIO(whole))) == [record] * 3
+    with pytest.raises(ValueError):
+        list(warc.members(io.BytesIO(whole[:-9])))
 
 
 @pytest.mark.parametrize("n", [0, 1, 161, 162, 163, 164, 575, 576, 577, 4608, 4609, 9216, 50_000])
