@@ -99,65 +99,143 @@ def mux(payload: bytes) -> bytes:
     return b"".join(out)
 
 
+@dataclass
+class Elementary:
+    """One elementary stream: its type, and of each packet the payload, the time stamp (or None) and whether random access starts there."""
+
+    kind: int
+    payloads: list[bytes] = field(default_factory=list)
+    stamps: list[int | None] = field(default_factory=list)
+    access: list[bool] = field(default_factory=list)
+
+
 @dataclass
 class Stream:
-    payload: bytes = b""
-    stamps: list[int] = field(default_factory=list)
-    access: list[int] = field(default_factory=list)  # packet numbers of random-access points
-    gaps: int = 0  # breaks of the continuity counters
     programs: dict[int, int] = field(default_factory=dict)  # program -> pid of its map
-    streams: dict[int, int] = field(default_factory=dict)  # pid -> stream type
+    streams: dict[int, Elementary] = field(default_factory=dict)  # by pid
+    access: list[int] = field(default_factory=list)  # packet numbers of random-access points
+    gaps: int = 0  # breaks of the continuity counters, and packets marked as damaged
+    orphans: int = 0  # elementary packets that continue what wasn't seen to begin
+
+    @property
+    def payload(self) -> bytes:
+        return b"".join(b"".join(e.payloads) for e in self.streams.values())
+
+
+#: Stream ids whose packets have no header beyond the length.
+_BARE = {0xBC, 0xBE, 0xBF, 0xF0, 0xF1, 0xF2, 0xF8, 0xFF}
+
+
+def _pes(data: bytes) -> tuple[bytes, int | None]:
+    """Payload and time stamp of an elementary packet; a length of 0 means up to its end."""
+    if data[:3] != b"\0\0\x01" or len(data) < 6:
+        raise ValueError("an elementary packet has no start code")
+    length = int.from_bytes(data[4:6], "big")
+    end = 6 + length if length else len(data)
+    if data[3] in _BARE or len(data) < 9:
+        return data[6:end], None
+    return data[9 + data[8] : end], _unstamp(data[9:14]) if data[7] & 0x80 else None
+
+
+class _Sections:
+    """Sections of one pid, put together from the packets that hold them."""
+
+    def __init__(self):
+        self.data, self.begun = b"", False
+
+    def add(self, payload: bytes, start: bool) -> list[bytes]:
+        out = []
+        if start:
+            before = 1 + payload[0]
+            if self.begun:
+                self.data += payload[1:before]
+                out += self._whole()
+            self.data, self.begun = payload[before:], True
+        elif self.begun:
+            self.data += payload
+        return out + self._whole()
+
+    def _whole(self) -> list[bytes]:
+        out = []
+        while len(self.data) >= 3 and self.data[0] != 0xFF:
+            size = 3 + (int.from_bytes(self.data[1:3], "big") & 0x0FFF)
+            if len(self.data) < size:
+                break
+            section_, self.data = self.data[:size], self.data[size:]
+            if section_crc(section_):
+                raise ValueError("a table's checksum is wrong")
+            if section_[5] & 1:  # in force, not the next one
+                out.append(section_)
+        return out
+
+
+def _map_entries(section_: bytes):
+    """(pid, stream type) of each elementary stream of a program map."""
+    at = 12 + (int.from_bytes(section_[10:12], "big") & 0x0FFF)
+    while at < len(section_) - 4:
+        yield int.from_bytes(section_[at + 1 : at + 3], "big") & 0x1FFF, section_[at]
+        at += 5 + (int.from_bytes(section_[at + 3 : at + 5], "big") & 0x0FFF)
 
 
-def _section(data: bytes) -> bytes:
-    body = data[1 + data[0] :]
-    body = body[: 3 + (int.from_bytes(body[1:3], "big") & 0x0FFF)]
-    if section_crc(body):
-        raise ValueError("a table's checksum is wrong")
-    return body
+def demux(stream: bytes) -> Stream:
+    """Parse a transport stream and reassemble the packets of each of its elementary streams.
 
+    Packets of other pids than those of the tables are passed over.  A packet repeated with its counter counts once.  After
+    a break of a counter the packets that came stay; what continues an unseen beginning is left out.
+    """
+    out, last, sections, maps = Stream(), {}, {PAT_PID: _Sections()}, set()
+    open_: dict[int, list[bytes]] = {}
+
+    def close(pid: int) -> None:
+        payload, stamp = _pes(b"".join(open_.pop(pid)))
+        out.streams[pid].payloads.append(payload)
+        out.streams[pid].stamps.append(stamp)
 
-def demux(stream: bytes) -> Stream:
-    """Parse a transport stream and reassemble its elementary packets."""
-    out, counters, parts = Stream(), {}, []
     for number, at in enumerate(range(0, len(stream), PACKET)):
-        if stream[at] != SYNC:
-            raise ValueError(f"packet {number} has no sync byte")
+        if stream[at] != SYNC or at + PACKET > len(stream):
+            raise ValueError(f"packet {number} has no sync byte or is cut short")
         a, b, flags = stream[at + 1], stream[at + 2], stream[at + 3]
         pid = (a & 31) << 8 | b
-        body = at + 4
+        body, adaptation = at + 4, 0
         if flags & 0x20:
-            if stream[body] and stream[body + 1] & 0x40:
-                out.access.append(number)
+            adaptation = stream[body + 1] if stream[body] else 0
             body += 1 + stream[body]
-        if not flags & 0x10:
-            continue
-        if pid in counters and flags & 15 != counters[pid] + 1 & 15:
+        if adaptation & 0x40:
+            out.access.append(number)
+        if a & 0x80:
             out.gaps += 1
-        counters[pid] = flags & 15
-        data = stream[body : at + PACKET]
+            continue
+        if not flags & 0x10 or pid == 0x1FFF:
+            continue
+        data, start = stream[body : at + PACKET], bool(a & 0x40)
+        before = last.get(pid)
+        if before is not None and not adaptation & 0x80:
+            if flags & 15 == before[0] and data == before[1]:
+                continue
+            out.gaps += flags & 15 != before[0] + 1 & 15
+        last[pid] = flags & 15, data
         if pid in out.streams:
-            if a & 0x40:
-                parts.append([])
-            parts[-1].append(data)
-        elif pid == PAT_PID:
-            s = _section(data)
-            out.programs = {int.from_bytes(s[i : i + 2], "big"): int.from_bytes(s[i + 2 : i + 4], "big") & 0x1FFF for i in range(8, len(s) - 4, 4)}
-        elif pid in out.programs.values():
-            s = _section(data)
-            i = 12 + (int.from_bytes(s[10:12], "big") & 0x0FFF)
-            while i < len(s) - 4:
-                out.streams[int.from_bytes(s[i + 1 : i + 3], "big") & 0x1FFF] = s[i]
-                i += 5 + (int.from_bytes(s[i + 3 : i + 5], "big") & 0x0FFF)
-    payloads = []
-    for part in parts:
-        pes = b"".join(part)
-        if pes[:3] != b"\0\0\x01":
-            raise ValueError("an elementary packet has no start code")
-        end = 6 + int.from_bytes(pes[4:6], "big")
-        out.stamps.append(_unstamp(pes[9:14]))
-        payloads.append(pes[9 + pes[8] : end])
-    out.payload = b"".join(payloads)
+            if start:
+                if pid in open_:
+                    close(pid)
+                open_[pid] = [data]
+                out.streams[pid].access.append(bool(adaptation & 0x40))
+            elif pid in open_:
+                open_[pid].append(data)
+            else:
+                out.orphans += 1
+        elif pid in sections:
+            for s in sections[pid].add(data, start):
+                if pid == PAT_PID and s[0] == 0:
+                    found = {int.from_bytes(s[i : i + 2], "big"): int.from_bytes(s[i + 2 : i + 4], "big") & 0x1FFF for i in range(8, len(s) - 4, 4)}
+                    out.programs |= {k: v for k, v in found.items() if k}
+                    maps = set(out.programs.values())
+                    sections |= {p: _Sections() for p in maps - sections.keys()}
+                elif pid in maps and s[0] == 2:
+                    for p, kind in _map_entries(s):
+                        out.streams.setdefault(p, Elementary(kind)).kind = kind
+    for pid in list(open_):
+        close(pid)
     return out
 
 
@@ -186,8 +264,9 @@ def decode(media: DataFrame) -> DataFrame:
             rows = []
             for stored in texts_of(batch.column(2)):
                 s = demux(stored)
-                feature = f"programs={len(s.programs)};streams={','.join(f'{t:02x}' for t in s.streams.values())};packets={len(stored) // PACKET};pes={len(s.stamps)};gaps={s.gaps};access={len(s.access)};last_pts={s.stamps[-1]}"
-                rows.append((len(s.payload), hashlib.sha256(s.payload).hexdigest(), zlib.crc32(s.payload[-32:]), len(stored), hashlib.sha256(stored).hexdigest(), feature, s.stamps, s.access))
+                payload, stamps = s.payload, [x for e in s.streams.values() for x in e.stamps]
+                feature = f"programs={len(s.programs)};streams={','.join(f'{e.kind:02x}' for e in s.streams.values())};packets={len(stored) // PACKET};pes={len(stamps)};gaps={s.gaps};access={len(s.access)};last_pts={stamps[-1]}"
+                rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(stored), hashlib.sha256(stored).hexdigest(), feature, stamps, s.access))
             columns = list(zip(*rows))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(c, t) for c, t in zip(columns, list(kinds.values())[2:])]], list(kinds))
 

@@ -191,10 +191,104 @@ def test_transport_stream_round_trip(n):
     stream = media.mux(payload)
     assert len(stream) % 188 == 0 and stream[::188] == b"G" * (len(stream) // 188)
     s = media.demux(stream)
-    assert s.payload == payload and s.gaps == 0 and s.programs == {1: media.MAP_PID} and s.streams == {media.DATA_PID: 6}
-    assert s.stamps == [i * media.TICKS for i in range(-(-len(payload) // 4608))] and len(s.access) == len(s.stamps)
+    own = s.streams[media.DATA_PID]
+    assert s.payload == payload and (s.gaps, s.orphans) == (0, 0) and s.programs == {1: media.MAP_PID} and list(s.streams) == [media.DATA_PID] and own.kind == 6
+    assert own.stamps == [i * media.TICKS for i in range(-(-len(payload) // 4608))] and len(s.access) == len(own.stamps) and all(own.access)
     if len(stream) > 6 * 188:
         assert media.demux(stream[: 3 * 188] + stream[4 * 188 :]).gaps == 1  # a lost packet shows
+    assert media.demux(stream[: 3 * 188] + stream[2 * 188 :]).payload == payload  # a packet that came twice counts once
+    assert plain_reader(stream) == (payload, own.stamps, [2 + sum(-(-(min(4608, len(payload) - 4608 * k) + 22 - 8) // 184) for k in range(i)) for i in range(len(own.stamps))])
+
+
+def plain_reader(stream):
+    """Payload, time stamps and random-access packets by the standard's bit fields, one packet after another."""
+    bits = lambda data: "".join(f"{x:08b}" for x in data)
+    maps, kinds, pes, access, counts = {}, {}, [], [], {}
+    for number in range(len(stream) // 188):
+        own = stream[number * 188 : number * 188 + 188]
+        head = bits(own[:4])
+        assert head[:8] == "01000111" and head[8] == "0" and head[24:26] == "00"
+        start, pid, control, counter = head[9] == "1", int(head[11:24], 2), head[26:28], int(head[28:], 2)
+        assert control in ("01", "11") and counter == (counts.get(pid, -1) + 1) % 16
+        counts[pid] = counter
+        at = 4
+        if control == "11":
+            at = 5 + own[4]
+            if own[4]:
+                flags = bits(own[5:6])
+                if flags[1] == "1":
+                    access.append(number)
+                if flags[3] == "1":
+                    clock = bits(own[6:12])
+                    base, extension = int(clock[:33], 2), int(clock[39:], 2)
+                    assert clock[33:39] == "111111" and extension == 0
+                    assert base == len(pes) * 8 * 2160
+                assert set(own[6 + 6 * (flags[3] == "1") : at]) <= {255}
+        data = own[at:]
+        if pid == 0 or pid in maps.values():
+            assert start and data[0] == 0
+            length = int(bits(data[2:4])[4:], 2)
+            section = data[1 : 4 + length]
+            assert bits(section[1:2])[0] == "1" and set(data[4 + length :]) <= {255}
+            remainder = "".join(str(int(x) ^ (i < 32)) for i, x in enumerate(bits(section)))
+            value = [int(x) for x in remainder]
+            for i in range(len(value) - 32):  # long division by the polynomial
+                if value[i]:
+                    for k, x in enumerate("100000100110000010001110110110111"):
+                        value[i + k] ^= int(x)
+            assert not any(value)
+            if pid == 0:
+                assert section[0] == 0
+                for i in range(8, len(section) - 4, 4):
+                    maps[int(bits(section[i : i + 2]), 2)] = int(bits(section[i + 2 : i + 4])[3:], 2)
+            else:
+                assert section[0] == 2
+                i = 12 + int(bits(section[10:12])[4:], 2)
+                while i < len(section) - 4:
+                    kinds[int(bits(section[i + 1 : i + 3])[3:], 2)] = section[i]
+                    i += 5 + int(bits(section[i + 3 : i + 5])[4:], 2)
+        else:
+            assert pid in kinds and kinds[pid] == 6
+            if start:
+                pes.append(b"")
+            pes[-1] += data
+    payload, stamps = b"", []
+    for x in pes:
+        assert x[:4] == b"\0\0\x01\xbd" and len(x) == 6 + int(bits(x[4:6]), 2)
+        head = bits(x[6:9])
+        assert head[:2] == "10" and head[8:10] == "10"
+        stamp = bits(x[9:14])
+        assert stamp[:4] == "0010" and stamp[7] == stamp[23] == stamp[39] == "1"
+        stamps.append(int(stamp[4:7] + stamp[8:23] + stamp[24:39], 2))
+        payload += x[9 + x[8] :]
+    return payload, stamps, access
+
+
+def _cut(pid, data, counter=0, start=True, size=184):
+    return [media.packet(pid, counter + i, data[a : a + size], start and not a) for i, a in enumerate(range(0, len(data), size))]
+
+
+def test_streams_of_other_writers():
+    entry = lambda kind, pid, info=b"": bytes([kind]) + (0xE000 | pid).to_bytes(2, "big") + (0xF000 | len(info)).to_bytes(2, "big") + info
+    pat = media.section(0, 1, b"\0\0\xe0\x10" + b"".join(i.to_bytes(2, "big") + (0xE000 | 0x40 + i).to_bytes(2, "big") for i in (1, 2)))
+    pmt = media.section(2, 1, (0xE000 | 0x101).to_bytes(2, "big") + b"\xf0\x04desc" + entry(0x1B, 0x101, b"x" * 150) + entry(0x0F, 0x102, b"y" * 120))  # longer than a packet
+    other = media.section(2, 2, (0xE000 | 0x103).to_bytes(2, "big") + b"\xf0\0" + entry(6, 0x103))
+    tables = _cut(0, b"\0" + pat) + _cut(0x41, b"\0" + pmt)
+    cut_short = [*_cut(0x42, b"\0" + other[:10], 0), *_cut(0x42, bytes([len(other) - 10]) + other[10:] + other, 1)]  # a section that ends behind the pointer of the next
+    a, b, c = bytes(range(256)) * 3, b"B" * 600, b"C" * 700
+    video = _cut(0x101, b"\0\0\x01\xe0\0\0\x80\xc0\x0a" + media._stamp(7) + media._stamp(5) + a)  # length 0; two stamps
+    video += _cut(0x101, b"\0\0\x01\xe0\0\0\x80\0\0" + b, len(video))  # no stamp
+    audio = _cut(0x102, b"\0\0\x01\xc0" + (len(c) + 3).to_bytes(2, "big") + b"\x80\0\0" + c)
+    bare = _cut(0x103, b"\0\0\x01\xbf\0\x05hello")
+    mixed = [x for pair in zip(video, [*audio, *[media.packet(0x1FFF, 0, b"\xff" * 184, False)] * (len(video) - len(audio))]) for x in pair]
+    lost = media.packet(0x102, 15, b"tail of what began before", False)
+    s = media.demux(b"".join(tables + cut_short + [lost] + mixed + bare))
+    assert s.programs == {1: 0x41, 2: 0x42} and {p: e.kind for p, e in s.streams.items()} == {0x101: 0x1B, 0x102: 0x0F, 0x103: 6}
+    assert s.streams[0x101].payloads == [a, b] and s.streams[0x101].stamps == [7, None]
+    assert s.streams[0x102].payloads == [c] and s.streams[0x103].payloads == [b"hello"] and (s.gaps, s.orphans) == (0, 1)
+    assert media.demux(b"".join(mixed)).streams == {}  # no tables, no streams
+    with pytest.raises(ValueError):
+        media.demux(b"".join(tables)[:-1])
 
 
 def test_time_stamps_of_33_bits():
