@@ -23,6 +23,8 @@ from ._common import durable, slices
 ROWS_PER_LANGUAGE = 250
 #: Of these, on all spans of so many words, but for spans of more bytes; beyond so many spans a language, on those with the least hash.
 SPAN_WORDS, SPAN_BYTES, SPANS_PER_LANGUAGE = 256, 16_384, 2_000
+#: Labels that the transitions of one model can have; a table with more is refused.
+MOST_LANGUAGES = 1_000
 CHAIN = 64
 _CACHE_WORDS = 400_000
 
@@ -194,14 +196,17 @@ def fit(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE, spans_per_l
     count once.  Ranks are taken over hashes alone; texts only pass through tasks one by one.
     """
     own = docs.select("text", "lang", F.xxhash64("doc_id", "text").alias("h")).where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(docs["doc_id"]))
-    different = own.groupBy("lang").agg(F.approx_count_distinct("h", 0.02).alias("rows"))
-    share = different.select("lang", F.least(F.lit(1.0), F.lit(float(rows_per_language)) / F.col("rows")).alias("share"))  # a row a language
-    drawn = own.join(share, "lang").where(F.shiftrightunsigned("h", 11) / float(1 << 53) < F.when(F.col("share") > 0.9, 1.0).otherwise(F.col("share")))
+    different = own.groupBy("lang").agg(F.approx_count_distinct("h", 0.02).alias("rows")).limit(MOST_LANGUAGES + 1).collect()
+    if len(different) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    shares = [(r["lang"], 1.0 if rows_per_language > 0.9 * r["rows"] else rows_per_language / r["rows"]) for r in different]
+    share = F.broadcast(docs.sparkSession.createDataFrame(shares, "lang string, share double"))  # a row a language
+    drawn = own.join(share, "lang").where(F.shiftrightunsigned("h", 11) / float(1 << 53) < F.col("share"))
     spans = durable(drawn.dropDuplicates(["lang", "h"]).select("lang", "h", "text").mapInArrow(_spans, "lang string, h long, n long, text string"))
     keyed = spans.withColumn("key", F.xxhash64("h", "n"))
     nth = F.row_number().over(W.partitionBy("lang").orderBy("key", "h", "n"))
     last = keyed.select("lang", "key", "h", "n").withColumn("nth", nth).where(F.col("nth") <= spans_per_language).groupBy("lang").agg(F.max("key").alias("last"))
-    sample = keyed.join(last, "lang").where("key <= last").orderBy("lang", "key", "h", "n").select("text", "lang").collect()
+    sample = keyed.join(F.broadcast(last), "lang").where("key <= last").orderBy("lang", "key", "h", "n").select("text", "lang").collect()
     return train([r["text"] for r in sample], [r["lang"] for r in sample], **settings) if sample else None
 
 
