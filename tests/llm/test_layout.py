@@ -142,6 +142,39 @@ def test_kd_shards(docs, rows, nothing):
     assert sharding.kd_shards(docs, target_bytes=10_000).agg({"shard": "max"}).first()[0] > 5
 
 
+def brute_tree(rows, shards, dimensions):
+    """Shard of each row (doc_id, size, q, tie) by recursion over sorted lists."""
+    out = {}
+
+    def split(own, first, n):
+        if n == 1 or not own:
+            out.update({i: first for i, *_ in own})
+            return
+        widths = [max(q[d] for _, _, q, _ in own) - min(q[d] for _, _, q, _ in own) for d in range(dimensions)]
+        key = lambda r: (r[2][widths.index(max(widths))], r[3])
+        own = sorted(own, key=key)
+        goal, run = sum(r[1] for r in own) * (n // 2) // n, 0
+        for r in own:
+            run += r[1]
+            if run >= goal:
+                break
+        split([x for x in own if key(x) <= key(r)], first, n // 2)
+        split([x for x in own if key(x) > key(r)], first + n // 2, n - n // 2)
+
+    split(rows, 0, shards)
+    return out
+
+
+def test_kd_shards_are_those_of_the_plain_tree(docs, monkeypatch):
+    own = sharding.metadata(docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]), sharding.DIMENSIONS)[0].collect()
+    rows = [(r.doc_id, r["size"], list(r.q), r.tie) for r in own]
+    some = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    for shards, most in ((2, 50_000), (7, 50_000), (16, 1)):
+        monkeypatch.setattr(sharding, "BROADCAST_NODES", most)
+        got = {r.doc_id: r.shard for r in sharding.kd_shards(some, shards=shards).collect()}
+        assert got == brute_tree(rows, shards, len(sharding.DIMENSIONS))
+
+
 def test_kd_shards_are_even_under_skew(spark):
     docs = spark.range(20_000).selectExpr("id AS doc_id", "repeat('x', int(id % 7) + 90) AS text", "'en' AS lang", "if(id % 3 = 0, 'hot', concat('s', id % 50)) AS source")
     by = [r[1] for r in sharding.kd_shards(docs, shards=16).groupBy("shard").sum("size").collect()]
