@@ -1,12 +1,13 @@
 """A training corpus from documents: language ID, exact dedup, SimHash near-dedup, mixing and packing.
 
-Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of documents.
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of documents.  Common
+to all stages: columns of docs beyond these are left out, an empty table gives no rows, texts of any length are taken
+whole, and rows are told apart by a row key, so that null and repeated ids are no different from others.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from popspark.llm import exact_dedup, language_id, mixing, packing, simhash
@@ -17,47 +18,63 @@ from popspark.shipping import ship
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The columns of documents and rid, a key of the row; written, so that it stays as it is."""
+    return durable(docs.select(*COLUMNS).withColumn("rid", F.monotonically_increasing_id()))
+
+
+def _only(keyed: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows whose key is in kept(rid)."""
+    return keyed.join(kept.select("rid"), "rid", "left_semi").select(*COLUMNS)
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a language is found; those without a text or a letter go."""
+    """Documents in which a language is found, with that language as lang; those without a text or a letter go.
+
+    A wrong or null lang is replaced by the model's.  Without any labelled row there is no model, and all rows go.
+    """
     docs = docs.select(*COLUMNS)
     found = language_id.identify(docs, language_id.fit(docs))
-    return found.where("lang_pred <> 'und'").select(*COLUMNS)
+    return found.where("lang_pred <> 'und'").withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts: the one with the smallest id, once if its row repeats."""
-    docs = docs.select(*COLUMNS)
-    key = lambda sha, doc_id: F.concat(sha, F.lit(":"), F.coalesce(doc_id.cast("string"), F.lit("")))
-    kept = exact_dedup.exact_dedup(docs).where("kept").select(key(F.col("text_sha256"), F.col("doc_id")).alias("key"))
-    own = docs.withColumn("key", key(F.sha2(exact_dedup.normalised().cast("binary"), 256), F.col("doc_id"))).join(kept, "key", "left_semi")
-    first = F.row_number().over(W.partitionBy("key").orderBy("source", "lang", "n_chars"))
-    return own.withColumn("nth", first).where("nth = 1").select(*COLUMNS)
+    """One document of each group of equal texts: the one with the smallest id (null ids come last), once if its row repeats.
+
+    Null and empty texts are equal to each other.
+    """
+    keyed = _keyed(docs)
+    return _only(keyed, exact_dedup.exact_dedup(keyed, key="rid").where("kept"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each SimHash component: the one with the smallest id (ties, and a component without an id: by text and columns)."""
-    docs = docs.select(*COLUMNS)
-    digest = F.md5(F.to_json(F.struct("text", "lang", "source", "n_chars")).cast("binary"))
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", digest.alias("digest"))
-    keyed = durable(docs.withColumn("key", place))
-    found = simhash.simhash_roots(keyed.select(F.col("key").alias("doc_id"), "text"))
-    kept = found.groupBy("root").agg(F.min("doc_id").alias("key")).select(F.to_json("key").alias("row_key"))
-    first = F.row_number().over(W.partitionBy("row_key").orderBy("doc_id"))
-    own = keyed.withColumn("row_key", F.to_json("key")).join(kept, "row_key", "left_semi")
-    return own.withColumn("nth", first).where("nth = 1").select(*COLUMNS)
+    """One row of each SimHash component: the one with the smallest id (null ids come last; of rows that share it, one).
+
+    Null, empty and blank texts have fingerprint zero, and are near copies of each other.
+    """
+    keyed = _keyed(docs)
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), "rid")
+    found = simhash.simhash_roots(keyed.select(place.alias("doc_id"), "text"))
+    return _only(keyed, found.groupBy("root").agg(F.min("doc_id").alias("key")).select("key.rid"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
-    docs = docs.select(*COLUMNS)
-    rows, _ = mixing.mix_sources(docs)
-    laps = rows.where("laps > 0").groupBy("place").agg(F.max("laps").alias("laps"))
-    own = docs.withColumn("place", mixing.place()).join(laps, "place")
+    """Documents as often as the mix takes them, by row.
+
+    Null texts and texts without words have no size: they stay as often as their place in the queue says.  A null source
+    is a source.
+    """
+    keyed = _keyed(docs)
+    rows, _ = mixing.mix_sources(keyed, key="rid")
+    own = keyed.join(rows.where("laps > 0").select("rid", "laps"), "rid")
     return own.withColumn("lap", F.explode(F.sequence(F.lit(1), F.col("laps")))).select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents with their places in token sequences."""
+    """The pieces of all documents with their places in token sequences.
+
+    A null text is empty: one piece, the id 0.  Repeated rows are packed as often as they occur.
+    """
     return packing.pack_documents(docs, tokenizer_path())
 
 
