@@ -33,6 +33,16 @@ def durable(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread_join(rows: DataFrame, found: DataFrame, key: str, n: int, most: int = 50_000) -> DataFrame:
+    """rows (n of them, a written table) joined to found, which has each key once.
+
+    A key's rows are dealt to salts, and found is sent to each of those that occur, so a hot key meets in tasks of about `most` rows.
+    """
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(max(1, -(-n // most)))))
+    each = salted.select(key, "_salt").distinct().join(found, key)
+    return salted.join(each, [key, "_salt"]).drop("_salt")
+
+
 def utf8(column: str | Column) -> Column:
     """UTF-8 bytes of a text; null counts as empty."""
     c = F.col(column) if isinstance(column, str) else column

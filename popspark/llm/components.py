@@ -12,7 +12,8 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """edges(a, b) of one orderable type -> (node, root), root the least node of its component.
 
     Only nodes with an edge to another node appear; null ends, loops and repeated edges are ignored.  Links stay in
-    Spark: each round is written to the shared folder, and the rounds end when the set of edges no longer changes.
+    Spark: each round is written to the shared folder, and the rounds end when the set of edges no longer changes.  The edges
+    of a hub meet its least neighbour in joins that adaptive execution splits; sums over them are partial first.
     """
     now = durable(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     mark = _mark(now)

@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import durable, string_bytes
+from ._common import durable, spread_join, string_bytes
 
 BUCKET_DIGESTS = 50_000
 _SLOTS, _KICKS, _BATCH = 4, 200, 8192
@@ -250,5 +250,5 @@ def update_index(index: DataFrame | None, added: DataFrame, removed: DataFrame |
 
     both = durable(index.groupBy("bucket").cogroup(events.groupBy("bucket")).applyInArrow(apply, f"{stored}, sha string, keep_id {id_type}, is_new boolean"))
     decided = both.where("sha is not null").select("sha", "keep_id", "is_new")
-    told = batch.join(decided, "sha").select("doc_id", "keep_id", (F.col("is_new") & F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("is_new"))
+    told = spread_join(batch, decided, "sha", batch.count()).select("doc_id", "keep_id", (F.col("is_new") & F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("is_new"))
     return both.where("digests is not null").drop("sha", "keep_id", "is_new"), told

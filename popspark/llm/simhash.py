@@ -2,8 +2,9 @@
 
 Two fingerprints at most `radius` bits apart share a variant at most radius/2 bits from both.  Every distinct
 fingerprint goes to each bucket (prefix of variants) that holds one of its variants, and the bucket writes out the
-variants that lie in it: the shuffle is on variants, but a variant's 8 bytes never travel.  Fingerprints that collide
-on a variant are deduplicated to a spanning forest of the bucket and verified; components close the links.
+variants that lie in it: the shuffle is on variants, but a variant's 8 bytes never travel.  Buckets that come out heavy are
+dealt on by more bits.  Fingerprints that collide on a variant are deduplicated to a spanning forest of the bucket and
+verified; components close the links.
 """
 
 from __future__ import annotations
@@ -15,10 +16,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import durable, slices, texts_of
+from ._common import durable, slices, spread_join, texts_of
 from .components import connected_components
 
 BUCKET_VARIANTS = 2 << 20
+#: Buckets of more variants than this are split by so many bits more, as long as bits are left.
+HEAVY_VARIANTS, SPLIT_BITS, MOST_BITS = 32 << 20, 8, 40
 _MOST_VARIANTS = 6 << 20
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 
@@ -75,9 +78,9 @@ def _forest(links: np.ndarray, n: int) -> np.ndarray:
     return label
 
 
-def _collide(prefix: int, radius: int):
+def _collide(radius: int):
     def collide(table: pa.Table) -> pa.Table:
-        bucket = np.uint64(table["bucket"][0].as_py())
+        bucket, prefix = np.uint64(table["bucket"][0].as_py()), table["prefix"][0].as_py()
         fp = np.unique(np.asarray(table["fp"].to_numpy(), np.int64)).view(np.uint64)
         free, half = 64 - prefix, radius // 2
         used = np.bitwise_count((fp >> np.uint64(free)) ^ bucket) if prefix else np.zeros(len(fp), np.int64)
@@ -85,7 +88,7 @@ def _collide(prefix: int, radius: int):
         masks = [_flips(free, left) for left in range(half + 1)]
         total = sum(int((used == half - left).sum()) * len(masks[left]) for left in range(half + 1))
         parts = max(1, -(-total // _MOST_VARIANTS))
-        links = np.zeros((0, 2), np.int64)
+        label = np.arange(len(fp))
         for part in range(parts):
             variants, owners = [], []
             for left, mask in enumerate(masks):
@@ -104,11 +107,11 @@ def _collide(prefix: int, radius: int):
             order = np.argsort(v)
             v, o = v[order], o[order]
             same = np.flatnonzero(v[1:] == v[:-1])
-            found = np.stack([o[same], o[same + 1]], 1).astype(np.int64)
-            found = np.unique(np.sort(found, 1), axis=0) if len(found) else found
-            links = np.concatenate([links, found])
-        links = links[np.bitwise_count(fp[links[:, 0]] ^ fp[links[:, 1]]) <= radius]
-        label = _forest(links, len(fp))
+            links = np.stack([o[same], o[same + 1]], 1).astype(np.int64)
+            links = np.unique(np.sort(links, 1), axis=0) if len(links) else links
+            links = links[np.bitwise_count(fp[links[:, 0]] ^ fp[links[:, 1]]) <= radius]
+            tree = np.flatnonzero(label != np.arange(len(fp)))  # the forest so far stands for all links of earlier parts
+            label = _forest(np.concatenate([links, np.stack([tree, label[tree]], 1)]), len(fp))
         rest = np.flatnonzero(label != np.arange(len(fp)))
         signed = fp.view(np.int64)
         return pa.table({"a": pa.array(signed[rest], pa.int64()), "b": pa.array(signed[label[rest]], pa.int64())})
@@ -116,17 +119,38 @@ def _collide(prefix: int, radius: int):
     return collide
 
 
-def near_links(fps: DataFrame, radius: int = 4, bucket_variants: int = BUCKET_VARIANTS) -> DataFrame:
+def _dealt_on(sent: DataFrame, prefix: int, bits: int, half: int) -> DataFrame:
+    """Rows (fp, bucket, used) of buckets of `prefix` bits, dealt to buckets of `bits` bits more; used counts the bits flipped so far."""
+    by_used = [F.array(*[F.struct(F.lit(int(m)).cast("long").alias("mask"), F.lit(int(m).bit_count()).alias("more")) for m in _flips(bits, half - used)]) for used in range(half + 1)]
+    masks = by_used[half]
+    for used in range(half):
+        masks = F.when(F.col("used") == used, by_used[used]).otherwise(masks)
+    own = F.shiftrightunsigned("fp", 64 - prefix - bits).bitwiseAND((1 << bits) - 1) if bits else F.lit(0).cast("long")
+    rows = sent.select("fp", "bucket", "used", own.alias("own"), F.explode(masks).alias("x"))
+    return rows.select("fp", F.shiftleft("bucket", bits).bitwiseOR(F.col("own").bitwiseXOR(F.col("x.mask"))).alias("bucket"), (F.col("used") + F.col("x.more")).alias("used"))
+
+
+def near_links(fps: DataFrame, radius: int = 4, bucket_variants: int = BUCKET_VARIANTS, heavy_variants: int = HEAVY_VARIANTS) -> DataFrame:
     """fps(fp), distinct -> links (a, b) that join exactly what links of at most `radius` bits join (a forest per bucket)."""
     if radius % 2:
         raise ValueError("radius is even: half of it is the radius of the balls")
-    n = fps.count()
-    ball = len(_flips(64, radius // 2))
-    prefix = min(40, max(0, int(np.ceil(np.log2(max(1, n * ball / bucket_variants))))))
-    masks = F.array(*[F.lit(int(m)).cast("long") for m in _flips(prefix, radius // 2)])
-    own = F.shiftrightunsigned("fp", 64 - prefix) if prefix else F.lit(0).cast("long")
-    sent = fps.select("fp", own.alias("own"), F.explode(masks).alias("mask")).select("fp", F.col("own").bitwiseXOR(F.col("mask")).alias("bucket"))
-    return sent.groupBy("bucket").applyInArrow(_collide(prefix, radius), "a long, b long")
+    n, half = fps.count(), radius // 2
+    prefix = min(MOST_BITS, max(0, int(np.ceil(np.log2(max(1, n * len(_flips(64, half)) / bucket_variants))))))
+    sent = _dealt_on(fps.select("fp", F.lit(0).cast("long").alias("bucket"), F.lit(0).alias("used")), 0, prefix, half)
+    found = None
+    while True:
+        variants = F.lit(1)
+        for used in range(half):
+            variants = F.when(F.col("used") == used, len(_flips(64 - prefix, half - used))).otherwise(variants)
+        more = min(SPLIT_BITS, MOST_BITS - prefix)
+        heavy = durable(sent.groupBy("bucket").agg(F.sum(variants.cast("long")).alias("n")).where(F.col("n") > heavy_variants).select("bucket")) if more else None
+        split = heavy is not None and not heavy.isEmpty()
+        light = sent.join(heavy, "bucket", "left_anti") if split else sent
+        links = light.withColumn("prefix", F.lit(prefix)).groupBy("bucket").applyInArrow(_collide(radius), "a long, b long")
+        found = links if found is None else found.unionByName(links)
+        if not split:
+            return found
+        sent, prefix = _dealt_on(sent.join(heavy, "bucket", "left_semi"), prefix, more, half), prefix + more
 
 
 def simhash_components(docs: DataFrame, radius: int = 4, shingle: int = 4) -> DataFrame:
@@ -138,14 +162,14 @@ def simhash_components(docs: DataFrame, radius: int = 4, shingle: int = 4) -> Da
     """
     hashed, rooted = _rooted(docs, radius, shingle)
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    known = rooted.join(least, "root").select("fp", "component_id")
-    return hashed.join(known, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    known = spread_join(rooted, least, "root", rooted.count()).select("fp", "component_id")
+    return spread_join(hashed, known, "fp", hashed.count()).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def simhash_roots(docs: DataFrame, radius: int = 4, shingle: int = 4) -> DataFrame:
     """doc_id (of any type) of each row and root, which rows have in common if they are in one component."""
     hashed, rooted = _rooted(docs, radius, shingle)
-    return hashed.join(rooted.select("fp", "root"), "fp").select("doc_id", "root")
+    return spread_join(hashed, rooted.select("fp", "root"), "fp", hashed.count()).select("doc_id", "root")
 
 
 def _rooted(docs: DataFrame, radius: int, shingle: int) -> tuple[DataFrame, DataFrame]:
@@ -153,4 +177,4 @@ def _rooted(docs: DataFrame, radius: int, shingle: int) -> tuple[DataFrame, Data
     hashed = durable(fingerprints(docs, shingle))
     by_fp = durable(hashed.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
     roots = connected_components(near_links(by_fp.select("fp"), radius))
-    return hashed, by_fp.join(roots, by_fp.fp == roots.node, "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
+    return hashed, durable(by_fp.join(roots, by_fp.fp == roots.node, "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root")))

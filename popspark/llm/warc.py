@@ -18,7 +18,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import durable, shared_dir, slices, utf8
+from ._common import durable, shared_dir, slices, spread_join, utf8
 
 LEAST_REVISIT = 100
 ARCHIVE_BYTES = 16 << 20
@@ -187,12 +187,11 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = False) ->
 def read_resolved(spark: SparkSession, path: str) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type and refers_to: revisits take their payload's from the response.
 
-    Archives are parsed once, into a table of headers.  Many revisits of one response meet it in one join, of headers only,
-    which adaptive execution splits.
+    Archives are parsed once, into a table of headers; many revisits of one response are dealt to several tasks.
     """
     found = durable(read_archives(spark, path))
     # responses whose row was repeated have the same id and payload
-    originals = found.where("record_type = 'response'").groupBy(F.col("record_id").alias("original")).agg(F.first("page_id").alias("first"), F.first("payload_bytes").alias("size"), F.first("payload_digest").alias("digest"))
+    originals = found.where("record_type = 'response'").groupBy(F.col("record_id").alias("original")).agg(F.first("page_id").alias("first"), F.first("payload_bytes").alias("size"), F.first("payload_digest").alias("digest")).withColumnRenamed("original", "refers_id")
     responses = found.where("record_type = 'response'").select("page_id", "payload_bytes", "payload_digest", "record_type", F.lit(None).cast("long").alias("refers_to"))
-    again = found.where("record_type = 'revisit'").join(originals, F.col("refers_id") == F.col("original"))
+    again = spread_join(found.where("record_type = 'revisit'").select("page_id", "record_type", "refers_id"), originals, "refers_id", found.count())
     return responses.unionByName(again.select("page_id", F.col("size").alias("payload_bytes"), F.col("digest").alias("payload_digest"), "record_type", F.col("first").alias("refers_to")))

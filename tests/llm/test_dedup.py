@@ -226,11 +226,25 @@ def test_ball_hashing_finds_every_pair(spark):
     fps = sorted(set(fps))
     signed = [f - (1 << 64) if f >> 63 else f for f in fps]
     frame = spark.createDataFrame([(f,) for f in signed], "fp long")
-    for variants in (1 << 21, 4000):
-        roots = {r.node: r.root for r in components.connected_components(simhash.near_links(frame, bucket_variants=variants)).collect()}
+    for variants, heavy in ((1 << 21, 1 << 25), (4000, 1 << 25), (40_000, 3000), (1 << 21, 0)):
+        roots = {r.node: r.root for r in components.connected_components(simhash.near_links(frame, bucket_variants=variants, heavy_variants=heavy)).collect()}
         assert [roots.get(s, s) for s in signed] == [c for c in brute_components(fps, signed)]
 
 
+def test_parts_of_a_heavy_bucket_are_joined(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(simhash, "_MOST_VARIANTS", 3000)
+    rng = random.Random(6)
+    fps = sorted({sum(1 << b for b in rng.sample(range(64), rng.randint(0, 5))) for _ in range(60)})
+    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
+    got = simhash._collide(4)(pa.table({"fp": signed, "bucket": [0] * len(fps), "prefix": [0] * len(fps)})).to_pylist()
+    label = {s: s for s in signed}
+    label.update({r["a"]: r["b"] for r in got})
+    groups = lambda of: sorted(map(sorted, ([k for k in of if of[k] == v] for v in set(of.values()))))
+    assert groups(label) == groups(dict(zip(signed, brute_components(fps, list(range(len(fps)))))))
+
+
 def test_components_of_long_chains(spark):
     edges = [(i, i + 1) for i in range(0, 300)] + [(400, 402), (402, 401), (5, 5), (None, 3), (7, None)]
     got = {r.node: r.root for r in components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
