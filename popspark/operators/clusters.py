@@ -42,8 +42,10 @@ def minimizers(seq: str, k: int, w: int) -> tuple[np.ndarray, np.ndarray]:
     return found.view(np.int64), at[first]
 
 
-#: Sizes of the parts that sequences are cut into.
-_PARTS = (1, 2, 3, 4, 5, 7, 9, 12, 16)
+#: The largest part that sequences are cut into.
+_PART = 16
+#: Bases of the words whose presence in a sequence is kept as bits.
+_WORD = 5
 
 
 def allowed_edits(n: int, identity: float) -> int:
@@ -52,7 +54,7 @@ def allowed_edits(n: int, identity: float) -> int:
 
 def part_size(n: int, identity: float) -> int:
     """The largest size of which a sequence of n bases has one part more than the identity allows edits: one part is left whole."""
-    return max((p for p in _PARTS if p * (allowed_edits(n, identity) + 1) <= n), default=0)
+    return min(_PART, n // (allowed_edits(n, identity) + 1))
 
 
 def _words(seq: str, size: int) -> np.ndarray:
@@ -87,6 +89,22 @@ def word_seeds(seq: str, sizes: Iterable[int]) -> tuple[np.ndarray, np.ndarray,
     return tuple(np.concatenate([np.zeros(0, np.int64), *x]).astype(np.int64) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
 
 
+def word_bits(seq: str) -> bytes:
+    """Which of the words of _WORD bases (letters other than A, C, G and T count as A) occur in seq: 4 ** _WORD bits."""
+    base = _BASE[np.frombuffer(seq.encode("latin-1", "replace"), np.uint8)].astype(np.int64) % 4
+    word, found = np.zeros(max(0, len(base) - _WORD + 1), np.int64), np.zeros(4**_WORD, bool)
+    for i in range(_WORD):
+        word = word * 4 + base[i : i + len(word)]
+    found[word] = True
+    return np.packbits(found).tobytes()
+
+
+def may_be_part(short_bits: list[bytes], long_bits: list[bytes], edits: np.ndarray) -> np.ndarray:
+    """False where so many edits cannot make short a part of long: each edit spoils at most _WORD words, so no more can be missing."""
+    a, b = (np.frombuffer(b"".join(x), np.uint64).reshape(len(x), -1) for x in (short_bits, long_bits))
+    return np.bitwise_count(a & ~b).sum(1, dtype=np.int64) <= _WORD * edits
+
+
 def least_edits(short: list[str], long: list[str]) -> np.ndarray:
     """Edits that make each of short a part of its long, whose ends are free: Myers' bit vectors, for all pairs at once."""
     n = np.array([len(x) for x in short])
@@ -146,14 +164,16 @@ def identity_of(short: Column, long: Column, least: float) -> Column:
     return F.when(distance >= 0, 1 - (distance - gap) / n)
 
 
-def cluster_sequences(df: DataFrame, identity: float = 0.9, k: int | None = None, w: int = 8, block: int = 32, band: int = 20) -> DataFrame:
+def cluster_sequences(df: DataFrame, identity: float = 0.9, k: int | None = None, w: int = 8, block: int = 2048, band: int = 20, shortest: int = 0) -> DataFrame:
     """id, cluster (from 1) and rep_id of each row of df (id, seq): greedy clusters around the longest sequences.
 
     Sequences go longest first (equal lengths: by falling md5).  One is a representative if no earlier representative
     has the identity with it; any other joins the most similar such representative (ties: the earlier).  The identity is
     1 less the edits for each of its bases that make it a part of the representative, whose ends are free.  No pair is
     missed: the later sequence is cut into one part more than it may have edits, and the other holds one of them whole.
-    Equal sequences (null: empty) are one, named by their least id; an empty one is like no other.
+    Of the pairs found so, those go in which more words of 5 bases are missing than the edits can spoil; in the others,
+    edits are counted.  Equal sequences (null: empty) are one, named by their least id; an empty one is like no other, nor
+    is one of less than `shortest` bases.
 
     With k, two sequences are compared only if they share a minimizer and at least half the share of the later one's that the
     identity lets expect, identity ** (k + w).  The later one is laid on the other where most of these lie (ties: leftmost),
@@ -168,10 +188,15 @@ def cluster_sequences(df: DataFrame, identity: float = 0.9, k: int | None = None
     if not 0 < identity <= 1:
         raise ValueError("identity is above 0 and at most 1")
     named = df.select("id", F.coalesce("seq", F.lit("")).alias("seq")).withColumn("key", F.md5(F.col("seq").cast("binary")))
-    nodes = written(named.groupBy("key", "seq").agg(F.min("id").alias("rep_id")).withColumn("n", F.length("seq")))
-    texts = nodes.select("key", "seq")
+
+    @F.pandas_udf("binary")
+    def bits_of(seq: pd.Series) -> pd.Series:
+        return pd.Series([word_bits(x) for x in seq], dtype=object)
+
+    nodes = written(named.groupBy("key", "seq").agg(F.min("id").alias("rep_id")).withColumn("n", F.length("seq")).withColumn("bits", bits_of("seq")))
+    texts, bits = nodes.select("key", "seq"), nodes.select("key", "bits", "n")
     least: dict[int, int] = {}  # of each size of parts, the shortest sequence that is cut so
-    for (n,) in [] if k else nodes.select("n").distinct().orderBy("n").collect():
+    for (n,) in [] if k else nodes.where(F.col("n") >= shortest).select("n").distinct().orderBy("n").collect():
         least.setdefault(part_size(n, identity), n)
     least.pop(0, None)
 
@@ -190,7 +215,7 @@ def cluster_sequences(df: DataFrame, identity: float = 0.9, k: int | None = None
                     if len(rows):
                         yield rows.assign(own=own, **{c: np.concatenate([x[j] for x in found]) for j, c in enumerate(("seed", "at", "until"))})
 
-    every = written(nodes.mapInPandas(seeds, "key string, n int, m int, own boolean, seed bigint, at int, until int"))
+    every = written(nodes.where(F.col("n") >= shortest).select("key", "seq", "n").mapInPandas(seeds, "key string, n int, m int, own boolean, seed bigint, at int, until int"))
     shared = every.groupBy("seed").agg(F.max("key").alias("_a"), F.min("key").alias("_b"), F.bool_or("own").alias("_own")).where("_own AND _a <> _b").select("seed")
     shared = every.join(shared, "seed")
     counts = shared.where("own").groupBy("key").agg(F.count_distinct("seed").alias("seeds"))
@@ -209,8 +234,14 @@ def cluster_sequences(df: DataFrame, identity: float = 0.9, k: int | None = None
     def edits_of(short: pd.Series, long: pd.Series) -> pd.Series:
         return pd.Series(least_edits(list(short), list(long)))
 
+    @F.pandas_udf("boolean")
+    def may_be(short: pd.Series, long: pd.Series, edits: pd.Series) -> pd.Series:
+        return pd.Series(may_be_part(list(short), list(long), edits.to_numpy()))
+
     def alike_by_parts(pairs: DataFrame) -> DataFrame:
         both = pairs.groupBy("late", "early").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+        both = both.join(bits.toDF("late", "_a", "_n"), "late").join(bits.toDF("early", "_b", "_m"), "early")
+        both = both.where(may_be("_a", "_b", F.floor((1 - F.lit(float(identity))) * F.col("_n") + 1e-9).cast("int"))).drop("_a", "_b", "_n", "_m")
         both = both.join(texts.toDF("late", "short"), "late").join(texts.toDF("early", "long"), "early")
         most = F.floor((1 - F.lit(float(identity))) * F.length("short") + 1e-9).cast("int")
         start = F.greatest(F.col("low") - most, F.lit(0))
@@ -229,6 +260,7 @@ def cluster_sequences(df: DataFrame, identity: float = 0.9, k: int | None = None
 
     reps = new_path(df.sparkSession)
     undecided = postings.where("seeds IS NOT NULL")
+    nodes = nodes.drop("seq", "bits")
     nodes.join(undecided, "key", "left_anti").select("key").write.parquet(reps)
     chosen = df.sparkSession.read.schema("key string").parquet(reps)
     like = alike(pairs(undecided, postings.join(chosen, "key"))).select(F.col("late").alias("key"))

@@ -144,6 +144,29 @@ def test_edits_inside():
     assert C.least_edits([a for a, _ in pairs], [b for _, b in pairs]).tolist() == [edits_inside(*p) for p in pairs]
 
 
+def test_no_true_pair_has_more_words_missing_than_the_edits_spoil():
+    rng, pairs = random.Random(9), []
+    for _ in range(300):
+        s = [rng.choice("ACGTN") for _ in range(rng.choice([3, 5, 20, 90]))]
+        near = list(s)
+        for _ in range(rng.randint(0, len(s) // 4)):
+            at = rng.randrange(len(near))
+            near[at : at + 1] = rng.choice([[], [rng.choice("ACGT")], [near[at], rng.choice("ACGT")]])
+        pairs.append(("".join(s), "GG" + "".join(near) + "TA"))
+    edits = C.least_edits([a for a, _ in pairs], [b for _, b in pairs])
+    bits = [[C.word_bits(p[i]) for p in pairs] for i in (0, 1)]
+    assert C.may_be_part(*bits, edits).all()
+    others = C.may_be_part(bits[0], bits[1][::-1], edits)
+    assert not others.all()
+
+
+def test_short_sequences_are_like_no_other(spark):
+    rows = [(1, "ACGTACGTAA"), (2, "ACG"), (3, "ACG"), (4, "ACGTACGT"), (5, "ACGTACGTA")]
+    df = spark.createDataFrame(rows, "id int, seq string")
+    assert {r.id: r.rep_id for r in C.cluster_sequences(df, 0.9, shortest=9).collect()} == {1: 1, 2: 2, 3: 2, 4: 4, 5: 1}
+    assert {r.rep_id for r in C.cluster_sequences(df, 0.9).collect()} == {1}
+
+
 @pytest.mark.parametrize("seed,identity,block", [(11, 0.9, 2), (12, 0.8, 32), (13, 0.8, 3)])
 def test_no_pair_is_missed(spark, seed, identity, block):
     rows = made(seed, 40)
