@@ -44,7 +44,7 @@ def minimizers(seq: str, k: int, w: int) -> tuple[np.ndarray, np.ndarray]:
 
 #: The largest part that sequences are cut into.
 _PART = 16
-#: Bases of the words whose presence in a sequence is kept as bits.
+#: Bases of the words that are counted before edits are.
 _WORD = 5
 
 
@@ -89,20 +89,25 @@ def word_seeds(seq: str, sizes: Iterable[int]) -> tuple[np.ndarray, np.ndarray,
     return tuple(np.concatenate([np.zeros(0, np.int64), *x]).astype(np.int64) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
 
 
-def word_bits(seq: str) -> bytes:
-    """Which of the words of _WORD bases (letters other than A, C, G and T count as A) occur in seq: 4 ** _WORD bits."""
-    base = _BASE[np.frombuffer(seq.encode("latin-1", "replace"), np.uint8)].astype(np.int64) % 4
-    word, found = np.zeros(max(0, len(base) - _WORD + 1), np.int64), np.zeros(4**_WORD, bool)
+def _word_counts(texts: list[str]) -> np.ndarray:
+    """How often each word of _WORD bases (other letters than A, C, G and T count as A) occurs in each text."""
+    base = _BASE[np.frombuffer("".join(texts).encode("latin-1", "replace"), np.uint8)].astype(np.int64) % 4
+    n = np.array([len(x) for x in texts], np.int64)
+    word = np.zeros(max(0, len(base) - _WORD + 1), np.int64)
     for i in range(_WORD):
         word = word * 4 + base[i : i + len(word)]
-    found[word] = True
-    return np.packbits(found).tobytes()
+    row, place = np.repeat(np.arange(len(n)), n), np.arange(len(base)) - np.repeat(np.cumsum(n) - n, n)
+    whole = np.flatnonzero(place[: len(word)] <= (n - _WORD)[row[: len(word)]])
+    return np.bincount(row[whole] * 4**_WORD + word[whole], minlength=len(n) * 4**_WORD).reshape(len(n), -1)
 
 
-def may_be_part(short_bits: list[bytes], long_bits: list[bytes], edits: np.ndarray) -> np.ndarray:
-    """False where so many edits cannot make short a part of long: each edit spoils at most _WORD words, so no more can be missing."""
-    a, b = (np.frombuffer(b"".join(x), np.uint64).reshape(len(x), -1) for x in (short_bits, long_bits))
-    return np.bitwise_count(a & ~b).sum(1, dtype=np.int64) <= _WORD * edits
+def missing_words(short: list[str], long: list[str]) -> np.ndarray:
+    """How many of short's words long lacks.  Each edit that makes short a part of long spoils at most _WORD of them."""
+    out = [np.zeros(0, np.int64)]
+    for at in range(0, len(short), 512):
+        gap = _word_counts(short[at : at + 512]) - _word_counts(long[at : at + 512])
+        out.append(np.maximum(gap, 0, out=gap).sum(1))
+    return np.concatenate(out)
 
 
 def least_edits(short: list[str], long: list[str]) -> np.ndarray:
@@ -112,12 +117,28 @@ def least_edits(short: list[str], long: list[str]) -> np.ndarray:
     words, width = -(-n // 64), np.array([len(x) for x in long])
     order, at = np.lexsort((-width, -words)), 0
     while at < len(order):
-        own = order[at : at + max(1, min(2048, (1 << 20) // int(64 * words[order[at]] + width[order[at]] + 1)))]
+        own = order[at : at + max(1, min(2048, (1 << 23) // int(64 * words[order[at]] + width[order[at]] + 1)))]
         own = own[words[own] == words[own[0]]]
         out[own], at = _myers([short[i] for i in own], [long[i] for i in own]), at + len(own)
     return out
 
 
+def edits_up_to(short: list[str], long: list[str], most: np.ndarray) -> np.ndarray:
+    """least_edits, or more than most where it is more.
+
+    Pairs are ruled out by the words that long lacks, and long ones by blocks of 64 bases: their edits, each wherever it fits
+    best, cannot add up to more than the whole's.
+    """
+    out = most + 1
+    near = np.flatnonzero(missing_words(short, long) <= _WORD * most)
+    blocks = [[x[a : a + 64] for a in range(0, len(x), 64)] if len(x) > 256 else [] for x in (short[i] for i in near)]
+    count = np.array([len(b) for b in blocks], np.int64)
+    parts = least_edits([b for own in blocks for b in own], [long[i] for i, n in zip(near, count) for _ in range(n)])
+    near = near[np.bincount(np.repeat(np.arange(len(count)), count), parts, len(count)) <= most[near]]
+    out[near] = least_edits([short[i] for i in near], [long[i] for i in near])
+    return out
+
+
 def _codes(texts: list[str], width: int) -> np.ndarray:
     """Characters by number from 1 (0: behind the end)."""
     out = np.zeros((len(texts), width), np.uint32)
@@ -188,13 +209,8 @@ def cluster_sequences(df: DataFrame, identity: float = 0.9, k: int | None = None
     if not 0 < identity <= 1:
         raise ValueError("identity is above 0 and at most 1")
     named = df.select("id", F.coalesce("seq", F.lit("")).alias("seq")).withColumn("key", F.md5(F.col("seq").cast("binary")))
-
-    @F.pandas_udf("binary")
-    def bits_of(seq: pd.Series) -> pd.Series:
-        return pd.Series([word_bits(x) for x in seq], dtype=object)
-
-    nodes = written(named.groupBy("key", "seq").agg(F.min("id").alias("rep_id")).withColumn("n", F.length("seq")).withColumn("bits", bits_of("seq")))
-    texts, bits = nodes.select("key", "seq"), nodes.select("key", "bits", "n")
+    nodes = written(named.groupBy("key", "seq").agg(F.min("id").alias("rep_id")).withColumn("n", F.length("seq")))
+    texts = nodes.select("key", "seq")
     least: dict[int, int] = {}  # of each size of parts, the shortest sequence that is cut so
     for (n,) in [] if k else nodes.where(F.col("n") >= shortest).select("n").distinct().orderBy("n").collect():
         least.setdefault(part_size(n, identity), n)
@@ -231,22 +247,16 @@ def cluster_sequences(df: DataFrame, identity: float = 0.9, k: int | None = None
         return both.withColumn("identity", identity_of(F.col("short"), laid, identity)).where("identity IS NOT NULL").drop("short", "long", "shift")
 
     @F.pandas_udf("int")
-    def edits_of(short: pd.Series, long: pd.Series) -> pd.Series:
-        return pd.Series(least_edits(list(short), list(long)))
-
-    @F.pandas_udf("boolean")
-    def may_be(short: pd.Series, long: pd.Series, edits: pd.Series) -> pd.Series:
-        return pd.Series(may_be_part(list(short), list(long), edits.to_numpy()))
+    def edits_of(short: pd.Series, long: pd.Series, most: pd.Series) -> pd.Series:
+        return pd.Series(edits_up_to(list(short), list(long), most.to_numpy()))
 
     def alike_by_parts(pairs: DataFrame) -> DataFrame:
         both = pairs.groupBy("late", "early").agg(F.min("low").alias("low"), F.max("high").alias("high"))
-        both = both.join(bits.toDF("late", "_a", "_n"), "late").join(bits.toDF("early", "_b", "_m"), "early")
-        both = both.where(may_be("_a", "_b", F.floor((1 - F.lit(float(identity))) * F.col("_n") + 1e-9).cast("int"))).drop("_a", "_b", "_n", "_m")
         both = both.join(texts.toDF("late", "short"), "late").join(texts.toDF("early", "long"), "early")
         most = F.floor((1 - F.lit(float(identity))) * F.length("short") + 1e-9).cast("int")
         start = F.greatest(F.col("low") - most, F.lit(0))
         laid = F.substring("long", start + 1, F.col("high") + F.length("short") + most - start)
-        both = both.withColumn("_edits", edits_of("short", laid)).where(F.col("_edits") <= most)
+        both = both.withColumn("_edits", edits_of("short", laid, most)).where(F.col("_edits") <= most)
         return both.select("late", "early", (1 - F.col("_edits") / F.length("short")).alias("identity"))
 
     def alike(pairs: DataFrame) -> DataFrame:
@@ -260,23 +270,26 @@ def cluster_sequences(df: DataFrame, identity: float = 0.9, k: int | None = None
 
     reps = new_path(df.sparkSession)
     undecided = postings.where("seeds IS NOT NULL")
-    nodes = nodes.drop("seq", "bits")
+    nodes = nodes.drop("seq")
     nodes.join(undecided, "key", "left_anti").select("key").write.parquet(reps)
     chosen = df.sparkSession.read.schema("key string").parquet(reps)
-    like = alike(pairs(undecided, postings.join(chosen, "key"))).select(F.col("late").alias("key"))
-    live, place = written(undecided.join(like, "key", "left_anti")), F.dense_rank().over(W.partitionBy("seed").orderBy(F.desc("n"), F.desc("key")))
+    near = [written(alike(pairs(undecided, postings.join(chosen, "key"))))]  # each sequence with each representative that it is like, once
+    live, place = written(undecided.join(near[0].select(F.col("late").alias("key")), "key", "left_anti")), F.dense_rank().over(W.partitionBy("seed").orderBy(F.desc("n"), F.desc("key")))
     while not live.isEmpty():
         top = written(live.withColumn("nth", place).where(F.col("nth") <= block).drop("nth"))
         first = top.where("own").groupBy("key", "seeds").agg(F.count_distinct("seed").alias("c")).where("c = seeds").select("key")
         blocked = alike(pairs(top.join(first, "key"), top)).select(F.col("late").alias("key"))
         new = written(first.join(blocked, "key", "left_anti"))
         new.write.mode("append").parquet(reps)
-        like = alike(pairs(live.join(new, "key", "left_anti"), live.join(new, "key"))).select(F.col("late").alias("key"))
-        live = written(live.join(new.unionByName(like), "key", "left_anti"))
+        chosen = df.sparkSession.read.schema("key string").parquet(reps)
+        near.append(written(alike(pairs(undecided.join(chosen, "key", "left_anti"), postings.join(new, "key")))))
+        live = written(live.join(new.unionByName(near[-1].select(F.col("late").alias("key"))), "key", "left_anti"))
 
     chosen = df.sparkSession.read.schema("key string").parquet(reps)
-    near = alike(pairs(postings.join(chosen, "key", "left_anti"), postings.join(chosen, "key"))).join(nodes.select(F.col("key").alias("early"), "n"), "early")
-    joined = near.groupBy(F.col("late").alias("key")).agg(F.max_by("early", F.struct("identity", "n", "early")).alias("rep"))
+    every_near = near[0]
+    for x in near[1:]:
+        every_near = every_near.unionByName(x)
+    joined = every_near.join(nodes.select(F.col("key").alias("early"), "n"), "early").groupBy(F.col("late").alias("key")).agg(F.max_by("early", F.struct("identity", "n", "early")).alias("rep"))
     of = written(joined.unionByName(chosen.select("key", F.col("key").alias("rep"))))
     numbered = number_rows(nodes.join(chosen, "key").select("key", "n", "rep_id"), [F.col("n"), F.substring("key", 1, 4)], [F.desc("n"), F.desc("key")], "cluster")
     return named.select("id", "key").join(of, "key").join(numbered.select(F.col("key").alias("rep"), "cluster", "rep_id"), "rep").select("id", "cluster", "rep_id")

@@ -144,6 +144,18 @@ def test_edits_inside():
     assert C.least_edits([a for a, _ in pairs], [b for _, b in pairs]).tolist() == [edits_inside(*p) for p in pairs]
 
 
+def test_long_ones_are_ruled_out_by_blocks_only_if_they_are_far():
+    rng, pairs = random.Random(7), []
+    for n in (10, 250, 300, 400, 700):
+        s = "".join(rng.choice("ACGT") for _ in range(n))
+        near = "".join(rng.choice("ACGT") if rng.random() < 0.1 else c for c in s)
+        pairs += [(s, "GG" + near + "AA"), (s, s), (s, "".join(rng.choice("ACGT") for _ in range(n + 50))), (s, "")]
+    short, long = [a for a, _ in pairs], [b for _, b in pairs]
+    most = C.np.array([C.allowed_edits(len(a), 0.9) for a in short])
+    want, got = C.least_edits(short, long), C.edits_up_to(short, long, most)
+    assert (got[want <= most] == want[want <= most]).all() and (got[want > most] > most[want > most]).all()
+
+
 def test_no_true_pair_has_more_words_missing_than_the_edits_spoil():
     rng, pairs = random.Random(9), []
     for _ in range(300):
@@ -154,10 +166,11 @@ def test_no_true_pair_has_more_words_missing_than_the_edits_spoil():
             near[at : at + 1] = rng.choice([[], [rng.choice("ACGT")], [near[at], rng.choice("ACGT")]])
         pairs.append(("".join(s), "GG" + "".join(near) + "TA"))
     edits = C.least_edits([a for a, _ in pairs], [b for _, b in pairs])
-    bits = [[C.word_bits(p[i]) for p in pairs] for i in (0, 1)]
-    assert C.may_be_part(*bits, edits).all()
-    others = C.may_be_part(bits[0], bits[1][::-1], edits)
-    assert not others.all()
+    short, long = [a for a, _ in pairs], [b for _, b in pairs]
+    assert (C.missing_words(short, long) <= 5 * edits).all() and not (C.missing_words(short, long[::-1]) <= 5 * edits).all()
+    words = [[x[i : i + 5].replace("N", "A") for i in range(len(x) - 4)] for x in short[:20] + long[:20]]
+    want = [sum((Counter(a) - Counter(b)).values()) for a, b in zip(words[:20], words[20:])]
+    assert C.missing_words(short[:20], long[:20]).tolist() == want and C.missing_words([], []).tolist() == []
 
 
 def test_short_sequences_are_like_no_other(spark):
