@@ -33,15 +33,15 @@ def at_least(df: DataFrame, column: str, lo: int, hi: int, strict: bool = False,
     return both.select(*by, F.col("v").alias("k"), running.alias("rows"))
 
 
-def number_rows(df: DataFrame, parts: list[Column], order: list[Column], name: str = "number") -> DataFrame:
-    """Number all rows from 1 in a total order.  parts: expressions that follow the order and split it into ranges.
+def number_rows(df: DataFrame, parts: list[Column], order: list[Column], name: str = "number", ascending: bool = False) -> DataFrame:
+    """Number all rows from 1 in a total order.  parts: expressions that follow the order, falling or ascending, and split it into ranges.
 
     Ranges are counted, their offsets come from the counts, and rows are numbered within their range.
     """
     names = [f"_part{i}" for i in range(len(parts))]
     keyed = df.select("*", *[p.alias(n) for n, p in zip(names, parts)])
     counts = keyed.groupBy(*names).agg(F.count("*").alias("_c"))
-    before = F.sum("_c").over(W.orderBy(*[F.desc(n) for n in names])) - F.col("_c")
+    before = F.sum("_c").over(W.orderBy(*[F.asc(n) if ascending else F.desc(n) for n in names])) - F.col("_c")
     offsets = counts.withColumn("_before", before).drop("_c")
     within = F.row_number().over(W.partitionBy(*names).orderBy(*order))
     return keyed.withColumn("_within", within).join(offsets, names).withColumn(name, F.col("_before") + F.col("_within")).drop(*names, "_within", "_before")

@@ -14,6 +14,7 @@ from ..operators import reads as R
 from ..operators import samples as P
 from ..operators import sites as V
 from ..operators import unique as U
+from ..functions.ranking import number_rows
 from ..sources import formats as X
 from ..sources.bindings import Tables, with_tables
 from ..sources.shared import new_path
@@ -79,6 +80,20 @@ q("uq_13_pooled_curve", lambda t: U.coverage_curve(U.unique_pooled(R.pair_reads(
 
 # Reads
 q("rd_1_normalise_names", lambda t: R.normalise_names(t.mates), "mates", "SELECT sample, mate, ordinal, CASE mate WHEN 1 THEN regexp_replace(name, '_1$', '/1') ELSE regexp_replace(name, '_2$', '/2') END AS name, seq FROM mates")
+
+
+def _barcodes(t: Tables) -> DataFrame:
+    """A barcode of 6 (even numbers: 5) bases for each supplier."""
+    code = "concat(" + ", ".join(f"substring('ACGT', CAST(s_suppkey * 1237 div {4**i} % 4 AS INT) + 1, 1)" for i in range(6)) + ")"
+    return t.read("supplier").selectExpr("concat('S', s_suppkey) AS sample", f"substring({code}, 1, CAST(6 - (1 - s_suppkey % 2) AS INT)) AS barcode")
+
+
+_CODE = " || ".join(f"substr('ACGT', s_suppkey * 1237 // {4**i} % 4 + 1, 1)" for i in range(6))
+q("rd_2_demultiplex", lambda t: R.demultiplex(t.dna.drop("sample"), _barcodes(t), 1), "dna",
+  f"""WITH bc AS (SELECT 'S' || s_suppkey AS sample, substr({_CODE}, 1, 6 - (1 - s_suppkey % 2)) AS barcode FROM supplier),
+  d AS (SELECT doc_id, line, seq, bc.sample AS owner, length(barcode) AS n, hamming(substr(seq, 1, length(barcode)), barcode) AS dist FROM dna JOIN bc ON length(seq) >= length(barcode)),
+  k AS (SELECT *, rank() OVER (PARTITION BY doc_id, line ORDER BY dist, n DESC) AS r FROM d WHERE dist <= 1)
+  SELECT doc_id, line, substr(any_value(seq), any_value(n) + 1) AS seq, any_value(owner) AS sample FROM k WHERE r = 1 GROUP BY doc_id, line HAVING count(DISTINCT owner) = 1""")
 q("rd_3_min_length", lambda t: R.min_length(t.mates), "mates", "SELECT max(length(seq)) // 2 AS min_len FROM mates WHERE ordinal = 0")
 q("rd_5_pair_reads", lambda t: R.pair_reads(t.mates), "pairs", "SELECT * FROM pairs")
 q("rd_6_drop_ambiguous", lambda t: R.drop_ambiguous(R.pair_reads(t.mates), "the"), "pairs", "SELECT * FROM pairs WHERE NOT contains(fwd, 'the') AND NOT contains(rev, 'the')")
@@ -92,22 +107,27 @@ q("rd_12_pad_contigs", lambda t: R.pad_contigs(t.dna), "dna", r"SELECT sample, d
 q("rd_13_relabel_contigs", lambda t: R.relabel_contigs(t.contigs, "ref_"), "contigs", "SELECT 'ref_' || contig_no AS contig, contig_no, seq FROM contigs")
 q("rd_14_count_matching", lambda t: R.count_matching(t.dna, "^[AC].*A.*T"), "dna", "SELECT count(CASE WHEN regexp_matches(seq, '^[AC].*A.*T') THEN 1 END) AS matching, count(*) AS contigs FROM dna")
 q("rd_15_natural_order", lambda t: t.contigs.select("contig", *[k.alias(n) for k, n in zip(R.natural_key(F.col("contig")), ("text", "number"))]), "contigs", "SELECT contig, 'ctg_' AS text, contig_no AS number FROM contigs")
+q("rd_15_natural_positions", lambda t: number_rows(t.contigs.select("contig"), [R.natural_key(F.col("contig"))[0], F.floor(R.natural_key(F.col("contig"))[1] / 1000)], [*R.natural_key(F.col("contig")), F.col("contig")], "position", ascending=True), "contigs",
+  "SELECT contig, row_number() OVER (ORDER BY contig_no) AS position FROM contigs")
+q("rd_15_natural_sort", lambda t: R.natural_order(t.contigs).select("contig", "seq"), "contigs", "SELECT contig, seq FROM contigs ORDER BY contig_no")
 q("rd_16_split_by_length", lambda t: R.cut_fixed(R.split_by_length(t.reads, 50, 60), 20, 31), "reads", "SELECT sample, doc_id, line, substr(seq, 1, 20) AS fwd, substr(seq, 31) AS rev FROM reads WHERE length(seq) BETWEEN 50 AND 60")
 q("rd_17_mask_range", lambda t: R.mask_range(t.reads, 96, 105), "reads", "SELECT sample, doc_id, line, substr(seq, 1, 95) || repeat('N', greatest(0, least(length(seq), 105) - 95)) || substr(seq, 106) AS seq FROM reads")
 
 # Sites and genotypes
-_STATS = "st AS (SELECT chrom, pos, count(*) AS called, CAST(sum(a1 + a2) AS BIGINT) AS alt, 2 * count(*) AS copies, CAST(sum(dp) AS BIGINT) AS dp_sum, count(*) AS dp_n FROM calls GROUP BY chrom, pos)"
+_STATS = """sc AS (SELECT chrom, pos, CAST(sum(n) AS BIGINT) AS copies, list_reverse_sort(list(n)) AS ns, coalesce(sum(n) FILTER (allele = 1), 0) AS c1, coalesce(sum(n) FILTER (allele = 2), 0) AS c2 FROM counts GROUP BY chrom, pos),
+  st AS (SELECT c.*, copies, coalesce(ns[2], 0) AS second, c1 >= 0.001 * copies AND c1 <= 0.9999 * copies AND (alt2 IS NULL OR c2 >= 0.001 * copies AND c2 <= 0.9999 * copies) AS shared
+    FROM (SELECT chrom, pos, count(*) AS called, CAST(sum(dp) AS BIGINT) AS dp_sum, count(*) AS dp_n FROM calls GROUP BY chrom, pos) AS c JOIN sc USING (chrom, pos) JOIN sites USING (chrom, pos))"""
 _CALLS = "SELECT calls.* FROM calls SEMI JOIN g USING (chrom, pos)"
 
 
 def _calls(name: str, plan: Callable[[Tables], DataFrame], where: str) -> None:
-    q(name, plan, "calls popmap", f"WITH {_STATS}, g AS (SELECT chrom, pos FROM st WHERE {where}) {_CALLS}")
+    q(name, plan, "counts sites popmap", f"WITH {_STATS}, g AS (SELECT chrom, pos FROM st WHERE {where}) {_CALLS}")
 
 
 _calls("v_1_max_missing", lambda t: V.max_missing(t.calls, 0.5, n_samples(t)), "called >= 0.5 * (SELECT count(*) FROM popmap)")
-_calls("v_2_mac", lambda t: V.mac(t.calls, 3), "least(alt, copies - alt) >= 3")
-_calls("v_3_maf", lambda t: V.maf(t.calls, 0.05), "least(alt, copies - alt) >= 0.05 * copies")
-_calls("v_4_non_ref_af", lambda t: V.non_ref_af(t.calls), "alt >= 0.001 * copies AND alt <= 0.9999 * copies")
+_calls("v_2_mac", lambda t: V.mac(t.calls, 3), "second >= 3")
+_calls("v_3_maf", lambda t: V.maf(t.calls, 0.05), "second >= 0.05 * copies")
+_calls("v_4_non_ref_af", lambda t: V.non_ref_af(t.calls, sites=t.sites), "shared")
 _calls("v_7_mean_depth", lambda t: V.mean_depth(t.calls, 15, 18), "dp_sum >= 15 * dp_n AND dp_sum <= 18 * dp_n")
 _calls("v_26_filter_max_mean_depth", lambda t: V.filter_max_mean_depth(t.calls, 16), "dp_sum <= 16 * dp_n")
 _SITE = "chrom, pos, pk, ref, alt1 || CASE WHEN alt2 IS NULL THEN '' ELSE ',' || alt2 END AS alts, qual, {} AS filter, dp, ab, saf, sar, srf, srr, mqm, mqmr, paired, pairedr"
@@ -144,6 +164,10 @@ q("v_11_keep_positions", lambda t: V.keep_positions(t.calls, t.sites.where("qual
 q("v_11_exclude_positions", lambda t: V.exclude_positions(t.calls, t.sites.where("qual >= 50")), "calls sites", f"WITH g AS (SELECT chrom, pos FROM sites WHERE qual < 50) {_CALLS}")
 q("v_13_filter_alleles", lambda t: listed(V.filter_alleles(t.sites, lambda a: a.isin("A", "C"))).select("chrom", "pos", "alts"), "sites",
   "SELECT chrom, pos, concat_ws(',', CASE WHEN alt1 IN ('A', 'C') THEN alt1 END, CASE WHEN alt2 IN ('A', 'C') THEN alt2 END) AS alts FROM sites WHERE alt1 IN ('A', 'C') OR coalesce(alt2, '') IN ('A', 'C')")
+q("v_13_filter_alleles_calls", lambda t: V.filter_alleles(t.sites, lambda a: a.isin("A", "C"), calls=t.calls)[1].select("chrom", "pos", "sample", "gt"), "sites",
+  """WITH k AS (SELECT chrom, pos, coalesce(alt1 IN ('A', 'C'), false) AS k1, coalesce(alt2 IN ('A', 'C'), false) AS k2 FROM sites),
+  n AS (SELECT c.chrom, c.pos, sample, [CASE WHEN a = 0 THEN 0 WHEN a = 1 AND k1 THEN 1 WHEN a = 2 AND k2 THEN 1 + k1::INT END FOR a IN [a1, a2]] AS g FROM calls AS c JOIN k USING (chrom, pos) WHERE k1 OR k2)
+  SELECT chrom, pos, sample, g[1] || '/' || g[2] AS gt FROM n""")
 q("v_14_filter_genotypes", lambda t: V.filter_genotypes(t.calls, "ro > 3 OR ao > 10").select("chrom", "pos", "sample", "gt"), "calls", "SELECT chrom, pos, sample, CASE WHEN ro > 3 OR ao > 10 THEN gt END AS gt FROM calls")
 _LOW = "lim AS (SELECT floor(avg(dp)) + floor(stddev_pop(dp)) AS sd, floor(avg(dp) + 3 * sqrt(avg(dp))) AS s3, floor(avg(dp)) AS m FROM sites)"
 for _mode, _where in (("sd", "dp > sd AND qual < 2 * dp"), ("sqrt3", "dp > s3 AND qual < 2 * dp"), ("mean", "dp > m AND qual < dp")):
@@ -159,9 +183,11 @@ _CHAIN = f"""WITH {_LOW}, s1 AS (SELECT * FROM sites WHERE {_AB}), s2 AS (SELECT
 _NAMES = ["all", "allele balance", "quality by depth", "mapping quality", "strand", "pairing", "low quality at high depth", "mean depth", "depth within contig"]
 _REPORT = " UNION ALL ".join(f"SELECT CAST({i} AS BIGINT) AS step, '{n}' AS filter, count(*) AS sites FROM {'sites' if i == 0 else f's{i}'} HAVING count(*) > 0" for i, n in enumerate(_NAMES))
 q("v_28_filter_chain", lambda t: V.filter_chain(t.sites, t.calls, overlap=True, cutoff=17)[0].select("chrom", "pos", "qual", "dp"), "calls sites", _CHAIN.format(strand="true") + "SELECT chrom, pos, qual, dp FROM s8")
-q("v_28_filter_chain_report", lambda t: V.filter_chain(t.sites, t.calls, cutoff=17)[1], "calls sites", _CHAIN.format(strand=_STRAND) + _REPORT)
-q("v_29_final_filter", lambda t: V.final_filter(t.sites, t.calls, n_samples(t) // 2).select("chrom", "pos", "qual"), "calls sites popmap",
-  f"WITH {_STATS} SELECT chrom, pos, qual FROM sites SEMI JOIN (SELECT * FROM st WHERE called >= 0.9 * (SELECT count(*) // 2 FROM popmap) AND alt >= 0.001 * copies AND alt <= 0.9999 * copies AND least(alt, copies - alt) >= 1) AS g USING (chrom, pos) WHERE qual >= 30")
+q("v_28_filter_chain_report", lambda t: V.filter_chain(t.sites, t.calls, cutoff=17)[2], "calls sites", _CHAIN.format(strand=_STRAND) + _REPORT)
+q("v_28_filter_chain_calls", lambda t: V.filter_chain(t.sites, t.calls, overlap=True, cutoff=17)[1].select("chrom", "pos", "sample", "gt", "dp"), "calls sites",
+  _CHAIN.format(strand="true") + "SELECT c.chrom, c.pos, sample, CASE WHEN ro > 0 OR ao > 0 THEN gt END AS gt, c.dp FROM calls AS c SEMI JOIN s8 ON c.chrom = s8.chrom AND c.pos = s8.pos")
+q("v_29_final_filter", lambda t: V.final_filter(t.sites, t.calls, n_samples(t) // 2).select("chrom", "pos", "qual"), "counts sites popmap",
+  f"WITH {_STATS} SELECT chrom, pos, qual FROM sites SEMI JOIN (SELECT * FROM st WHERE called >= 0.9 * (SELECT count(*) // 2 FROM popmap) AND shared AND second >= 1) AS g USING (chrom, pos) WHERE qual >= 30")
 q("v_30_site_depth", lambda t: V.site_depth(t.calls), "sites", "SELECT chrom, pos, dp FROM sites")
 q("v_30_site_quality", lambda t: V.site_quality(t.sites), "sites", "SELECT chrom, pos, qual FROM sites")
 q("v_31_allele_counts", lambda t: V.allele_counts(t.calls), "calls", "SELECT chrom, pos, allele, count(*) AS n FROM (SELECT chrom, pos, a1 AS allele FROM calls UNION ALL SELECT chrom, pos, a2 FROM calls) GROUP BY ALL")
@@ -199,17 +225,17 @@ q("v_45_keep_scored", lambda t: V.keep_scored(V.tag_sites(t.sites, "sar = 0", "P
   "SELECT chrom, pos FROM sites WHERE pk % 2 = 0 AND sar = 0")
 
 # Individuals and populations
-_IMISS = "i AS (SELECT sample, (SELECT count(*) FROM sites) AS n_data, (SELECT count(*) FROM sites) - count(CASE WHEN dp >= 3 THEN 1 END) AS n_miss FROM calls GROUP BY sample)"
+_IMISS = "i AS (SELECT p.sample, (SELECT count(*) FROM sites) AS n_data, (SELECT count(*) FROM sites) - count(CASE WHEN dp >= 3 THEN 1 END) AS n_miss FROM popmap AS p LEFT JOIN calls AS c ON p.sample = c.sample GROUP BY p.sample)"
 
 
 def _masked(t: Tables) -> DataFrame:
     return V.min_depth(t.calls, 3)
 
 
-q("p_1_missing_by_individual", lambda t: rounded(P.missing_by_individual(_masked(t), n_sites(t)), "f_miss"), "sites", f"WITH {_IMISS} SELECT *, round(n_miss / n_data, 6) AS f_miss FROM i")
+q("p_1_missing_by_individual", lambda t: rounded(P.missing_by_individual(_masked(t), t.popmap, n_sites(t)), "f_miss"), "sites popmap", f"WITH {_IMISS} SELECT *, round(n_miss / n_data, 6) AS f_miss FROM i")
 _CUT = "cut AS (SELECT n_miss AS c FROM (SELECT n_miss, row_number() OVER (ORDER BY n_miss DESC) - 1 AS k, count(*) OVER () AS n FROM i) WHERE k = CAST(floor(0.14 * (n - 1)) AS BIGINT))"
-q("p_2_missing_cutoff", lambda t: rounded(P.missing_cutoff(P.missing_by_individual(_masked(t), n_sites(t))), "cutoff"), "sites", f"WITH {_IMISS}, {_CUT} SELECT round(c / (SELECT count(*) FROM sites), 6) AS cutoff FROM cut")
-q("p_2_remove_missing_individuals", lambda t: P.remove_missing_individuals(_masked(t), n_sites(t)).groupBy("sample").agg(F.count("*").alias("n")), "sites",
+q("p_2_missing_cutoff", lambda t: rounded(P.missing_cutoff(P.missing_by_individual(_masked(t), t.popmap, n_sites(t))), "cutoff"), "sites popmap", f"WITH {_IMISS}, {_CUT} SELECT round(c / (SELECT count(*) FROM sites), 6) AS cutoff FROM cut")
+q("p_2_remove_missing_individuals", lambda t: P.remove_missing_individuals(_masked(t), t.popmap, n_sites(t)).groupBy("sample").agg(F.count("*").alias("n")), "sites popmap",
   f"WITH {_IMISS}, {_CUT} SELECT sample, count(*) AS n FROM calls WHERE sample NOT IN (SELECT sample FROM i, cut WHERE n_miss > c) GROUP BY sample")
 q("p_3_remove_low_depth_individuals", lambda t: P.remove_low_depth_individuals(t.calls).groupBy("sample").agg(F.count("*").alias("n")), "calls",
   """WITH d AS (SELECT sample, avg(dp) AS x FROM calls GROUP BY sample), k AS (SELECT x, row_number() OVER (ORDER BY x DESC) - 1 AS i, count(*) OVER () AS n FROM d)
@@ -220,11 +246,17 @@ _MSP = "m AS (SELECT s.chrom, s.pos, z.pop, z.n AS n_data, z.n - count(CASE WHEN
 q("p_5_missing_by_site_pop", lambda t: rounded(P.missing_by_site_pop(_masked(t), t.popmap), "f_miss"), "sites popmap", f"WITH {_MSP} SELECT *, round(n_miss / n_data, 6) AS f_miss FROM m")
 q("p_6_filter_missing_by_pop", lambda t: P.filter_missing_by_pop(_masked(t), t.popmap, 0.6, 2).select("chrom", "pos", "sample"), "sites popmap",
   f"WITH {_MSP}, b AS (SELECT chrom, pos FROM m WHERE n_miss / n_data > 0.6 GROUP BY chrom, pos HAVING count(*) >= 2) SELECT chrom, pos, sample FROM calls ANTI JOIN b USING (chrom, pos)")
-q("p_7_genotype_counts", lambda t: P.genotype_counts(t.calls.drop("pop"), t.popmap), "calls",
-  "SELECT chrom, pos, pop, count(CASE WHEN a1 + a2 = 0 THEN 1 END) AS hom1, count(CASE WHEN a1 + a2 = 1 THEN 1 END) AS het, count(CASE WHEN a1 + a2 = 2 THEN 1 END) AS hom2 FROM calls GROUP BY chrom, pos, pop")
-q("p_7_hwe", lambda t: rounded(P.hwe(t.calls.drop("pop"), t.popmap), "p", "exp_het"))
-q("p_8_filter_hwe", lambda t: P.filter_hwe(t.calls.drop("pop"), t.popmap, p=0.2)[1])
-_DUP = "d AS (SELECT a.pk, a.chrom, a.pos FROM calls AS a JOIN calls AS b ON a.pk = b.pk AND b.sid = a.sid + 20 WHERE a.dp >= 5 AND b.dp >= 5 AND {})"
+_GC = "g AS (SELECT chrom, pos, pop, count(CASE WHEN a1 + a2 = 0 THEN 1 END) AS hom1, count(CASE WHEN a1 + a2 = 1 THEN 1 END) AS het, count(CASE WHEN a1 + a2 = 2 THEN 1 END) AS hom2 FROM calls WHERE a1 < 2 AND a2 < 2 GROUP BY chrom, pos, pop)"
+q("p_7_genotype_counts", lambda t: P.genotype_counts(t.calls.drop("pop"), t.popmap), "calls", f"WITH {_GC} SELECT * FROM g")
+_HWE = f"""{_GC}, t AS (SELECT DISTINCT hom1, het, hom2, hom1 + het + hom2 AS n, 2 * least(hom1, hom2) + het AS r FROM g),
+  l AS (SELECT *, h * ln(2) - lgamma(h + 1) - lgamma((r - h) // 2 + 1) - lgamma(n - h - (r - h) // 2 + 1) AS w FROM (SELECT *, unnest(range(r % 2, least(r, 2 * n - r) + 1, 2)) AS h FROM t)),
+  m AS (SELECT *, max(w) OVER k AS top, max(CASE WHEN h = het THEN w END) OVER k AS own FROM l WINDOW k AS (PARTITION BY hom1, het, hom2)),
+  e AS (SELECT hom1, het, hom2, least(1, sum(exp(w - top)) FILTER (exp(w - top) <= exp(own - top) * (1 + 1e-9)) / sum(exp(w - top))) AS p FROM m GROUP BY hom1, het, hom2)"""
+q("p_7_hwe", lambda t: rounded(P.hwe(t.calls.drop("pop"), t.popmap), "p", "exp_het"), "calls",
+  f"WITH {_HWE} SELECT g.*, round(p, 6) AS p, round((2 * hom1 + het) * (2 * hom2 + het) / (2 * (hom1 + het + hom2)), 6) AS exp_het FROM g JOIN e USING (hom1, het, hom2)")
+q("p_8_filter_hwe", lambda t: P.filter_hwe(t.calls.drop("pop"), t.popmap, p=0.2)[1], "calls popmap",
+  f"WITH {_HWE} SELECT chrom, pos, count(CASE WHEN p < 0.2 THEN 1 END) AS low FROM g JOIN e USING (hom1, het, hom2) GROUP BY chrom, pos HAVING count(CASE WHEN p < 0.2 THEN 1 END) > 0.25 * (SELECT count(DISTINCT pop) FROM popmap)")
+_DUP = "d AS (SELECT a.pk, a.chrom, a.pos FROM calls AS a JOIN calls AS b ON a.pk = b.pk AND b.sid = a.sid + 20 WHERE a.dp >= 5 AND b.dp >= 5 AND ({}))"
 
 
 def _twins(t: Tables) -> DataFrame:
@@ -232,24 +264,23 @@ def _twins(t: Tables) -> DataFrame:
 
 
 q("p_9_duplicate_mismatches", lambda t: P.duplicate_mismatches(t.calls, _twins(t)), "calls", f"WITH {_DUP.format('a.gt <> b.gt')} SELECT chrom, pos, count(*) AS pairs FROM d GROUP BY chrom, pos")
-q("p_9_duplicate_mismatches_unordered", lambda t: P.duplicate_mismatches(t.calls, _twins(t), unordered=True), "calls", f"WITH {_DUP.format('a.a1 + a.a2 <> b.a1 + b.a2')} SELECT chrom, pos, count(*) AS pairs FROM d GROUP BY chrom, pos")
-_N = ", ".join(f"count(CASE WHEN dp = {d}{' AND a1 = a2' if d > 1 else ''} THEN 1 END) AS n{d}" for d in range(1, 6))
+q("p_9_duplicate_mismatches_unordered", lambda t: P.duplicate_mismatches(t.calls, _twins(t), unordered=True), "calls", f"WITH {_DUP.format('least(a.a1, a.a2) <> least(b.a1, b.a2) OR greatest(a.a1, a.a2) <> greatest(b.a1, b.a2)')} SELECT chrom, pos, count(*) AS pairs FROM d GROUP BY chrom, pos")
+_BARE = "left(CAST(ro AS VARCHAR), 1) = '0' OR starts_with(CAST(ro AS VARCHAR), CAST(dp AS VARCHAR))"
+_N = ", ".join(f"count(CASE WHEN a1 < 2 AND a2 < 2 AND dp = {d}{['', '', f' AND (a1 = a2 OR {_BARE})', f' AND (a1 = a2 OR {_BARE})', ' AND a1 = a2', ' AND a1 = a2'][d]} THEN 1 END) AS n{d}" for d in range(1, 6))
 q("p_10_error_count", lambda t: rounded(P.error_count(t.calls, n_sites(t), n_samples(t)), "low_share", "high_share", "depth_share"), "sites popmap",
   f"""WITH c AS (SELECT {_N}, count(*) AS called FROM calls) SELECT *, (SELECT count(*) FROM sites) * (SELECT count(*) FROM popmap) AS genotypes, round((n1 / 2 + n2 / 4 + n3 / 8 + n4 / 16 + n5 / 32) / called, 6) AS low_share,
   round((n1 * 0.75 + n2 * 0.5625 + n3 * 0.42 + n4 * 0.316 + n5 * 0.237) / called, 6) AS high_share, round((n1 + n2 + n3 + n4 + n5) / called, 6) AS depth_share FROM c""")
 q("p_11_genotype_totals", lambda t: P.genotype_totals(_masked(t), n_sites(t), n_samples(t)), "sites popmap",
   "WITH g AS (SELECT (SELECT count(*) FROM sites) * (SELECT count(*) FROM popmap) AS n, (SELECT count(*) FROM calls) AS c) SELECT n AS genotypes, n - c AS missing, c AS called FROM g")
-_PI = "1 - CAST(c * (c - 1) + (n - c) * (n - c - 1) AS DOUBLE) / (n * (n - 1))"
-q("p_12_site_pi", lambda t: rounded(P.site_pi(t.calls), "pi"), "calls", f"SELECT chrom, pos, round({_PI}, 6) AS pi FROM (SELECT chrom, pos, CAST(sum(a1 + a2) AS BIGINT) AS c, 2 * count(*) AS n FROM calls GROUP BY chrom, pos)")
-q("p_13_resample_pi", lambda t: rounded(P.resample_pi(t.calls.drop("pop"), t.popmap, rounds=20, n=5), "pi"), "calls popmap",
-  f"""WITH d AS (SELECT sample, pop, round FROM (SELECT *, row_number() OVER (PARTITION BY pop, round ORDER BY md5('1|' || round || '|' || sample), sample) AS k FROM popmap, range(1, 21) AS r(round)) WHERE k <= 5),
-  s AS (SELECT d.pop, round, chrom, pos, CAST(sum(a1 + a2) AS BIGINT) AS c, 2 * count(*) AS n FROM calls JOIN d ON calls.sample = d.sample GROUP BY d.pop, round, chrom, pos)
-  SELECT pop, round, round(avg({_PI}), 6) AS pi FROM s GROUP BY pop, round""")
-q("p_13_resample_pi_whole", lambda t: rounded(P.resample_pi(t.calls.drop("pop"), t.popmap, rounds=100, n=5), "pi"), "calls popmap",
+_PI = "1 - CAST(sum(n * (n - 1)) AS DOUBLE) / (sum(n) * (sum(n) - 1))"
+q("p_12_site_pi", lambda t: rounded(P.site_pi(t.calls), "pi"), "counts", f"SELECT chrom, pos, round({_PI}, 6) AS pi FROM counts GROUP BY chrom, pos")
+q("p_13_resample_pi", lambda t: rounded(P.resample_pi(t.calls.drop("pop"), t.popmap, rounds=100, n=5), "pi"), "calls popmap",
   f"""WITH d AS (SELECT sample, pop, round FROM (SELECT *, row_number() OVER (PARTITION BY pop, round ORDER BY md5('1|' || round || '|' || sample), sample) AS k FROM popmap, range(1, 101) AS r(round)) WHERE k <= 5),
-  s AS (SELECT d.pop, round, chrom, pos, CAST(sum(a1 + a2) AS BIGINT) AS c, 2 * count(*) AS n FROM calls JOIN d ON calls.sample = d.sample GROUP BY d.pop, round, chrom, pos)
-  SELECT pop, round, round(avg({_PI}), 6) AS pi FROM s GROUP BY pop, round""")
+  g AS (SELECT d.pop, round, pk, a1, a2 FROM calls JOIN d ON calls.sample = d.sample),
+  c AS (SELECT pop, round, pk, allele, count(*) AS n FROM (SELECT pop, round, pk, a1 AS allele FROM g UNION ALL SELECT pop, round, pk, a2 FROM g) GROUP BY pop, round, pk, allele)
+  SELECT pop, round, round(avg(pi), 6) AS pi FROM (SELECT pop, round, pk, {_PI} AS pi FROM c GROUP BY pop, round, pk) GROUP BY pop, round""")
 q("p_14_samples_of_pop", lambda t: P.samples_of_pop(t.popmap), "popmap", "SELECT pop, string_agg(sample, ',' ORDER BY sample) AS samples, count(*) AS n FROM popmap GROUP BY pop")
+q("io_7_read_popmap", lambda t: X.read_popmap(t.spark, _again(t, lambda p: t.popmap.select(F.concat_ws("\t", "sample", "pop")).write.text(p))).select("sample", "pop"), "popmap", "SELECT * FROM popmap")
 q("io_7_popmap_from_names", lambda t: P.popmap_from_names(t.popmap), "popmap", "SELECT * FROM popmap")
 q("io_8_check_sample_names", lambda t: P.check_sample_names(t.reads.select("sample").distinct()), "reads", "SELECT DISTINCT sample FROM reads WHERE NOT contains(sample, '_')")
 q("io_10_combine_calls", lambda t: P.combine_calls(*[t.calls.where(f"sid % 2 = {i}").withColumn("gt", F.when(F.col("dp") < 2, ".").otherwise(F.col("gt"))) for i in (0, 1)]).select("chrom", "pos", "sample", "gt"), "calls",
@@ -269,7 +300,7 @@ def _merged(t: Tables) -> DataFrame:
 
 
 def _depths(t: Tables) -> DataFrame:
-    return I.total_coverage(I.coverage_by_interval(_merged(t), I.to_intervals(t.aln)))
+    return I.interval_coverage(_merged(t), I.to_intervals(t.aln))
 
 
 q("iv_4_merge_intervals", _merged, "merged", f"SELECT contig, {_SE} FROM merged")
@@ -277,11 +308,7 @@ q("iv_4_merge_per_sample", lambda t: I.merge_intervals(I.to_intervals(t.aln), ["
   """SELECT sample, contig, min(s) AS start, max(e) AS "end" FROM (SELECT *, sum(CASE WHEN m IS NULL OR s > m THEN 1 ELSE 0 END) OVER (PARTITION BY sample, contig ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS g
   FROM (SELECT *, max(e) OVER (PARTITION BY sample, contig ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m FROM iv)) GROUP BY sample, contig, g""")
 q("iv_5_order_by_reference", lambda t: I.order_by_reference(_merged(t), t.contigs).select("contig", "start", "end", "contig_no"), "merged contigs", f"SELECT contig, {_SE}, contig_no FROM merged JOIN contigs USING (contig)")
-q("iv_6_coverage_by_interval", lambda t: I.coverage_by_interval(_merged(t).where("contig LIKE 'ctg_1%'"), I.to_intervals(t.aln)), "merged iv",
-  f"""WITH e AS (SELECT m.contig, m.s, m.e, p.sample FROM merged AS m, (SELECT DISTINCT sample FROM iv) AS p WHERE m.contig LIKE 'ctg_1%'),
-  c AS (SELECT m.contig, m.s, m.e, iv.sample, count(*) AS n FROM merged AS m JOIN iv ON m.contig = iv.contig AND iv.s < m.e AND m.s < iv.e GROUP BY ALL)
-  SELECT e.contig, e.s AS start, e.e AS "end", e.sample, coalesce(n, 0) AS depth FROM e LEFT JOIN c ON e.contig = c.contig AND e.s = c.s AND e.e = c.e AND e.sample = c.sample""")
-q("iv_6_coverage_by_interval_whole", lambda t: I.coverage_by_interval(_merged(t), I.to_intervals(t.aln)), "merged iv",
+q("iv_6_coverage_by_interval", lambda t: I.coverage_by_interval(_merged(t), I.to_intervals(t.aln)), "merged iv",
   """WITH e AS (SELECT m.contig, m.s, m.e, p.sample FROM merged AS m, (SELECT DISTINCT sample FROM iv) AS p),
   c AS (SELECT m.contig, m.s, m.e, iv.sample, count(*) AS n FROM merged AS m JOIN iv ON m.contig = iv.contig AND iv.s < m.e AND m.s < iv.e GROUP BY ALL)
   SELECT e.contig, e.s AS start, e.e AS "end", e.sample, coalesce(n, 0) AS depth FROM e LEFT JOIN c ON e.contig = c.contig AND e.s = c.s AND e.e = c.e AND e.sample = c.sample""")
@@ -293,14 +320,13 @@ q("iv_9_target_load", lambda t: I.target_load(_depths(t), I.depth_ceiling(_depth
 q("iv_10_split_by_depth_high", lambda t: I.split_by_depth(_depths(t), 3)[0], "cov", f"SELECT contig, {_SE}, depth FROM cov WHERE depth > 3")
 q("iv_10_split_by_depth_low", lambda t: I.split_by_depth(_depths(t), 3)[1], "cov", f"SELECT contig, {_SE}, depth FROM cov WHERE depth <= 3")
 q("iv_11_make_windows", lambda t: I.make_windows(_depths(t), 25, 26), "cov", 'SELECT contig, w AS start, least(w + 25, e) AS "end", depth FROM (SELECT contig, e, depth, unnest(range(s, e, 26)) AS w FROM cov)')
-q("iv_12_intersect_intervals", lambda t: I.intersect_intervals(I.to_intervals(t.aln).where("sample = 'P1_1'"), _merged(t)), "merged iv",
-  "SELECT sample, iv.contig, greatest(iv.s, m.s) AS start, least(iv.e, m.e) AS \"end\" FROM iv JOIN merged AS m ON iv.contig = m.contig AND iv.s < m.e AND m.s < iv.e WHERE sample = 'P1_1'")
-q("iv_12_intersect_intervals_whole", lambda t: I.intersect_intervals(I.to_intervals(t.aln), _merged(t)), "merged iv",
+q("iv_12_intersect_intervals", lambda t: I.intersect_intervals(I.to_intervals(t.aln), _merged(t)), "merged iv",
   "SELECT sample, iv.contig, greatest(iv.s, m.s) AS start, least(iv.e, m.e) AS \"end\" FROM iv JOIN merged AS m ON iv.contig = m.contig AND iv.s < m.e AND m.s < iv.e")
 q("iv_13_split_coverage", lambda t: I.split_coverage(_depths(t), 3, 25), "cov",
   f'SELECT contig, w AS start, least(w + 25, e) AS "end", depth FROM (SELECT contig, e, depth, unnest(range(s, e, 26)) AS w FROM cov WHERE depth > 3) UNION ALL SELECT contig, {_SE}, depth FROM cov WHERE depth <= 3')
 q("iv_14_balance_chunks", lambda t: I.balance_chunks(_depths(t), 5000), "cov",
   f"SELECT contig, {_SE}, depth, (e - s) * depth AS load, CAST((sum((e - s) * depth) OVER (ORDER BY CAST(substr(contig, 5) AS BIGINT), s, e ROWS UNBOUNDED PRECEDING) - (e - s) * depth) // 5000 AS BIGINT) AS chunk FROM cov")
+q("iv_14_fold_chunks", lambda t: I.fold_chunks(_depths(t), 5000, 300))  # a walk row by row: tests hold it against plain Python
 q("iv_15_merge_alignments", lambda t: I.merge_alignments(*[t.aln.where(f"flag & 16 = {x}") for x in (0, 16)]).select("sample", "contig", "pos", "flag"), "aln", "SELECT sample, contig, pos, flag FROM aln")
 _FLAGS = "f AS (SELECT sample, count(CASE WHEN flag & 4 = 0 THEN 1 END) AS mapped, count(CASE WHEN flag & 4 = 0 AND flag & 2 <> 0 THEN 1 END) AS proper, count(CASE WHEN flag & 4 = 0 AND rnext <> '=' AND mapq >= 5 THEN 1 END) AS mismatched FROM aln GROUP BY sample)"
 q("mp_1_flag_stats", lambda t: M.flag_stats(t.aln), "aln", f"WITH {_FLAGS} SELECT * FROM f")
@@ -315,16 +341,17 @@ q("mp_5_coverage_histogram", lambda t: M.coverage_histogram(M.contig_counts(t.al
 q("mp_6_pick_samples", lambda t: M.pick_samples(t.reads.groupBy("sample").agg(F.count("*").alias("size")), 10), "reads",
   """WITH z AS (SELECT sample, count(*) AS size FROM reads GROUP BY sample), k AS (SELECT *, row_number() OVER (ORDER BY size DESC, sample) AS p, count(*) OVER () AS n FROM z)
   SELECT sample, size FROM k WHERE p > n // 10 AND p <= n - n // 10 ORDER BY md5('1|' || sample), sample LIMIT 10""")
+q("mp_9_reads_of_largest", lambda t: M.reads_of_largest(t.reads), "reads", "SELECT * FROM reads WHERE sample IN (SELECT sample FROM reads GROUP BY sample ORDER BY sum(length(seq)) DESC, sample LIMIT 10)")
 q("mp_9_largest_samples", lambda t: M.largest_samples(t.reads), "reads", "SELECT sample, CAST(sum(length(seq)) AS BIGINT) AS bases FROM reads GROUP BY sample ORDER BY bases DESC, sample LIMIT 10")
 
 # Clusters and reports.  A document's source stands for a cluster.
 
 
 def _clusters(t: Tables) -> DataFrame:
-    return t.dna.select(F.concat_ws("_", "sample", F.pmod("doc_id", F.lit(5)).cast("string")).alias("cluster"), "doc_id", "line", F.substring("seq", 1, 60).alias("fwd"))
+    return t.dna.select(F.concat_ws("_", "sample", F.pmod("doc_id", F.lit(5)).cast("string")).alias("cluster"), "doc_id", "line", F.col("seq").alias("fwd"))
 
 
-_RCL = "rc AS (SELECT sample || '_' || (doc_id % 5) AS cluster, doc_id, line, substr(seq, 1, 60) AS fwd FROM dna)"
+_RCL = "rc AS (SELECT sample || '_' || (doc_id % 5) AS cluster, doc_id, line, seq AS fwd FROM dna)"
 _PROF = "pr AS (SELECT cluster, i AS pos, substr(fwd, i, 1) AS base, count(*) AS n FROM (SELECT cluster, fwd, unnest(range(1, length(fwd) + 1)) AS i FROM rc) GROUP BY 1, 2, 3)"
 q("cl_4_count_clusters", lambda t: C.count_clusters(_clusters(t)), "dna", f"WITH {_RCL} SELECT count(DISTINCT cluster) AS clusters FROM rc")
 q("cl_5_base_profile", lambda t: C.base_profile(_clusters(t)), "dna", f"WITH {_RCL}, {_PROF} SELECT * FROM pr")
@@ -334,18 +361,6 @@ q("cl_6_divide_clusters", lambda t: C.divide_clusters(_clusters(t), 0.9), "dna",
   f"WITH {_RCL}, {_PROF}, {_VAR} SELECT rc.cluster, doc_id, line, fwd, coalesce(string_agg(substr(fwd, pos, 1), '' ORDER BY pos), '') AS allele FROM rc LEFT JOIN va ON rc.cluster = va.cluster GROUP BY rc.cluster, doc_id, line, fwd")
 q("cl_7_cluster_consensus", lambda t: C.cluster_consensus(_clusters(t)), "dna",
   f"WITH {_RCL}, {_PROF} SELECT cluster, string_agg(base, '' ORDER BY pos) AS seq FROM (SELECT *, row_number() OVER (PARTITION BY cluster, pos ORDER BY n DESC, base DESC) AS r FROM pr) WHERE r = 1 GROUP BY cluster")
-# The same over whole sequences
-def _whole_clusters(t: Tables) -> DataFrame:
-    return t.dna.select(F.concat_ws("_", "sample", F.pmod("doc_id", F.lit(5)).cast("string")).alias("cluster"), "doc_id", "line", F.col("seq").alias("fwd"))
-
-
-_RCLW = "rc AS (SELECT sample || '_' || (doc_id % 5) AS cluster, doc_id, line, seq AS fwd FROM dna)"
-q("cl_5_base_profile_whole", lambda t: C.base_profile(_whole_clusters(t)), "dna", f"WITH {_RCLW}, {_PROF} SELECT * FROM pr")
-q("cl_5_variable_columns_whole", lambda t: C.variable_columns(C.base_profile(_whole_clusters(t)), 0.9), "dna", f"WITH {_RCLW}, {_PROF}, {_VAR} SELECT * FROM va")
-q("cl_6_divide_clusters_whole", lambda t: C.divide_clusters(_whole_clusters(t), 0.9), "dna",
-  f"WITH {_RCLW}, {_PROF}, {_VAR} SELECT rc.cluster, doc_id, line, fwd, coalesce(string_agg(substr(fwd, pos, 1), '' ORDER BY pos), '') AS allele FROM rc LEFT JOIN va ON rc.cluster = va.cluster GROUP BY rc.cluster, doc_id, line, fwd")
-q("cl_7_cluster_consensus_whole", lambda t: C.cluster_consensus(_whole_clusters(t)), "dna",
-  f"WITH {_RCLW}, {_PROF} SELECT cluster, string_agg(base, '' ORDER BY pos) AS seq FROM (SELECT *, row_number() OVER (PARTITION BY cluster, pos ORDER BY n DESC, base DESC) AS r FROM pr) WHERE r = 1 GROUP BY cluster")
 
 
 def _paired_clusters(t: Tables) -> DataFrame:
@@ -399,14 +414,19 @@ q("io_5_bed", lambda t: X.read_bed(t.spark, _again(t, lambda p: X.write_bed(_dep
 q("io_6_sam", lambda t: X.read_sam(t.spark, _again(t, lambda p: X.write_sam(t.sequenced.withColumn("rnext", F.lit("=")), p))).select("sample", "flag", "contig", "pos", "mapq", "seq", "qual"), "sequenced", "SELECT sample, flag, contig, pos, mapq, seq, qual FROM sequenced")
 q("io_9_uniq", lambda t: X.read_uniq(t.spark, _again(t, lambda p: X.write_uniq(U.unique_per_sample(t.reads), p))), "uniq", "SELECT sample, n, seq FROM uniq")
 q("io_11_merge_call_sets", lambda t: X.merge_call_sets(*_halves(t))[0], "calls",
-  """WITH h AS (SELECT chrom, pos, sid < 20 AS first, CAST(sum(dp) AS BIGINT) AS dp, count(*) AS called, sum(a1 + a2) AS ac FROM calls GROUP BY 1, 2, 3)
+  """WITH h AS (SELECT chrom, pos, sid < 20 AS first, CAST(sum(dp) AS BIGINT) AS dp, count(*) AS called, sum((a1 > 0)::INT + (a2 > 0)::INT) AS ac FROM calls GROUP BY 1, 2, 3)
   SELECT chrom, pos, dp, called FROM (SELECT *, row_number() OVER (PARTITION BY chrom, pos ORDER BY ac DESC, first DESC) AS r FROM h) WHERE r = 1""")
 _HAP = "concat_ws('\t', locus, ordinal, '-', 3, 40, q, status, '-', 1, 2, comment) AS value"
 q("io_12_hap_stats", lambda t: X.read_hap_stats(t.spark, _again(t, lambda p: t.hap_stats.selectExpr(_HAP).write.text(p))).select("locus", "sites", "haplotypes", "prop_haplotyped", "status", "comment"), "hap_stats",
   "SELECT locus, ordinal AS sites, CAST(NULL AS BIGINT) AS haplotypes, q AS prop_haplotyped, status, nullif(comment, '-') AS comment FROM hap_stats")
 
 # Trimming, overlaps, cluster tables, pile-up, decomposition
-q("rd_4_trim_reads", lambda t: R.trim_reads(t.fastq.select("sample", "doc_id", "line", "seq", "qual"), min_len=10))
+q("rd_4_trim_reads", lambda t: R.trim_reads(t.fastq.select("sample", "doc_id", "line", "seq", "qual"), min_len=10), "fastq",
+  """WITH f AS (SELECT *, length(seq) AS n, least(5, length(seq)) AS w FROM fastq), b AS (SELECT *, ascii(substr(qual, i, 1)) - 33 AS s FROM (SELECT doc_id, line, qual, n, w, unnest(range(1, n + 1)) AS i FROM f)),
+  g AS (SELECT *, sum(s) OVER (PARTITION BY doc_id, line ORDER BY i ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS total FROM b),
+  k AS (SELECT doc_id, line, min(i) AS a, max(i + w) AS e FROM g WHERE i + w <= n + 1 AND total >= 15 * w GROUP BY doc_id, line),
+  c AS (SELECT doc_id, line, a, count(CASE WHEN s < 15 THEN 1 END) AS bad, count(*) AS m FROM k JOIN b USING (doc_id, line) WHERE i >= a AND i < e GROUP BY doc_id, line, a)
+  SELECT sample, doc_id, line, substr(seq, a, m) AS seq, substr(qual, a, m) AS qual FROM f JOIN c USING (doc_id, line) WHERE 100 * bad <= 50 * m AND m >= 10""")
 
 
 def _mates_of_lines(t: Tables) -> DataFrame:
@@ -442,6 +462,10 @@ q("v_23_decompose_calls", lambda t: V.decompose(t.sites, t.calls)[1].select("chr
 
 
 # Clustering by identity: no SQL; tests hold it against one-by-one clustering
+#: The reference's clustering tool leaves sequences of 10 bases and less out; here they are clusters of their own.
+SHORTEST = 11
+
+
 def _reads(t: Tables) -> DataFrame:
     return t.dna.selectExpr("concat(doc_id, '_', line) AS id", "seq")
 
@@ -452,8 +476,8 @@ def _assembled(t: Tables) -> DataFrame:
     return t.dna.selectExpr("doc_id AS cluster", "line AS ordinal", "seq", "length(seq) % 7 AS freq", f"{kind} <> 1 AS fwd", f"{kind} <> 0 AS rev")
 
 
-q("cl_1_cluster_sequences", lambda t: C.cluster_sequences(_reads(t)))
-q("cl_3_cluster_table_rpe", lambda t: C.cluster_table_rpe(R.glue_pairs(R.pair_reads(t.mates)).select(F.col("ordinal").alias("read_id"), "seq")))
+q("cl_1_cluster_sequences", lambda t: C.cluster_sequences(_reads(t), shortest=SHORTEST))
+q("cl_3_cluster_table_rpe", lambda t: C.cluster_table_rpe(R.glue_pairs(R.pair_reads(t.mates)).select(F.col("ordinal").alias("read_id"), "seq"), shortest=SHORTEST))
 q("cl_8_best_contigs", lambda t: C.best_contigs(_assembled(t), 60))
-q("cl_10_build_reference", lambda t: C.build_reference(t.dna.selectExpr("concat('ctg_', doc_id, '_', line) AS contig", "seq")))
-q("cl_11_sweep_reference", lambda t: C.sweep_reference(U.unique_per_sample(t.dna), [1, 2], [2], [0.8, 0.9]))
+q("cl_10_build_reference", lambda t: C.build_reference(t.dna.selectExpr("concat('ctg_', doc_id, '_', line) AS contig", "seq"), shortest=SHORTEST))
+q("cl_11_sweep_reference", lambda t: C.sweep_reference(U.unique_per_sample(t.dna), [1, 2], [2], [0.8, 0.9], shortest=SHORTEST))

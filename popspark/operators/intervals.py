@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.ranking import nearest_rank
+from ..sources.shared import written
 from .reads import natural_key
 
-#: Clips of 20 bases and more: two digits from 20, or three.
+#: Fixed value: the pattern of clips of 20 bases and more, two digits from 20 on, or three.
 CLIP = "[2-9].[SH]|[1-9][0-9].[SH]"
 BIN = 1024
 
@@ -33,18 +35,39 @@ def to_intervals(aln: DataFrame) -> DataFrame:
 def merge_intervals(iv: DataFrame, by: list[str] | None = None, bin_width: int = BIN) -> DataFrame:
     """Unite intervals that overlap or touch, within contig (and by).
 
-    Intervals are first united within the bins of their starts, so that the pass over a whole contig sees few of them.
+    Intervals are first united within the bins of their starts.  What reaches into a bin from before comes from a row for
+    each bin, in steps of a thousand bins; so no task holds a contig's intervals, and the last pass is within bins again.
     """
     keys = [*(by or []), "contig"]
-
-    def once(df: DataFrame, parts: list[str]) -> DataFrame:
-        w = W.partitionBy(*parts).orderBy("start", "end")
-        new = F.col("start") > F.max("end").over(w.rowsBetween(W.unboundedPreceding, -1))
-        group = F.sum(F.coalesce(new.cast("long"), F.lit(1))).over(w.rowsBetween(W.unboundedPreceding, 0))
-        return df.withColumn("_g", group).groupBy(*parts, "_g").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_g")
-
-    binned = iv.select(*keys, "start", "end").withColumn("_bin", F.floor(F.col("start") / bin_width))
-    return once(once(binned, [*keys, "_bin"]).drop("_bin"), keys).select(*keys, "start", "end")
+    same = lambda other: F.expr(" AND ".join(f"a.`{k}` <=> {other}.`{k}`" for k in keys))
+
+    def running(df: DataFrame, parts: list[str]) -> DataFrame:
+        """_before: the furthest end of the earlier intervals of the same part."""
+        return df.withColumn("_before", F.max("end").over(W.partitionBy(*parts).orderBy("start", "end").rowsBetween(W.unboundedPreceding, -1)))
+
+    binned = running(iv.select(*keys, "start", "end").withColumn("_bin", F.floor(F.col("start") / bin_width)), [*keys, "_bin"])
+    island = F.sum(F.coalesce((F.col("start") > F.col("_before")).cast("long"), F.lit(1))).over(W.partitionBy(*keys, "_bin").orderBy("start", "end"))
+    binned = binned.withColumn("_g", island).groupBy(*keys, "_bin", "_g").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    reach = binned.groupBy(*keys, "_bin").agg(F.max("end").alias("_end")).withColumn("_coarse", F.floor(F.col("_bin") / 1000))
+    coarse = reach.groupBy(*keys, "_coarse").agg(F.max("_end").alias("_end"))
+    coarse = coarse.withColumn("_reach", F.max("_end").over(W.partitionBy(*keys).orderBy("_coarse").rowsBetween(W.unboundedPreceding, -1))).drop("_end")
+    near = F.max("_end").over(W.partitionBy(*keys, "_coarse").orderBy("_bin").rowsBetween(W.unboundedPreceding, -1))
+    before = reach.withColumn("_near", near).alias("a").join(coarse.alias("b"), same("b") & F.expr("a._coarse = b._coarse")).select("a.*", F.greatest("a._near", "b._reach").alias("_reach"))
+    rows = binned.alias("a").join(before.alias("b"), same("b") & F.expr("a._bin = b._bin")).select("a.*", "b._reach")
+    # the head of an island: nothing before reaches it; every interval belongs to the last head at or before it
+    inner = F.max("end").over(W.partitionBy(*keys, "_bin").orderBy("start", "end").rowsBetween(W.unboundedPreceding, -1))
+    head = F.coalesce(F.col("start") > F.greatest("_reach", inner), F.lit(True))
+    rows = rows.withColumn("_head", F.when(head, F.col("start")))
+    own = F.max("_head").over(W.partitionBy(*keys, "_bin").orderBy("start", "end"))
+    parts = rows.withColumn("_own", own).groupBy(*keys, "_bin", "_own").agg(F.max("end").alias("end"))
+    # islands that began in an earlier bin: the last head of the bins before, found in the same steps
+    heads = parts.groupBy(*keys, "_bin").agg(F.max("_own").alias("_last")).withColumn("_coarse", F.floor(F.col("_bin") / 1000))
+    far = heads.groupBy(*keys, "_coarse").agg(F.max("_last").alias("_last"))
+    far = far.withColumn("_far", F.max("_last").over(W.partitionBy(*keys).orderBy("_coarse").rowsBetween(W.unboundedPreceding, -1))).drop("_last")
+    last = F.max("_last").over(W.partitionBy(*keys, "_coarse").orderBy("_bin").rowsBetween(W.unboundedPreceding, -1))
+    heads = heads.withColumn("_near", last).alias("a").join(far.alias("b"), same("b") & F.expr("a._coarse = b._coarse")).select("a.*", F.greatest("a._near", "b._far").alias("_begun"))
+    whole = parts.alias("a").join(heads.alias("b"), same("b") & F.expr("a._bin = b._bin")).select(*[f"a.{k}" for k in keys], F.coalesce("a._own", "b._begun").alias("start"), "a.end")
+    return whole.groupBy(*keys, "start").agg(F.max("end").alias("end")).select(*keys, "start", "end")
 
 
 def order_by_reference(iv: DataFrame, contigs: DataFrame) -> DataFrame:
@@ -67,10 +90,18 @@ def overlap_join(a: DataFrame, b: DataFrame, width: int = BIN) -> DataFrame:
     return pairs.where(F.col("_bin") == F.floor(F.greatest("start", "b_start") / width)).drop("_bin")
 
 
+def interval_counts(iv: DataFrame, aln_iv: DataFrame) -> DataFrame:
+    """contig, start, end, sample, depth: alignments over each interval, for the samples that have any."""
+    return overlap_join(iv, aln_iv).groupBy("contig", "start", "end", "sample").agg(F.count("*").alias("depth"))
+
+
 def coverage_by_interval(iv: DataFrame, aln_iv: DataFrame) -> DataFrame:
-    """contig, start, end, sample, depth: alignments over each interval, for every sample; none is a row of 0."""
-    counts = overlap_join(iv, aln_iv).groupBy("contig", "start", "end", "sample").agg(F.count("*").alias("n"))
-    every = iv.join(F.broadcast(aln_iv.select("sample").distinct()))
+    """contig, start, end, sample, depth: alignments over each interval, for every sample; none is a row of 0.
+
+    The table of every interval and sample is the result's own size; use interval_counts where rows of 0 aren't needed.
+    """
+    every = iv.select("contig", "start", "end").join(aln_iv.select("sample").distinct())
+    counts = interval_counts(iv, aln_iv).withColumnRenamed("depth", "n")
     return every.join(counts, ["contig", "start", "end", "sample"], "left").select("contig", "start", "end", "sample", F.coalesce("n", F.lit(0)).alias("depth"))
 
 
@@ -78,6 +109,12 @@ def total_coverage(cov: DataFrame) -> DataFrame:
     return cov.groupBy("contig", "start", "end").agg(F.sum("depth").alias("depth"))
 
 
+def interval_coverage(iv: DataFrame, aln_iv: DataFrame) -> DataFrame:
+    """contig, start, end, depth over all samples: total_coverage of coverage_by_interval, but no row for a sample is made."""
+    counts = overlap_join(iv, aln_iv.select("contig", "start", "end")).groupBy("contig", "start", "end").agg(F.count("*").alias("n"))
+    return iv.join(counts, ["contig", "start", "end"], "left").select("contig", "start", "end", F.coalesce("n", F.lit(0)).alias("depth"))
+
+
 def depth_ceiling(cov: DataFrame, d: float = 0.001) -> DataFrame:
     """The depth at index int(d * n) of all depths, falling."""
     return nearest_rank(cov, "depth", d).select(F.col("value").alias("ceiling"))
@@ -118,41 +155,117 @@ def split_coverage(cov: DataFrame, cut: int, width: int) -> DataFrame:
 def balance_chunks(cov: DataFrame, target: int) -> DataFrame:
     """cov with load and chunk: intervals in natural order of contigs, a new chunk each time the running load passes target.
 
-    Running loads come from contigs' sums and the loads within a contig.
+    Running loads come from contigs' sums and the loads within blocks of a contig, so no task holds a contig.
     """
     load = (F.col("end") - F.col("start")) * F.col("depth")
-    rows = cov.withColumn("load", load)
+    rows = cov.withColumn("load", load).withColumn("_bin", F.floor(F.col("start") / (64 * BIN)))
     text, number = natural_key(F.col("contig"))
-    sums = rows.groupBy("contig").agg(F.sum("load").alias("_sum")).withColumn("_t", text).withColumn("_n", number)
+    bins = rows.groupBy("contig", "_bin").agg(F.sum("load").alias("_load"))
+    sums = bins.groupBy("contig").agg(F.sum("_load").alias("_sum")).withColumn("_t", text).withColumn("_n", number)
     before = sums.select("contig", (F.sum("_sum").over(W.orderBy("_t", "_n", "contig").rowsBetween(W.unboundedPreceding, 0)) - F.col("_sum")).alias("_before"))
-    within = F.sum("load").over(W.partitionBy("contig").orderBy("start", "end").rowsBetween(W.unboundedPreceding, 0))
-    placed = rows.withColumn("_within", within).join(before, "contig")
-    return placed.withColumn("chunk", F.floor((F.col("_before") + F.col("_within") - F.col("load")) / target)).drop("_before", "_within")
-
-
-def fold_chunks(cov: DataFrame, target: int, alone: int) -> DataFrame:
-    """The exact fold on a small interval table: chunks are cut when the running load reaches target, and rows of at least
-    `alone` stand by themselves; such a first row does not reset the running load, later ones do.  One task."""
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        parts = pdf["contig"].str.extract(r"^(.*?)([0-9]*)$")
-        pdf = pdf.assign(_t=parts[0], _n=pd.to_numeric(parts[1])).sort_values(["_t", "_n", "contig", "start", "end"], kind="stable")
-        chunks, run, chunk = [], 0, 0
-        for i, load in enumerate(pdf["load"]):
-            if load >= alone:
-                chunk += 1 if i else 0
-                chunks.append(chunk)
-                chunk += 1
-                run = run if i == 0 else 0
-            else:
-                chunks.append(chunk)
-                run += load
-                if run >= target:
-                    run, chunk = 0, chunk + 1
-        return pdf.assign(chunk=chunks)[["contig", "start", "end", "depth", "load", "chunk"]]
-
-    rows = cov.select("contig", "start", "end", "depth", ((F.col("end") - F.col("start")) * F.col("depth")).alias("load"))
-    return rows.withColumn("_all", F.lit(1)).groupBy("_all").applyInPandas(fold, "contig string, start long, end long, depth long, load long, chunk long")
+    upto = F.sum("_load").over(W.partitionBy("contig").orderBy("_bin").rowsBetween(W.unboundedPreceding, 0)) - F.col("_load")
+    begun = bins.withColumn("_upto", upto).join(before, "contig").select("contig", "_bin", (F.col("_before") + F.col("_upto")).alias("_begun"))
+    within = F.sum("load").over(W.partitionBy("contig", "_bin").orderBy("start", "end").rowsBetween(W.unboundedPreceding, 0))
+    placed = rows.withColumn("_within", within).join(begun, ["contig", "_bin"])
+    return placed.withColumn("chunk", F.floor((F.col("_begun") + F.col("_within") - F.col("load")) / target)).drop("_begun", "_within", "_bin")
+
+
+def _fold(load: np.ndarray, target: int, alone: int, run: int, lone: bool, first: bool = False) -> tuple[np.ndarray, int, bool]:
+    """Chunk numbers (from 0: the chunk that is open) of loads in turn, the running load at the end and whether a lone row came last.
+
+    A load that brings the running one to target begins a chunk with itself.  A load of at least `alone` has a chunk of its
+    own, and the running load begins at 0 after it; only the very first row doesn't reset it.
+    """
+    chunk, out = 0, np.zeros(len(load), np.int64)
+    for i, x in enumerate(load.tolist()):
+        if x >= alone:
+            chunk += 0 if lone or (first and not i) else 1
+            out[i], run, lone = chunk, x if first and not i else 0, True
+            chunk += 1
+        elif run + x >= target:
+            chunk += 1
+            out[i], run, lone = chunk, x, False
+        else:
+            out[i], run, lone = chunk, run + x, False
+    return out, run, lone
+
+
+def _outcomes(load: np.ndarray, target: int, alone: int) -> list[tuple[int, int, int, int, bool]]:
+    """What a block of loads makes of each running load it may begin with: (low, chunks, run, added, lone).
+
+    From a running load of `low` on, up to the next entry's, `chunks` are begun and the running load is `run` at the end; if
+    that is below 0, no chunk is begun and it is what it was plus `added`.  The first row that begins a chunk decides; what
+    follows it is found once for every row, from the last to the first.
+    """
+    n, is_lone = len(load), load >= alone
+    upto = np.cumsum(load)
+    before = upto - load
+    lone_at = np.append(np.where(is_lone, np.arange(n), n), n)
+    next_lone = np.minimum.accumulate(lone_at[::-1])[::-1]
+    base = np.where(is_lone, upto, before)  # where the running load of a row that begins a chunk counts from
+    following = np.minimum(np.maximum(np.searchsorted(upto, target + base), np.arange(1, n + 1)), next_lone[1:])
+    chunks, run = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    lone = np.zeros(n, bool)
+    for c in range(n - 1, -1, -1):
+        then = following[c]
+        if then == n:
+            chunks[c], run[c], lone[c] = 0, upto[-1] - base[c], is_lone[c] and c == n - 1
+        else:
+            begun = (1 if is_lone[c] and then == c + 1 else 2) if is_lone[then] else 1
+            chunks[c], run[c], lone[c] = begun + chunks[then], run[then], lone[then]
+    full = int(np.searchsorted(upto, target))
+    last = min(int(next_lone[0]), full)
+    out = [] if last < n else [(0, 0, -1, int(upto[-1]), False)]
+    for cut in range(min(last, n - 1) + 1):
+        low = 0 if cut == last else target - int(upto[cut])
+        if not cut or load[cut] or cut == last:
+            out.append((max(low, 0), (2 if is_lone[cut] else 1) + int(chunks[cut]), int(run[cut]), 0, bool(lone[cut])))
+    return sorted(out)
+
+
+def fold_chunks(cov: DataFrame, target: int, alone: int, block: int = 20_000) -> DataFrame:
+    """contig, start, end, depth, load and chunk (from 0) of the exact walk through all intervals in natural order.
+
+    A row that brings the running load to target begins a chunk, with its load; a row with a load of at least `alone` is a chunk
+    by itself, after which the running load is 0, but not after such a very first row.  Each block of about
+    `block` rows says in its own task what it makes of any running load it may begin with; a row or a few for each of
+    these are walked through in one task, and the blocks are numbered from what they begin with.
+    """
+    text, number = natural_key(F.col("contig"))
+    order = [F.col("_t"), F.col("_n"), F.col("contig"), F.col("start"), F.col("end")]
+    rows = cov.select("contig", "start", "end", "depth", ((F.col("end") - F.col("start")) * F.col("depth")).alias("load"), text.alias("_t"), number.alias("_n"))
+    n = rows.count()
+    rows = written(rows.repartitionByRange(max(1, -(-n // block)), *order).withColumn("_block", F.spark_partition_id()))
+    sort = ["_t", "_n", "contig", "start", "end"]
+    first = rows.agg(F.min("_block").alias("b")).first()["b"]
+
+    def summary(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        load = pdf.sort_values(sort, kind="stable", na_position="first")["load"].to_numpy(np.int64)
+        if key[0] == first:  # begins with nothing
+            chunks, run, lone = _fold(load, target, alone, 0, False, True)
+            told = [(0, int(chunks[-1]) + int(load[-1] >= alone), run, 0, lone)]
+        else:
+            told = _outcomes(load, target, alone)
+        return pd.DataFrame([(key[0], bool(load[0] >= alone), *x) for x in told], columns=["block", "head", "low", "chunks", "run", "added", "lone"])
+
+    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
+        run, chunk, lone, out = 0, 0, False, []
+        for b, own in pdf.sort_values(["block", "low", "chunks"]).groupby("block"):
+            out.append((b, chunk, run, lone))
+            x = own[own["low"] <= run].iloc[-1]
+            chunk += int(x["chunks"]) - int(lone and x["head"])  # a lone row behind a lone row finds its chunk open
+            run, lone = int(x["run"]) if x["run"] >= 0 else run + int(x["added"]), bool(x["lone"])
+        return pd.DataFrame(out, columns=["block", "chunk", "run", "lone"])
+
+    told = rows.groupBy("_block").applyInPandas(summary, "block int, head boolean, low long, chunks long, run long, added long, lone boolean")
+    begun = written(told.withColumn("_all", F.lit(1)).groupBy("_all").applyInPandas(walk, "block int, chunk long, run long, lone boolean"))
+
+    def place(key: tuple, pdf: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(sort, kind="stable", na_position="first")
+        chunks, _, _ = _fold(pdf["load"].to_numpy(np.int64), target, alone, int(state["run"].iloc[0]), bool(state["lone"].iloc[0]), key[0] == first)
+        return pdf.assign(chunk=chunks + state["chunk"].iloc[0])[["contig", "start", "end", "depth", "load", "chunk"]]
+
+    return rows.groupBy("_block").cogroup(begun.groupBy("block")).applyInPandas(place, "contig string, start long, end long, depth long, load long, chunk long")
 
 
 def merge_alignments(*aln: DataFrame) -> DataFrame:

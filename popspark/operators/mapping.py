@@ -18,7 +18,7 @@ def flag_stats(aln: DataFrame) -> DataFrame:
 def contig_counts(aln: DataFrame, contigs: DataFrame) -> DataFrame:
     """sample, contig, n mapped reads, for every sample and contig."""
     counts = aln.where(F.col("flag").bitwiseAND(4) == 0).groupBy("sample", "contig").agg(F.count("*").alias("c"))
-    every = contigs.select("contig").join(F.broadcast(aln.select("sample").distinct()))
+    every = contigs.select("contig").join(aln.select("sample").distinct())
     return every.join(counts, ["sample", "contig"], "left").select("sample", "contig", F.coalesce("c", F.lit(0)).alias("n"))
 
 
@@ -65,6 +65,11 @@ def largest_samples(reads: DataFrame, n: int = 10) -> DataFrame:
     return reads.groupBy("sample").agg(F.sum(F.length("seq").cast("long")).alias("bases")).orderBy(F.desc("bases"), "sample").limit(n)
 
 
+def reads_of_largest(reads: DataFrame, n: int = 10) -> DataFrame:
+    """The reads of the n samples with the most bases, united for an assembly."""
+    return reads.join(F.broadcast(largest_samples(reads, n).select("sample")), "sample", "left_semi")
+
+
 def step_report(before: DataFrame, after: DataFrame, label: str) -> DataFrame:
     """label, before, after, removed."""
     rows = before.select(F.lit(1).alias("b"), F.lit(0).alias("a")).unionByName(after.select(F.lit(0).alias("b"), F.lit(1).alias("a")))

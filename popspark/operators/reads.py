@@ -21,32 +21,55 @@ def revcomp(seq: Column) -> Column:
 
 def normalise_names(reads: DataFrame) -> DataFrame:
     """Names that end in _1 or _2 end in /1 or /2, if some sample's first name has neither form of the standard."""
-    odd = reads.where((F.col("ordinal") == 0) & ~F.col("name").rlike("/[12]$| [12]:")).limit(1).count() > 0
-    if not odd:
-        return reads
+    odd = reads.where("ordinal = 0").agg(F.coalesce(F.bool_or(~F.col("name").rlike("/[12]$| [12]:")), F.lit(False)).alias("_odd"))
     mark = F.when(F.col("mate") == 1, F.regexp_replace("name", "_1$", "/1")).otherwise(F.regexp_replace("name", "_2$", "/2"))
-    return reads.withColumn("name", mark)
+    return reads.join(F.broadcast(odd)).withColumn("name", F.when(F.col("_odd"), mark).otherwise(F.col("name"))).drop("_odd")
+
+
+#: Mutants of barcodes that are sent to every executor at most; more are joined by shuffle.
+BROADCAST_MUTANTS = 500_000
+
+
+def _mutants(barcodes: DataFrame, column: str, max_dist: int) -> DataFrame:
+    """barcodes with start, each text of up to max_dist other bases than column has, and dist, how many."""
+    out = barcodes.withColumn("start", F.col(column)).withColumn("dist", F.lit(0))
+    for _ in range(max_dist):
+        at = out.withColumn("i", F.explode(F.sequence(F.lit(1), F.length("start")))).withColumn("base", F.explode(F.array(*[F.lit(b) for b in "ACGTN"])))
+        more = at.withColumn("start", F.expr("overlay(start PLACING base FROM i)")).withColumn("dist", F.col("dist") + 1).drop("i", "base")
+        out = out.unionByName(more).groupBy(*barcodes.columns, "start").agg(F.min("dist").alias("dist"))
+    return out
 
 
 def demultiplex(reads: DataFrame, barcodes: DataFrame, max_dist: int = 1) -> DataFrame:
-    """Give each read the sample whose barcode starts it, with up to max_dist (0 or 1) other bases, and cut the barcode off.
+    """Give each read (seq) the sample whose barcode starts it, with up to max_dist other bases, and cut the barcode off.
 
-    barcodes(sample, barcode) are equally long within a sample.  A prefix that is near two barcodes has no sample, unless
-    it is one of them.
+    barcodes(sample, barcode) may be of several lengths, 64 at most.  The barcode with the fewest other bases wins, of these
+    the longest; a read that is as near to two samples has none and goes, like one near to no barcode.  With a second barcode
+    (barcode2), the reads' column index must be as near to that, and other bases count together.
     """
-    own = barcodes.select("sample", "barcode", F.col("barcode").alias("start"), F.lit(0).alias("dist"))
-    if max_dist:
-        at = barcodes.select("sample", "barcode", F.explode(F.sequence(F.lit(1), F.length("barcode"))).alias("i"), F.array(*[F.lit(b) for b in "ACGTN"]).alias("bases"))
-        near = at.withColumn("base", F.explode("bases")).withColumn("start", F.expr("overlay(barcode PLACING base FROM i)")).where("start <> barcode")
-        own = own.unionByName(near.select("sample", "barcode", "start", F.lit(1).alias("dist")))
-    ranked = own.withColumn("least", F.min("dist").over(W.partitionBy("start"))).where("dist = least").withColumn("owners", F.count("*").over(W.partitionBy("start"))).where("owners = 1")
-    prefixes = F.broadcast(ranked.select(F.col("sample").alias("to"), "start", F.length("start").alias("cut")))
-    lengths = [r[0] for r in barcodes.select(F.length("barcode")).distinct().collect()]
-    parts = [reads.withColumn("start", F.substring("seq", 1, n)).join(prefixes.where(F.col("cut") == n), "start") for n in sorted(lengths)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("sample", F.col("to")).withColumn("seq", F.expr("substring(seq, cut + 1)")).drop("start", "to", "cut")
+    second = "barcode2" in barcodes.columns
+    own = barcodes.select("sample", "barcode", *["barcode2"] * second).distinct()
+    found = _mutants(own, "barcode", max_dist)
+    if second:
+        other = _mutants(own.select("barcode2").distinct(), "barcode2", max_dist).select("barcode2", F.col("start").alias("index"), F.col("dist").alias("dist2"))
+        found = found.join(other, "barcode2").withColumn("dist", F.col("dist") + F.col("dist2")).drop("dist2")
+    keys = ["start", *["index"] * second]
+    # of those with the same start: the nearest, and none if two samples are as near
+    nearest = found.groupBy(*keys, "dist").agg(F.min("sample").alias("to"), F.count_distinct("sample").alias("n")).groupBy(*keys).agg(F.min_by(F.struct("dist", "to", "n"), "dist").alias("won"))
+    told = nearest.select(*keys, F.struct(F.col("won.dist").alias("dist"), (-F.length("start")).alias("short"), "won.n", "won.to").alias("won"))
+    lengths = sorted(r[0] for r in own.select(F.length("barcode")).distinct().limit(65).collect())
+    if len(lengths) > 64:
+        raise ValueError("barcodes of more than 64 lengths")
+    small = told.limit(BROADCAST_MUTANTS + 1).count() <= BROADCAST_MUTANTS
+    out = reads
+    for n in lengths:
+        table = told.where(F.length("start") == n).toDF("_start", *["_index"] * second, f"_won{n}")
+        same = F.substring("seq", 1, n) == F.col("_start")
+        same = same & (F.col("index") == F.col("_index")) if second else same
+        out = out.join(F.broadcast(table) if small else table, same, "left").drop("_start", "_index")
+    best = F.array_min(F.array_compact(F.array(*[F.col(f"_won{n}") for n in lengths])))
+    out = out.withColumn("_best", best).where("_best.n = 1")
+    return out.withColumn("sample", F.col("_best.to")).withColumn("seq", F.expr("substring(seq, 1 - _best.short)")).select(*reads.columns, *["sample"] * ("sample" not in reads.columns))
 
 
 def min_length(reads: DataFrame) -> DataFrame:
@@ -104,6 +127,11 @@ def natural_key(name: Column) -> list[Column]:
     return [F.regexp_extract(name, r"^(.*?)[0-9]*$", 1), F.regexp_extract(name, r"([0-9]*)$", 1).try_cast("long")]
 
 
+def natural_order(df: DataFrame, name: str = "contig") -> DataFrame:
+    """df sorted by the text before the last number of name, then by the number, then by the whole name."""
+    return df.orderBy(*natural_key(F.col(name)), name)
+
+
 def split_by_length(df: DataFrame, least: int, most: int) -> DataFrame:
     n = F.length("seq")
     return df.where((n >= least) & (n <= most))
@@ -125,16 +153,22 @@ def barcode_mutants(barcode: str) -> list[str]:
     return sorted({barcode[:i] + b + barcode[i + 1 :] for i, b in product(range(len(barcode)), "ACGTN")} - {barcode})
 
 
-def _span(qual: str, window: int, mean_q: int, q: int, unqual_pct: int) -> tuple[int, int]:
-    """Where the kept span of a read starts, and its size; 0 if the read goes."""
-    scores = np.frombuffer(qual.encode("latin-1", "replace"), np.uint8).astype(np.int64) - 33
-    width = min(window, len(scores))
-    sums = np.cumsum(np.concatenate([[0], scores]))
-    good = np.flatnonzero(sums[width:] - sums[:-width] >= mean_q * width)
-    if not len(good):
-        return 0, 0
-    kept = scores[good[0] : good[-1] + width]
-    return int(good[0]), 0 if 100 * int((kept < q).sum()) > unqual_pct * len(kept) else len(kept)
+def _spans(quals: list[str], window: int, mean_q: int, q: int, unqual_pct: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where the kept span of each read starts, and its size; 0 if the read goes.  All reads' scores lie in one array."""
+    n = np.array([len(x) for x in quals], np.int64)
+    scores = np.frombuffer("".join(quals).encode("latin-1", "replace"), np.uint8).astype(np.int64) - 33
+    first = np.cumsum(n) - n
+    sums, low = np.concatenate([[0], np.cumsum(scores)]), np.concatenate([[0], np.cumsum(scores < q)])
+    read = np.repeat(np.arange(len(n)), n)
+    width = np.minimum(window, n)[read]
+    at = np.arange(len(scores))
+    whole = at + width <= (first + n)[read]
+    good = at[whole][(sums[(at + width)[whole]] - sums[at[whole]]) >= (mean_q * width)[whole]]
+    start, end = np.full(len(n), 0), np.full(len(n), 0)
+    start[read[good[::-1]]] = good[::-1]  # the first good window of each read is written last
+    end[read[good]] = good + width[good]
+    kept = end - start
+    return np.where(kept > 0, start - first, 0), np.where(100 * (low[end] - low[start]) > unqual_pct * kept, 0, kept)
 
 
 def trim_reads(reads: DataFrame, window: int = 5, mean_q: int = 15, q: int = 15, unqual_pct: int = 50, min_len: int = 1, paired: bool = False) -> DataFrame:
@@ -147,7 +181,7 @@ def trim_reads(reads: DataFrame, window: int = 5, mean_q: int = 15, q: int = 15,
 
     @F.pandas_udf("start int, size int")
     def span(qual: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([_span(x, window, mean_q, q, unqual_pct) for x in qual], columns=["start", "size"])
+        return pd.DataFrame(dict(zip(("start", "size"), _spans(list(qual), window, mean_q, q, unqual_pct))))
 
     own = reads.where("length(seq) > 0 AND length(seq) = length(qual)").withColumn("_cut", span("qual")).where(F.col("_cut.size") >= max(min_len, 1))
     kept = own.withColumns({c: F.expr(f"substring({c}, _cut.start + 1, _cut.size)") for c in ("seq", "qual")}).select(*reads.columns)
@@ -158,9 +192,14 @@ def trim_reads(reads: DataFrame, window: int = 5, mean_q: int = 15, q: int = 15,
 
 
 def _merged(fwd: str, other: str, min_overlap: int, max_mismatch_frac: float) -> str | None:
+    """Both as one read.  Overlaps are tried from the longest on; one that the best so far beats even without mismatches ends it."""
     a, b = np.frombuffer(fwd.encode("latin-1", "replace"), np.uint8), np.frombuffer(other.encode("latin-1", "replace"), np.uint8)
     best = (0, 0)
     for n in range(min(len(a), len(b)), max(min_overlap, 1) - 1, -1):
+        if n <= best[0]:
+            break
+        if n > 64 and np.count_nonzero(a[len(a) - n : len(a) - n + 64] != b[:64]) > max_mismatch_frac * n:
+            continue
         wrong = int(np.count_nonzero(a[len(a) - n :] != b[:n]))
         if wrong <= max_mismatch_frac * n:
             best = max(best, (n - 2 * wrong, n))

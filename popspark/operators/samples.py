@@ -10,15 +10,16 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.ranking import nearest_rank
+from .sites import allele_stats
 
 SITE = ["chrom", "pos"]
 
 
-def missing_by_individual(calls: DataFrame, n_sites: int) -> DataFrame:
-    """sample, n_data, n_miss, f_miss over all sites."""
+def missing_by_individual(calls: DataFrame, samples: DataFrame, n_sites: int) -> DataFrame:
+    """sample, n_data, n_miss, f_miss over all sites, for each of samples(sample); one without any call misses all."""
     called = calls.groupBy("sample").agg(F.count("gt").alias("called"))
-    miss = F.lit(n_sites) - F.col("called")
-    return called.select("sample", F.lit(n_sites).cast("long").alias("n_data"), miss.alias("n_miss"), (miss / n_sites).alias("f_miss"))
+    miss = F.lit(n_sites) - F.coalesce("called", F.lit(0))
+    return samples.select("sample").join(called, "sample", "left").select("sample", F.lit(n_sites).cast("long").alias("n_data"), miss.alias("n_miss"), (miss / n_sites).alias("f_miss"))
 
 
 def missing_cutoff(imiss: DataFrame, d: float = 0.14) -> DataFrame:
@@ -26,9 +27,9 @@ def missing_cutoff(imiss: DataFrame, d: float = 0.14) -> DataFrame:
     return nearest_rank(imiss, "f_miss", d, last=True).select(F.col("value").alias("cutoff"))
 
 
-def remove_missing_individuals(calls: DataFrame, n_sites: int, cutoff: float | None = None, d: float = 0.14) -> DataFrame:
+def remove_missing_individuals(calls: DataFrame, samples: DataFrame, n_sites: int, cutoff: float | None = None, d: float = 0.14) -> DataFrame:
     """Drop individuals that miss more than the cutoff (or than the one at rank d)."""
-    imiss = missing_by_individual(calls, n_sites)
+    imiss = missing_by_individual(calls, samples, n_sites)
     limit = missing_cutoff(imiss, d) if cutoff is None else calls.sparkSession.range(1).select(F.lit(cutoff).alias("cutoff"))
     bad = imiss.join(F.broadcast(limit)).where("f_miss > cutoff").select("sample")
     return calls.join(bad, "sample", "left_anti")
@@ -120,10 +121,17 @@ HIGH_RATES = (0.75, 0.5625, 0.42, 0.316, 0.237)
 
 
 def error_count(calls: DataFrame, n_sites: int, n_samples: int) -> DataFrame:
-    """Genotypes that low depth may have got wrong: counts at depths 1 to 5, the low and high expected errors, and their shares of all called."""
+    """Genotypes that low depth may have got wrong: counts at depths 1 to 5, the low and high expected errors, and their shares of all called.
+
+    Genotypes of alleles 0 and 1 count: homozygotes at every depth, heterozygotes at depth 1, and at 2 and 3 if the next
+    value (ro) starts with 0 or with the depth.
+    """
     dp, hom = F.col("dp"), F.col("a1") == F.col("a2")
     called = F.col("gt").isNotNull()
-    counts = calls.agg(*[F.count_if(called & (dp == d) & (hom if d > 1 else F.lit(True))).alias(f"n{d}") for d in range(1, 6)], F.count_if(called).alias("called"))
+    plain = called & (F.col("a1") < 2) & (F.col("a2") < 2)
+    bare = F.substring(F.col("ro").cast("string"), 1, 1).isin("0") | F.col("ro").cast("string").startswith(dp.cast("string"))
+    fits = {1: F.lit(True), 2: hom | bare, 3: hom | bare, 4: hom, 5: hom}
+    counts = calls.agg(*[F.count_if(plain & (dp == d) & fits[d]).alias(f"n{d}") for d in fits], F.count_if(called).alias("called"))
     low = sum((F.col(f"n{d}") * 0.5**d for d in range(2, 6)), F.col("n1") * 0.5)
     high = sum((F.col(f"n{d}") * HIGH_RATES[d - 1] for d in range(2, 6)), F.col("n1") * HIGH_RATES[0])
     total = sum((F.col(f"n{d}") for d in range(2, 6)), F.col("n1"))
@@ -139,22 +147,29 @@ def genotype_totals(calls: DataFrame, n_sites: int, n_samples: int) -> DataFrame
 
 def site_pi(calls: DataFrame) -> DataFrame:
     """Nucleotide diversity of each site: the share of pairs of called copies that differ (null for a single copy)."""
-    alt = (F.col("a1") > 0).cast("long") + (F.col("a2") > 0).cast("long")
-    n = calls.where(F.col("gt").isNotNull()).groupBy(*SITE).agg(F.sum(alt).alias("c"), (2 * F.count("*")).alias("n"))
-    c, rest = F.col("c"), F.col("n") - F.col("c")
-    return n.select(*SITE, (1 - F.try_divide(c * (c - 1) + rest * (rest - 1), F.col("n") * (F.col("n") - 1))).alias("pi"))
+    alike = F.aggregate("counts", F.lit(0).cast("long"), lambda s, x: s + x["n"] * (x["n"] - 1))
+    return allele_stats(calls).where("called > 0").select(*SITE, (1 - F.try_divide(alike, F.col("copies") * (F.col("copies") - 1))).alias("pi"))
+
 
+def resample_pi(calls: DataFrame, popmap: DataFrame, rounds: int = 100, n: int = 15, seed: int = 1, alleles: int = 8) -> DataFrame:
+    """pop, round and the mean site diversity of n individuals drawn by a seeded hash: one join for all rounds.
 
-def resample_pi(calls: DataFrame, popmap: DataFrame, rounds: int = 100, n: int = 15, seed: int = 1) -> DataFrame:
-    """pop, round and the mean site diversity of n individuals drawn by a seeded hash: one join for all rounds."""
+    Copies of each allele are counted in bits of their own of one sum.  Allele numbers from `alleles` on raise an error: give
+    a larger one.
+    """
     draw = popmap.withColumn("round", F.explode(F.sequence(F.lit(1), F.lit(rounds))))
     order = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("round").cast("string"), "sample"))
     drawn = draw.withColumn("_n", F.row_number().over(W.partitionBy("pop", "round").orderBy(order, "sample"))).where(F.col("_n") <= n).select("sample", "pop", "round")
-    alt = (F.col("a1") > 0).cast("long") + (F.col("a2") > 0).cast("long")
-    own = calls.where(F.col("gt").isNotNull()).select(*SITE, "sample", alt.alias("alt")).join(F.broadcast(drawn), "sample")
-    per = own.groupBy("pop", "round", *SITE).agg(F.sum("alt").alias("c"), (2 * F.count("*")).alias("n"))
-    c, rest = F.col("c"), F.col("n") - F.col("c")
-    pi = 1 - F.try_divide(c * (c - 1) + rest * (rest - 1), F.col("n") * (F.col("n") - 1))
+    bits = (2 * n).bit_length()
+    words = -(-alleles // (62 // bits))
+    one = lambda a, w: F.when(F.col(a).between(w * (62 // bits), (w + 1) * (62 // bits) - 1), F.expr(f"shiftleft(1L, CAST({bits} * ({a} - {w * (62 // bits)}) AS INT))")).otherwise(0)
+    known = F.when(F.greatest("a1", "a2") < alleles, F.lit(1)).otherwise(F.raise_error(F.lit(f"more than {alleles} alleles")).cast("int"))
+    packed = [F.when(known == 1, one("a1", w) + one("a2", w)).alias(f"w{w}") for w in range(words)]
+    own = calls.where(F.col("gt").isNotNull()).select(*SITE, "sample", *packed).join(F.broadcast(drawn), "sample")
+    per = own.groupBy("pop", "round", *SITE).agg(*[F.sum(f"w{w}").alias(f"w{w}") for w in range(words)])
+    counts = [F.expr(f"shiftright(w{a // (62 // bits)}, {bits * (a % (62 // bits))}) & {(1 << bits) - 1}L") for a in range(alleles)]
+    copies, alike = sum(counts[1:], counts[0]), sum((c * (c - 1) for c in counts[1:]), counts[0] * (counts[0] - 1))
+    pi = 1 - F.try_divide(alike, copies * (copies - 1))
     return per.groupBy("pop", F.col("round").cast("long").alias("round")).agg(F.avg(pi).alias("pi"))
 
 

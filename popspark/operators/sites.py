@@ -12,42 +12,67 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.ranking import nearest_rank
+from ..sources.shared import written
 
 SITE = ["chrom", "pos"]
 
 
-def site_stats(calls: DataFrame) -> DataFrame:
-    """One pass over calls for all site filters: called, copies of alternates, copies, depth sum, depths."""
-    called = F.col("gt").isNotNull()
-    alt = F.when(called, (F.col("a1") > 0).cast("long") + (F.col("a2") > 0).cast("long"))
-    return calls.groupBy(*SITE).agg(F.count_if(called).alias("called"), F.coalesce(F.sum(alt), F.lit(0)).alias("alt"), (2 * F.count_if(called)).alias("copies"), F.sum("dp").alias("dp_sum"), F.count("dp").alias("dp_n"))
+def depth_stats(calls: DataFrame) -> DataFrame:
+    """chrom, pos, called (genotypes), dp_sum and dp_n (depths): one grouped sum."""
+    return calls.groupBy(*SITE).agg(F.count("gt").alias("called"), F.sum("dp").alias("dp_sum"), F.count("dp").alias("dp_n"))
 
 
-def _keep(calls: DataFrame, condition: Column) -> DataFrame:
-    return calls.join(site_stats(calls).where(condition).select(*SITE), SITE, "left_semi")
+def allele_stats(calls: DataFrame) -> DataFrame:
+    """chrom, pos, called, copies (called copies of all alleles) and counts, an array of (allele, n) by allele.
+
+    Equal genotypes of a site are summed before they are sent; a site's array is over its different genotypes.
+    """
+    same = calls.groupBy(*SITE, "a1", "a2").agg(F.count("gt").alias("n"))
+    sites = same.groupBy(*SITE).agg(F.sum("n").alias("called"), F.collect_list(F.when(F.col("n") > 0, F.struct("a1", "a2", "n"))).alias("_g"))
+    alleles = "array_sort(array_distinct(array_compact(flatten(transform(_g, g -> array(g.a1, g.a2))))))"
+    count = "aggregate(_g, 0L, (s, g) -> s + g.n * (if(g.a1 <=> x, 1, 0) + if(g.a2 <=> x, 1, 0)))"
+    counted = sites.withColumn("counts", F.expr(f"transform({alleles}, x -> struct(x AS allele, {count} AS n))"))
+    return counted.select(*SITE, "called", F.expr("aggregate(counts, 0L, (s, x) -> s + x.n)").alias("copies"), "counts")
+
+
+def _keep(calls: DataFrame, stats: DataFrame, condition: Column) -> DataFrame:
+    return calls.join(stats.where(condition).select(*SITE), SITE, "left_semi")
 
 
 def max_missing(calls: DataFrame, share: float, n_samples: int) -> DataFrame:
     """Sites called in at least `share` of the samples."""
-    return _keep(calls, F.col("called") >= share * n_samples)
+    return _keep(calls, depth_stats(calls), F.col("called") >= share * n_samples)
+
 
+def minor() -> Column:
+    """Copies of the second commonest allele; 0 if there is only one."""
+    return F.coalesce(F.get(F.sort_array(F.transform("counts", lambda x: x["n"]), asc=False), F.lit(1)), F.lit(0))
 
-def minor(alt: Column, copies: Column) -> Column:
-    return F.least(alt, copies - alt)
+
+def every_alternate(lo: float, hi: float, alternates: Column | None = None) -> Column:
+    """Whether each alternate (of those called, or 1 to `alternates`) has a share of the called copies from lo to hi; false without any."""
+    found = F.transform(F.filter("counts", lambda x: x["allele"] > 0), lambda x: x["allele"])
+    numbers = found if alternates is None else F.when(alternates > 0, F.sequence(F.lit(1), alternates)).otherwise(F.array().cast("array<int>"))
+    copies = lambda k: F.aggregate("counts", F.lit(0).cast("long"), lambda s, x: s + F.when(x["allele"] == k, x["n"]).otherwise(0))
+    return (F.col("copies") > 0) & (F.size(numbers) > 0) & F.forall(numbers, lambda k: copies(k).between(lo * F.col("copies"), hi * F.col("copies")))
 
 
 def mac(calls: DataFrame, n: int) -> DataFrame:
-    """Sites whose rarer allele has at least n copies."""
-    return _keep(calls, minor(F.col("alt"), F.col("copies")) >= n)
+    """Sites whose second commonest allele has at least n copies."""
+    return _keep(calls, allele_stats(calls), minor() >= n)
 
 
 def maf(calls: DataFrame, share: float) -> DataFrame:
-    return _keep(calls, (F.col("copies") > 0) & (minor(F.col("alt"), F.col("copies")) >= share * F.col("copies")))
+    """Sites whose second commonest allele has at least this share of the called copies."""
+    return _keep(calls, allele_stats(calls), (F.col("copies") > 0) & (minor() >= share * F.col("copies")))
 
 
-def non_ref_af(calls: DataFrame, lo: float = 0.001, hi: float = 0.9999) -> DataFrame:
-    """Sites whose alternates have a share of called copies from lo to hi."""
-    return _keep(calls, (F.col("copies") > 0) & (F.col("alt") >= lo * F.col("copies")) & (F.col("alt") <= hi * F.col("copies")))
+def non_ref_af(calls: DataFrame, lo: float = 0.001, hi: float = 0.9999, sites: DataFrame | None = None) -> DataFrame:
+    """Sites of which every alternate has a share of called copies from lo to hi: those that sites lists (alts), or without it those called."""
+    stats = allele_stats(calls)
+    if sites is None:
+        return _keep(calls, stats, every_alternate(lo, hi))
+    return _keep(calls, stats.join(sites.select(*SITE, F.size("alts").alias("_alts")), SITE), every_alternate(lo, hi, F.col("_alts")))
 
 
 def min_qual(sites: DataFrame, q: float) -> DataFrame:
@@ -62,7 +87,7 @@ def min_depth(calls: DataFrame, n: int) -> DataFrame:
 
 def mean_depth(calls: DataFrame, lo: float, hi: float) -> DataFrame:
     """Sites whose mean depth over genotypes with a depth is from lo to hi."""
-    return _keep(calls, (F.col("dp_n") > 0) & (F.col("dp_sum") >= lo * F.col("dp_n")) & (F.col("dp_sum") <= hi * F.col("dp_n")))
+    return _keep(calls, depth_stats(calls), (F.col("dp_n") > 0) & (F.col("dp_sum") >= lo * F.col("dp_n")) & (F.col("dp_sum") <= hi * F.col("dp_n")))
 
 
 def _is_snp() -> Column:
@@ -94,9 +119,22 @@ def filter_sites(sites: DataFrame, expr: str) -> DataFrame:
     return sites.where(F.expr(expr))
 
 
-def filter_alleles(sites: DataFrame, condition) -> DataFrame:
-    """Keep the alternates for which condition(alt) holds, and the sites that have any left."""
-    return sites.withColumn("alts", F.filter("alts", condition)).where(F.size("alts") > 0)
+def filter_alleles(sites: DataFrame, condition, per_allele: tuple[str, ...] = (), calls: DataFrame | None = None) -> DataFrame | tuple[DataFrame, DataFrame]:
+    """Keep the alternates for which condition(alt) holds, and the sites that have any left.
+
+    Arrays named in per_allele have a value for each alternate and lose those of the others.  With calls, (sites, calls):
+    alleles are numbered anew, and a genotype with an alternate that went is missing.
+    """
+    kept = F.filter(F.sequence(F.lit(0), F.size("alts") - 1), lambda i: condition(F.element_at("alts", i + 1)))
+    own = sites.where(F.size("alts") > 0).withColumn("_kept", kept).where(F.size("_kept") > 0)
+    left = own.withColumns({c: F.expr(f"transform(_kept, i -> {c}[i])") for c in ("alts", *per_allele)}).drop("_kept")
+    if calls is None:
+        return left
+    new = lambda a: F.when(F.col(a) == 0, 0).otherwise(F.expr(f"nullif(array_position(_kept, CAST({a} - 1 AS INT)), 0)"))
+    told = calls.join(own.select(*SITE, "_kept"), SITE).withColumns({a: new(a).cast("long") for a in ("a1", "a2")}).drop("_kept")
+    whole = F.col("gt").isNotNull() & F.col("a1").isNotNull() & F.col("a2").isNotNull()
+    told = told.withColumn("gt", F.when(whole, F.concat_ws("/", "a1", "a2"))).withColumns({a: F.when(F.col("gt").isNotNull(), F.col(a)) for a in ("a1", "a2")})
+    return left, told.select(*calls.columns)
 
 
 def filter_genotypes(calls: DataFrame, expr: str) -> DataFrame:
@@ -105,11 +143,11 @@ def filter_genotypes(calls: DataFrame, expr: str) -> DataFrame:
     return calls.withColumns({c: F.when(good, F.col(c)) for c in ("gt", "a1", "a2")})
 
 
-def tag_sites(sites: DataFrame, expr: str, pass_tag: str | None = None, fail_tag: str | None = None, append: bool = True) -> DataFrame:
+def tag_sites(sites: DataFrame, expr: str | Column, pass_tag: str | None = None, fail_tag: str | None = None, append: bool = True) -> DataFrame:
     """Put a tag into filter, by whether the predicate holds; append: tags that are there stay."""
     old = F.col("filter") if append else F.array().cast("array<string>")
     add = lambda tag: F.array_union(old, F.array(F.lit(tag))) if tag else old
-    return sites.withColumn("filter", F.when(F.expr(expr), add(pass_tag)).otherwise(add(fail_tag)))
+    return sites.withColumn("filter", F.when(F.expr(expr) if isinstance(expr, str) else expr, add(pass_tag)).otherwise(add(fail_tag)))
 
 
 def keep_tagged(sites: DataFrame, tag: str) -> DataFrame:
@@ -120,32 +158,55 @@ def remove_tagged(sites: DataFrame, tag: str) -> DataFrame:
     return sites.where(~F.array_contains("filter", tag))
 
 
-def filter_allele_balance(sites: DataFrame, lo: float = 0.2, hi: float = 0.8, fixed_lo: float = 0.01, fixed_hi: float = 0.99) -> DataFrame:
+def balanced(lo: float = 0.2, hi: float = 0.8, fixed_lo: float = 0.01, fixed_hi: float = 0.99) -> Column:
     ab = F.col("ab")
-    return sites.where(((ab > lo) & (ab < hi)) | (ab < fixed_lo) | (ab > fixed_hi))
+    return ((ab > lo) & (ab < hi)) | (ab < fixed_lo) | (ab > fixed_hi)
+
+
+def deep_enough_quality(ratio: float = 0.1) -> Column:
+    return F.col("qual") > ratio * F.col("dp")
+
+
+def like_mapped(lo: float = 0.25, hi: float = 1.75) -> Column:
+    return (F.col("mqm") > lo * F.col("mqmr")) & (F.col("mqm") < hi * F.col("mqmr"))
+
+
+def one_stranded(r1: float = 100, r2: float = 100, r3: float = 100, r4: float = 50) -> Column:
+    return F.expr(f"(saf > {r1} * sar AND srf > {r2} * srr) OR (sar > {r3} * saf AND srr > {r4} * srf)")
+
+
+def like_paired(least: float = 0.05, lo: float = 0.25, hi: float = 1.75) -> Column:
+    return F.expr(f"(paired > {least} AND pairedr > {least} AND pairedr > {lo} * paired AND pairedr < {hi} * paired) OR (paired < {least} AND pairedr < {least})")
+
+
+def both_paired_or_neither(least: float = 0.005) -> Column:
+    return F.expr(f"(paired < {least}) = (pairedr < {least})")
+
+
+def filter_allele_balance(sites: DataFrame, *limits: float) -> DataFrame:
+    return sites.where(balanced(*limits))
 
 
 def filter_qual_depth(sites: DataFrame, ratio: float = 0.1) -> DataFrame:
-    return sites.where(F.col("qual") > ratio * F.col("dp"))
+    return sites.where(deep_enough_quality(ratio))
 
 
 def filter_mapq_ratio(sites: DataFrame, lo: float = 0.25, hi: float = 1.75) -> DataFrame:
-    return sites.where((F.col("mqm") > lo * F.col("mqmr")) & (F.col("mqm") < hi * F.col("mqmr")))
+    return sites.where(like_mapped(lo, hi))
 
 
-def filter_strand(sites: DataFrame, r1: float = 100, r2: float = 100, r3: float = 100, r4: float = 50) -> DataFrame:
+def filter_strand(sites: DataFrame, *ratios: float) -> DataFrame:
     """Sites whose alternates and references come from the same strand: forward by r1 and r2 to 1, or reverse by r3 and r4."""
-    return sites.where(f"(saf > {r1} * sar AND srf > {r2} * srr) OR (sar > {r3} * saf AND srr > {r4} * srf)")
+    return sites.where(one_stranded(*ratios))
 
 
-def filter_pairing(sites: DataFrame, least: float = 0.05, lo: float = 0.25, hi: float = 1.75) -> DataFrame:
-    return sites.where(f"(paired > {least} AND pairedr > {least} AND pairedr > {lo} * paired AND pairedr < {hi} * paired) OR (paired < {least} AND pairedr < {least})")
+def filter_pairing(sites: DataFrame, *limits: float) -> DataFrame:
+    return sites.where(like_paired(*limits))
 
 
 def filter_pairing_mixed(sites: DataFrame, least: float = 0.005) -> DataFrame:
     """Drop sites of which exactly one of the two shares is under least: tagged NP, then removed."""
-    tagged = tag_sites(sites, f"(paired < {least}) = (pairedr < {least})", fail_tag="NP")
-    return remove_tagged(tagged, "NP")
+    return remove_tagged(tag_sites(sites, both_paired_or_neither(least), fail_tag="NP"), "NP")
 
 
 def hard_filter(sites: DataFrame, rules: dict[str, str]) -> DataFrame:
@@ -184,39 +245,37 @@ def depth_mismatch(depth: DataFrame, share: float = 0.6) -> DataFrame:
 
 
 def final_filter(sites: DataFrame, calls: DataFrame, n_samples: int) -> DataFrame:
-    """Sites with a call rate of 0.9, an alternate share from 0.001 to 0.9999, a minor allele and a quality of 30: one pass over calls."""
-    c = F.col
-    good = site_stats(calls).where((c("called") >= 0.9 * n_samples) & (c("copies") > 0) & (c("alt") >= 0.001 * c("copies")) & (c("alt") <= 0.9999 * c("copies")) & (minor(c("alt"), c("copies")) >= 1))
-    return min_qual(sites, 30).join(good.select(*SITE), SITE, "left_semi")
+    """Sites with a call rate of 0.9, every alternate's share from 0.001 to 0.9999, a minor allele and a quality of 30: one pass over calls."""
+    good = min_qual(sites, 30).withColumn("_alts", F.size("alts")).join(allele_stats(calls), SITE)
+    return good.where((F.col("called") >= 0.9 * n_samples) & every_alternate(0.001, 0.9999, F.col("_alts")) & (minor() >= 1)).select(*sites.columns)
 
 
-def filter_chain(sites: DataFrame, calls: DataFrame, overlap: bool = False, mixed: bool = False, cutoff: float | None = None) -> tuple[DataFrame, DataFrame]:
-    """The whole filter chain: (sites left, report of step, sites).
+def filter_chain(sites: DataFrame, calls: DataFrame, overlap: bool = False, mixed: bool = False, cutoff: float | None = None, genotypes: str = "ro > 0 OR ao > 0") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The whole filter chain: (sites left, calls left, report of step, filter and sites).
 
     Steps: allele balance, quality by depth, mapping-quality ratio, strand (unless reads overlap), pairing, low quality at
-    high depth (limits from the unfiltered sites), mean depth, depth within contigs.  Each step marks the sites it drops,
-    so the report is one aggregation, not a count for each step.
+    high depth (limits from the unfiltered sites), mean depth, depth within contigs.  Genotypes that fail the predicate are
+    missing from the first step on; they keep their depth.  Each site is marked once with the step that drops it (and
+    written so), and the report is one count over these marks.
     """
-    steps = [("allele balance", filter_allele_balance), ("quality by depth", filter_qual_depth), ("mapping quality", filter_mapq_ratio)]
-    steps += [] if overlap else [("strand", filter_strand)]
-    steps += [("pairing", filter_pairing_mixed if mixed else filter_pairing)]
-    left, kept = sites, [("all", sites)]
-    for name, step in steps:
-        left = step(left)
-        kept.append((name, left))
-    left = exclude_positions(left, low_quality_high_depth(sites))
-    kept.append(("low quality at high depth", left))
-    depth = site_stats(calls).where("dp_n > 0").select(*SITE, "dp_sum", "dp_n")
-    shallow = depth if cutoff is None else depth.where(F.col("dp_sum") <= cutoff * F.col("dp_n"))
-    left = keep_positions(left, shallow)
-    kept.append(("mean depth", left))
-    left = exclude_positions(left, depth_mismatch(left.select(*SITE, "dp")))
-    kept.append(("depth within contig", left))
-    rows = [df.select(F.lit(i).cast("long").alias("step"), F.lit(name).alias("filter")) for i, (name, df) in enumerate(kept)]
-    report = rows[0]
-    for r in rows[1:]:
-        report = report.unionByName(r)
-    return left, report.groupBy("step", "filter").agg(F.count("*").alias("sites"))
+    steps = [("allele balance", balanced()), ("quality by depth", deep_enough_quality()), ("mapping quality", like_mapped())]
+    steps += [] if overlap else [("strand", one_stranded())]
+    steps += [("pairing", both_paired_or_neither() if mixed else like_paired())]
+    steps += [("low quality at high depth", ~((F.col("dp") > F.col("_limit")) & (F.col("qual") < 2 * F.col("dp"))))]
+    steps += [("mean depth", (F.col("dp_n") > 0) & (F.lit(True) if cutoff is None else F.col("dp_sum") <= cutoff * F.col("dp_n")))]
+    limit = sites.agg((F.floor(F.avg("dp")) + F.floor(F.stddev_pop("dp"))).alias("_limit"))
+    with_depth = sites.join(F.broadcast(limit)).join(depth_stats(calls).select(*SITE, "dp_sum", "dp_n"), SITE, "left")
+    failed = F.coalesce(*[F.when(~F.coalesce(good, F.lit(False)), n) for n, (_, good) in enumerate(steps, 1)])
+    marked = written(with_depth.select(*sites.columns, failed.alias("_out")))
+    means = marked.where("_out IS NULL").groupBy("chrom").agg(F.sum("dp").alias("_s"), F.count("*").alias("_n"))
+    shallow = F.when(F.col("dp") * F.col("_n") < 0.6 * F.col("_s"), len(steps) + 1)
+    marked = marked.join(means, "chrom", "left").withColumn("_out", F.coalesce("_out", shallow))
+    left = marked.where("_out IS NULL").select(*sites.columns)
+    names = ["all", *[n for n, _ in steps], "depth within contig"]
+    alive = [F.count_if(F.col("_out").isNull() | (F.col("_out") > n)) for n in range(len(names))]
+    counts = marked.agg(F.array(*[F.struct(F.lit(n).cast("long").alias("step"), F.lit(name).alias("filter"), c.alias("sites")) for n, (name, c) in enumerate(zip(names, alive))]).alias("x"))
+    report = counts.select(F.explode("x").alias("x")).select("x.*").where("sites > 0")
+    return left, keep_positions(filter_genotypes(calls, genotypes), left), report
 
 
 def site_depth(calls: DataFrame) -> DataFrame:

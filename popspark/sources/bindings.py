@@ -24,13 +24,17 @@ class Tables:
 
     @cached_property
     def calls(self) -> DataFrame:
-        """chrom, pos, sample, pop, sid, pk, dp, a1, a2, gt, ro, ao: one row for each site and sample with a genotype."""
+        """chrom, pos, sample, pop, sid, pk, dp, a1, a2, gt, ro, ao: one row for each site and sample with a genotype.
+
+        Sites with two alternates (pk % 10 = 0) have alleles 0 to 2, the others 0 and 1.
+        """
         line = self.read("lineitem").selectExpr("l_partkey AS pk", "l_orderkey % 40 AS sid", "l_orderkey AS ok", "CAST(floor(l_quantity) AS BIGINT) AS qty", "CAST(l_linenumber AS BIGINT) AS ln", "l_suppkey AS sk")
         sums = line.groupBy("pk", "sid").agg(F.expr("sum(qty) % 37 AS dp"), F.expr("sum(ln + ok) % 11 AS h1"), F.expr("sum(3 * ln + sk) % 11 AS h2"))
-        alleles = sums.selectExpr("*", "CAST(h1 < pk % 9 AS BIGINT) AS a1", "CAST(h2 < pk % 9 AS BIGINT) AS a2")
+        alleles = sums.selectExpr("*", *[f"CAST(if({h} < pk % 9, if(pk % 10 = 0, 1 + {h} % 2, 1), 0) AS BIGINT) AS {a}" for h, a in (("h1", "a1"), ("h2", "a2"))])
+        refs = "(if(a1 = 0, 1, 0) + if(a2 = 0, 1, 0))"
         return alleles.selectExpr(
             "concat('ctg_', pk div 20) AS chrom", "1 + (pk % 20) * 12 + (pk * 7) % 11 AS pos", "concat('P', sid % 4, '_', sid) AS sample", "concat('P', sid % 4) AS pop", "sid", "pk", "dp", "a1", "a2",
-            "concat(a1, '/', a2) AS gt", "dp * (2 - a1 - a2) div 2 AS ro", "dp - dp * (2 - a1 - a2) div 2 AS ao",
+            "concat(a1, '/', a2) AS gt", f"dp * {refs} div 2 AS ro", f"dp - dp * {refs} div 2 AS ao",
         )
 
     @cached_property
@@ -104,10 +108,11 @@ class Tables:
 #: The same tables as common table expressions for DuckDB.
 CTE = {
     "calls": """calls AS (SELECT 'ctg_' || (pk // 20) AS chrom, 1 + (pk % 20) * 12 + (pk * 7) % 11 AS pos, 'P' || (sid % 4) || '_' || sid AS sample, 'P' || (sid % 4) AS pop, sid, pk, dp, a1, a2,
-  a1 || '/' || a2 AS gt, dp * (2 - a1 - a2) // 2 AS ro, dp - dp * (2 - a1 - a2) // 2 AS ao
-  FROM (SELECT pk, sid, dp, CAST(CASE WHEN h1 < pk % 9 THEN 1 ELSE 0 END AS BIGINT) AS a1, CAST(CASE WHEN h2 < pk % 9 THEN 1 ELSE 0 END AS BIGINT) AS a2
+  a1 || '/' || a2 AS gt, dp * ((a1 = 0)::BIGINT + (a2 = 0)::BIGINT) // 2 AS ro, dp - dp * ((a1 = 0)::BIGINT + (a2 = 0)::BIGINT) // 2 AS ao
+  FROM (SELECT pk, sid, dp, CAST(CASE WHEN h1 >= pk % 9 THEN 0 WHEN pk % 10 = 0 THEN 1 + h1 % 2 ELSE 1 END AS BIGINT) AS a1, CAST(CASE WHEN h2 >= pk % 9 THEN 0 WHEN pk % 10 = 0 THEN 1 + h2 % 2 ELSE 1 END AS BIGINT) AS a2
     FROM (SELECT l_partkey AS pk, l_orderkey % 40 AS sid, CAST(sum(CAST(floor(l_quantity) AS BIGINT)) AS BIGINT) % 37 AS dp, CAST(sum(l_linenumber + l_orderkey) AS BIGINT) % 11 AS h1, CAST(sum(3 * l_linenumber + l_suppkey) AS BIGINT) % 11 AS h2
       FROM lineitem GROUP BY l_partkey, l_orderkey % 40)))""",
+    "counts": "counts AS (SELECT chrom, pos, allele, count(*) AS n FROM (SELECT chrom, pos, a1 AS allele FROM calls UNION ALL SELECT chrom, pos, a2 FROM calls) GROUP BY chrom, pos, allele)",
     "sites": """sites AS (SELECT 'ctg_' || (pk // 20) AS chrom, 1 + (pk % 20) * 12 + (pk * 7) % 11 AS pos, pk, substr('ACGT', pk % 4 + 1, 1) AS ref,
   substr('ACGT', (pk + 1) % 4 + 1, 1) || CASE WHEN pk % 13 = 0 THEN substr('ACGT', pk % 4 + 1, 1) ELSE '' END AS alt1, CASE WHEN pk % 10 = 0 THEN substr('ACGT', (pk + 2) % 4 + 1, 1) END AS alt2,
   (pk * 37 % 1000) / 10 AS qual, dp, (pk % 101) / 100 AS ab, pk * 13 % 211 AS saf, pk % 3 AS sar, pk * 17 % 223 AS srf, pk % 2 AS srr, 20 + pk % 41 AS mqm, 20 + pk * 3 % 41 AS mqmr, (pk % 21) / 20 AS paired, (pk * 5 % 21) / 20 AS pairedr
@@ -135,7 +140,7 @@ CTE = {
     "contigs": "contigs AS (SELECT 'ctg_' || s_suppkey AS contig, s_suppkey AS contig_no, translate(regexp_replace(lower(s_name), '[^a-z]', '', 'g'), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC') AS seq FROM supplier)",
     "hap_stats": "hap_stats AS (SELECT 'ctg_' || (p_partkey // 20) AS locus, CASE WHEN p_size % 5 = 0 THEN 'FILTERED' ELSE 'PASSED' END AS status, CASE WHEN p_size % 10 = 0 THEN 'Complex' ELSE '-' END AS comment, p_partkey AS ordinal, (p_partkey * 29 % 100) / 100 AS q, CAST(900 + p_size AS BIGINT) AS n_contigs FROM part)",
 }
-_NEEDS = {"fastq": ["reads"], "pile": ["sequenced"], "sites": ["calls"], "dna": ["reads"], "uniq": ["reads"], "pairs": ["mates"], "iv": ["aln"], "merged": ["iv"], "cov": ["merged", "iv"]}
+_NEEDS = {"fastq": ["reads"], "pile": ["sequenced"], "sites": ["calls"], "counts": ["calls"], "dna": ["reads"], "uniq": ["reads"], "pairs": ["mates"], "iv": ["aln"], "merged": ["iv"], "cov": ["merged", "iv"]}
 
 
 def with_tables(names: str, sql: str) -> str:

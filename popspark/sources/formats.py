@@ -179,3 +179,10 @@ def merge_call_sets(*sets: tuple[DataFrame, DataFrame]) -> tuple[DataFrame, Data
     more = [c for c in every.columns if c not in ("chrom", "pos", "_rank")]
     best = every.groupBy("chrom", "pos").agg(F.max_by(F.struct(*more), "_rank").alias("_best")).select("chrom", "pos", *[F.col("_best")[c].alias(c) for c in more])
     return best, reduce(lambda a, b: a.unionByName(b), [c for _, c in sets])
+
+
+def read_popmap(spark: SparkSession, path: str) -> DataFrame:
+    """sample, pop and barcode of each line of a file (fields between white space; missing ones are null, a missing pop comes from the name)."""
+    parts = F.split(F.trim("value"), r"\s+")
+    own = spark.read.text(path).where(F.trim("value") != "").select(parts[0].alias("sample"), F.get(parts, F.lit(1)).alias("pop"), F.get(parts, F.lit(2)).alias("barcode"))
+    return own.withColumn("pop", F.coalesce("pop", F.substring_index("sample", "_", 1)))

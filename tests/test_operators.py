@@ -44,7 +44,7 @@ def test_call_rate_counts_absent_rows_and_masked_genotypes(spark):
     masked = V.min_depth(c, 3)
     assert {(r.pos, r.sample, r.gt, r.dp) for r in masked.collect()} == {(1, "A_1", "0/1", 9), (1, "A_2", None, 2), (2, "A_1", "1/1", 3)}
     assert P.genotype_totals(masked, 2, 2).first() == (4, 1, 3)  # a masked genotype keeps its depth
-    assert P.missing_by_individual(masked, 2).where("sample = 'A_2'").first().f_miss == 1.0
+    assert P.missing_by_individual(masked, spark.createDataFrame([("A_2",), ("A_9",)], "sample string"), 2).where("f_miss = 1").count() == 2
 
 
 def test_strand_filter_without_division(spark):
@@ -99,8 +99,61 @@ def test_overlaps_are_found_once(spark):
 
 def test_chunks_by_fold(spark):
     cov = spark.createDataFrame([("c_2", 0, 1, 5), ("c_10", 0, 1, 5), ("c_1", 0, 1, 100), ("c_3", 0, 1, 100), ("c_4", 0, 1, 5)], "contig string, start long, end long, depth long")
-    got = {r.contig: r.chunk for r in I.fold_chunks(cov, 10, 100).collect()}
-    assert got["c_1"] == 0 and got["c_2"] == 1 and got["c_3"] == 2 and got["c_4"] == got["c_10"] == 3
+    for block in (1, 2, 100):
+        got = {r.contig: r.chunk for r in I.fold_chunks(cov, 10, 100, block).collect()}
+        # the first row alone doesn't reset the running load, so c_2 begins a chunk again; c_4 and c_10 reach the target together
+        assert got == {"c_1": 0, "c_2": 2, "c_3": 3, "c_4": 4, "c_10": 5}
+
+
+def plain_fold(load, target, alone):
+    """The walk by its four rules."""
+    chunk, run, lone, out = 0, 0, False, []
+    for i, x in enumerate(load):
+        run += x
+        if x >= alone:
+            chunk += not (lone or i == 0)
+            out.append(chunk)
+            run, chunk, lone = run if i == 0 else 0, chunk + 1, True
+        else:
+            if run >= target:
+                chunk, run = chunk + 1, x
+            out.append(chunk)
+            lone = False
+    return out
+
+
+@pytest.mark.parametrize("block", [1, 7, 60, 1000])
+def test_fold_in_blocks_is_the_walk(spark, block):
+    import random
+
+    rng = random.Random(block)
+    rows = [(f"c_{i // 9}", i, i + 1, rng.choice([0, 1, 2, 5, 8, 30])) for i in range(150)]
+    cov = spark.createDataFrame(rows, "contig string, start long, end long, depth long").repartition(5)
+    got = [r.chunk for r in sorted(I.fold_chunks(cov, 12, 30, block).collect(), key=lambda r: r.start)]
+    assert got == plain_fold([r[3] for r in rows], 12, 30)
+    assert I.fold_chunks(cov.limit(0), 12, 30).count() == 0
+
+
+def test_merged_intervals_of_all_shapes(spark):
+    import random
+
+    rng = random.Random(11)
+    rows = []
+    for _ in range(400):
+        start = rng.randrange(6000)
+        rows.append((rng.choice(["c", "d"]), start, start + rng.choice([1, 3, 20, 700, 2500]) if rng.random() < 0.2 else start + rng.randrange(1, 9)))
+    want = set()
+    for contig in "cd":
+        for start, end in sorted(r[1:] for r in rows if r[0] == contig):
+            last = max((w for w in want if w[0] == contig), default=None)
+            if last and start <= last[2]:
+                want.remove(last)
+                want.add((contig, last[1], max(end, last[2])))
+            else:
+                want.add((contig, start, end))
+    iv = spark.createDataFrame(rows, "contig string, start long, end long")
+    for width in (1, 7, 1024):
+        assert sorted(map(tuple, I.merge_intervals(iv, bin_width=width).collect())) == sorted(want)
 
 
 def test_demultiplex_drops_ambiguous_prefixes(spark):
@@ -110,6 +163,60 @@ def test_demultiplex_drops_ambiguous_prefixes(spark):
     assert {r.n for r in R.demultiplex(reads, codes, 0).collect()} == {1, 4}
 
 
+def test_demultiplex_takes_the_nearest_then_the_longest(spark):
+    reads = spark.createDataFrame([("ACGTTC", 1), ("ACGTAC", 2), ("ACGGTC", 3), ("TTTTTT", 4), ("TT", 5), ("GGCCCC", 6)], "seq string, n long")
+    codes = spark.createDataFrame([("short", "ACGT"), ("long", "ACGTT"), ("t", "TTTTAA"), ("g", "GGGG")], "sample string, barcode string")
+    got = lambda d: {(r.n, r["sample"], r.seq) for r in R.demultiplex(reads, codes, d).collect()}
+    assert got(0) == {(1, "long", "C"), (2, "short", "AC")}
+    assert got(1) == {(1, "long", "C"), (2, "short", "AC"), (3, "long", "C")}
+    assert got(2) == got(1) | {(4, "t", ""), (6, "g", "CC")}
+    both = spark.createDataFrame([("s", "AC", "GG"), ("t", "AC", "TT")], "sample string, barcode string, barcode2 string")
+    reads = spark.createDataFrame([("ACA", "GG", 1), ("ACA", "TG", 2), ("ACC", "TA", 3), ("GGG", "GG", 4)], "seq string, index string, n long")
+    assert {(r.n, r["sample"], r.seq) for r in R.demultiplex(reads, both, 1).collect()} == {(1, "s", "A"), (3, "t", "C")}
+
+
+def test_sites_of_several_alternates(spark):
+    rows = [("c", 1, f"A_{i}", *g, 5) for i, g in enumerate([(1, 1), (1, 2), (2, 2), (1, 2)])] + [("c", 2, f"A_{i}", *g, 5) for i, g in enumerate([(0, 0), (1, 1), (2, 2), (1, 2)])] + [("c", 3, "A_0", None, None, 5)]
+    c = calls(spark, rows)
+    sites = spark.createDataFrame([("c", 1, "A", ["C", "G"], [0.5, 0.6], 50.0), ("c", 2, "A", ["C", "G", "T"], [0.1, 0.2, 0.3], 50.0), ("c", 3, "A", [], [], 50.0)], "chrom string, pos long, ref string, alts array<string>, af array<double>, qual double")
+    at = lambda df: {r.pos for r in df.collect()}
+    assert at(V.mac(c, 4)) == {1} and at(V.mac(c, 3)) == {1, 2} and at(V.maf(c, 0.5)) == {1}
+    assert at(V.non_ref_af(c)) == {1, 2} and at(V.non_ref_af(c, sites=sites)) == {1}  # no copy of T
+    assert {r.pos: round(r.pi, 4) for r in P.site_pi(c).collect()} == {1: 0.5714, 2: 0.75}
+    assert at(V.final_filter(sites, c, 4)) == {1}
+    pops = spark.createDataFrame([(f"A_{i}", "A") for i in range(4)], "sample string, pop string")
+    assert [round(r.pi, 4) for r in P.resample_pi(c.where("pos = 2"), pops, rounds=2, n=4).collect()] == [0.75, 0.75]
+    left, own = V.filter_alleles(sites, lambda a: a.isin("G", "T"), ("af",), c)
+    assert {r.pos: (r.alts, r.af) for r in left.collect()} == {1: (["G"], [0.6]), 2: (["G", "T"], [0.2, 0.3])}
+    assert sorted((r.pos, r["sample"], r.gt) for r in own.collect()) == [(1, "A_0", None), (1, "A_1", None), (1, "A_2", "1/1"), (1, "A_3", None), (2, "A_0", "0/0"), (2, "A_1", None), (2, "A_2", "1/1"), (2, "A_3", None)]
+
+
+def test_heterozygotes_of_low_depth(spark):
+    rows = [(0, 1, 2, 0), (0, 1, 2, 1), (1, 0, 2, 2), (0, 1, 3, 3), (0, 1, 3, 1), (0, 1, 4, 4), (1, 1, 4, 0), (0, 2, 1, 1)]
+    c = calls(spark, [("c", i, "A_1", a, b, d) for i, (a, b, d, _) in enumerate(rows)]).join(spark.createDataFrame([(i, r[3]) for i, r in enumerate(rows)], "pos long, ro long"), "pos")
+    r = P.error_count(c, 8, 1).first()
+    assert (r.n1, r.n2, r.n3, r.n4, r.n5, r.called) == (0, 2, 1, 1, 0, 8)
+
+
+def test_names_in_natural_order(spark, tmp_path):
+    names = ["c_10", "c_9", "b", "c_1", "c", "a_2"]
+    assert [r.contig for r in R.natural_order(spark.createDataFrame([(n,) for n in names], "contig string")).collect()] == ["a_2", "b", "c", "c_1", "c_9", "c_10"]
+    (tmp_path / "popmap").write_text("A_1\tX\tACGT\n\nB_2\n C_3  Y \n")
+    assert sorted(map(tuple, X.read_popmap(spark, str(tmp_path / "popmap")).collect())) == [("A_1", "X", "ACGT"), ("B_2", "B", None), ("C_3", "Y", None)]
+
+
+def test_chain_masks_genotypes_and_counts_once(spark):
+    site = lambda pos, **x: ({"ab": 0.5, "qual": 50.0, "dp": 10, "mqm": 40, "mqmr": 40, "saf": 200, "sar": 1, "srf": 200, "srr": 1, "paired": 1.0, "pairedr": 1.0} | x, pos)
+    made = [site(1), site(2, ab=0.1), site(3, qual=0.5), site(4, mqm=5), site(5, sar=100), site(6, pairedr=0.1), site(7), site(8, dp=1)]
+    names = list(made[0][0])
+    sites = spark.createDataFrame([("c", pos, *[float(x[n]) for n in names]) for x, pos in made], "chrom string, pos long, " + ", ".join(f"{n} double" for n in names))
+    own = spark.createDataFrame([("c", pos, s, "0/1", 0, 1, 40 if pos == 7 else 5, ro, ao) for _, pos in made for s, ro, ao in (("A_1", 3, 2), ("A_2", 0, 0))], CALLS + ", ro long, ao long")
+    left, calls_left, report = V.filter_chain(sites, own, cutoff=20)
+    assert [r.pos for r in left.collect()] == [1] and left.columns == sites.columns
+    assert sorted((r["sample"], r.gt, r.dp) for r in calls_left.collect()) == [("A_1", "0/1", 5), ("A_2", None, 5)]
+    assert [(r.step, r.sites) for r in report.orderBy("step").collect()] == [(0, 8), (1, 7), (2, 6), (3, 5), (4, 4), (5, 3), (6, 3), (7, 2), (8, 1)]
+
+
 def test_reads(spark):
     df = spark.createDataFrame([("ACGTNn",), ("",), (None,)], "seq string")
     assert [r.s for r in df.select(R.revcomp(F.col("seq")).alias("s")).collect()] == ["NNACGT", "", None]
@@ -120,7 +227,7 @@ def test_reads(spark):
 
 
 def test_error_rates(spark):
-    c = calls(spark, [("c", i, "A_1", a, b, d) for i, (a, b, d) in enumerate([(0, 1, 1), (0, 0, 2), (0, 1, 2), (1, 1, 5), (0, 0, 9)])])
+    c = calls(spark, [("c", i, "A_1", a, b, d) for i, (a, b, d) in enumerate([(0, 1, 1), (0, 0, 2), (0, 1, 2), (1, 1, 5), (0, 0, 9)])]).withColumn("ro", F.lit(1))
     r = P.error_count(c, 5, 1).first()
     assert (r.n1, r.n2, r.n3, r.n4, r.n5, r.called) == (1, 1, 0, 0, 1, 5)
     assert r.low_share == pytest.approx((0.5 + 0.25 + 1 / 32) / 5) and r.high_share == pytest.approx((0.75 + 0.5625 + 0.237) / 5)

@@ -12,17 +12,17 @@ def test_coverage_and_intersection_have_all_contigs_and_samples(spark, data):
     iv = I.to_intervals(Tables(spark, data).aln)
     rows, contigs, samples = iv.agg(F.count("*"), F.count_distinct("contig"), F.count_distinct("sample")).first()
     merged = I.merge_intervals(iv).count()
-    depth = QUERIES["iv_6_coverage_by_interval_whole"](spark, data).agg(F.count("*"), F.sum("depth"), F.count_distinct("contig")).first()
+    depth = QUERIES["iv_6_coverage_by_interval"](spark, data).agg(F.count("*"), F.sum("depth"), F.count_distinct("contig")).first()
     assert tuple(depth) == (merged * samples, rows, contigs)  # each alignment lies in one merged interval
-    assert sorted(map(tuple, QUERIES["iv_12_intersect_intervals_whole"](spark, data).select("sample", "contig", "start", "end").collect())) == sorted(map(tuple, iv.select("sample", "contig", "start", "end").collect()))
+    assert sorted(map(tuple, QUERIES["iv_12_intersect_intervals"](spark, data).select("sample", "contig", "start", "end").collect())) == sorted(map(tuple, iv.select("sample", "contig", "start", "end").collect()))
 
 
 def test_profiles_have_every_base_of_every_line(spark, data):
     dna = Tables(spark, data).dna
     bases, longest = dna.agg(F.sum(F.length("seq")), F.max(F.length("seq"))).first()
-    assert tuple(QUERIES["cl_5_base_profile_whole"](spark, data).agg(F.sum("n"), F.max("pos")).first()) == (bases, longest)
-    assert QUERIES["cl_7_cluster_consensus_whole"](spark, data).agg(F.max(F.length("seq"))).first()[0] == longest
-    own = QUERIES["cl_6_divide_clusters_whole"](spark, data)
+    assert tuple(QUERIES["cl_5_base_profile"](spark, data).agg(F.sum("n"), F.max("pos")).first()) == (bases, longest)
+    assert QUERIES["cl_7_cluster_consensus"](spark, data).agg(F.max(F.length("seq"))).first()[0] == longest
+    own = QUERIES["cl_6_divide_clusters"](spark, data)
     assert tuple(own.agg(F.count("*"), F.sum(F.length("fwd"))).first()) == (dna.count(), bases)
     assert own.where("length(allele) > 60").count() > 0
 
@@ -42,4 +42,4 @@ def test_consensus_of_both_mates_is_glued(spark):
 
 def test_hundred_rounds(spark, data):
     pops = Tables(spark, data).popmap.select("pop").distinct().count()
-    assert tuple(QUERIES["p_13_resample_pi_whole"](spark, data).agg(F.count("*"), F.max("round")).first()) == (100 * pops, 100)
+    assert tuple(QUERIES["p_13_resample_pi"](spark, data).agg(F.count("*"), F.max("round")).first()) == (100 * pops, 100)
