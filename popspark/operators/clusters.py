@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -18,6 +19,7 @@ from .unique import filter_k2, individuals_per_seq
 _BASE = np.full(256, 4, np.uint64)
 _BASE[np.frombuffer(b"ACGT", np.uint8)] = range(4)
 _NONE = np.uint64(2**64 - 1)
+_CODE = (_BASE % 4).astype(np.uint16)
 
 
 def minimizers(seq: str, k: int, w: int) -> tuple[np.ndarray, np.ndarray]:
@@ -91,14 +93,17 @@ def word_seeds(seq: str, sizes: Iterable[int]) -> tuple[np.ndarray, np.ndarray,
 
 def _word_counts(texts: list[str]) -> np.ndarray:
     """How often each word of _WORD bases (other letters than A, C, G and T count as A) occurs in each text."""
-    base = _BASE[np.frombuffer("".join(texts).encode("latin-1", "replace"), np.uint8)].astype(np.int64) % 4
-    n = np.array([len(x) for x in texts], np.int64)
-    word = np.zeros(max(0, len(base) - _WORD + 1), np.int64)
-    for i in range(_WORD):
-        word = word * 4 + base[i : i + len(word)]
-    row, place = np.repeat(np.arange(len(n)), n), np.arange(len(base)) - np.repeat(np.cumsum(n) - n, n)
-    whole = np.flatnonzero(place[: len(word)] <= (n - _WORD)[row[: len(word)]])
-    return np.bincount(row[whole] * 4**_WORD + word[whole], minlength=len(n) * 4**_WORD).reshape(len(n), -1)
+    base = _CODE[np.frombuffer("".join(texts).encode("latin-1", "replace"), np.uint8)]
+    ends = np.cumsum([len(x) for x in texts])
+    n = np.diff(ends, prepend=0)
+    word = np.zeros(len(base), np.uint16)
+    for i in range(min(_WORD, len(base))):
+        word[: len(base) - i] = word[: len(base) - i] * 4 + base[i:]
+    whole = np.ones(len(base), bool)  # where a word of the same text begins
+    for i in range(1, _WORD):
+        whole[ends[n >= i] - i] = False
+    place = np.repeat(np.arange(len(n), dtype=np.int32) * 4**_WORD, n) + word
+    return np.bincount(place[whole], minlength=len(n) * 4**_WORD).astype(np.int32).reshape(len(n), -1)
 
 
 def missing_words(short: list[str], long: list[str]) -> np.ndarray:
@@ -126,11 +131,10 @@ def least_edits(short: list[str], long: list[str]) -> np.ndarray:
 def edits_up_to(short: list[str], long: list[str], most: np.ndarray) -> np.ndarray:
     """least_edits, or more than most where it is more.
 
-    Pairs are ruled out by the words that long lacks, and long ones by blocks of 64 bases: their edits, each wherever it fits
-    best, cannot add up to more than the whole's.
+    Long ones are ruled out by blocks of 64 bases: their edits, each wherever it fits best, cannot add up to more than the
+    whole's.
     """
-    out = most + 1
-    near = np.flatnonzero(missing_words(short, long) <= _WORD * most)
+    out, near = most + 1, np.arange(len(short))
     blocks = [[x[a : a + 64] for a in range(0, len(x), 64)] if len(x) > 256 else [] for x in (short[i] for i in near)]
     count = np.array([len(b) for b in blocks], np.int64)
     parts = least_edits([b for own in blocks for b in own], [long[i] for i, n in zip(near, count) for _ in range(n)])
@@ -209,7 +213,10 @@ def cluster_sequences(df: DataFrame, identity: float = 0.9, k: int | None = None
     if not 0 < identity <= 1:
         raise ValueError("identity is above 0 and at most 1")
     named = df.select("id", F.coalesce("seq", F.lit("")).alias("seq")).withColumn("key", F.md5(F.col("seq").cast("binary")))
-    nodes = written(named.groupBy("key", "seq").agg(F.min("id").alias("rep_id")).withColumn("n", F.length("seq")))
+    named = named.withColumnRenamed("key", "md5")
+    different = written(named.groupBy("md5", "seq").agg(F.min("id").alias("rep_id")).withColumn("n", F.length("seq")))
+    # key: the place in the order in which they are gone through, from 1
+    nodes = written(number_rows(different, [F.col("n"), F.substring("md5", 1, 4)], [F.desc("n"), F.desc("md5")], "key"))
     texts = nodes.select("key", "seq")
     least: dict[int, int] = {}  # of each size of parts, the shortest sequence that is cut so
     for (n,) in [] if k else nodes.where(F.col("n") >= shortest).select("n").distinct().orderBy("n").collect():
@@ -231,7 +238,7 @@ def cluster_sequences(df: DataFrame, identity: float = 0.9, k: int | None = None
                     if len(rows):
                         yield rows.assign(own=own, **{c: np.concatenate([x[j] for x in found]) for j, c in enumerate(("seed", "at", "until"))})
 
-    every = written(nodes.where(F.col("n") >= shortest).select("key", "seq", "n").mapInPandas(seeds, "key string, n int, m int, own boolean, seed bigint, at int, until int"))
+    every = written(nodes.where(F.col("n") >= shortest).select("key", "seq", "n").mapInPandas(seeds, "key long, n int, m int, own boolean, seed bigint, at int, until int"))
     shared = every.groupBy("seed").agg(F.max("key").alias("_a"), F.min("key").alias("_b"), F.bool_or("own").alias("_own")).where("_own AND _a <> _b").select("seed")
     shared = every.join(shared, "seed")
     counts = shared.where("own").groupBy("key").agg(F.count_distinct("seed").alias("seeds"))
@@ -246,9 +253,18 @@ def cluster_sequences(df: DataFrame, identity: float = 0.9, k: int | None = None
         laid = F.substring("long", start + 1, F.col("shift") + F.length("short") + band - start)
         return both.withColumn("identity", identity_of(F.col("short"), laid, identity)).where("identity IS NOT NULL").drop("short", "long", "shift")
 
-    @F.pandas_udf("int")
-    def edits_of(short: pd.Series, long: pd.Series, most: pd.Series) -> pd.Series:
-        return pd.Series(edits_up_to(list(short), list(long), most.to_numpy()))
+    def verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The pairs with at most `most` edits.  Those with enough words in common are gathered, so that edits are counted for many at once."""
+        held, size = [], 0
+        for batch in chain(batches, [None]):
+            if batch is not None:
+                near = batch[missing_words(list(batch["short"]), list(batch["laid"])) <= _WORD * batch["most"].to_numpy()]
+                held.append(near)
+                size += len(near)
+            if held and (size >= 20_000 or batch is None):
+                some, held, size = pd.concat(held), [], 0
+                edits, most = edits_up_to(list(some["short"]), list(some["laid"]), some["most"].to_numpy()), some["most"].to_numpy()
+                yield some[["late", "early"]].assign(identity=1 - edits / some["short"].str.len())[edits <= most]
 
     def alike_by_parts(pairs: DataFrame) -> DataFrame:
         both = pairs.groupBy("late", "early").agg(F.min("low").alias("low"), F.max("high").alias("high"))
@@ -256,43 +272,43 @@ def cluster_sequences(df: DataFrame, identity: float = 0.9, k: int | None = None
         most = F.floor((1 - F.lit(float(identity))) * F.length("short") + 1e-9).cast("int")
         start = F.greatest(F.col("low") - most, F.lit(0))
         laid = F.substring("long", start + 1, F.col("high") + F.length("short") + most - start)
-        both = both.withColumn("_edits", edits_of("short", laid, most)).where(F.col("_edits") <= most)
-        return both.select("late", "early", (1 - F.col("_edits") / F.length("short")).alias("identity"))
+        return both.select("late", "early", "short", laid.alias("laid"), most.alias("most")).mapInPandas(verified, "late long, early long, identity double")
 
     def alike(pairs: DataFrame) -> DataFrame:
         """Those of pairs (late, early, m, low, high), one for each seed in common, with the identity."""
         return alike_by_minimizers(pairs) if k else alike_by_parts(pairs)
 
     def pairs(late: DataFrame, early: DataFrame) -> DataFrame:
-        a = late.where("own").select("seed", F.col("key").alias("late"), F.col("n").alias("_n"), "m", F.col("at").alias("_a"))
-        b = early.where("NOT own").select("seed", F.col("key").alias("early"), F.col("n").alias("_m"), F.col("at").alias("_b"), F.col("until").alias("_u"))
-        return a.join(b, "seed").where("_m > _n OR (_m = _n AND early > late)").select("late", "early", "m", (F.col("_b") - F.col("_a")).alias("low"), (F.col("_u") - F.col("_a")).alias("high"))
+        a = late.where("own").select("seed", F.col("key").alias("late"), "m", F.col("at").alias("_a"))
+        b = early.where("NOT own").select("seed", F.col("key").alias("early"), F.col("at").alias("_b"), F.col("until").alias("_u"))
+        return a.join(b, "seed").where("early < late").select("late", "early", "m", (F.col("_b") - F.col("_a")).alias("low"), (F.col("_u") - F.col("_a")).alias("high"))
 
     reps = new_path(df.sparkSession)
     undecided = postings.where("seeds IS NOT NULL")
     nodes = nodes.drop("seq")
     nodes.join(undecided, "key", "left_anti").select("key").write.parquet(reps)
-    chosen = df.sparkSession.read.schema("key string").parquet(reps)
+    chosen = df.sparkSession.read.schema("key long").parquet(reps)
     near = [written(alike(pairs(undecided, postings.join(chosen, "key"))))]  # each sequence with each representative that it is like, once
-    live, place = written(undecided.join(near[0].select(F.col("late").alias("key")), "key", "left_anti")), F.dense_rank().over(W.partitionBy("seed").orderBy(F.desc("n"), F.desc("key")))
+    live, place = written(undecided.join(near[0].select(F.col("late").alias("key")), "key", "left_anti")), F.dense_rank().over(W.partitionBy("seed").orderBy("key"))
     while not live.isEmpty():
         top = written(live.withColumn("nth", place).where(F.col("nth") <= block).drop("nth"))
         first = top.where("own").groupBy("key", "seeds").agg(F.count_distinct("seed").alias("c")).where("c = seeds").select("key")
         blocked = alike(pairs(top.join(first, "key"), top)).select(F.col("late").alias("key"))
         new = written(first.join(blocked, "key", "left_anti"))
         new.write.mode("append").parquet(reps)
-        chosen = df.sparkSession.read.schema("key string").parquet(reps)
+        chosen = df.sparkSession.read.schema("key long").parquet(reps)
         near.append(written(alike(pairs(undecided.join(chosen, "key", "left_anti"), postings.join(new, "key")))))
         live = written(live.join(new.unionByName(near[-1].select(F.col("late").alias("key"))), "key", "left_anti"))
 
-    chosen = df.sparkSession.read.schema("key string").parquet(reps)
+    chosen = df.sparkSession.read.schema("key long").parquet(reps)
     every_near = near[0]
     for x in near[1:]:
         every_near = every_near.unionByName(x)
-    joined = every_near.join(nodes.select(F.col("key").alias("early"), "n"), "early").groupBy(F.col("late").alias("key")).agg(F.max_by("early", F.struct("identity", "n", "early")).alias("rep"))
+    joined = every_near.groupBy(F.col("late").alias("key")).agg(F.max_by("early", F.struct("identity", -F.col("early"))).alias("rep"))
     of = written(joined.unionByName(chosen.select("key", F.col("key").alias("rep"))))
-    numbered = number_rows(nodes.join(chosen, "key").select("key", "n", "rep_id"), [F.col("n"), F.substring("key", 1, 4)], [F.desc("n"), F.desc("key")], "cluster")
-    return named.select("id", "key").join(of, "key").join(numbered.select(F.col("key").alias("rep"), "cluster", "rep_id"), "rep").select("id", "cluster", "rep_id")
+    numbered = number_rows(nodes.join(chosen, "key").select("key", "rep_id"), [F.floor(F.col("key") / 100_000)], [F.col("key")], "cluster", ascending=True)
+    of = of.join(numbered.select(F.col("key").alias("rep"), "cluster", "rep_id"), "rep").join(nodes.select("key", "md5"), "key")
+    return named.select("id", "md5").join(of, "md5").select("id", "cluster", "rep_id")
 
 
 def forward_identity(identity: float) -> float:

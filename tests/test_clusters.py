@@ -171,6 +171,7 @@ def test_no_true_pair_has_more_words_missing_than_the_edits_spoil():
     words = [[x[i : i + 5].replace("N", "A") for i in range(len(x) - 4)] for x in short[:20] + long[:20]]
     want = [sum((Counter(a) - Counter(b)).values()) for a, b in zip(words[:20], words[20:])]
     assert C.missing_words(short[:20], long[:20]).tolist() == want and C.missing_words([], []).tolist() == []
+    assert C.missing_words(["AC", ""], ["", "A"]).tolist() == [0, 0]
 
 
 def test_short_sequences_are_like_no_other(spark):
