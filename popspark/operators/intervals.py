@@ -32,11 +32,32 @@ def to_intervals(aln: DataFrame) -> DataFrame:
     return aln.select("sample", "contig", (F.col("pos") - 1).alias("start"), (F.col("pos") - 1 + length).alias("end"))
 
 
-def merge_intervals(iv: DataFrame, by: list[str] | None = None, bin_width: int = BIN) -> DataFrame:
+def merge_intervals(iv: DataFrame, by: list[str] | None = None, bin_width: int = BIN, long_contigs: bool = False) -> DataFrame:
     """Unite intervals that overlap or touch, within contig (and by).
 
-    Intervals are first united within the bins of their starts.  What reaches into a bin from before comes from a row for
-    each bin, in steps of a thousand bins; so no task holds a contig's intervals, and the last pass is within bins again.
+    Intervals are first united within the bins of their starts, so that the pass over a whole contig sees few of them.  That
+    pass is one task for each contig, right for many contigs; with long_contigs no task holds one (merge_long), at some
+    four times the cost.
+    """
+    if long_contigs:
+        return merge_long(iv, by, bin_width)
+    keys = [*(by or []), "contig"]
+
+    def once(df: DataFrame, parts: list[str]) -> DataFrame:
+        w = W.partitionBy(*parts).orderBy("start", "end")
+        new = F.col("start") > F.max("end").over(w.rowsBetween(W.unboundedPreceding, -1))
+        group = F.sum(F.coalesce(new.cast("long"), F.lit(1))).over(w.rowsBetween(W.unboundedPreceding, 0))
+        return df.withColumn("_g", group).groupBy(*parts, "_g").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_g")
+
+    binned = iv.select(*keys, "start", "end").withColumn("_bin", F.floor(F.col("start") / bin_width))
+    return once(once(binned, [*keys, "_bin"]).drop("_bin"), keys).select(*keys, "start", "end")
+
+
+def merge_long(iv: DataFrame, by: list[str] | None = None, bin_width: int = BIN) -> DataFrame:
+    """merge_intervals for contigs of any length.
+
+    Intervals are united within the bins of their starts.  What reaches into a bin from before comes from a row for each bin,
+    in steps of a thousand bins; so the last pass is within bins again.
     """
     keys = [*(by or []), "contig"]
     same = lambda other: F.expr(" AND ".join(f"a.`{k}` <=> {other}.`{k}`" for k in keys))
@@ -47,7 +68,7 @@ def merge_intervals(iv: DataFrame, by: list[str] | None = None, bin_width: int =
 
     binned = running(iv.select(*keys, "start", "end").withColumn("_bin", F.floor(F.col("start") / bin_width)), [*keys, "_bin"])
     island = F.sum(F.coalesce((F.col("start") > F.col("_before")).cast("long"), F.lit(1))).over(W.partitionBy(*keys, "_bin").orderBy("start", "end"))
-    binned = binned.withColumn("_g", island).groupBy(*keys, "_bin", "_g").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    binned = written(binned.withColumn("_g", island).groupBy(*keys, "_bin", "_g").agg(F.min("start").alias("start"), F.max("end").alias("end")))
     reach = binned.groupBy(*keys, "_bin").agg(F.max("end").alias("_end")).withColumn("_coarse", F.floor(F.col("_bin") / 1000))
     coarse = reach.groupBy(*keys, "_coarse").agg(F.max("_end").alias("_end"))
     coarse = coarse.withColumn("_reach", F.max("_end").over(W.partitionBy(*keys).orderBy("_coarse").rowsBetween(W.unboundedPreceding, -1))).drop("_end")
@@ -59,7 +80,7 @@ def merge_intervals(iv: DataFrame, by: list[str] | None = None, bin_width: int =
     head = F.coalesce(F.col("start") > F.greatest("_reach", inner), F.lit(True))
     rows = rows.withColumn("_head", F.when(head, F.col("start")))
     own = F.max("_head").over(W.partitionBy(*keys, "_bin").orderBy("start", "end"))
-    parts = rows.withColumn("_own", own).groupBy(*keys, "_bin", "_own").agg(F.max("end").alias("end"))
+    parts = written(rows.withColumn("_own", own).groupBy(*keys, "_bin", "_own").agg(F.max("end").alias("end")))
     # islands that began in an earlier bin: the last head of the bins before, found in the same steps
     heads = parts.groupBy(*keys, "_bin").agg(F.max("_own").alias("_last")).withColumn("_coarse", F.floor(F.col("_bin") / 1000))
     far = heads.groupBy(*keys, "_coarse").agg(F.max("_last").alias("_last"))

@@ -153,7 +153,10 @@ def test_merged_intervals_of_all_shapes(spark):
                 want.add((contig, start, end))
     iv = spark.createDataFrame(rows, "contig string, start long, end long")
     for width in (1, 7, 1024):
-        assert sorted(map(tuple, I.merge_intervals(iv, bin_width=width).collect())) == sorted(want)
+        for long_contigs in (False, True):
+            assert sorted(map(tuple, I.merge_intervals(iv, None, width, long_contigs).collect())) == sorted(want)
+    by = iv.withColumn("sample", F.lit("s"))
+    assert sorted(map(tuple, I.merge_intervals(by, ["sample"], long_contigs=True).drop("sample").collect())) == sorted(want)
 
 
 def test_demultiplex_drops_ambiguous_prefixes(spark):
