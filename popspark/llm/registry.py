@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language_id, media, mixing, packing, sharding, simhash, substring_dedup, url_filter, warc
+from . import exact_dedup, fill_in_middle, language_id, media, mixing, packing, resampling, sentence_pieces, sharding, simhash, substring_dedup, url_filter, warc
 
 #: The rules of op2, in the order in which they were given.
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
@@ -80,10 +80,30 @@ def op10_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(_docs(spark, sf_dir))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return resampling.resample(_docs(spark, sf_dir), target).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    restored = fill_in_middle.restore(fill_in_middle.rearrange(_docs(spark, sf_dir)))
+    digests = [F.sha2(F.col(c).cast("binary"), 256).alias(f"{c}_sha256") for c in ("output", "restored")]
+    return restored.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = tokenizer_path("piece_bpe_32k.model")
+    decoded = sentence_pieces.decode(sentence_pieces.encode(_docs(spark, sf_dir), model), model)
+    return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_substring_dedup, op2_url_filters, op3_source_mixing, op4_best_fit_packing, op5_language_id, op6_kd_sharding, op7_warc_revisits, op8_mpeg_ts, op9_exact_dedup, op10_simhash_components, exact_index_withdrawals)
-}
+    for f in (
+        op1_substring_dedup, op2_url_filters, op3_source_mixing, op4_best_fit_packing, op5_language_id, op6_kd_sharding, op7_warc_revisits, op8_mpeg_ts, op9_exact_dedup, op10_simhash_components,
+        op11_importance_resampling, op12_fill_in_middle, op13_sentencepiece, exact_index_withdrawals,
+    )
+}
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -155,4 +175,44 @@ k AS (SELECT sha, min(doc_id) AS keep_id, coalesce(bool_or(toxic AND doc_id = m)
 SELECT doc_id, keep_id, gone AND doc_id = keep_id AS is_new FROM d JOIN k USING (sha)
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_substring_dedup": _OP1, "op2_url_filters": _OP2, "op3_source_mixing": _OP3, "op7_warc_revisits": _OP7, "op9_exact_dedup": _OP9, "exact_index_withdrawals": _WITHDRAWALS}
+_OP11 = r"""
+WITH crcs AS (SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) AS t FROM range(256) AS r(i)),
+texts AS (SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+targets AS (SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+own AS (SELECT rid, w, count(*) AS n FROM (SELECT rid, unnest(ws) AS w FROM texts) GROUP BY ALL),
+towards AS (SELECT w, count(*) AS n FROM (SELECT unnest(ws) AS w FROM targets) GROUP BY ALL),
+words AS (SELECT w, hex(encode(w)) AS h FROM (SELECT w FROM own UNION SELECT w FROM towards)),
+buckets AS (
+  SELECT w, xor(list_reduce(list_transform(range(length(h) // 2), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT)), lambda c, b: xor(t[1 + (xor(c, b) & 255)], c >> 8), 4294967295), 4294967295) % 10000 AS b
+  FROM words, crcs),
+s AS (SELECT b, sum(n) AS s FROM own JOIN buckets USING (w) GROUP BY b), t AS (SELECT b, sum(n) AS t FROM towards JOIN buckets USING (w) GROUP BY b),
+gains AS (
+  SELECT b, CAST(floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(s), 0) FROM s) + 10000)::DOUBLE / ((s + 1)::DOUBLE * ((SELECT coalesce(sum(t), 0) FROM t) + 10000)::DOUBLE))) AS BIGINT) AS gain
+  FROM s LEFT JOIN t USING (b)),
+weights AS (SELECT rid, CAST(sum(n * gain) AS BIGINT) AS weight FROM own JOIN buckets USING (w) JOIN gains USING (b) GROUP BY rid),
+scored AS (
+  SELECT doc_id, rid, CAST(len(ws) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight, len(ws) >= 20 AS able,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM texts LEFT JOIN weights USING (rid)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY able ORDER BY score DESC, doc_id) AS place FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN able AND place <= 10 * (SELECT count(*) FROM scored WHERE able) // 100 THEN place END AS rank FROM placed
+"""
+
+_OP12 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^
+]*
+|[^
+]+') AS u, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+e AS (SELECT *, CAST(len(u) AS BIGINT) AS n, list_transform(range(4), lambda i: CAST('0x' || substr(h, 8 * i + 1, 8) AS BIGINT)) AS r FROM d),
+f AS (
+  SELECT *, least(r[1] % (n + 1), r[2] % (n + 1)) AS low, greatest(r[1] % (n + 1), r[2] % (n + 1)) AS high,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR r[3] % 100 >= 100 THEN 'plain' WHEN r[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM e),
+g AS (SELECT *, array_to_string(u[1:low], '') AS p, array_to_string(u[low + 1:high], '') AS m, array_to_string(u[high + 1:n], '') AS s FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE text END) AS output_sha256, sha256(text) AS restored_sha256
+FROM g
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_substring_dedup": _OP1, "op2_url_filters": _OP2, "op3_source_mixing": _OP3, "op7_warc_revisits": _OP7, "op9_exact_dedup": _OP9, "op11_importance_resampling": _OP11, "op12_fill_in_middle": _OP12, "exact_index_withdrawals": _WITHDRAWALS}
