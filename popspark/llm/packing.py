@@ -19,6 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from ._common import durable, slices
 
@@ -280,13 +281,20 @@ def _ordered(table: pa.Table) -> pa.Table:
 def pack(rows: DataFrame, capacity: int = CAPACITY, block_pieces: int = BLOCK_PIECES, islands: int = 2, population: int = 3, epochs: int = 2, generations: int = 4, rounds: int = 3, well_filled: float = 0.99) -> DataFrame:
     """rows(length, any other columns) -> the same rows with sequence_id, offset and generations.
 
-    Every length is 1 to capacity.  A task holds one block, of about block_pieces rows, whatever the rows repeat.
-    Bins filled to less than well_filled are packed again with those of other blocks, in rounds of fewer blocks.
-    generations counts the crossovers behind the row's packing; rows that fill a sequence alone need none.
+    Every length is 1 to capacity.  A task holds one block, of about block_pieces rows (2**24 at most), whatever the rows repeat.
+    Bins filled to less than well_filled are packed again with those of other blocks, in rounds of fewer blocks, 255 at most.
+    generations counts the crossovers behind the row's packing; rows that fill a sequence alone need none.  Columns of these
+    three names are replaced; all others, whatever their names, come back as they were.
     """
-    rows = durable(rows.withColumn("rid", F.monotonically_increasing_id()))
+    if not 1 <= rounds <= 255 or not 1 <= block_pieces <= 1 << 24:
+        raise ValueError("1 to 255 rounds, and 1 to 2**24 pieces a block")
+    width = rounds.bit_length()  # of the round in a sequence's number; 0 stands for rows that fill one alone
+    results = ["sequence_id", "offset", "generations"]
+    others = [c for c in rows.columns if c not in ("length", *results)]
+    own = F.struct(*[F.col(f"`{c}`") for c in others]) if others else F.lit(None).cast("int")
+    rows = durable(rows.select("length", own.alias("own"), F.monotonically_increasing_id().alias("rid")))
     full, none = F.col("length") == capacity, F.lit(0).cast("long")
-    done = [rows.where(full).withColumn("sequence_id", F.col("rid") * 4).withColumn("offset", none).withColumn("generations", none).drop("rid")]
+    done = [rows.where(full).select("length", "own", F.shiftleft("rid", width).alias("sequence_id"), none.alias("offset"), none.alias("generations"))]
     left = rows.where(~full)
     for number in range(1, rounds + 1):
         blocks = max(1, -(-left.count() // block_pieces))
@@ -332,21 +340,21 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, block_pieces: int = BLOCK_PI
             offset = np.empty(len(bins), np.int64)
             offset[order] = before - before[first]
             poor = np.bincount(bins, lengths) < well_filled * capacity
-            ids = ((table["block"].to_numpy() << 24 | bins) << 2) | number
+            ids = ((table["block"].to_numpy() << 24 | bins) << width) | number
             return table.append_column("sequence_id", pa.array(ids, pa.int64())).append_column("offset", pa.array(offset, pa.int64())).append_column("generations", pa.array(np.full(len(bins), winner["generations"][0].as_py()), pa.int64())).append_column("poor", pa.array(poor[bins], pa.bool_()))
 
-        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in left.schema)
-        placed = durable(left.groupBy("block").cogroup(best.groupBy("block")).applyInArrow(place, fields + ", sequence_id long, offset long, generations long, poor boolean"))
-        again = placed.where("poor").drop("sequence_id", "offset", "generations", "poor", "block")
+        found = StructType([*left.schema.fields, *[StructField(c, LongType()) for c in results], StructField("poor", BooleanType())])
+        placed = durable(left.groupBy("block").cogroup(best.groupBy("block")).applyInArrow(place, found))
+        again = placed.where("poor").select("length", "own", "rid")
         if blocks == 1 or number == rounds:
-            done.append(placed.drop("poor", "block", "rid"))
+            done.append(placed.select("length", "own", *results))
             break
-        done.append(placed.where("not poor").drop("poor", "block", "rid"))
+        done.append(placed.where("not poor").select("length", "own", *results))
         left = again
     out = done[0]
     for part in done[1:]:
         out = out.unionByName(part)
-    return out
+    return out.select(*[F.col("own")[c].alias(c) for c in others], "length", *results)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bool = False, **settings) -> DataFrame:

@@ -250,6 +250,24 @@ def test_packing_any_lengths(spark):
     assert {r.name: (r.sequence_id, r.offset) for r in got if r.length == 1000}.values()
 
 
+def test_packing_in_many_rounds_with_clashing_columns(spark):
+    rng = np.random.default_rng(8)
+    names = ["rid", "block", "poor", "own", "best", "bins", "island", "sequence_id", "offset", "generations", "a.b"]
+    lengths = [int(n) for n in rng.integers(100, 700, 1500)] + [1000] * 4
+    rows = spark.createDataFrame([(n, i, *[f"x{i}"] * len(names)) for i, n in enumerate(lengths)], "length int, name long, " + ", ".join(f"`{c}` string" for c in names)).repartition(3)
+    for rounds in (1, 6):
+        out = packing.pack(rows, capacity=1000, block_pieces=60, rounds=rounds, population=2, epochs=1, generations=1)
+        assert set(out.columns) == set(rows.columns)
+        got = out.collect()
+        assert sorted((r.name, r.length, r.rid, r.block, r.poor, r["a.b"]) for r in got) == sorted((i, n, *[f"x{i}"] * 4) for i, n in enumerate(lengths))
+        assert check_packing(got, 1000) >= -(-sum(lengths) // 1000)
+    alone = packing.pack(rows.select("length"), capacity=1000, block_pieces=400)
+    assert alone.columns == ["length", "sequence_id", "offset", "generations"] and check_packing(alone.collect(), 1000)
+    for bad in ({"rounds": 0}, {"rounds": 256}, {"block_pieces": 1 << 25}):
+        with pytest.raises(ValueError):
+            packing.pack(rows, **bad)
+
+
 def test_crossover_packs_the_blocks(spark):
     rng = np.random.default_rng(3)
     rows = spark.createDataFrame([(int(n), i) for i, n in enumerate(rng.integers(100, 700, 1500))], "length long, name long")
