@@ -181,7 +181,7 @@ _CHAIN = f"""WITH {_LOW}, s1 AS (SELECT * FROM sites WHERE {_AB}), s2 AS (SELECT
   s6 AS (SELECT s5.* FROM s5, lim WHERE NOT (dp > sd AND qual < 2 * dp)), md AS (SELECT chrom, pos FROM calls GROUP BY chrom, pos HAVING sum(dp) <= 17 * count(*)), s7 AS (SELECT s6.* FROM s6 SEMI JOIN md USING (chrom, pos)),
   s8 AS (SELECT * FROM (SELECT *, sum(dp) OVER (PARTITION BY chrom) AS cs, count(*) OVER (PARTITION BY chrom) AS cn FROM s7) WHERE dp * cn >= 0.6 * cs) """
 _NAMES = ["all", "allele balance", "quality by depth", "mapping quality", "strand", "pairing", "low quality at high depth", "mean depth", "depth within contig"]
-_REPORT = " UNION ALL ".join(f"SELECT CAST({i} AS BIGINT) AS step, '{n}' AS filter, count(*) AS sites FROM {'sites' if i == 0 else f's{i}'} HAVING count(*) > 0" for i, n in enumerate(_NAMES))
+_REPORT = " UNION ALL ".join(f"SELECT CAST({i} AS BIGINT) AS step, '{n}' AS filter, count(*) AS sites FROM {'sites' if i == 0 else f's{i}'}" for i, n in enumerate(_NAMES))
 q("v_28_filter_chain", lambda t: V.filter_chain(t.sites, t.calls, overlap=True, cutoff=17)[0].select("chrom", "pos", "qual", "dp"), "calls sites", _CHAIN.format(strand="true") + "SELECT chrom, pos, qual, dp FROM s8")
 q("v_28_filter_chain_report", lambda t: V.filter_chain(t.sites, t.calls, cutoff=17)[2], "calls sites", _CHAIN.format(strand=_STRAND) + _REPORT)
 q("v_28_filter_chain_calls", lambda t: V.filter_chain(t.sites, t.calls, overlap=True, cutoff=17)[1].select("chrom", "pos", "sample", "gt", "dp"), "calls sites",
@@ -254,8 +254,12 @@ _HWE = f"""{_GC}, t AS (SELECT DISTINCT hom1, het, hom2, hom1 + het + hom2 AS n,
   e AS (SELECT hom1, het, hom2, least(1, sum(exp(w - top)) FILTER (exp(w - top) <= exp(own - top) * (1 + 1e-9)) / sum(exp(w - top))) AS p FROM m GROUP BY hom1, het, hom2)"""
 q("p_7_hwe", lambda t: rounded(P.hwe(t.calls.drop("pop"), t.popmap), "p", "exp_het"), "calls",
   f"WITH {_HWE} SELECT g.*, round(p, 6) AS p, round((2 * hom1 + het) * (2 * hom2 + het) / (2 * (hom1 + het + hom2)), 6) AS exp_het FROM g JOIN e USING (hom1, het, hom2)")
-q("p_8_filter_hwe", lambda t: P.filter_hwe(t.calls.drop("pop"), t.popmap, p=0.2)[1], "calls popmap",
-  f"WITH {_HWE} SELECT chrom, pos, count(CASE WHEN p < 0.2 THEN 1 END) AS low FROM g JOIN e USING (hom1, het, hom2) GROUP BY chrom, pos HAVING count(CASE WHEN p < 0.2 THEN 1 END) > 0.25 * (SELECT count(DISTINCT pop) FROM popmap)")
+# An exact p of 1/5 occurs: it is not under 0.2, whatever the last bits of a sum of exponentials are.
+_LOW = f"WITH {_HWE} SELECT chrom, pos, count(CASE WHEN p < {{0}} - 1e-9 THEN 1 END) AS low FROM g JOIN e USING (hom1, het, hom2) GROUP BY chrom, pos HAVING count(CASE WHEN p < {{0}} - 1e-9 THEN 1 END) > 0.25 * (SELECT count(DISTINCT pop) FROM popmap)"
+q("p_8_filter_hwe", lambda t: P.filter_hwe(t.calls.drop("pop"), t.popmap, p=0.2)[1], "calls popmap", _LOW.format("0.2"))
+q("p_8_filter_hwe_kept", lambda t: P.filter_hwe(t.calls.drop("pop"), t.popmap, p=0.05, cutoff=0.1)[0].groupBy("chrom", "pos").agg(F.count("*").alias("n")), "calls popmap",
+  f"WITH low AS ({_LOW.format('0.05').replace('0.25 *', '0.1 *')}) SELECT chrom, pos, count(*) AS n FROM calls ANTI JOIN low USING (chrom, pos) GROUP BY chrom, pos")
+q("p_8_filter_hwe_default", lambda t: P.filter_hwe(t.calls.drop("pop"), t.popmap)[1], "calls popmap", _LOW.format("0.001"))
 _DUP = "d AS (SELECT a.pk, a.chrom, a.pos FROM calls AS a JOIN calls AS b ON a.pk = b.pk AND b.sid = a.sid + 20 WHERE a.dp >= 5 AND b.dp >= 5 AND ({}))"
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from math import lgamma
+from fractions import Fraction
+from math import comb
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -65,17 +67,62 @@ def filter_missing_by_pop(calls: DataFrame, popmap: DataFrame, x: float, m: int
     return calls.join(bad.select(*SITE), SITE, "left_anti")
 
 
-def hwe_exact(hom1: int, het: int, hom2: int) -> float:
-    """Exact test of Hardy-Weinberg proportions: the chance of a heterozygote count no likelier than the observed one."""
+def hwe_exact(hom1, het, hom2):
+    """Exact test of Hardy-Weinberg proportions: the chance of a heterozygote count no likelier than the observed one.
+
+    Numbers, or arrays of them.  Chances of all heterozygote counts of a triple come from the ratio of each to the one before.
+    """
+    a, h, b = (np.atleast_1d(np.asarray(x, np.int64)) for x in (hom1, het, hom2))
+    n, rare, out = a + h + b, 2 * np.minimum(a, b) + h, np.ones(len(a))
+    order, at = np.argsort(-rare, kind="stable"), 0
+    while at < len(order):
+        width = int(rare[order[at]]) // 2 + 1  # heterozygote counts: rare % 2, and so on by 2 up to rare
+        own = order[at : at + max(1, (1 << 20) // width)]
+        at += len(own)
+        half, odd = (rare[own] // 2)[:, None], (rare[own] % 2)[:, None]
+        j = np.arange(width - 1)
+        hets, homs = odd + 2 * j, half - j
+        others = n[own][:, None] - hets - homs
+        with np.errstate(divide="ignore"):
+            ratio = np.log(np.maximum(4.0 * homs * others, 0) / ((hets + 1.0) * (hets + 2.0)))
+        logs = np.concatenate([np.zeros((len(own), 1)), np.cumsum(ratio, axis=1)], axis=1)
+        logs -= logs.max(1, keepdims=True)
+        chances = np.exp(logs)
+        mine = chances[np.arange(len(own)), (h[own] - rare[own] % 2) // 2][:, None]
+        out[own] = np.minimum(1.0, np.where(chances <= mine * (1 + 1e-9), chances, 0).sum(1) / chances.sum(1))
+    return out if np.ndim(het) else float(out[0])
+
+
+def _below_in_integers(hom1: int, het: int, hom2: int, limit: Fraction) -> bool:
     n, rare = hom1 + het + hom2, 2 * min(hom1, hom2) + het
-    if not n:
-        return 1.0
-    counts = range(rare % 2, min(rare, 2 * n - rare) + 1, 2)
-    logs = [h * 0.6931471805599453 - lgamma(h + 1) - lgamma((rare - h) // 2 + 1) - lgamma(n - h - (rare - h) // 2 + 1) for h in counts]
-    top = max(logs)
-    chances = [2.718281828459045 ** (x - top) for x in logs]
-    own = chances[(het - rare % 2) // 2]
-    return min(1.0, sum(c for c in chances if c <= own * (1 + 1e-9)) / sum(chances))
+    h, x = rare % 2, rare // 2
+    way, ways = comb(n, h) * comb(n - h, x) << h, []
+    while x >= 0:  # of all genotypes with these allele counts, how many have h heterozygotes
+        ways.append(way)
+        way = way * 4 * x * (n - h - x) // ((h + 1) * (h + 2))
+        h, x = h + 2, x - 1
+    own = ways[(het - rare % 2) // 2]
+    return sum(w for w in ways if w <= own) * limit.denominator < limit.numerator * sum(ways)
+
+
+def hwe_below(hom1: np.ndarray, het: np.ndarray, hom2: np.ndarray, limit: float) -> np.ndarray:
+    """Whether hwe_exact is under limit, taken as the decimal number that it is written as; near it, by integers alone."""
+    p, exact = hwe_exact(hom1, het, hom2), Fraction(str(limit))
+    below = p < limit
+    for i in np.flatnonzero(np.abs(p - limit) <= 1e-6 * max(limit, 1e-300)):
+        below[i] = _below_in_integers(int(hom1[i]), int(het[i]), int(hom2[i]), exact)
+    return below
+
+
+def _by_triple(test, kind: str):
+    """test, on arrays, as a column of the three counts; each different triple of a batch is tested once."""
+
+    @F.pandas_udf(kind)
+    def run(a: pd.Series, h: pd.Series, b: pd.Series) -> pd.Series:
+        triples, which = np.unique(np.stack([a, h, b], axis=1), axis=0, return_inverse=True)
+        return pd.Series(test(*triples.T)[which.ravel()]) if len(a) else pd.Series([], dtype=bool if kind == "boolean" else float)
+
+    return run("hom1", "het", "hom2")
 
 
 def genotype_counts(calls: DataFrame, popmap: DataFrame) -> DataFrame:
@@ -86,23 +133,16 @@ def genotype_counts(calls: DataFrame, popmap: DataFrame) -> DataFrame:
 
 
 def hwe(calls: DataFrame, popmap: DataFrame) -> DataFrame:
-    """genotype_counts with expected heterozygotes and the exact p; each different triple is tested once."""
-    counts = genotype_counts(calls, popmap)
-    triple = ["hom1", "het", "hom2"]
-
-    def test(batches):
-        for t in batches:
-            yield t.assign(p=[hwe_exact(*map(int, r)) for r in t[triple].itertuples(index=False)]) if len(t) else pd.DataFrame({**{c: [] for c in triple}, "p": []})
-
-    tested = counts.select(*triple).distinct().mapInPandas(test, "hom1 long, het long, hom2 long, p double")
+    """genotype_counts with expected heterozygotes and the exact p."""
     n, ref = F.col("hom1") + F.col("het") + F.col("hom2"), 2 * F.col("hom1") + F.col("het")
-    return counts.join(tested, triple).withColumn("exp_het", F.try_divide(ref * (2 * n - ref), 2 * n))
+    return genotype_counts(calls, popmap).withColumn("p", _by_triple(hwe_exact, "double")).withColumn("exp_het", F.try_divide(ref * (2 * n - ref), 2 * n))
 
 
 def filter_hwe(calls: DataFrame, popmap: DataFrame, p: float = 0.001, cutoff: float = 0.25) -> tuple[DataFrame, DataFrame]:
-    """(calls, excluded): sites with a p under `p` in more than `cutoff` of the populations are excluded."""
+    """(calls, excluded): sites with a p under `p` in more than `cutoff` of the populations are excluded.  A p equal to it is not under it."""
     pops = popmap.agg(F.count_distinct("pop").alias("pops"))
-    low = hwe(calls, popmap).groupBy(*SITE).agg(F.count_if(F.col("p") < p).alias("low"))
+    tested = genotype_counts(calls, popmap).withColumn("_low", _by_triple(lambda a, h, b: hwe_below(a, h, b, p), "boolean"))
+    low = tested.groupBy(*SITE).agg(F.count_if("_low").alias("low"))
     bad = low.join(F.broadcast(pops)).where(F.col("low") > cutoff * F.col("pops")).select(*SITE, "low")
     return calls.join(bad, SITE, "left_anti"), bad
 

@@ -251,7 +251,7 @@ def final_filter(sites: DataFrame, calls: DataFrame, n_samples: int) -> DataFram
 
 
 def filter_chain(sites: DataFrame, calls: DataFrame, overlap: bool = False, mixed: bool = False, cutoff: float | None = None, genotypes: str = "ro > 0 OR ao > 0") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The whole filter chain: (sites left, calls left, report of step, filter and sites).
+    """The whole filter chain: (sites left, calls left, report of step, filter and sites: a row for every step, be it 0 sites).
 
     Steps: allele balance, quality by depth, mapping-quality ratio, strand (unless reads overlap), pairing, low quality at
     high depth (limits from the unfiltered sites), mean depth, depth within contigs.  Genotypes that fail the predicate are
@@ -274,7 +274,7 @@ def filter_chain(sites: DataFrame, calls: DataFrame, overlap: bool = False, mixe
     names = ["all", *[n for n, _ in steps], "depth within contig"]
     alive = [F.count_if(F.col("_out").isNull() | (F.col("_out") > n)) for n in range(len(names))]
     counts = marked.agg(F.array(*[F.struct(F.lit(n).cast("long").alias("step"), F.lit(name).alias("filter"), c.alias("sites")) for n, (name, c) in enumerate(zip(names, alive))]).alias("x"))
-    report = counts.select(F.explode("x").alias("x")).select("x.*").where("sites > 0")
+    report = counts.select(F.explode("x").alias("x")).select("x.*")
     return left, keep_positions(filter_genotypes(calls, genotypes), left), report
 
 

@@ -3,6 +3,7 @@
 from fractions import Fraction
 from math import factorial
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -82,6 +83,24 @@ def test_hwe_exact():
                 if a + b + c:
                     assert P.hwe_exact(a, b, c) == pytest.approx(brute(a, b, c), rel=1e-6)
     assert P.hwe_exact(250, 500, 250) == pytest.approx(1.0)
+    rng = np.random.default_rng(3)
+    a, h, b = rng.integers(0, 60, (3, 300))
+    assert P.hwe_exact(a, h, b).tolist() == pytest.approx([brute(*map(int, x)) if sum(x) else 1.0 for x in zip(a, h, b)], rel=1e-9)
+    assert P.hwe_exact(20_000, 100, 30_000) == pytest.approx(0.0, abs=1e-300) and 0 < P.hwe_exact(30_000, 40_000, 13_500) < 1
+
+
+def test_p_equal_to_the_limit_is_not_below_it(spark):
+    triples = [(2, 0, 1), (6, 1, 1), (1, 1, 1), (5, 0, 5)]  # the first two have a p of 1/5
+    a, h, b = np.array(triples).T
+    assert P.hwe_below(a, h, b, 0.2).tolist() == [False, False, False, True]
+    assert P.hwe_below(a, h, b, 0.2000000001).tolist() == [True, True, False, True]
+    assert [P._below_in_integers(*t, Fraction(1, 5)) for t in triples] == [False, False, False, True]
+    own = [("c", pos, f"A_{i}", g // 2, (g + 1) // 2, 9) for pos, t in enumerate(triples) for i, g in enumerate([0] * t[0] + [1] * t[1] + [2] * t[2])]
+    popmap = spark.createDataFrame([(f"A_{i}", "A") for i in range(12)], "sample string, pop string")
+    kept, out = P.filter_hwe(calls(spark, own), popmap, p=0.2)
+    assert [(r.pos, r.low) for r in out.collect()] == [(3, 1)] and {r.pos for r in kept.collect()} == {0, 1, 2}
+    kept, out = P.filter_hwe(calls(spark, own), popmap, p=0.201, cutoff=0.99)
+    assert {r.pos for r in out.collect()} == {0, 1, 3}
 
 
 def test_merge_is_idempotent_and_joins_touching(spark):
@@ -218,6 +237,9 @@ def test_chain_masks_genotypes_and_counts_once(spark):
     assert [r.pos for r in left.collect()] == [1] and left.columns == sites.columns
     assert sorted((r["sample"], r.gt, r.dp) for r in calls_left.collect()) == [("A_1", "0/1", 5), ("A_2", None, 5)]
     assert [(r.step, r.sites) for r in report.orderBy("step").collect()] == [(0, 8), (1, 7), (2, 6), (3, 5), (4, 4), (5, 3), (6, 3), (7, 2), (8, 1)]
+    for some, n in ((sites.withColumn("qual", F.lit(0.0)), [8, 7, *[0] * 7]), (sites.limit(0), [0] * 9)):  # a step that leaves nothing is told as well
+        left, _, report = V.filter_chain(some, own, cutoff=20)
+        assert left.count() == 0 and [r.sites for r in report.orderBy("step").collect()] == n
 
 
 def test_reads(spark):
