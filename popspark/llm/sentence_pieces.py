@@ -11,6 +11,7 @@ are compatible is the one that merging gives, as long as scores differ; texts in
 from __future__ import annotations
 
 import heapq
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -23,10 +24,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ._common import slices, string_bytes, texts_of
+from .packing import Units
 
 SPACE = "▁"
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = range(1, 7)
-HELD_PARTS, HELD_PAIRS, LONG_PART = 400_000, 1_000_000, 64
+HELD_PARTS, HELD_PAIRS, LONG_PART = 200_000, 500_000, 64
 
 
 def _fields(message: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -63,6 +65,8 @@ class Model:
     """
 
     def __init__(self, file: bytes):
+        import ahocorasick
+
         self.pieces, self.scores, self.kinds = [], [], []
         trainer, normalizer = {}, {}
         for field, value in _fields(file):
@@ -87,29 +91,25 @@ class Model:
         self.score = {p: self.scores[i] for p, i in self.ids.items()}
         long = [p for p in self.ids if len(p) > 1]
         several = Counter(self.score[p] for p in long)
-        self.tied = {p for p in long if several[self.score[p]] > 1}
+        tied = sorted((p for p in long if several[self.score[p]] > 1), key=len)
+        tied = [p for i, p in enumerate(tied) if not any(x in p for x in tied[:i])]
+        self.tied = re.compile("|".join(map(re.escape, tied))).search if tied else None
         inner = {c for p in long for c in p} - {SPACE}
         letters = "".join(map(re.escape, sorted(inner)))
         inside = any(SPACE in p.lstrip(SPACE) for p in long)  # of a piece, behind another character
         own = [rf"[{letters}{SPACE}]+"] if inside else [rf"{SPACE}+[{letters}]*", f"[{letters}]+"] if letters else [f"{SPACE}+"]
         self.parts = re.compile("|".join([*own, "(?s:.)"])).findall
-        self.shorter = {p: next((p[:k] for k in range(len(p) - 1, 0, -1) if k == 1 or p[:k] in self.ids), None) for p in self.ids}
-        self.automaton, self.ties = self._search(self.ids), self._search(self.tied)
+        self.shorter = {p: next((p[:k] for k in range(len(p) - 1, 0, -1) if k == 1 or p[:k] in self.ids), "") for p in self.ids}
+        self.packed = {p: np.array([i], "<u4").tobytes() for p, i in self.ids.items()}
+        self.automaton = ahocorasick.Automaton()
+        for p in self.ids:
+            self.automaton.add_word(p, (len(p), p))
+        self.automaton.make_automaton()
         self.whole: dict[str, bool] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.ends: dict[str, tuple] = {}  # of pieces and characters met: no more than there are
+        self.fits: dict[tuple[str, str], str] = {}
         self.surface = [self._surface(i) for i in range(len(self.pieces))]
 
-    @staticmethod
-    def _search(words):
-        import ahocorasick
-
-        found = ahocorasick.Automaton()
-        for w in words:
-            found.add_word(w, w)
-        if words:
-            found.make_automaton()
-        return found
-
     def _surface(self, i: int) -> bytes:
         kind = self.kinds[i]
         if kind == _CONTROL:
@@ -118,18 +118,27 @@ class Model:
             return " ⁇ ".encode()
         return bytes([int(self.pieces[i][3:5], 16)]) if kind == _BYTE else self.pieces[i].replace(SPACE, " ").encode()
 
-    def merged(self, text: str) -> list[str]:
-        """What merging makes of text: the pair of highest score first, of equal ones the leftmost."""
+    def _merge(self, text: str, left: list | None = None, right: list | None = None) -> list[str]:
+        """What merging makes of text: the pair of highest score first, of equal ones the leftmost.
+
+        left and right get each piece that is the first or the last one for a while, and the lowest score merged so far.
+        """
         own: list[str | None] = list(text)
         after, before = list(range(1, len(own) + 1)), list(range(-1, len(own) - 1))
         heap = [(-self.score[a + b], i, i + 1, a + b) for i, (a, b) in enumerate(pairwise(own)) if a + b in self.score]
         heapq.heapify(heap)
+        low = math.inf
         while heap:
-            _, i, j, both = heapq.heappop(heap)
+            score, i, j, both = heapq.heappop(heap)
             if own[i] is None or own[j] is None or after[i] != j or own[i] + own[j] != both:
                 continue
+            low = min(low, -score)
             own[i], own[j] = both, None
             after[i] = k = after[j]
+            if left is not None and not i:
+                left.append((both, low))
+            if right is not None and k == len(own):
+                right.append((both, low))
             if k < len(own):
                 before[k] = i
                 if (new := both + own[k]) in self.score:
@@ -138,14 +147,50 @@ class Model:
                 heapq.heappush(heap, (-self.score[new], h, i, new))
         return [x for x in own if x is not None]
 
+    def merged(self, text: str) -> list[str]:
+        return self._merge(text)
+
+    def edges(self, piece: str) -> tuple[list[tuple[str, float, float]], list[tuple[str, float, float]]]:
+        """The pieces that begin, and those that end, piece while it is merged, and down from which score to which each is there."""
+        found = self.ends.get(piece)
+        if found is None:
+            sides = [(piece[0], math.inf)], [(piece[-1], math.inf)]
+            self._merge(piece, *sides)
+            found = self.ends[piece] = tuple([(x, born, gone) for (x, born), (_, gone) in pairwise([*side, ("", -math.inf)])] for side in sides)
+        return found
+
     def compatible(self, a: str, b: str) -> bool:
-        found = self.pairs.get((a, b))
+        """Whether merging a and b again, joined, gives just these two: nothing is merged across the seam.
+
+        A piece of a's end and one of b's beginning merge if their union's score is reached while both are there.  An empty a is
+        compatible with what merging gives at all.
+        """
+        return self.reached(b) and (not a or (self.reached(a) and self._apart(a, b)))
+
+    def fitting(self, before: str, piece: str) -> str:
+        """The longest piece that begins piece, or is it, and is compatible with the one before; empty if none is."""
+        if not piece:
+            return ""
+        found = self.fits.get((before, piece))
         if found is None:
-            if len(self.pairs) >= HELD_PAIRS:
-                self.pairs.clear()
-            found = self.pairs[a, b] = self.merged(a + b) == [a, b]
+            found = piece if self.compatible(before, piece) else self.fitting(before, self.shorter.get(piece, ""))
+            if len(self.fits) >= HELD_PAIRS:
+                self.fits.clear()
+            self.fits[before, piece] = found
         return found
 
+    def _apart(self, a: str, b: str) -> bool:
+        for x, born_x, gone_x in self.edges(a)[1]:
+            for y, born_y, gone_y in self.edges(b)[0]:
+                score = self.score.get(x + y)
+                if score is not None:
+                    begins, ends = min(born_x, born_y, score), max(gone_x, gone_y)
+                    if begins > ends:
+                        return False
+                    if begins == ends:  # which comes first depends on places
+                        return self.merged(a + b) == [a, b]
+        return True
+
     def reached(self, piece: str) -> bool:
         """Whether merging piece's characters gives piece."""
         found = self.whole.get(piece)
@@ -155,42 +200,42 @@ class Model:
 
     def split(self, text: str) -> list[str]:
         """text as pieces, and characters that are none."""
-        if len(text) == 1:
+        n = len(text)
+        if n == 1:
             return [text]
-        if self.tied and next(self.ties.iter(text), None):
+        if self.tied and self.tied(text):
             return self.merged(text)
         longest: list[str] = list(text)
-        for end, piece in self.automaton.iter(text):  # by their ends, so the last that begins at a place is the longest
-            longest[end - len(piece) + 1] = piece
-        failed = bytearray(len(text) // 8 + 1)
+        for end, (size, piece) in self.automaton.iter(text):  # by their ends, so the last that begins at a place is the longest
+            longest[end - size + 1] = piece
+        failed, some_failed = bytearray(n // 8 + 1), False
+        fits, shorter = self.fits, self.shorter
         out: list[str] = []
-        at, piece = 0, longest[0]
-        while at < len(text):
-            while piece is not None:
-                to = at + len(piece)
-                if not failed[to >> 3] >> (to & 7) & 1 and (self.compatible(out[-1], piece) if out else self.reached(piece)):
-                    break
-                piece = self.shorter.get(piece)
-            if piece is not None:
-                out.append(piece)
-                at = to
-                piece = longest[at] if at < len(text) else None
+        at, before, piece = 0, "", longest[0]
+        while at < n:
+            fit = fits.get((before, piece)) if piece else ""
+            if fit is None:
+                fit = self.fitting(before, piece)
+            while some_failed and fit and failed[(to := at + len(fit)) >> 3] >> (to & 7) & 1:
+                fit = self.fitting(before, shorter.get(fit, ""))
+            if fit:
+                out.append(fit)
+                at += len(fit)
+                before, piece = fit, longest[at] if at < n else ""
             else:
                 failed[at >> 3] |= 1 << (at & 7)
+                some_failed = True
                 last = out.pop()
                 at -= len(last)
-                piece = self.shorter.get(last)
+                before, piece = out[-1] if out else "", shorter.get(last, "")
         return out
 
     def encoded(self, part: str) -> bytes:
         """Little-endian ids of a part; characters that are no piece become bytes (or the unknown piece)."""
-        ids = []
-        for piece in self.split(part):
-            if piece in self.ids:
-                ids.append(self.ids[piece])
-            else:
-                ids += [self.bytes[b] for b in piece.encode()] if self.bytes else [self.unknown]
-        return np.array(ids, "<u4").tobytes()
+        return b"".join([self.packed.get(piece) or self._packed(piece) for piece in self.split(part)])
+
+    def _packed(self, character: str) -> bytes:
+        return np.array([self.bytes[b] for b in character.encode()] if self.bytes else [self.unknown], "<u4").tobytes()
 
     def decoded(self, ids: np.ndarray) -> bytes:
         """The text of ids in UTF-8.  Bytes that are no UTF-8 become U+FFFD each."""
@@ -231,27 +276,18 @@ def _is_character(raw: bytes) -> bool:
         return False
 
 
-class _Parts(dict):
-    """Ids of parts met lately."""
-
-    def __init__(self, model: Model):
-        super().__init__()
-        self.model = model
+class _Parts(Units):
+    """Ids of parts met lately; long ones are not kept."""
 
     def __missing__(self, part: str) -> bytes:
-        found = self.model.encoded(part)
-        if len(part) <= LONG_PART:
-            if len(self) >= HELD_PARTS:
-                self.clear()
-            self[part] = found
-        return found
+        return super().__missing__(part) if len(part) <= LONG_PART else self.encode(part)
 
 
 @lru_cache(2)
 def model_of(file: bytes) -> tuple[Model, _Parts]:
     """The model of a file's bytes and the parts that this worker has encoded with it."""
     model = Model(file)
-    return model, _Parts(model)
+    return model, _Parts(model.encoded, HELD_PARTS)
 
 
 def encode_text(file: bytes, text: str, ends: bool = True) -> bytes:

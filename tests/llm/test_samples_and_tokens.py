@@ -159,6 +159,10 @@ def test_backtracking_finds_what_merging_gives(file):
         pieces = model.split(text)
         assert pieces == model.merged(text) and "".join(pieces) == text
         assert all(model.merged(a + b) == [a, b] for a, b in pairwise(pieces))
+    some = [p for p in sorted(model.ids) if set(p) <= set("▁aeinrsth")]
+    for a, b in zip(rng.choices(some, k=20_000), rng.choices(some, k=20_000)):
+        if a.strip("▁") and b.strip("▁"):
+            assert model.compatible(a, b) == (model.merged(a + b) == [a, b]), (a, b)
 
 
 def test_any_ids_decode_as_in_the_library(file, library):
@@ -183,13 +187,12 @@ def test_documents_encode_and_come_back(spark, docs, rows, nothing, library):
 
 
 def test_what_is_held_is_bounded(file, library, monkeypatch):
-    monkeypatch.setattr(sentence_pieces, "HELD_PARTS", 3)
     monkeypatch.setattr(sentence_pieces, "HELD_PAIRS", 2)
     model = sentence_pieces.Model(file)
-    parts = sentence_pieces._Parts(model)
+    parts = sentence_pieces._Parts(model.encoded, 3)
     text = "▁some▁words▁of▁different▁kinds▁come▁here"
     ids = b"".join(map(parts.__getitem__, model.parts(text)))
-    assert np.frombuffer(ids, "<u4").tolist() == library.encode(text.replace("▁", " ")[1:]) and len(parts) <= 3 and len(model.pairs) <= 2
+    assert np.frombuffer(ids, "<u4").tolist() == library.encode(text.replace("▁", " ")[1:]) and len(parts) <= 3 and len(parts.old) <= 3 and len(model.fits) <= 2
 
 
 def test_other_kinds_of_models_are_refused():
