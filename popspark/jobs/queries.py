@@ -330,7 +330,16 @@ q("iv_13_split_coverage", lambda t: I.split_coverage(_depths(t), 3, 25), "cov",
   f'SELECT contig, w AS start, least(w + 25, e) AS "end", depth FROM (SELECT contig, e, depth, unnest(range(s, e, 26)) AS w FROM cov WHERE depth > 3) UNION ALL SELECT contig, {_SE}, depth FROM cov WHERE depth <= 3')
 q("iv_14_balance_chunks", lambda t: I.balance_chunks(_depths(t), 5000), "cov",
   f"SELECT contig, {_SE}, depth, (e - s) * depth AS load, CAST((sum((e - s) * depth) OVER (ORDER BY CAST(substr(contig, 5) AS BIGINT), s, e ROWS UNBOUNDED PRECEDING) - (e - s) * depth) // 5000 AS BIGINT) AS chunk FROM cov")
-q("iv_14_fold_chunks", lambda t: I.fold_chunks(_depths(t), 5000, 300))  # a walk row by row: tests hold it against plain Python
+# x: load, p: running sum; goal: the sum that the next chunk's first row reaches, stop: the next row that stands alone
+_FOLD = f"""WITH RECURSIVE r AS (
+  SELECT *, (e - s) * depth AS x, row_number() OVER o - 1 AS i, sum((e - s) * depth) OVER (o ROWS UNBOUNDED PRECEDING) AS p FROM cov WINDOW o AS (ORDER BY CAST(substr(contig, 5) AS BIGINT), s, e)),
+l AS (SELECT *, x >= 300 AS lone, coalesce(lag(x) OVER w >= 300, true) AS behind, min(CASE WHEN x >= 300 THEN i END) OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS stop, CASE WHEN x >= 300 AND i > 0 THEN p ELSE p - x END + 5000 AS goal FROM r WINDOW w AS (ORDER BY i)),
+asked AS (SELECT i, lone, stop, goal FROM l UNION ALL SELECT -1, true, (SELECT min(i) FROM l WHERE lone), 5000),
+j AS (SELECT asked.i, lone, greatest(t, asked.i + 1) AS jump FROM asked ASOF JOIN (SELECT p, min(i) AS t FROM r GROUP BY p) AS u ON goal <= p WHERE stop IS NULL OR greatest(t, asked.i + 1) < stop),
+c AS (SELECT jump AS i FROM j WHERE lone UNION SELECT jump FROM c JOIN j USING (i)),
+m AS (SELECT l.*, (lone AND NOT behind)::INT + (l.i IN (SELECT i FROM c))::INT AS more, lone::INT AS after FROM l)
+SELECT contig, {_SE}, depth, x AS load, CAST(sum(more + after) OVER (ORDER BY i) - after AS BIGINT) AS chunk FROM m"""
+q("iv_14_fold_chunks", lambda t: I.fold_chunks(_depths(t), 5000, 300), "cov", _FOLD)
 q("iv_15_merge_alignments", lambda t: I.merge_alignments(*[t.aln.where(f"flag & 16 = {x}") for x in (0, 16)]).select("sample", "contig", "pos", "flag"), "aln", "SELECT sample, contig, pos, flag FROM aln")
 _FLAGS = "f AS (SELECT sample, count(CASE WHEN flag & 4 = 0 THEN 1 END) AS mapped, count(CASE WHEN flag & 4 = 0 AND flag & 2 <> 0 THEN 1 END) AS proper, count(CASE WHEN flag & 4 = 0 AND rnext <> '=' AND mapq >= 5 THEN 1 END) AS mismatched FROM aln GROUP BY sample)"
 q("mp_1_flag_stats", lambda t: M.flag_stats(t.aln), "aln", f"WITH {_FLAGS} SELECT * FROM f")
@@ -439,7 +448,12 @@ def _mates_of_lines(t: Tables) -> DataFrame:
     return t.dna.select("sample", "doc_id", "line", F.expr(f"substring(seq, 1, {two})").alias("fwd"), R.revcomp(F.expr(f"right(seq, {two})")).alias("rev"))
 
 
-q("rd_9_merge_overlaps", lambda t: R.merge_overlaps(_mates_of_lines(t), 40)[0])
+_OVERLAPS = """WITH m AS (SELECT sample, doc_id, line, substr(seq, 1, t) AS fwd, right(seq, t) AS other, t FROM (SELECT *, CAST(ceil(length(seq) * 2 / 3) AS BIGINT) AS t FROM dna)),
+  o AS (SELECT doc_id, line, n, hamming(right(fwd, n), left(other, n)) AS wrong FROM (SELECT *, unnest(range(10, t + 1)) AS n FROM m)),
+  b AS (SELECT doc_id, line, arg_max(n, 1000000 * (n - 2 * wrong) + n) AS n FROM o WHERE wrong <= 0.1::DOUBLE * n AND n > 2 * wrong GROUP BY doc_id, line),
+  r AS (SELECT m.*, fwd || substr(other, n + 1) AS seq FROM m LEFT JOIN b USING (doc_id, line))"""
+q("rd_9_merge_overlaps", lambda t: R.merge_overlaps(_mates_of_lines(t), 40)[0], "dna", f"{_OVERLAPS} SELECT sample, doc_id, line, seq FROM r WHERE length(seq) >= 40")
+q("rd_9_unmerged", lambda t: R.merge_overlaps(_mates_of_lines(t), 40)[1], "dna", f"{_OVERLAPS} SELECT sample, doc_id, line, fwd, {_RC.format('other')} AS rev FROM r WHERE seq IS NULL OR length(seq) < 40")
 q("cl_2_cluster_table", lambda t: C.cluster_table(R.glue_pairs(R.pair_reads(t.mates)).select(F.col("ordinal").alias("read_id"), "seq"), R.pair_reads(t.mates).selectExpr("ordinal AS read_id", "ordinal % 97 AS cluster")), "pairs", "SELECT ordinal AS read_id, ordinal % 97 AS cluster, fwd, rev FROM pairs")
 q("mp_7_pileup_counts", lambda t: M.pileup_counts(t.sequenced), "pile", "SELECT * FROM pile")
 
@@ -484,4 +498,4 @@ q("cl_1_cluster_sequences", lambda t: C.cluster_sequences(_reads(t), shortest=SH
 q("cl_3_cluster_table_rpe", lambda t: C.cluster_table_rpe(R.glue_pairs(R.pair_reads(t.mates)).select(F.col("ordinal").alias("read_id"), "seq"), shortest=SHORTEST))
 q("cl_8_best_contigs", lambda t: C.best_contigs(_assembled(t), 60))
 q("cl_10_build_reference", lambda t: C.build_reference(t.dna.selectExpr("concat('ctg_', doc_id, '_', line) AS contig", "seq"), shortest=SHORTEST))
-q("cl_11_sweep_reference", lambda t: C.sweep_reference(U.unique_per_sample(t.dna), [1, 2], [2], [0.8, 0.9], shortest=SHORTEST))
+q("cl_11_sweep_reference", lambda t: C.sweep_reference(U.unique_per_sample(t.dna), range(1, 6), range(2, 7), [c / 100 for c in range(80, 100, 2)], shortest=SHORTEST))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from itertools import chain
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -12,14 +12,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.ranking import number_rows
-from ..sources.shared import new_path, written
+from ..sources.shared import written
+from .alike import Pairs, allowed_edits, edits_up_to, least_edits, missing_words
 from .reads import pad_contigs
-from .unique import filter_k2, individuals_per_seq
 
 _BASE = np.full(256, 4, np.uint64)
 _BASE[np.frombuffer(b"ACGT", np.uint8)] = range(4)
 _NONE = np.uint64(2**64 - 1)
-_CODE = (_BASE % 4).astype(np.uint16)
 
 
 def minimizers(seq: str, k: int, w: int) -> tuple[np.ndarray, np.ndarray]:
@@ -44,271 +43,143 @@ def minimizers(seq: str, k: int, w: int) -> tuple[np.ndarray, np.ndarray]:
     return found.view(np.int64), at[first]
 
 
-#: The largest part that sequences are cut into.
-_PART = 16
-#: Bases of the words that are counted before edits are.
-_WORD = 5
-
-
-def allowed_edits(n: int, identity: float) -> int:
-    return int((1 - identity) * n + 1e-9)
-
-
-def part_size(n: int, identity: float) -> int:
-    """The largest size of which a sequence of n bases has one part more than the identity allows edits: one part is left whole."""
-    return min(_PART, n // (allowed_edits(n, identity) + 1))
-
-
-def _words(seq: str, size: int) -> np.ndarray:
-    """Hashes of all words of a size, in order."""
-    raw = np.frombuffer(seq.encode("utf-32-le"), np.uint32).astype(np.uint64)
-    n = len(raw) - size + 1
-    if n < 1:
-        return np.zeros(0, np.int64)
-    word = np.full(n, size, np.uint64)
-    for i in range(size):
-        word = word * np.uint64(0x9E3779B97F4A7C15) + raw[i : i + n] + np.uint64(1)
-        word ^= word >> np.uint64(29)
-    return word.view(np.int64)
-
-
-def part_seeds(seq: str, identity: float) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the parts of seq, of which one is left whole by the edits that the identity allows, and where each starts."""
-    size, parts = part_size(len(seq), identity), allowed_edits(len(seq), identity) + 1
-    if not size:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    at = np.arange(parts) * (len(seq) // parts)
-    return _words(seq, size)[at], at
-
-
-def word_seeds(seq: str, sizes: Iterable[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of all words of the sizes, and where each is met first and last."""
-    out = []
-    for size in sizes:
-        words = _words(seq, size)
-        found, first = np.unique(words, return_index=True)
-        out.append((found, first, len(words) - 1 - np.unique(words[::-1], return_index=True)[1]))
-    return tuple(np.concatenate([np.zeros(0, np.int64), *x]).astype(np.int64) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
-
-
-def _word_counts(texts: list[str]) -> np.ndarray:
-    """How often each word of _WORD bases (other letters than A, C, G and T count as A) occurs in each text."""
-    base = _CODE[np.frombuffer("".join(texts).encode("latin-1", "replace"), np.uint8)]
-    ends = np.cumsum([len(x) for x in texts])
-    n = np.diff(ends, prepend=0)
-    word = np.zeros(len(base), np.uint16)
-    for i in range(min(_WORD, len(base))):
-        word[: len(base) - i] = word[: len(base) - i] * 4 + base[i:]
-    whole = np.ones(len(base), bool)  # where a word of the same text begins
-    for i in range(1, _WORD):
-        whole[ends[n >= i] - i] = False
-    place = np.repeat(np.arange(len(n), dtype=np.int32) * 4**_WORD, n) + word
-    return np.bincount(place[whole], minlength=len(n) * 4**_WORD).astype(np.int32).reshape(len(n), -1)
-
-
-def missing_words(short: list[str], long: list[str]) -> np.ndarray:
-    """How many of short's words long lacks.  Each edit that makes short a part of long spoils at most _WORD of them."""
-    out = [np.zeros(0, np.int64)]
-    for at in range(0, len(short), 512):
-        gap = _word_counts(short[at : at + 512]) - _word_counts(long[at : at + 512])
-        out.append(np.maximum(gap, 0, out=gap).sum(1))
-    return np.concatenate(out)
-
-
-def least_edits(short: list[str], long: list[str]) -> np.ndarray:
-    """Edits that make each of short a part of its long, whose ends are free: Myers' bit vectors, for all pairs at once."""
-    n = np.array([len(x) for x in short])
-    out = np.zeros(len(n), np.int64)
-    words, width = -(-n // 64), np.array([len(x) for x in long])
-    order, at = np.lexsort((-width, -words)), 0
-    while at < len(order):
-        own = order[at : at + max(1, min(2048, (1 << 23) // int(64 * words[order[at]] + width[order[at]] + 1)))]
-        own = own[words[own] == words[own[0]]]
-        out[own], at = _myers([short[i] for i in own], [long[i] for i in own]), at + len(own)
-    return out
+def identity_of(short: Column, long: Column, least: float) -> Column:
+    """Share of the bases of short that need no edit beyond those that the length of long makes needed; null if below least."""
+    n, gap = F.length(short), F.greatest(F.length(long) - F.length(short), F.lit(0))
+    edits = F.floor((1 - least) * n + 1e-9).cast("int") + gap
+    distance = F.call_function("levenshtein", short, long, edits)
+    return F.when(distance >= 0, 1 - (distance - gap) / n)
 
 
-def edits_up_to(short: list[str], long: list[str], most: np.ndarray) -> np.ndarray:
-    """least_edits, or more than most where it is more.
+class MinimizerPairs:
+    """Like Pairs, but only of sequences that share a minimizer and half the share of the later one's that the identity lets expect.
 
-    Long ones are ruled out by blocks of 64 bases: their edits, each wherever it fits best, cannot add up to more than the
-    whole's.
+    The later one is laid on the other where most of these lie (ties: leftmost), with `band` bases more at both ends.
     """
-    out, near = most + 1, np.arange(len(short))
-    blocks = [[x[a : a + 64] for a in range(0, len(x), 64)] if len(x) > 256 else [] for x in (short[i] for i in near)]
-    count = np.array([len(b) for b in blocks], np.int64)
-    parts = least_edits([b for own in blocks for b in own], [long[i] for i, n in zip(near, count) for _ in range(n)])
-    near = near[np.bincount(np.repeat(np.arange(len(count)), count), parts, len(count)) <= most[near]]
-    out[near] = least_edits([short[i] for i in near], [long[i] for i in near])
-    return out
 
+    def __init__(self, nodes: DataFrame, identity: float, k: int, w: int, band: int):
+        self.identity, self.band, self.least, self.texts = identity, band, identity ** (k + w) / 2, nodes.select("key", "seq")
 
-def _codes(texts: list[str], width: int) -> np.ndarray:
-    """Characters by number from 1 (0: behind the end)."""
-    out = np.zeros((len(texts), width), np.uint32)
-    for i, x in enumerate(texts):
-        out[i, : len(x)] = np.frombuffer(x.encode("utf-32-le"), np.uint32) + 1
-    return out
+        def seeds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                found = [minimizers(x, k, w) for x in batch["seq"]]
+                rows = batch[["key"]].assign(m=[len(x[0]) for x in found]).loc[batch.index.repeat([len(x[0]) for x in found])]
+                if len(rows):
+                    yield rows.assign(seed=np.concatenate([x[0] for x in found]), at=np.concatenate([x[1] for x in found]))
 
+        self.late = self.early = written(nodes.select("key", "seq").mapInPandas(seeds, "key long, m int, seed long, at int"))
 
-def _myers(short: list[str], long: list[str]) -> np.ndarray:
-    n, m = np.array([len(x) for x in short]), np.array([len(x) for x in long])
-    words = max(1, -(-int(n.max()) // 64))
-    s, t = _codes(short, words * 64), _codes(long, max(1, int(m.max())))
-    letters = np.unique(np.concatenate([np.unique(s), np.unique(t)]))
-    bit = np.uint64(1) << np.arange(64, dtype=np.uint64)
-    peq = np.stack([((s == c).reshape(len(s), words, 64) * bit).sum(2, dtype=np.uint64) for c in letters])
-    t, rows, one, top = np.searchsorted(letters, t), np.arange(len(s)), np.uint64(1), np.uint64(63)
-    shift = ((n - 1) % 64).astype(np.uint64)
-    pv, mv = [np.full(len(s), _NONE) for _ in range(words)], [np.zeros(len(s), np.uint64) for _ in range(words)]
-    score, best = n.astype(np.int64), n.astype(np.int64)
-    for j in range(t.shape[1]):
-        eqs = peq[t[:, j], rows]
-        up, down = np.zeros(len(s), np.uint64), np.zeros(len(s), np.uint64)
-        for w in range(words):
-            p, q, eq = pv[w], mv[w], eqs[:, w]
-            xv = eq | q
-            eq = eq | down
-            xh = (((eq & p) + p) ^ p) | eq
-            ph, mh = q | ~(xh | p), p & xh
-            if w == words - 1:
-                score = score + ((ph >> shift) & one).astype(np.int64) - ((mh >> shift) & one).astype(np.int64)
-            up_next, down_next = ph >> top, mh >> top
-            ph, mh = (ph << one) | up, (mh << one) | down
-            pv[w], mv[w] = mh | ~(xv | ph), ph & xv
-            up, down = up_next, down_next
-        best = np.where(j < m, np.minimum(best, score), best)
-    return best
+    def of(self, late: DataFrame, early: DataFrame) -> DataFrame:
+        a = late.select("seed", F.col("key").alias("late"), "m", F.col("at").alias("own"))
+        met = a.join(early.select("seed", F.col("key").alias("early"), "at"), "seed").where("early < late")
+        shifts = met.groupBy("late", "early", "m", (F.col("at") - F.col("own")).alias("shift")).agg(F.count("*").alias("c"))
+        both = shifts.groupBy("late", "early", "m").agg(F.sum("c").alias("c"), F.max_by("shift", F.struct("c", -F.col("shift"))).alias("shift"))
+        both = both.where(F.col("c") >= F.col("m") * self.least)
+        both = both.join(self.texts.toDF("late", "short"), "late").join(self.texts.toDF("early", "long"), "early")
+        start = F.greatest(F.col("shift") - self.band, F.lit(0))
+        laid = F.substring("long", start + 1, F.col("shift") + F.length("short") + self.band - start)
+        found = both.select("late", "early", F.length("short").alias("n"), identity_of(F.col("short"), laid, self.identity).alias("identity")).where("identity IS NOT NULL")
+        return found.select("late", "early", F.round((1 - F.col("identity")) * F.col("n")).cast("int").alias("edits"), "identity")
 
 
-def identity_of(short: Column, long: Column, least: float) -> Column:
-    """Share of the bases of short that need no edit beyond those that the length of long makes needed; null if below least."""
-    n, gap = F.length(short), F.greatest(F.length(long) - F.length(short), F.lit(0))
-    edits = F.floor((1 - least) * n + 1e-9).cast("int") + gap
-    distance = F.call_function("levenshtein", short, long, edits)
-    return F.when(distance >= 0, 1 - (distance - gap) / n)
+def in_order(df: DataFrame) -> DataFrame:
+    """seq, md5, n, rep_id and key of the different sequences of df (id, seq): key numbers them, from 1, longest first, equal lengths by falling md5."""
+    named = df.select("id", F.coalesce("seq", F.lit("")).alias("seq")).withColumn("md5", F.md5(F.col("seq").cast("binary")))
+    different = written(named.groupBy("md5", "seq").agg(F.min("id").alias("rep_id")).withColumn("n", F.length("seq")))
+    digits = max(0, (different.count() // 50_000).bit_length() + 3) // 4  # of md5, so that a length's rows are dealt to parts
+    return written(number_rows(different, [F.col("n"), F.substring("md5", 1, digits)], [F.desc("n"), F.desc("md5")], "key"))
+
 
+def settle(links: DataFrame, by: list[str], held: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(out, open) of links (by, late, early), a written table: who is no representative, and the links that say nothing yet.
 
-def cluster_sequences(df: DataFrame, identity: float = 0.9, k: int | None = None, w: int = 8, block: int = 2048, band: int = 20, shortest: int = 0) -> DataFrame:
+    In the order of numbers one by one, a sequence is a representative unless an earlier representative is like it.  Those that have no
+    earlier one left are representatives, and what is like them is out; links of what is out go, and so on.  held (by,
+    key): those of which not all links are known; they can be out, but not a representative.
+    """
+    outs, key = [], [*by, "key"]
+    live = links.select(*by, "late", "early")
+    while True:
+        late = live.select(*by, F.col("late").alias("key"))
+        free = live.select(*by, F.col("early").alias("key")).distinct().join(late, key, "left_anti")
+        free = free if held is None else free.join(held, key, "left_anti")
+        out = written(live.join(free.withColumnRenamed("key", "early"), [*by, "early"], "left_semi").select(*by, F.col("late").alias("key")).distinct())
+        outs.append(out)
+        if out.isEmpty():
+            return reduce(DataFrame.unionByName, outs), live
+        live = live.join(out.withColumnRenamed("key", "late"), [*by, "late"], "left_anti").join(out.withColumnRenamed("key", "early"), [*by, "early"], "left_anti")
+        live = written(live)
+
+
+def _tops(early: DataFrame, block: int) -> tuple[DataFrame, DataFrame | None]:
+    """(rows, cut): of each seed the rows of its first keys, and seed and the last key taken, where there are more than block rows.
+
+    A hot seed's rows are counted in ranges of keys; those of the range in which the block ends are ranked, and no others.
+    """
+    hot = written(early.groupBy("seed").agg(F.count("*").alias("rows")).where(F.col("rows") > block).select("seed"))
+    if hot.isEmpty():
+        return early, None
+    rows = written(early.join(hot, "seed").withColumn("range", F.floor(F.col("key") / block)))
+    ranges = rows.groupBy("seed", "range").agg(F.count("*").alias("rows"))
+    upto = F.sum("rows").over(W.partitionBy("seed").orderBy("range"))
+    last = ranges.withColumn("upto", upto).where(F.col("upto") - F.col("rows") < block).groupBy("seed").agg(F.max("range").alias("last"), F.max(F.col("upto") - F.col("rows")).alias("before"))
+    near = rows.join(last, "seed").where("range <= last")
+    nth = F.col("before") + F.dense_rank().over(W.partitionBy("seed").orderBy("key"))
+    cut = near.where("range = last").withColumn("nth", nth).where((F.col("nth") <= block) | (F.col("nth") == F.col("before") + 1)).groupBy("seed").agg(F.max("key").alias("cut"))
+    cut = written(cut)
+    top = rows.join(cut, "seed").where("key <= cut").select(*early.columns)
+    return early.join(hot, "seed", "left_anti").unionByName(top), cut
+
+
+def cluster_sequences(df: DataFrame, identity: float = 0.9, k: int | None = None, w: int = 8, block: int = 16_384, band: int = 20, shortest: int = 0) -> DataFrame:
     """id, cluster (from 1) and rep_id of each row of df (id, seq): greedy clusters around the longest sequences.
 
     Sequences go longest first (equal lengths: by falling md5).  One is a representative if no earlier representative
     has the identity with it; any other joins the most similar such representative (ties: the earlier).  The identity is
     1 less the edits for each of its bases that make it a part of the representative, whose ends are free.  No pair is
-    missed: the later sequence is cut into one part more than it may have edits, and the other holds one of them whole.
-    Of the pairs found so, those go in which more words of 5 bases are missing than the edits can spoil; in the others,
-    edits are counted.  Equal sequences (null: empty) are one, named by their least id; an empty one is like no other, nor
+    missed (see alike.py).  Equal sequences (null: empty) are one, named by their least id; an empty one is like no other, nor
     is one of less than `shortest` bases.
 
-    With k, two sequences are compared only if they share a minimizer and at least half the share of the later one's that the
-    identity lets expect, identity ** (k + w).  The later one is laid on the other where most of these lie (ties: leftmost),
-    with `band` bases more at both ends; edits are counted there.  This is cheaper, but short sequences are missed.
+    With k, two sequences are compared only if they share enough minimizers (MinimizerPairs).  This is cheaper, but short sequences
+    are missed.
 
-    The outcome is that of going through them one by one, but found in rounds: of each minimizer the first `block`
-    undecided sequences are compared (or of each part); one that is among these under all its minimizers and like no undecided earlier
-    one is a representative, and what is like it is decided.  So a round's pairs grow with the number of minimizers,
-    not with the square of a frequent one's sequences, and no group meets in one task.
+    All pairs are found at once, if no seed has more than `block` places in earlier sequences, and the outcome of going one by one follows
+    from them (settle).  Of a seed with more, the first keys are compared; sequences that might have others before
+    them wait.  What is like the representatives found so is decided, and the rest goes on.  So the pairs of a hot seed, or of a
+    large group of copies, grow with its rows, not with their square.
     """
-
     if not 0 < identity <= 1:
         raise ValueError("identity is above 0 and at most 1")
-    named = df.select("id", F.coalesce("seq", F.lit("")).alias("seq")).withColumn("key", F.md5(F.col("seq").cast("binary")))
-    named = named.withColumnRenamed("key", "md5")
-    different = written(named.groupBy("md5", "seq").agg(F.min("id").alias("rep_id")).withColumn("n", F.length("seq")))
-    # key: the place in the order in which they are gone through, from 1
-    nodes = written(number_rows(different, [F.col("n"), F.substring("md5", 1, 4)], [F.desc("n"), F.desc("md5")], "key"))
-    texts = nodes.select("key", "seq")
-    least: dict[int, int] = {}  # of each size of parts, the shortest sequence that is cut so
-    for (n,) in [] if k else nodes.where(F.col("n") >= shortest).select("n").distinct().orderBy("n").collect():
-        least.setdefault(part_size(n, identity), n)
-    least.pop(0, None)
-
-    def seeds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """As the later sequence of a pair (own) and as the earlier one; a seed lies between at and until."""
-        for batch in batches:
-            for i in range(0, len(batch), 256):
-                some, late, early = batch[i : i + 256], [], []
-                for x in some["seq"]:
-                    seed, at = minimizers(x, k, w) if k else part_seeds(x, identity)
-                    late.append((seed, at, at))
-                    early.append((seed, at, at) if k else word_seeds(x, [p for p, n in least.items() if n <= len(x)]))
-                for own, found in ((True, late), (False, early)):
-                    count = [len(x[0]) for x in found]
-                    rows = some[["key", "n"]].assign(m=count).loc[some.index.repeat(count)]
-                    if len(rows):
-                        yield rows.assign(own=own, **{c: np.concatenate([x[j] for x in found]) for j, c in enumerate(("seed", "at", "until"))})
-
-    every = written(nodes.where(F.col("n") >= shortest).select("key", "seq", "n").mapInPandas(seeds, "key long, n int, m int, own boolean, seed bigint, at int, until int"))
-    shared = every.groupBy("seed").agg(F.max("key").alias("_a"), F.min("key").alias("_b"), F.bool_or("own").alias("_own")).where("_own AND _a <> _b").select("seed")
-    shared = every.join(shared, "seed")
-    counts = shared.where("own").groupBy("key").agg(F.count_distinct("seed").alias("seeds"))
-    postings = written(shared.join(counts, "key", "left"))
-
-    def alike_by_minimizers(pairs: DataFrame) -> DataFrame:
-        shifts = pairs.groupBy("late", "early", "m", F.col("low").alias("shift")).agg(F.count("*").alias("c"))
-        both = shifts.groupBy("late", "early", "m").agg(F.sum("c").alias("c"), F.max_by("shift", F.struct("c", -F.col("shift"))).alias("shift"))
-        both = both.where(F.col("c") >= F.col("m") * (identity ** ((k or 0) + w) / 2)).drop("m", "c")
-        both = both.join(texts.toDF("late", "short"), "late").join(texts.toDF("early", "long"), "early")
-        start = F.greatest(F.col("shift") - band, F.lit(0))
-        laid = F.substring("long", start + 1, F.col("shift") + F.length("short") + band - start)
-        return both.withColumn("identity", identity_of(F.col("short"), laid, identity)).where("identity IS NOT NULL").drop("short", "long", "shift")
-
-    def verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """The pairs with at most `most` edits.  Those with enough words in common are gathered, so that edits are counted for many at once."""
-        held, size = [], 0
-        for batch in chain(batches, [None]):
-            if batch is not None:
-                near = batch[missing_words(list(batch["short"]), list(batch["laid"])) <= _WORD * batch["most"].to_numpy()]
-                held.append(near)
-                size += len(near)
-            if held and (size >= 20_000 or batch is None):
-                some, held, size = pd.concat(held), [], 0
-                edits, most = edits_up_to(list(some["short"]), list(some["laid"]), some["most"].to_numpy()), some["most"].to_numpy()
-                yield some[["late", "early"]].assign(identity=1 - edits / some["short"].str.len())[edits <= most]
-
-    def alike_by_parts(pairs: DataFrame) -> DataFrame:
-        both = pairs.groupBy("late", "early").agg(F.min("low").alias("low"), F.max("high").alias("high"))
-        both = both.join(texts.toDF("late", "short"), "late").join(texts.toDF("early", "long"), "early")
-        most = F.floor((1 - F.lit(float(identity))) * F.length("short") + 1e-9).cast("int")
-        start = F.greatest(F.col("low") - most, F.lit(0))
-        laid = F.substring("long", start + 1, F.col("high") + F.length("short") + most - start)
-        return both.select("late", "early", "short", laid.alias("laid"), most.alias("most")).mapInPandas(verified, "late long, early long, identity double")
-
-    def alike(pairs: DataFrame) -> DataFrame:
-        """Those of pairs (late, early, m, low, high), one for each seed in common, with the identity."""
-        return alike_by_minimizers(pairs) if k else alike_by_parts(pairs)
-
-    def pairs(late: DataFrame, early: DataFrame) -> DataFrame:
-        a = late.where("own").select("seed", F.col("key").alias("late"), "m", F.col("at").alias("_a"))
-        b = early.where("NOT own").select("seed", F.col("key").alias("early"), F.col("at").alias("_b"), F.col("until").alias("_u"))
-        return a.join(b, "seed").where("early < late").select("late", "early", "m", (F.col("_b") - F.col("_a")).alias("low"), (F.col("_u") - F.col("_a")).alias("high"))
-
-    reps = new_path(df.sparkSession)
-    undecided = postings.where("seeds IS NOT NULL")
-    nodes = nodes.drop("seq")
-    nodes.join(undecided, "key", "left_anti").select("key").write.parquet(reps)
-    chosen = df.sparkSession.read.schema("key long").parquet(reps)
-    near = [written(alike(pairs(undecided, postings.join(chosen, "key"))))]  # each sequence with each representative that it is like, once
-    live, place = written(undecided.join(near[0].select(F.col("late").alias("key")), "key", "left_anti")), F.dense_rank().over(W.partitionBy("seed").orderBy("key"))
-    while not live.isEmpty():
-        top = written(live.withColumn("nth", place).where(F.col("nth") <= block).drop("nth"))
-        first = top.where("own").groupBy("key", "seeds").agg(F.count_distinct("seed").alias("c")).where("c = seeds").select("key")
-        blocked = alike(pairs(top.join(first, "key"), top)).select(F.col("late").alias("key"))
-        new = written(first.join(blocked, "key", "left_anti"))
-        new.write.mode("append").parquet(reps)
-        chosen = df.sparkSession.read.schema("key long").parquet(reps)
-        near.append(written(alike(pairs(undecided.join(chosen, "key", "left_anti"), postings.join(new, "key")))))
-        live = written(live.join(new.unionByName(near[-1].select(F.col("late").alias("key"))), "key", "left_anti"))
-
-    chosen = df.sparkSession.read.schema("key long").parquet(reps)
-    every_near = near[0]
-    for x in near[1:]:
-        every_near = every_near.unionByName(x)
-    joined = every_near.groupBy(F.col("late").alias("key")).agg(F.max_by("early", F.struct("identity", -F.col("early"))).alias("rep"))
-    of = written(joined.unionByName(chosen.select("key", F.col("key").alias("rep"))))
-    numbered = number_rows(nodes.join(chosen, "key").select("key", "rep_id"), [F.floor(F.col("key") / 100_000)], [F.col("key")], "cluster", ascending=True)
+    nodes = in_order(df)
+    compared = nodes.where(F.col("n") >= max(shortest, 1))
+    pairs = MinimizerPairs(compared, identity, k, w, band) if k else Pairs(compared, identity)
+    near, reps, live = [], None, nodes.select("key")
+    late, early = pairs.late, pairs.early
+    while True:
+        top, cut = _tops(early, block)
+        held = None if cut is None else written(late.join(cut, "seed").where("key > cut").select("key").distinct())
+        links = written(pairs.of(late, top))
+        out, undecided = settle(links, [], held)
+        new = live.join(out, "key", "left_anti").join(undecided.select(F.col("late").alias("key")), "key", "left_anti")
+        new = written(new if held is None else new.join(held, "key", "left_anti"))
+        if held is None and reps is None:
+            near, reps = [links], new
+            break
+        reps = new if reps is None else written(reps.unionByName(new))
+        near.append(written(pairs.of(pairs.late.join(reps, "key", "left_anti"), pairs.early.join(new, "key"))))
+        if held is None:
+            break
+        live = written(live.join(new, "key", "left_anti").join(near[-1].select(F.col("late").alias("key")), "key", "left_anti"))
+        late, early = late.join(live, "key", "left_semi"), early.join(live, "key", "left_semi")
+
+    linked = reduce(DataFrame.unionByName, near).join(reps.withColumnRenamed("key", "early"), "early", "left_semi")
+    linked = linked.join(reps.withColumnRenamed("key", "late"), "late", "left_anti")
+    joined = linked.groupBy(F.col("late").alias("key")).agg(F.max_by("early", F.struct("identity", -F.col("early"))).alias("rep"))
+    of = joined.unionByName(reps.select("key", F.col("key").alias("rep")))
+    numbered = number_rows(nodes.join(reps, "key").select("key", "rep_id"), [F.floor(F.col("key") / 100_000)], [F.col("key")], "cluster", ascending=True)
     of = of.join(numbered.select(F.col("key").alias("rep"), "cluster", "rep_id"), "rep").join(nodes.select("key", "md5"), "key")
-    return named.select("id", "md5").join(of, "md5").select("id", "cluster", "rep_id")
+    named = df.select("id", F.md5(F.coalesce("seq", F.lit("")).cast("binary")).alias("md5"))
+    return named.join(of, "md5").select("id", "cluster", "rep_id")
 
 
 def forward_identity(identity: float) -> float:
@@ -332,18 +203,32 @@ def build_reference(contigs: DataFrame, identity: float = 0.9, **settings) -> Da
     return pad_contigs(contigs.join(found.where("id = rep_id").select(F.col("id").alias("contig")), "contig"))
 
 
-def sweep_reference(uniq: DataFrame, k1s: Iterable[int], k2s: Iterable[int], identities: Iterable[float], **settings) -> DataFrame:
-    """k1, k2, identity and the number of reference contigs for every cell; the cells are Spark jobs, one after another."""
-    out = None
-    for k1 in k1s:
-        counted = written(individuals_per_seq(uniq, k1))
-        for k2 in k2s:
-            kept = filter_k2(counted, k2).select(F.col("seq").alias("contig"), "seq")
-            for identity in identities:
-                cell = build_reference(kept, identity, **settings).agg(F.count("*").alias("contigs"))
-                cell = cell.select(F.lit(k1).cast("long").alias("k1"), F.lit(k2).cast("long").alias("k2"), F.lit(float(identity)).alias("identity"), "contigs")
-                out = cell if out is None else out.unionByName(cell)
-    return out
+def sweep_reference(uniq: DataFrame, k1s: Iterable[int], k2s: Iterable[int], identities: Iterable[float], shortest: int = 0) -> DataFrame:
+    """k1, k2, identity and the number of reference contigs (build_reference) for every cell, of uniq (sample, seq, n).
+
+    The pairs of the loosest cell are found once, with their edits.  Each link goes to the cells that have both its sequences and allow its
+    edits, and all cells are settled together.  Links of a group of near copies are all kept, so they grow with its square.
+    """
+    k1s, k2s, identities = sorted(set(k1s)), sorted(set(k2s)), sorted({float(c) for c in identities})
+    held = F.array(*[F.count_if(F.col("n") >= k).cast("int") for k in k1s])  # samples that hold the sequence, for each k1
+    counted = uniq.groupBy(F.coalesce("seq", F.lit("")).alias("seq")).agg(held.alias("held")).where(F.col("held")[0] >= k2s[0])
+    counted = written(counted.withColumn("md5", F.md5(F.col("seq").cast("binary"))))
+    nodes = in_order(counted.select(F.col("seq").alias("id"), "seq"))
+    links = Pairs(nodes.where(F.col("n") >= max(shortest, 1)), identities[0])
+    links = written(links.of(links.late, links.early).select("late", "early", "edits"))
+    ends = nodes.join(counted.select("md5", "held"), "md5").select("key", "n", "held")
+    both = links.join(ends.toDF("late", "n", "held"), "late").join(ends.select(F.col("key").alias("early"), F.col("held").alias("_held")), "early")
+    k1, k2, identity = (F.array(*[F.lit(x) for x in xs]) for xs in (k1s, k2s, identities))
+    cells = both.select("late", "early", "n", "edits", F.posexplode(k1).alias("at", "k1"), "held", "_held")
+    cells = cells.withColumn("k2", F.explode(F.filter(k2, lambda k: k <= F.least(F.expr("held[at]"), F.expr("_held[at]")))))
+    cells = cells.withColumn("identity", F.explode(F.filter(identity, lambda c: F.col("edits") <= F.floor((1 - c) * F.col("n") + 1e-9))))
+    by = ["k1", "k2", "identity"]
+    out, _ = settle(written(cells.select(*by, "late", "early")), by)
+    gone = out.groupBy(*by).agg(F.count("*").alias("gone"))
+    there = [F.struct(F.lit(k).alias("k1"), F.lit(m).alias("k2"), F.count_if(F.col("held")[i] >= m).alias("there")) for i, k in enumerate(k1s) for m in k2s]
+    there = counted.agg(F.array(*there).alias("x")).select(F.explode("x").alias("x")).select("x.*").withColumn("identity", F.explode(identity))
+    cell = there.join(gone, by, "left").select(*by, (F.col("there") - F.coalesce("gone", F.lit(0))).alias("contigs"))
+    return cell.select(F.col("k1").cast("long").alias("k1"), F.col("k2").cast("long").alias("k2"), "identity", "contigs")
 
 
 def best_contigs(asm: DataFrame, shortest: int) -> DataFrame:

@@ -191,102 +191,98 @@ def balance_chunks(cov: DataFrame, target: int) -> DataFrame:
     return placed.withColumn("chunk", F.floor((F.col("_begun") + F.col("_within") - F.col("load")) / target)).drop("_begun", "_within", "_bin")
 
 
-def _fold(load: np.ndarray, target: int, alone: int, run: int, lone: bool, first: bool = False) -> tuple[np.ndarray, int, bool]:
-    """Chunk numbers (from 0: the chunk that is open) of loads in turn, the running load at the end and whether a lone row came last.
-
-    A load that brings the running one to target begins a chunk with itself.  A load of at least `alone` has a chunk of its
-    own, and the running load begins at 0 after it; only the very first row doesn't reset it.
-    """
-    chunk, out = 0, np.zeros(len(load), np.int64)
-    for i, x in enumerate(load.tolist()):
-        if x >= alone:
-            chunk += 0 if lone or (first and not i) else 1
-            out[i], run, lone = chunk, x if first and not i else 0, True
-            chunk += 1
-        elif run + x >= target:
-            chunk += 1
-            out[i], run, lone = chunk, x, False
-        else:
-            out[i], run, lone = chunk, run + x, False
-    return out, run, lone
-
-
-def _outcomes(load: np.ndarray, target: int, alone: int) -> list[tuple[int, int, int, int, bool]]:
-    """What a block of loads makes of each running load it may begin with: (low, chunks, run, added, lone).
-
-    From a running load of `low` on, up to the next entry's, `chunks` are begun and the running load is `run` at the end; if
-    that is below 0, no chunk is begun and it is what it was plus `added`.  The first row that begins a chunk decides; what
-    follows it is found once for every row, from the last to the first.
-    """
-    n, is_lone = len(load), load >= alone
-    upto = np.cumsum(load)
-    before = upto - load
-    lone_at = np.append(np.where(is_lone, np.arange(n), n), n)
-    next_lone = np.minimum.accumulate(lone_at[::-1])[::-1]
-    base = np.where(is_lone, upto, before)  # where the running load of a row that begins a chunk counts from
-    following = np.minimum(np.maximum(np.searchsorted(upto, target + base), np.arange(1, n + 1)), next_lone[1:])
-    chunks, run = np.zeros(n, np.int64), np.zeros(n, np.int64)
-    lone = np.zeros(n, bool)
-    for c in range(n - 1, -1, -1):
-        then = following[c]
-        if then == n:
-            chunks[c], run[c], lone[c] = 0, upto[-1] - base[c], is_lone[c] and c == n - 1
-        else:
-            begun = (1 if is_lone[c] and then == c + 1 else 2) if is_lone[then] else 1
-            chunks[c], run[c], lone[c] = begun + chunks[then], run[then], lone[then]
-    full = int(np.searchsorted(upto, target))
-    last = min(int(next_lone[0]), full)
-    out = [] if last < n else [(0, 0, -1, int(upto[-1]), False)]
-    for cut in range(min(last, n - 1) + 1):
-        low = 0 if cut == last else target - int(upto[cut])
-        if not cut or load[cut] or cut == last:
-            out.append((max(low, 0), (2 if is_lone[cut] else 1) + int(chunks[cut]), int(run[cut]), 0, bool(lone[cut])))
-    return sorted(out)
+def _exits(jump: np.ndarray, low: int) -> np.ndarray:
+    """For each row of a block that begins at number low, the first row behind the block that jumps lead to; jump is a row's next, from low on."""
+    out, high = jump.copy(), low + len(jump)
+    while (inside := out < high).any():
+        out[inside] = out[out[inside] - low]
+    return out
 
 
 def fold_chunks(cov: DataFrame, target: int, alone: int, block: int = 20_000) -> DataFrame:
     """contig, start, end, depth, load and chunk (from 0) of the exact walk through all intervals in natural order.
 
     A row that brings the running load to target begins a chunk, with its load; a row with a load of at least `alone` is a chunk
-    by itself, after which the running load is 0, but not after such a very first row.  Each block of about
-    `block` rows says in its own task what it makes of any running load it may begin with; a row or a few for each of
-    these are walked through in one task, and the blocks are numbered from what they begin with.
+    by itself, after which the running load is 0, but not after such a very first row.
+
+    Were a chunk to begin with a row, the row that begins the next one is the first whose sum of loads reaches that before it plus
+    target: looked up for all rows at once, in ranges of sums.  A block of about `block` rows follows these jumps to where they
+    leave it; where the walk enters blocks is found by doubling the jumps between them.  No task holds more than a block or a range.
     """
     text, number = natural_key(F.col("contig"))
     order = [F.col("_t"), F.col("_n"), F.col("contig"), F.col("start"), F.col("end")]
     rows = cov.select("contig", "start", "end", "depth", ((F.col("end") - F.col("start")) * F.col("depth")).alias("load"), text.alias("_t"), number.alias("_n"))
-    n = rows.count()
-    rows = written(rows.repartitionByRange(max(1, -(-n // block)), *order).withColumn("_block", F.spark_partition_id()))
-    sort = ["_t", "_n", "contig", "start", "end"]
-    first = rows.agg(F.min("_block").alias("b")).first()["b"]
-
-    def summary(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        load = pdf.sort_values(sort, kind="stable", na_position="first")["load"].to_numpy(np.int64)
-        if key[0] == first:  # begins with nothing
-            chunks, run, lone = _fold(load, target, alone, 0, False, True)
-            told = [(0, int(chunks[-1]) + int(load[-1] >= alone), run, 0, lone)]
-        else:
-            told = _outcomes(load, target, alone)
-        return pd.DataFrame([(key[0], bool(load[0] >= alone), *x) for x in told], columns=["block", "head", "low", "chunks", "run", "added", "lone"])
-
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        run, chunk, lone, out = 0, 0, False, []
-        for b, own in pdf.sort_values(["block", "low", "chunks"]).groupby("block"):
-            out.append((b, chunk, run, lone))
-            x = own[own["low"] <= run].iloc[-1]
-            chunk += int(x["chunks"]) - int(lone and x["head"])  # a lone row behind a lone row finds its chunk open
-            run, lone = int(x["run"]) if x["run"] >= 0 else run + int(x["added"]), bool(x["lone"])
-        return pd.DataFrame(out, columns=["block", "chunk", "run", "lone"])
-
-    told = rows.groupBy("_block").applyInPandas(summary, "block int, head boolean, low long, chunks long, run long, added long, lone boolean")
-    begun = written(told.withColumn("_all", F.lit(1)).groupBy("_all").applyInPandas(walk, "block int, chunk long, run long, lone boolean"))
-
-    def place(key: tuple, pdf: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(sort, kind="stable", na_position="first")
-        chunks, _, _ = _fold(pdf["load"].to_numpy(np.int64), target, alone, int(state["run"].iloc[0]), bool(state["lone"].iloc[0]), key[0] == first)
-        return pdf.assign(chunk=chunks + state["chunk"].iloc[0])[["contig", "start", "end", "depth", "load", "chunk"]]
-
-    return rows.groupBy("_block").cogroup(begun.groupBy("block")).applyInPandas(place, "contig string, start long, end long, depth long, load long, chunk long")
+    total = rows.count()
+    parts = max(1, -(-total // block))
+    rows = written(rows.repartitionByRange(parts, *order).withColumn("_block", F.spark_partition_id()))
+    within, lone = W.partitionBy("_block").orderBy(*order), F.col("load") >= alone
+    rows = rows.withColumn("_i", F.row_number().over(within) - 1).withColumn("_sum", F.sum("load").over(within.rowsBetween(W.unboundedPreceding, 0))).withColumn("_lone", lone)
+    # of each block: rows and loads before it, the first lone row behind it, and whether the row before it is lone
+    blocks = rows.groupBy("_block").agg(F.count("*").alias("n"), F.sum("load").alias("s"), F.min(F.when(lone, F.col("_i"))).alias("f"), F.max_by("_lone", "_i").alias("l"))
+    by_block = W.orderBy("_block")
+    before = lambda c: F.sum(c).over(by_block) - F.col(c)
+    blocks = blocks.withColumn("_first", before("n")).withColumn("_loads", before("s")).withColumn("_then", F.col("f") + F.col("_first"))
+    blocks = blocks.withColumn("_behind", F.min("_then").over(by_block.rowsBetween(1, W.unboundedFollowing))).withColumn("_was", F.coalesce(F.lag("l").over(by_block), F.lit(False)))
+    rows = rows.join(blocks.select("_block", "_first", "_loads", "_behind", "_was"), "_block")
+    rows = rows.withColumn("i", F.col("_i") + F.col("_first")).withColumn("upto", F.col("_sum") + F.col("_loads"))
+    coming = F.min(F.when(lone, F.col("i"))).over(within.rowsBetween(1, W.unboundedFollowing))
+    after_lone = F.coalesce(F.lag("_lone").over(within), F.col("_was")) | (F.col("i") == 0)
+    base = F.when(lone & (F.col("i") > 0), F.col("upto")).otherwise(F.col("upto") - F.col("load"))
+    rows = written(rows.select(
+        "_block", "i", "contig", "start", "end", "depth", "load", "upto", F.col("_lone").alias("lone"), F.coalesce(coming, F.col("_behind"), F.lit(total)).alias("stop"),
+        (base + target).alias("goal"), F.when(lone & ~after_lone, 1).otherwise(0).alias("before"),
+    ))
+
+    # the first row behind i whose sum reaches the goal: as many rows have a smaller sum.  Row -1 stands for the beginning
+    first_lone = F.coalesce(F.min(F.when(F.col("lone"), F.col("i"))), F.lit(total))
+    beginning = rows.agg(first_lone.alias("stop")).select(F.lit(-1).cast("long").alias("i"), "stop", F.lit(target).cast("long").alias("goal"), F.lit(True).alias("lone"), F.lit(-1).alias("_block"))
+    asked = rows.select("i", "stop", "goal", "lone", "_block").unionByName(beginning)
+    nothing = [F.lit(None).cast(t).alias(c) for c, t in (("stop", "long"), ("lone", "boolean"), ("_block", "int"))]
+    both = rows.select(F.col("upto").alias("v"), F.lit(1).alias("d"), "i", *nothing).unionByName(asked.select(F.col("goal").alias("v"), F.lit(0).alias("d"), "i", "stop", "lone", "_block"))
+    both = written(both.repartitionByRange(2 * parts, "v", "d", "i").withColumn("range", F.spark_partition_id()))
+    ranges = both.groupBy("range").agg(F.sum("d").alias("n"))
+    ranges = ranges.select("range", (F.sum("n").over(W.orderBy("range")) - F.col("n")).alias("less"))
+    smaller = F.sum("d").over(W.partitionBy("range").orderBy("v", "d", "i").rowsBetween(W.unboundedPreceding, 0))
+    looked = both.withColumn("smaller", smaller).where("d = 0").join(ranges, "range")
+    jump = F.greatest(F.col("less") + F.col("smaller"), F.col("i") + 1)
+    jumps = written(looked.select("i", "lone", "_block", F.when(jump < F.col("stop"), jump).alias("jump")))
+
+    def leave(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("i")
+        low = int(pdf["i"].iloc[0])
+        out = _exits(pdf["jump"].fillna(total).to_numpy(np.int64), low)
+        return pd.DataFrame({"i": pdf["i"].to_numpy(np.int64)[out < total], "jump": out[out < total]})
+
+    entered = written(jumps.where("lone AND jump IS NOT NULL").select(F.col("jump").alias("i")).distinct())
+    far = written(jumps.where("i >= 0").groupBy("_block").applyInPandas(leave, "i long, jump long"))
+    while True:
+        new = written(entered.join(far, "i").select(F.col("jump").alias("i")).distinct().join(entered, "i", "left_anti"))
+        if new.isEmpty():
+            break
+        entered = written(entered.unionByName(new))
+        far = written(far.join(far.select(F.col("i").alias("jump"), F.col("jump").alias("then")), "jump").select("i", F.col("then").alias("jump")))
+
+    def follow(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Whether each row begins a chunk by its load: those entered, and where their jumps lead within the block."""
+        pdf = pdf.sort_values("i")
+        low, jump = int(pdf["i"].iloc[0]), pdf["jump"].fillna(total).to_numpy(np.int64)
+        begins = pdf["entered"].to_numpy(bool).copy()
+        front = np.flatnonzero(begins)
+        while len(front):
+            front = np.unique(jump[front] - low)
+            front = front[front < len(begins)]
+            front = front[~begins[front]]
+            begins[front] = True
+        return pd.DataFrame({"i": pdf["i"], "begins": begins})
+
+    marked = jumps.where("i >= 0").join(entered.withColumn("entered", F.lit(True)), "i", "left").withColumn("entered", F.coalesce("entered", F.lit(False)))
+    begun = marked.groupBy("_block").applyInPandas(follow, "i long, begins boolean")
+    rows = rows.join(begun, "i").withColumn("more", F.col("before") + F.col("begins").cast("int")).withColumn("after", F.col("lone").cast("int"))
+    by_row = W.partitionBy("_block").orderBy("i")
+    rows = written(rows.withColumn("nth", F.sum(F.col("more") + F.col("after")).over(by_row) - F.col("after")))
+    counts = rows.groupBy("_block").agg(F.sum(F.col("more") + F.col("after")).alias("n"))
+    counts = counts.select("_block", (F.sum("n").over(by_block) - F.col("n")).alias("earlier"))
+    return rows.join(counts, "_block").select("contig", "start", "end", "depth", "load", (F.col("earlier") + F.col("nth")).alias("chunk"))
 
 
 def merge_alignments(*aln: DataFrame) -> DataFrame:

@@ -191,19 +191,53 @@ def trim_reads(reads: DataFrame, window: int = 5, mean_q: int = 15, q: int = 15,
     return kept.join(both, ["sample", "ordinal"], "left_semi")
 
 
-def _merged(fwd: str, other: str, min_overlap: int, max_mismatch_frac: float) -> str | None:
-    """Both as one read.  Overlaps are tried from the longest on; one that the best so far beats even without mismatches ends it."""
-    a, b = np.frombuffer(fwd.encode("latin-1", "replace"), np.uint8), np.frombuffer(other.encode("latin-1", "replace"), np.uint8)
-    best = (0, 0)
-    for n in range(min(len(a), len(b)), max(min_overlap, 1) - 1, -1):
-        if n <= best[0]:
-            break
-        if n > 64 and np.count_nonzero(a[len(a) - n : len(a) - n + 64] != b[:64]) > max_mismatch_frac * n:
-            continue
-        wrong = int(np.count_nonzero(a[len(a) - n :] != b[:n]))
-        if wrong <= max_mismatch_frac * n:
-            best = max(best, (n - 2 * wrong, n))
-    return fwd + other[best[1] :] if best[0] > 0 else None
+def _planes(texts: list[str], codes: np.ndarray, digits: int, words: int) -> np.ndarray:
+    """Texts' letters in bits: for each binary digit of a letter's code, 64 letters a word, the first lowest; (digits, texts, words)."""
+    out = np.zeros((len(texts), 64 * words), np.uint8)
+    for row, x in zip(out, texts):
+        row[: len(x)] = codes[np.frombuffer(x.encode("latin-1", "replace"), np.uint8)]
+    bits = np.stack([np.packbits(out >> d & 1, axis=1, bitorder="little") for d in range(digits)])
+    return bits.view(np.uint64)
+
+
+def best_overlaps(fwd: list[str], other: list[str], min_overlap: int, max_mismatch_frac: float) -> np.ndarray:
+    """Of each pair, how many bases of fwd's end and other's beginning overlap best; 0 if none do.
+
+    All pairs of a batch are laid on each other at once, from the whole of fwd on and a base further each time: what differs is the
+    exclusive or of their bits.
+    """
+    found = np.zeros(len(fwd), np.int64)
+    n, m = np.array([len(x) for x in fwd], np.int64), np.array([len(x) for x in other], np.int64)
+    letters = np.unique(np.frombuffer("".join([*fwd, *other]).encode("latin-1", "replace"), np.uint8))
+    codes, digits = np.zeros(256, np.uint8), max(1, (len(letters) - 1).bit_length())
+    codes[letters] = range(len(letters))
+    order, at, least = np.argsort(n, kind="stable"), 0, max(min_overlap, 1)
+    while at < len(order):
+        own = order[at : at + max(1, min(512, (1 << 18) // (int(n[order[at]]) + 1)))]
+        own = own[n[own] <= max(64, 2 * n[own[0]])]
+        at += len(own)
+        words = max(1, -(-int(n[own].max()) // 64))
+        a, b = (_planes([texts[i][: 64 * words] for i in own], codes, digits, words) for texts in (fwd, other))
+        whole = np.array([(1 << int(x)) - 1 for x in n[own]], object)
+        mask = np.stack([(whole >> 64 * w & (1 << 64) - 1).astype(np.uint64) for w in range(words)], axis=1)
+        best, score = np.zeros(len(own), np.int64), np.zeros(len(own), np.int64)
+        for shift in range(int(n[own].max()) - least + 1):
+            overlap = n[own] - shift
+            if not (overlap > score).any():
+                break
+            if shift:
+                for bits in (*a, mask):
+                    carried = bits[:, 1:] << np.uint64(63)
+                    bits >>= np.uint64(1)
+                    bits[:, :-1] |= carried
+            apart = a[0] ^ b[0]
+            for x, y in zip(a[1:], b[1:]):
+                apart |= x ^ y
+            wrong = np.bitwise_count(apart & mask).sum(1, dtype=np.int64)
+            better = (overlap >= least) & (overlap <= m[own]) & (wrong <= max_mismatch_frac * overlap) & (overlap - 2 * wrong > score)
+            best, score = np.where(better, overlap, best), np.where(better, overlap - 2 * wrong, score)
+        found[own] = best
+    return found
 
 
 def merge_overlaps(pairs: DataFrame, min_len: int, max_mismatch_frac: float = 0.1, min_overlap: int = 10) -> tuple[DataFrame, DataFrame]:
@@ -213,10 +247,12 @@ def merge_overlaps(pairs: DataFrame, min_len: int, max_mismatch_frac: float = 0.
     read there.  Merged reads shorter than min_len, and pairs with a null mate, are left un-merged.
     """
 
-    @F.pandas_udf("string")
-    def merged(fwd: pd.Series, other: pd.Series) -> pd.Series:
-        return pd.Series([None if f is None or o is None else _merged(f, o, min_overlap, max_mismatch_frac) for f, o in zip(fwd, other)], dtype=object)
+    @F.pandas_udf("int")
+    def overlap(fwd: pd.Series, other: pd.Series) -> pd.Series:
+        return pd.Series(best_overlaps(fwd.fillna("").tolist(), other.fillna("").tolist(), min_overlap, max_mismatch_frac))
 
-    tried = pairs.withColumn("seq", merged("fwd", revcomp(F.col("rev"))))
+    other = revcomp(F.col("rev"))
+    tried = pairs.withColumn("_n", overlap("fwd", other))
+    tried = tried.withColumn("seq", F.when(F.col("_n") > 0, F.concat("fwd", other.substr(F.col("_n") + 1, F.length("rev"))))).drop("_n")
     good = F.coalesce(F.length("seq") >= min_len, F.lit(False))
     return tried.where(good).drop("fwd", "rev"), tried.where(~good).drop("seq")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from fractions import Fraction
 from math import comb
 
@@ -12,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.ranking import nearest_rank
+from ..sources.shared import written
 from .sites import allele_stats
 
 SITE = ["chrom", "pos"]
@@ -191,26 +193,47 @@ def site_pi(calls: DataFrame) -> DataFrame:
     return allele_stats(calls).where("called > 0").select(*SITE, (1 - F.try_divide(alike, F.col("copies") * (F.col("copies") - 1))).alias("pi"))
 
 
-def resample_pi(calls: DataFrame, popmap: DataFrame, rounds: int = 100, n: int = 15, seed: int = 1, alleles: int = 8) -> DataFrame:
-    """pop, round and the mean site diversity of n individuals drawn by a seeded hash: one join for all rounds.
+def resample_pi(calls: DataFrame, popmap: DataFrame, rounds: int = 100, n: int = 15, seed: int = 1, alleles: int = 16) -> DataFrame:
+    """pop, round and the mean site diversity of n individuals drawn by a seeded hash.
 
-    Copies of each allele are counted in bits of their own of one sum.  Allele numbers from `alleles` on raise an error: give
-    a larger one.
+    Calls are shuffled once, for all rounds: each site's genotypes in a population become bits, one for each individual, of the digits of
+    their allele numbers.  A task adds up its sites for all rounds at once, as products of genotypes and draws, and sends a sum for each
+    round.  The draws, a bit for each individual and round, go with the tasks.  Allele numbers from `alleles` on raise an
+    error: give a larger one.
     """
-    draw = popmap.withColumn("round", F.explode(F.sequence(F.lit(1), F.lit(rounds))))
+    people = written(popmap.select("sample", "pop").withColumn("_at", F.row_number().over(W.partitionBy("pop").orderBy("sample")) - 1))
     order = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("round").cast("string"), "sample"))
-    drawn = draw.withColumn("_n", F.row_number().over(W.partitionBy("pop", "round").orderBy(order, "sample"))).where(F.col("_n") <= n).select("sample", "pop", "round")
-    bits = (2 * n).bit_length()
-    words = -(-alleles // (62 // bits))
-    one = lambda a, w: F.when(F.col(a).between(w * (62 // bits), (w + 1) * (62 // bits) - 1), F.expr(f"shiftleft(1L, CAST({bits} * ({a} - {w * (62 // bits)}) AS INT))")).otherwise(0)
-    known = F.when(F.greatest("a1", "a2") < alleles, F.lit(1)).otherwise(F.raise_error(F.lit(f"more than {alleles} alleles")).cast("int"))
-    packed = [F.when(known == 1, one("a1", w) + one("a2", w)).alias(f"w{w}") for w in range(words)]
-    own = calls.where(F.col("gt").isNotNull()).select(*SITE, "sample", *packed).join(F.broadcast(drawn), "sample")
-    per = own.groupBy("pop", "round", *SITE).agg(*[F.sum(f"w{w}").alias(f"w{w}") for w in range(words)])
-    counts = [F.expr(f"shiftright(w{a // (62 // bits)}, {bits * (a % (62 // bits))}) & {(1 << bits) - 1}L") for a in range(alleles)]
-    copies, alike = sum(counts[1:], counts[0]), sum((c * (c - 1) for c in counts[1:]), counts[0] * (counts[0] - 1))
-    pi = 1 - F.try_divide(alike, copies * (copies - 1))
-    return per.groupBy("pop", F.col("round").cast("long").alias("round")).agg(F.avg(pi).alias("pi"))
+    drawn = people.withColumn("round", F.explode(F.sequence(F.lit(1), F.lit(rounds))))
+    drawn = drawn.withColumn("_n", F.row_number().over(W.partitionBy("pop", "round").orderBy(order, "sample"))).where(F.col("_n") <= n).select("pop", "round", "_at").toPandas()
+    most = people.agg(F.coalesce(F.max("_at"), F.lit(-1))).first()[0] + 1
+    words, digits = -(-most // 62), (alleles - 1).bit_length()
+    draws = {}
+    for pop, own in drawn.groupby("pop", dropna=False):
+        draws[pop] = np.zeros((62 * words, rounds), np.float32)
+        draws[pop][own["_at"], own["round"] - 1] = 1
+
+    known = F.when(F.greatest("a1", "a2") < alleles, F.lit(True)).otherwise(F.raise_error(F.lit(f"{alleles} alleles or more")).cast("boolean"))
+    own = calls.where(F.col("gt").isNotNull()).select(*SITE, "sample", "a1", "a2", known.alias("_known")).where("_known").join(people, "sample")
+    bit = lambda there, w: F.bit_or(F.when(there & (F.floor(F.col("_at") / 62) == w), F.expr("shiftleft(1L, _at % 62)")).otherwise(F.lit(0).cast("long")))
+    planes = [bit(F.col(a).isNotNull() if d < 0 else F.getbit(F.coalesce(a, F.lit(0)), F.lit(d)) == 1, w).alias(f"{a}_{d}_{w}") for a in ("a1", "a2") for d in range(-1, digits) for w in range(words)]
+    packed = own.groupBy("pop", *SITE).agg(*planes).drop(*SITE)
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for pop, rows in batch.groupby("pop", dropna=False):
+                for at in range(0, len(rows), 1024):
+                    bits = rows.iloc[at : at + 1024].drop(columns="pop").to_numpy(np.int64).reshape(-1, 2, digits + 1, words, 1)
+                    bits = (bits >> np.arange(62) & 1).reshape(len(bits), 2, digits + 1, -1)
+                    allele = np.where(bits[:, :, 0] == 1, (bits[:, :, 1:] << np.arange(digits)[:, None]).sum(2), -1)
+                    counts = [(allele == k).sum(1).astype(np.float32) @ draws[pop] for k in np.unique(allele[allele >= 0]).tolist()]
+                    copies, alike = sum(counts), sum((c.astype(np.float64) * (c - 1) for c in counts))
+                    there = copies > 1
+                    pi = np.where(there, 1 - alike / np.where(there, copies.astype(np.float64) * (copies - 1), 1), 0)
+                    yield pd.DataFrame({"pop": pop, "round": np.arange(1, rounds + 1), "s": pi.sum(0), "n": there.sum(0), "sites": (copies > 0).sum(0)})
+
+    kind = popmap.schema["pop"].dataType.simpleString()
+    parts = packed.mapInPandas(sums, f"pop {kind}, round long, s double, n long, sites long").groupBy("pop", "round").agg(F.sum("s").alias("s"), F.sum("n").alias("n"), F.sum("sites").alias("sites"))
+    return parts.where("sites > 0").select("pop", "round", F.try_divide("s", "n").alias("pi"))
 
 
 def samples_of_pop(popmap: DataFrame) -> DataFrame:

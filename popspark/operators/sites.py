@@ -15,6 +15,8 @@ from ..functions.ranking import nearest_rank
 from ..sources.shared import written
 
 SITE = ["chrom", "pos"]
+#: Allele numbers that a site's counts have room for.
+ALLELES = 16
 
 
 def depth_stats(calls: DataFrame) -> DataFrame:
@@ -22,17 +24,18 @@ def depth_stats(calls: DataFrame) -> DataFrame:
     return calls.groupBy(*SITE).agg(F.count("gt").alias("called"), F.sum("dp").alias("dp_sum"), F.count("dp").alias("dp_n"))
 
 
-def allele_stats(calls: DataFrame) -> DataFrame:
+def allele_stats(calls: DataFrame, alleles: int = ALLELES) -> DataFrame:
     """chrom, pos, called, copies (called copies of all alleles) and counts, an array of (allele, n) by allele.
 
-    Equal genotypes of a site are summed before they are sent; a site's array is over its different genotypes.
+    One grouped sum: a count for each allele number, below `alleles`; from there on an error is raised: give a larger one.
     """
-    same = calls.groupBy(*SITE, "a1", "a2").agg(F.count("gt").alias("n"))
-    sites = same.groupBy(*SITE).agg(F.sum("n").alias("called"), F.collect_list(F.when(F.col("n") > 0, F.struct("a1", "a2", "n"))).alias("_g"))
-    alleles = "array_sort(array_distinct(array_compact(flatten(transform(_g, g -> array(g.a1, g.a2))))))"
-    count = "aggregate(_g, 0L, (s, g) -> s + g.n * (if(g.a1 <=> x, 1, 0) + if(g.a2 <=> x, 1, 0)))"
-    counted = sites.withColumn("counts", F.expr(f"transform({alleles}, x -> struct(x AS allele, {count} AS n))"))
-    return counted.select(*SITE, "called", F.expr("aggregate(counts, 0L, (s, x) -> s + x.n)").alias("copies"), "counts")
+    known = F.when(F.greatest("a1", "a2") >= alleles, F.raise_error(F.lit(f"{alleles} alleles or more")).cast("string")).otherwise(F.col("gt"))
+    own = calls.select(*SITE, known.alias("gt"), "a1", "a2")
+    there = F.col("gt").isNotNull()
+    n = [F.count_if(there & (F.col("a1") == k)) + F.count_if(there & (F.col("a2") == k)) for k in range(alleles)]
+    sites = own.groupBy(*SITE).agg(F.count("gt").alias("called"), *[x.alias(f"_{k}") for k, x in enumerate(n)])
+    every = F.array(*[F.struct(F.lit(k).cast("long").alias("allele"), F.col(f"_{k}").alias("n")) for k in range(alleles)])
+    return sites.select(*SITE, "called", sum((F.col(f"_{k}") for k in range(1, alleles)), F.col("_0")).alias("copies"), F.filter(every, lambda x: x["n"] > 0).alias("counts"))
 
 
 def _keep(calls: DataFrame, stats: DataFrame, condition: Column) -> DataFrame:

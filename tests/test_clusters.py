@@ -90,6 +90,22 @@ def test_reference_and_sweep(spark):
     assert got == {(1, 1, 0.9): 2, (1, 1, 1.0): 3, (1, 2, 0.9): 1, (1, 2, 1.0): 1, (2, 1, 0.9): 2, (2, 1, 1.0): 2, (2, 2, 0.9): 0, (2, 2, 1.0): 0}
 
 
+def test_all_cells_of_a_sweep_are_those_of_building_each(spark):
+    rng, rows = random.Random(3), []
+    for i, s in made(21, 40):
+        rows += [(f"s{x}", (s or "")[:50], rng.randint(1, 4)) for x in rng.sample(range(6), rng.randint(1, 5))]
+    uniq = spark.createDataFrame(rows, "sample string, seq string, n long").groupBy("sample", "seq").agg(F.sum("n").alias("n"))
+    got = {(r.k1, r.k2, r.identity): r.contigs for r in C.sweep_reference(uniq, [3, 1, 2], [1, 2, 3, 9], [0.8, 0.86, 0.9, 1.0], shortest=4).collect()}
+    assert len(got) == 48
+    held = {}
+    for r in uniq.collect():
+        held.setdefault(r.seq, []).append(r.n)
+    for (k1, k2, identity), contigs in got.items():
+        kept = [(s, s) for s, n in held.items() if sum(x >= k1 for x in n) >= k2]
+        long = one_by_one_without_seeds([x for x in kept if len(x[1]) >= 4], identity)
+        assert contigs == len({c for _, c, _ in long}) + sum(len(s) < 4 for s, _ in kept), (k1, k2, identity)
+
+
 def walk(rows, limit):
     """seq of one cluster, its rows (ordinal, seq, freq, fwd, rev) taken in order."""
     first, second, forward, long_one, kept, reads = "", "", 0, 0, 0, 0

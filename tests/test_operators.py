@@ -153,6 +153,55 @@ def test_fold_in_blocks_is_the_walk(spark, block):
     assert I.fold_chunks(cov.limit(0), 12, 30).count() == 0
 
 
+@pytest.mark.parametrize("block,target,alone,first", [(7, 400, 10**6, 0), (7, 150, 30, 30), (3, 1, 30, 1), (40, 90, 25, 8)])
+def test_fold_with_a_target_above_every_block(spark, block, target, alone, first):
+    import random
+
+    rng = random.Random(target)
+    rows = [("c_1" if i < 120 else "c_2", i, i + 1, first if not i else rng.choice([0, 1, 5, 8, rng.choice([9, 30])])) for i in range(240)]
+    cov = spark.createDataFrame(rows, "contig string, start long, end long, depth long").repartition(5)
+    got = [r.chunk for r in sorted(I.fold_chunks(cov, target, alone, block).collect(), key=lambda r: r.start)]
+    assert got == plain_fold([r[3] for r in rows], target, alone)
+
+
+def test_resampled_diversity_is_that_of_the_drawn(spark):
+    import hashlib
+    import random
+
+    rng = random.Random(5)
+    people = [(f"S_{i}", "A" if i < 70 else "B" if i < 75 else "C") for i in range(76)]  # more of A than a word has bits
+    rows = [("c", pos, s, *rng.choices([0, 1, 2, 11], [60, 30, 5, 5], k=2), 9) for pos in range(12) for s, _ in people if rng.random() < (0.8 if pos else 0.02)]
+    popmap = spark.createDataFrame(people, "sample string, pop string")
+    got = {(r.pop, r["round"]): r.pi for r in P.resample_pi(calls(spark, rows), popmap, rounds=7, n=4, seed=3).collect()}
+    want = {}
+    for pop in "ABC":
+        for k in range(1, 8):
+            own = sorted((s for s, p in people if p == pop), key=lambda s: (hashlib.md5(f"3|{k}|{s}".encode()).hexdigest(), s))[:4]
+            copies = [[a for _, p, s, *ab, _ in rows if p == pos and s in own for a in ab] for pos in range(12)]
+            each = [1 - sum(x.count(a) * (x.count(a) - 1) for a in set(x)) / (len(x) * (len(x) - 1)) for x in copies if x]
+            if each:
+                want[pop, k] = sum(each) / len(each)
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+    with pytest.raises(Exception, match="11 alleles or more"):
+        P.resample_pi(calls(spark, rows), popmap, rounds=2, n=4, alleles=11).collect()
+
+
+def test_site_aggregates_exchange_calls_once(spark):
+    own = calls(spark, [("c", 1, "A_1", 0, 1, 5), ("c", 1, "A_2", None, None, 5), ("c", 1, "A_3", 12, 12, 5), ("d", 2, "A_1", 1, 1, 5)])
+    sites = spark.createDataFrame([("c", 1, 50.0, ["T"] * 12)], "chrom string, pos long, qual double, alts array<string>")
+    exchanges = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    assert exchanges(V.allele_stats(own)) == 1 and exchanges(P.site_pi(own)) == 1
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert exchanges(V.final_filter(sites, own, 3)) == 2  # of sites and of calls
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    got = {r.pos: (r.called, r.copies, [tuple(x) for x in r.counts]) for r in V.allele_stats(own).collect()}
+    assert got == {1: (2, 4, [(0, 1), (1, 1), (12, 2)]), 2: (1, 2, [(1, 2)])}
+    with pytest.raises(Exception, match="12 alleles or more"):
+        V.allele_stats(own, alleles=12).collect()
+
+
 def test_merged_intervals_of_all_shapes(spark):
     import random
 
@@ -295,6 +344,24 @@ def test_merge_overlaps(spark):
     assert {r.id for r in rest.collect()} == {2, 3, 5}
 
 
+def test_best_overlaps_are_those_of_trying_all():
+    import random
+
+    rng, pairs = random.Random(4), [("", ""), ("A", "A"), ("ACGT" * 60, "ACGT" * 60)]
+    for n in (3, 40, 64, 65, 130, 700):
+        for letters in ("ACGT", "ACGTN\u00e9", "A"):
+            whole = "".join(rng.choice(letters) for _ in range(n))
+            a, b = whole[: rng.randrange(n + 1)], whole[rng.randrange(n) :]
+            pairs += [(a, b), (a, "".join(rng.choice(letters) if rng.random() < 0.1 else c for c in b)), (b, a)]
+    want = []
+    for a, b in pairs:
+        tries = [(n - 2 * sum(x != y for x, y in zip(a[-n:], b)), n) for n in range(3, min(len(a), len(b)) + 1)]
+        score, n = max((t for t in tries if t[1] - t[0] <= 2 * 0.1 * t[1] and t[0] > 0), default=(0, 0))
+        want.append(n)
+    assert R.best_overlaps([a for a, _ in pairs], [b for _, b in pairs], 3, 0.1).tolist() == want
+    assert R.best_overlaps([], [], 3, 0.1).tolist() == []
+
+
 def test_decompose_walks_the_cigar(spark):
     sites = spark.createDataFrame([("c", 10, "ACGT", ["AGGT", "AGT", "TCGT"], ["1M1X2M", "1M1D2M", None], 5.0), ("c", 50, "A", ["GA", "AT", "A"], None, 1.0)], "chrom string, pos long, ref string, alts array<string>, cigars array<string>, qual double")
     of = calls(spark, [("c", 10, "s", 1, 3, 7), ("c", 10, "t", None, 2, 7), ("c", 50, "s", 0, 2, 1)])

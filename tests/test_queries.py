@@ -8,11 +8,13 @@ import duckdb
 import numpy as np
 import pytest
 from test_clusters import walk
-from test_operators import plain_fold
 
-from popspark.jobs.queries import ORACLE_SQL, QUERIES
+from pyspark.sql import functions as F
+
+from popspark.jobs.queries import ORACLE_SQL, QUERIES, SHORTEST
 from popspark.operators import clusters as C
 from popspark.operators import reads as R
+from popspark.operators import unique as U
 from popspark.sources.bindings import Tables
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -31,19 +33,6 @@ def same(value):
     return "null" if value is None else f"{float(value):.6g}" if isinstance(value, (int, float)) and not isinstance(value, bool) else str(value)
 
 
-def folded(got, t):
-    """The walk through all intervals, row by row."""
-    got = got.assign(no=got["contig"].str.slice(4).astype(int)).sort_values(["no", "start", "end"])
-    assert len(got) == QUERIES["iv_7_total_coverage"](t.spark, t.sf_dir).count() and (got["load"] == (got["end"] - got["start"]) * got["depth"]).all()
-    assert got["chunk"].tolist() == plain_fold(got["load"].tolist(), 5000, 300)
-
-
-def merged(got, t):
-    """Most lines come back whole from their first and last two thirds."""
-    lines = {(r.doc_id, r.line): r.seq for r in t.dna.where("length(seq) >= 40").collect()}
-    assert sum(lines[r.doc_id, r.line] == r.seq for r in got.itertuples()) >= 0.95 * len(lines)
-
-
 def best(got, t):
     rows = {}
     for r in t.dna.collect():
@@ -76,12 +65,18 @@ def built(got, t):
 
 
 def swept(got, t):
-    cells = {(r.k1, r.identity): r.contigs for r in got.itertuples()}
-    assert set(cells) == {(1, 0.8), (1, 0.9), (2, 0.8), (2, 0.9)} and cells[1, 0.8] <= cells[1, 0.9] and cells[2, 0.8] <= cells[2, 0.9]
+    """All 250 cells; looser cutoffs leave more sequences, a looser identity fewer clusters; one cell by itself gives the same."""
+    cells = {(r.k1, r.k2, round(100 * r.identity)): r.contigs for r in got.itertuples()}
+    assert set(cells) == {(k1, k2, c) for k1 in range(1, 6) for k2 in range(2, 7) for c in range(80, 100, 2)}
+    assert all(cells[k1, k2, 80] <= cells[k1, k2, 90] <= cells[k1, k2, 98] <= cells[max(1, k1 - 1), max(2, k2 - 1), 98] for k1, k2, _ in cells)
+    uniq = t.spark.createDataFrame(t.dna.groupBy("sample", "seq").count().toPandas(), "sample string, seq string, n long")
+    for k1, k2, c in ((1, 2, 80), (1, 3, 90), (2, 2, 86)):
+        kept = U.filter_k2(U.individuals_per_seq(uniq, k1), k2).select(F.col("seq").alias("contig"), "seq")
+        assert C.build_reference(kept, c / 100, shortest=SHORTEST).count() == cells[k1, k2, c]
 
 
 WITHOUT_SQL = {
-    "iv_14_fold_chunks": folded, "rd_9_merge_overlaps": merged, "cl_8_best_contigs": best, "cl_1_cluster_sequences": clustered,
+    "cl_8_best_contigs": best, "cl_1_cluster_sequences": clustered,
     "cl_3_cluster_table_rpe": paired, "cl_10_build_reference": built, "cl_11_sweep_reference": swept,
 }
 
