@@ -23,9 +23,13 @@ from ._common import durable, slices
 ROWS_PER_LANGUAGE = 250
 #: Of these, on all spans of so many words, but for spans of more bytes; beyond so many spans a language, on those with the least hash.
 SPAN_WORDS, SPAN_BYTES, SPANS_PER_LANGUAGE = 256, 16_384, 2_000
-#: Labels that the transitions of one model can have; a table with more is refused.
-MOST_LANGUAGES = 1_000
+#: Spans of all languages together, times languages, that a model is fitted on at most: what the fit holds grows with this product.
+SPAN_LABELS = 40_000
+#: Languages that one model can have; a table with more is refused.
+MOST_LANGUAGES = 200
 CHAIN = 64
+#: Numbers that forward-backward gets at a time in the fit.
+_FIT_CELLS = 1 << 22
 _CACHE_WORDS = 400_000
 
 
@@ -166,11 +170,16 @@ def train(texts: list[str], labels_of: list[str], rounds: int = 40, rate: float
     for _ in range(rounds):
         score = _emissions(weights, flat, sizes)
         potential = np.concatenate([np.exp(score - score.max(1, keepdims=True)), np.ones((1, k))])
-        posterior, pairs, _ = forward_backward(potential[grid], lengths, transitions, start)
-        expected = np.stack([np.bincount(grid.ravel(), posterior[:, :, j].ravel(), n_forms + 1)[:-1] for j in range(k)], 1)
-        miss = hot - expected
+        miss, pairs, begun, batch = hot.copy(), np.zeros((k, k)), np.zeros(k), max(1, _FIT_CELLS // (CHAIN * k))
+        for at in range(0, chains, batch):
+            some = grid[:, at : at + batch]
+            posterior, moves, _ = forward_backward(potential[some], lengths[at : at + batch], transitions, start)
+            for j in range(k):
+                miss[:, j] -= np.bincount(some.ravel(), posterior[:, :, j].ravel(), n_forms + 1)[:-1]
+            pairs += moves
+            begun += posterior[0].sum(0)
         gradient = np.stack([np.bincount(flat, np.repeat(miss[:, j], sizes), len(named)) for j in range(k)], 1)
-        gradients = [gradient / total - l2 * weights / len(named), (pair - pairs) / total, (first - posterior[0].sum(0)) / total]
+        gradients = [gradient / total - l2 * weights / len(named), (pair - pairs) / total, (first - begun) / total]
         for x, g, s in zip(params, gradients, squares):
             s += g * g
             x += rate * g / np.sqrt(s)
@@ -192,13 +201,15 @@ def _spans(batches):
 def fit(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE, spans_per_language: int = SPANS_PER_LANGUAGE, **settings) -> Model | None:
     """A model from labelled rows of docs that aren't held out; None if there are none.
 
-    What comes to the driver is bounded for each language by spans_per_language * SPAN_BYTES.  Rows of one id and text
-    count once.  Ranks are taken over hashes alone; texts only pass through tasks one by one.
+    What comes to the driver is bounded for each language by spans_per_language * SPAN_BYTES, and for all k languages together by
+    SPAN_LABELS / k spans (one a language at least); the fit holds some numbers for each word of these and language, and goes through
+    the chains in batches.  Rows of one id and text count once.  Ranks are taken over hashes alone; texts only pass through tasks one by one.
     """
     own = docs.select("text", "lang", F.xxhash64("doc_id", "text").alias("h")).where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(docs["doc_id"]))
     different = own.groupBy("lang").agg(F.approx_count_distinct("h", 0.02).alias("rows")).limit(MOST_LANGUAGES + 1).collect()
     if len(different) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    spans_per_language = min(spans_per_language, max(1, SPAN_LABELS // max(1, len(different)) ** 2))
     shares = [(r["lang"], 1.0 if rows_per_language > 0.9 * r["rows"] else rows_per_language / r["rows"]) for r in different]
     share = F.broadcast(docs.sparkSession.createDataFrame(shares, "lang string, share double"))  # a row a language
     drawn = own.join(share, "lang").where(F.shiftrightunsigned("h", 11) / float(1 << 53) < F.col("share"))

@@ -312,3 +312,30 @@ def test_media_columns(docs, rows, nothing):
         want[r[0], len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(stored), hashlib.sha256(stored).hexdigest()] += 1
     assert Counter(tuple(r)[:7] for r in got) == want and all(r.feature for r in got)
     assert media.decode(media.encode(nothing)).count() == 0
+
+
+def test_a_fit_with_many_languages_stays_small():
+    import subprocess
+    import sys
+
+    code = """
+import random, resource
+from popspark.llm import language_id as l
+assert l.SPAN_LABELS // 200**2 == 1 and l.MOST_LANGUAGES == 200
+rng = random.Random(1)
+texts = [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(l.SPAN_WORDS)) for _ in range(200)]
+model = l.train(texts, [f"l{i}" for i in range(200)], rounds=2)
+assert len(model.labels) == 200
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=600)
+    assert done.returncode == 0, done.stderr
+    assert int(done.stdout) < 1500
+
+
+def test_batches_of_chains_give_the_same_fit(monkeypatch):
+    texts, labels = ["the of the and ing " * 40, "ein der ein ung sch " * 40, "que eau que le ment " * 40], ["en", "de", "fr"]
+    whole = language_id.train(texts, labels, rounds=5)
+    monkeypatch.setattr(language_id, "_FIT_CELLS", 1)
+    parts = language_id.train(texts, labels, rounds=5)
+    assert np.allclose(whole.weights, parts.weights) and np.allclose(whole.transitions, parts.transitions) and np.allclose(whole.start, parts.start)
