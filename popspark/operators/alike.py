@@ -20,8 +20,10 @@ from pyspark.sql import functions as F
 from ..sources.shared import written
 
 _NONE = np.uint64(2**64 - 1)
-_CODE = np.zeros(256, np.int64)
-_CODE[np.frombuffer(b"ACGT", np.uint8)] = range(4)
+_ACGT = np.frombuffer(b"ACGT", np.uint8)
+#: Two bits for each letter.  Seeds spread other letters than A, C, G and T over the four (equal ones stay equal); words count them as A.
+_CODE, _WORD_CODE = np.arange(256) * 0x9E37 >> 7 & 3, np.zeros(256, np.uint16)
+_CODE[_ACGT] = _WORD_CODE[_ACGT] = range(4)
 #: The largest block.  Bases of the words that are counted before edits are.  Bits of the filter of seeds.
 _BLOCK, _WORD, _FILTER_BITS = 10, 5, 25
 
@@ -244,7 +246,7 @@ def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _word_counts(texts: list[str]) -> np.ndarray:
     """How often each word of _WORD bases (other letters than A, C, G and T count as A) occurs in each text."""
-    base = _CODE[np.frombuffer("".join(texts).encode("latin-1", "replace"), np.uint8)].astype(np.uint16)
+    base = _WORD_CODE[np.frombuffer("".join(texts).encode("latin-1", "replace"), np.uint8)]
     ends = np.cumsum([len(x) for x in texts])
     n = np.diff(ends, prepend=0)
     word = np.zeros(len(base), np.uint16)

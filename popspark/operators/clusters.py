@@ -131,7 +131,7 @@ def _tops(early: DataFrame, block: int) -> tuple[DataFrame, DataFrame | None]:
     return early.join(hot, "seed", "left_anti").unionByName(top), cut
 
 
-def cluster_sequences(df: DataFrame, identity: float = 0.9, k: int | None = None, w: int = 8, block: int = 16_384, band: int = 20, shortest: int = 0) -> DataFrame:
+def cluster_sequences(df: DataFrame, identity: float = 0.9, k: int | None = None, w: int = 8, block: int = 100_000, band: int = 20, shortest: int = 0) -> DataFrame:
     """id, cluster (from 1) and rep_id of each row of df (id, seq): greedy clusters around the longest sequences.
 
     Sequences go longest first (equal lengths: by falling md5).  One is a representative if no earlier representative

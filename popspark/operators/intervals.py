@@ -212,6 +212,7 @@ def fold_chunks(cov: DataFrame, target: int, alone: int, block: int = 20_000) ->
     text, number = natural_key(F.col("contig"))
     order = [F.col("_t"), F.col("_n"), F.col("contig"), F.col("start"), F.col("end")]
     rows = cov.select("contig", "start", "end", "depth", ((F.col("end") - F.col("start")) * F.col("depth")).alias("load"), text.alias("_t"), number.alias("_n"))
+    rows = written(rows)
     total = rows.count()
     parts = max(1, -(-total // block))
     rows = written(rows.repartitionByRange(parts, *order).withColumn("_block", F.spark_partition_id()))
@@ -222,10 +223,10 @@ def fold_chunks(cov: DataFrame, target: int, alone: int, block: int = 20_000) ->
     by_block = W.orderBy("_block")
     before = lambda c: F.sum(c).over(by_block) - F.col(c)
     blocks = blocks.withColumn("_first", before("n")).withColumn("_loads", before("s")).withColumn("_then", F.col("f") + F.col("_first"))
-    blocks = blocks.withColumn("_behind", F.min("_then").over(by_block.rowsBetween(1, W.unboundedFollowing))).withColumn("_was", F.coalesce(F.lag("l").over(by_block), F.lit(False)))
+    blocks = blocks.withColumn("_behind", F.min("_then").over(W.orderBy(F.desc("_block")).rowsBetween(W.unboundedPreceding, -1))).withColumn("_was", F.coalesce(F.lag("l").over(by_block), F.lit(False)))
     rows = rows.join(blocks.select("_block", "_first", "_loads", "_behind", "_was"), "_block")
     rows = rows.withColumn("i", F.col("_i") + F.col("_first")).withColumn("upto", F.col("_sum") + F.col("_loads"))
-    coming = F.min(F.when(lone, F.col("i"))).over(within.rowsBetween(1, W.unboundedFollowing))
+    coming = F.min(F.when(lone, F.col("i"))).over(W.partitionBy("_block").orderBy(F.desc("_i")).rowsBetween(W.unboundedPreceding, -1))
     after_lone = F.coalesce(F.lag("_lone").over(within), F.col("_was")) | (F.col("i") == 0)
     base = F.when(lone & (F.col("i") > 0), F.col("upto")).otherwise(F.col("upto") - F.col("load"))
     rows = written(rows.select(

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ranking import nearest_rank
 from ..sources.shared import written
-from .sites import allele_stats
+from .sites import ALLELES, allele_sums
 
 SITE = ["chrom", "pos"]
 
@@ -189,8 +189,8 @@ def genotype_totals(calls: DataFrame, n_sites: int, n_samples: int) -> DataFrame
 
 def site_pi(calls: DataFrame) -> DataFrame:
     """Nucleotide diversity of each site: the share of pairs of called copies that differ (null for a single copy)."""
-    alike = F.aggregate("counts", F.lit(0).cast("long"), lambda s, x: s + x["n"] * (x["n"] - 1))
-    return allele_stats(calls).where("called > 0").select(*SITE, (1 - F.try_divide(alike, F.col("copies") * (F.col("copies") - 1))).alias("pi"))
+    alike = sum((F.col(f"_{k}") * (F.col(f"_{k}") - 1) for k in range(1, ALLELES)), F.col("_0") * (F.col("_0") - 1))
+    return allele_sums(calls).where("called > 0").select(*SITE, (1 - F.try_divide(alike, F.col("copies") * (F.col("copies") - 1))).alias("pi"))
 
 
 def resample_pi(calls: DataFrame, popmap: DataFrame, rounds: int = 100, n: int = 15, seed: int = 1, alleles: int = 16) -> DataFrame:

@@ -24,18 +24,26 @@ def depth_stats(calls: DataFrame) -> DataFrame:
     return calls.groupBy(*SITE).agg(F.count("gt").alias("called"), F.sum("dp").alias("dp_sum"), F.count("dp").alias("dp_n"))
 
 
-def allele_stats(calls: DataFrame, alleles: int = ALLELES) -> DataFrame:
-    """chrom, pos, called, copies (called copies of all alleles) and counts, an array of (allele, n) by allele.
+def allele_sums(calls: DataFrame, alleles: int = ALLELES) -> DataFrame:
+    """chrom, pos, called, copies (called copies of all alleles) and _0, _1, ..., the copies of each allele: one grouped sum.
 
-    One grouped sum: a count for each allele number, below `alleles`; from there on an error is raised: give a larger one.
+    There is a column for allele numbers below `alleles`; from there on an error is raised: give a larger one.
     """
     known = F.when(F.greatest("a1", "a2") >= alleles, F.raise_error(F.lit(f"{alleles} alleles or more")).cast("string")).otherwise(F.col("gt"))
     own = calls.select(*SITE, known.alias("gt"), "a1", "a2")
     there = F.col("gt").isNotNull()
     n = [F.count_if(there & (F.col("a1") == k)) + F.count_if(there & (F.col("a2") == k)) for k in range(alleles)]
-    sites = own.groupBy(*SITE).agg(F.count("gt").alias("called"), *[x.alias(f"_{k}") for k, x in enumerate(n)])
+    copies = F.count_if(there & F.col("a1").isNotNull()) + F.count_if(there & F.col("a2").isNotNull())
+    return own.groupBy(*SITE).agg(F.count("gt").alias("called"), copies.alias("copies"), *[x.alias(f"_{k}") for k, x in enumerate(n)])
+
+
+def allele_stats(calls: DataFrame, alleles: int = ALLELES) -> DataFrame:
+    """chrom, pos, called, copies (called copies of all alleles) and counts, an array of (allele, n) by allele.
+
+    Counts have room for allele numbers below `alleles`; from there on an error is raised: give a larger one.
+    """
     every = F.array(*[F.struct(F.lit(k).cast("long").alias("allele"), F.col(f"_{k}").alias("n")) for k in range(alleles)])
-    return sites.select(*SITE, "called", sum((F.col(f"_{k}") for k in range(1, alleles)), F.col("_0")).alias("copies"), F.filter(every, lambda x: x["n"] > 0).alias("counts"))
+    return allele_sums(calls, alleles).select(*SITE, "called", "copies", F.filter(every, lambda x: x["n"] > 0).alias("counts"))
 
 
 def _keep(calls: DataFrame, stats: DataFrame, condition: Column) -> DataFrame:
@@ -47,35 +55,36 @@ def max_missing(calls: DataFrame, share: float, n_samples: int) -> DataFrame:
     return _keep(calls, depth_stats(calls), F.col("called") >= share * n_samples)
 
 
-def minor() -> Column:
+def _minor() -> Column:
     """Copies of the second commonest allele; 0 if there is only one."""
-    return F.coalesce(F.get(F.sort_array(F.transform("counts", lambda x: x["n"]), asc=False), F.lit(1)), F.lit(0))
+    return F.sort_array(F.array(*[F.col(f"_{k}") for k in range(ALLELES)]), asc=False)[1]
 
 
-def every_alternate(lo: float, hi: float, alternates: Column | None = None) -> Column:
+def _every_alternate(lo: float, hi: float, alternates: Column | None = None) -> Column:
     """Whether each alternate (of those called, or 1 to `alternates`) has a share of the called copies from lo to hi; false without any."""
-    found = F.transform(F.filter("counts", lambda x: x["allele"] > 0), lambda x: x["allele"])
-    numbers = found if alternates is None else F.when(alternates > 0, F.sequence(F.lit(1), alternates)).otherwise(F.array().cast("array<int>"))
-    copies = lambda k: F.aggregate("counts", F.lit(0).cast("long"), lambda s, x: s + F.when(x["allele"] == k, x["n"]).otherwise(0))
-    return (F.col("copies") > 0) & (F.size(numbers) > 0) & F.forall(numbers, lambda k: copies(k).between(lo * F.col("copies"), hi * F.col("copies")))
+    copies, room = F.col("copies"), F.array(*[F.col(f"_{k}") for k in range(1, ALLELES)])
+    fits = lambda n: n.between(lo * copies, hi * copies)
+    if alternates is None:
+        return (copies > 0) & (F.col("_0") < copies) & F.forall(room, lambda n: (n == 0) | fits(n))
+    return (copies > 0) & (alternates > 0) & ((alternates < ALLELES) | F.lit(lo <= 0)) & F.forall(F.slice(room, F.lit(1), F.greatest(alternates, F.lit(0))), fits)
 
 
 def mac(calls: DataFrame, n: int) -> DataFrame:
     """Sites whose second commonest allele has at least n copies."""
-    return _keep(calls, allele_stats(calls), minor() >= n)
+    return _keep(calls, allele_sums(calls), _minor() >= n)
 
 
 def maf(calls: DataFrame, share: float) -> DataFrame:
     """Sites whose second commonest allele has at least this share of the called copies."""
-    return _keep(calls, allele_stats(calls), (F.col("copies") > 0) & (minor() >= share * F.col("copies")))
+    return _keep(calls, allele_sums(calls), (F.col("copies") > 0) & (_minor() >= share * F.col("copies")))
 
 
 def non_ref_af(calls: DataFrame, lo: float = 0.001, hi: float = 0.9999, sites: DataFrame | None = None) -> DataFrame:
     """Sites of which every alternate has a share of called copies from lo to hi: those that sites lists (alts), or without it those called."""
-    stats = allele_stats(calls)
+    stats = allele_sums(calls)
     if sites is None:
-        return _keep(calls, stats, every_alternate(lo, hi))
-    return _keep(calls, stats.join(sites.select(*SITE, F.size("alts").alias("_alts")), SITE), every_alternate(lo, hi, F.col("_alts")))
+        return _keep(calls, stats, _every_alternate(lo, hi))
+    return _keep(calls, stats.join(sites.select(*SITE, F.size("alts").alias("_alts")), SITE), _every_alternate(lo, hi, F.col("_alts")))
 
 
 def min_qual(sites: DataFrame, q: float) -> DataFrame:
@@ -249,8 +258,8 @@ def depth_mismatch(depth: DataFrame, share: float = 0.6) -> DataFrame:
 
 def final_filter(sites: DataFrame, calls: DataFrame, n_samples: int) -> DataFrame:
     """Sites with a call rate of 0.9, every alternate's share from 0.001 to 0.9999, a minor allele and a quality of 30: one pass over calls."""
-    good = min_qual(sites, 30).withColumn("_alts", F.size("alts")).join(allele_stats(calls), SITE)
-    return good.where((F.col("called") >= 0.9 * n_samples) & every_alternate(0.001, 0.9999, F.col("_alts")) & (minor() >= 1)).select(*sites.columns)
+    good = min_qual(sites, 30).withColumn("_alts", F.size("alts")).join(allele_sums(calls), SITE)
+    return good.where((F.col("called") >= 0.9 * n_samples) & _every_alternate(0.001, 0.9999, F.col("_alts")) & (_minor() >= 1)).select(*sites.columns)
 
 
 def filter_chain(sites: DataFrame, calls: DataFrame, overlap: bool = False, mixed: bool = False, cutoff: float | None = None, genotypes: str = "ro > 0 OR ao > 0") -> tuple[DataFrame, DataFrame, DataFrame]:

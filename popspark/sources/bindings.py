@@ -156,4 +156,5 @@ def with_tables(names: str, sql: str) -> str:
     for name in names.split():
         need(name)
     sql = sql.strip()
-    return "WITH " + ",\n".join(CTE[n] for n in order) + (",\n" + sql[5:] if sql.upper().startswith("WITH ") else "\n" + sql)
+    own = next((w for w in ("WITH RECURSIVE ", "WITH ") if sql.upper().startswith(w)), "")
+    return (own or "WITH ") + ",\n".join(CTE[n] for n in order) + (",\n" if own else "\n") + sql[len(own) :]
