@@ -37,12 +37,12 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: r6(c) for c in columns})
 
 
-def n_samples(t: Tables) -> int:
-    return t.popmap.count()
+def n_samples(t: Tables) -> DataFrame:
+    return t.popmap.agg(F.count("*").alias("n"))
 
 
-def n_sites(t: Tables) -> int:
-    return t.calls.select("chrom", "pos").distinct().count()
+def n_sites(t: Tables) -> DataFrame:
+    return t.calls.select("chrom", "pos").distinct().agg(F.count("*").alias("n"))
 
 
 def listed(df: DataFrame) -> DataFrame:
@@ -186,7 +186,9 @@ q("v_28_filter_chain", lambda t: V.filter_chain(t.sites, t.calls, overlap=True,
 q("v_28_filter_chain_report", lambda t: V.filter_chain(t.sites, t.calls, cutoff=17)[2], "calls sites", _CHAIN.format(strand=_STRAND) + _REPORT)
 q("v_28_filter_chain_calls", lambda t: V.filter_chain(t.sites, t.calls, overlap=True, cutoff=17)[1].select("chrom", "pos", "sample", "gt", "dp"), "calls sites",
   _CHAIN.format(strand="true") + "SELECT c.chrom, c.pos, sample, CASE WHEN ro > 0 OR ao > 0 THEN gt END AS gt, c.dp FROM calls AS c SEMI JOIN s8 ON c.chrom = s8.chrom AND c.pos = s8.pos")
-q("v_29_final_filter", lambda t: V.final_filter(t.sites, t.calls, n_samples(t) // 2).select("chrom", "pos", "qual"), "counts sites popmap",
+q("v_1_2_5_first_filter", lambda t: V.first_filter(t.sites, t.calls, n_samples(t)).select("chrom", "pos", "qual"), "counts sites popmap",
+  f"WITH {_STATS} SELECT chrom, pos, qual FROM sites SEMI JOIN (SELECT * FROM st WHERE called >= 0.5 * (SELECT count(*) FROM popmap) AND second >= 3) AS g USING (chrom, pos) WHERE qual >= 30")
+q("v_29_final_filter", lambda t: V.final_filter(t.sites, t.calls, n_samples(t).select(F.floor(F.col("n") / 2))).select("chrom", "pos", "qual"), "counts sites popmap",
   f"WITH {_STATS} SELECT chrom, pos, qual FROM sites SEMI JOIN (SELECT * FROM st WHERE called >= 0.9 * (SELECT count(*) // 2 FROM popmap) AND shared AND second >= 1) AS g USING (chrom, pos) WHERE qual >= 30")
 q("v_30_site_depth", lambda t: V.site_depth(t.calls), "sites", "SELECT chrom, pos, dp FROM sites")
 q("v_30_site_quality", lambda t: V.site_quality(t.sites), "sites", "SELECT chrom, pos, qual FROM sites")

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .sites import with_number
+
 
 def flag_stats(aln: DataFrame) -> DataFrame:
     """sample, mapped, proper, mismatched (mate on another contig, mapping quality at least 5)."""
@@ -76,8 +78,9 @@ def step_report(before: DataFrame, after: DataFrame, label: str) -> DataFrame:
     return rows.agg(F.coalesce(F.sum("b"), F.lit(0)).alias("before"), F.coalesce(F.sum("a"), F.lit(0)).alias("after")).select(F.lit(label).alias("label"), "before", "after", (F.col("before") - F.col("after")).alias("removed"))
 
 
-def mean_depth_per_site(calls: DataFrame, n_ind: int) -> DataFrame:
-    return calls.groupBy("chrom", "pos").agg((F.sum("dp") / n_ind).alias("mean_dp"))
+def mean_depth_per_site(calls: DataFrame, n_ind: int | DataFrame) -> DataFrame:
+    sums = with_number(calls.groupBy("chrom", "pos").agg(F.sum("dp").alias("_dp")), n_ind, "_n")
+    return sums.select("chrom", "pos", (F.col("_dp") / F.col("_n")).alias("mean_dp"))
 
 
 def top_values(df: DataFrame, column: str, n: int = 3) -> DataFrame:

@@ -14,16 +14,17 @@ from pyspark.sql import functions as F
 
 from ..functions.ranking import nearest_rank
 from ..sources.shared import written
-from .sites import ALLELES, allele_sums
+from .sites import ALLELES, allele_sums, with_number
 
 SITE = ["chrom", "pos"]
 
 
-def missing_by_individual(calls: DataFrame, samples: DataFrame, n_sites: int) -> DataFrame:
+def missing_by_individual(calls: DataFrame, samples: DataFrame, n_sites: int | DataFrame) -> DataFrame:
     """sample, n_data, n_miss, f_miss over all sites, for each of samples(sample); one without any call misses all."""
     called = calls.groupBy("sample").agg(F.count("gt").alias("called"))
-    miss = F.lit(n_sites) - F.coalesce("called", F.lit(0))
-    return samples.select("sample").join(called, "sample", "left").select("sample", F.lit(n_sites).cast("long").alias("n_data"), miss.alias("n_miss"), (miss / n_sites).alias("f_miss"))
+    both = with_number(samples.select("sample").join(called, "sample", "left"), n_sites, "n_data")
+    miss = F.col("n_data") - F.coalesce("called", F.lit(0))
+    return both.select("sample", "n_data", miss.alias("n_miss"), (miss / F.col("n_data")).alias("f_miss"))
 
 
 def missing_cutoff(imiss: DataFrame, d: float = 0.14) -> DataFrame:
@@ -31,7 +32,7 @@ def missing_cutoff(imiss: DataFrame, d: float = 0.14) -> DataFrame:
     return nearest_rank(imiss, "f_miss", d, last=True).select(F.col("value").alias("cutoff"))
 
 
-def remove_missing_individuals(calls: DataFrame, samples: DataFrame, n_sites: int, cutoff: float | None = None, d: float = 0.14) -> DataFrame:
+def remove_missing_individuals(calls: DataFrame, samples: DataFrame, n_sites: int | DataFrame, cutoff: float | None = None, d: float = 0.14) -> DataFrame:
     """Drop individuals that miss more than the cutoff (or than the one at rank d)."""
     imiss = missing_by_individual(calls, samples, n_sites)
     limit = missing_cutoff(imiss, d) if cutoff is None else calls.sparkSession.range(1).select(F.lit(cutoff).alias("cutoff"))
@@ -162,7 +163,7 @@ def duplicate_mismatches(calls: DataFrame, pairs: DataFrame, min_dp: int = 5, un
 HIGH_RATES = (0.75, 0.5625, 0.42, 0.316, 0.237)
 
 
-def error_count(calls: DataFrame, n_sites: int, n_samples: int) -> DataFrame:
+def error_count(calls: DataFrame, n_sites: int | DataFrame, n_samples: int | DataFrame) -> DataFrame:
     """Genotypes that low depth may have got wrong: counts at depths 1 to 5, the low and high expected errors, and their shares of all called.
 
     Genotypes of alleles 0 and 1 count: homozygotes at every depth, heterozygotes at depth 1, and at 2 and 3 if the next
@@ -177,14 +178,16 @@ def error_count(calls: DataFrame, n_sites: int, n_samples: int) -> DataFrame:
     low = sum((F.col(f"n{d}") * 0.5**d for d in range(2, 6)), F.col("n1") * 0.5)
     high = sum((F.col(f"n{d}") * HIGH_RATES[d - 1] for d in range(2, 6)), F.col("n1") * HIGH_RATES[0])
     total = sum((F.col(f"n{d}") for d in range(2, 6)), F.col("n1"))
-    return counts.select("*", F.lit(n_sites * n_samples).cast("long").alias("genotypes"), (low / F.col("called")).alias("low_share"), (high / F.col("called")).alias("high_share"), (total / F.col("called")).alias("depth_share"))
+    columns = counts.columns
+    counts = with_number(with_number(counts, n_sites, "_sites"), n_samples, "_samples")
+    return counts.select(*columns, (F.col("_sites") * F.col("_samples")).alias("genotypes"), (low / F.col("called")).alias("low_share"), (high / F.col("called")).alias("high_share"), (total / F.col("called")).alias("depth_share"))
 
 
-def genotype_totals(calls: DataFrame, n_sites: int, n_samples: int) -> DataFrame:
+def genotype_totals(calls: DataFrame, n_sites: int | DataFrame, n_samples: int | DataFrame) -> DataFrame:
     """All genotypes, those missing (neither genotype nor depth), and the rest."""
-    there = F.count_if(F.col("gt").isNotNull() | F.col("dp").isNotNull())
-    total = F.lit(n_sites * n_samples).cast("long")
-    return calls.agg(there.alias("called")).select(total.alias("genotypes"), (total - F.col("called")).alias("missing"), "called")
+    called = calls.agg(F.count_if(F.col("gt").isNotNull() | F.col("dp").isNotNull()).alias("called"))
+    total = with_number(with_number(called, n_sites, "_sites"), n_samples, "_samples").withColumn("genotypes", F.col("_sites") * F.col("_samples"))
+    return total.select("genotypes", (F.col("genotypes") - F.col("called")).alias("missing"), "called")
 
 
 def site_pi(calls: DataFrame) -> DataFrame:

@@ -19,6 +19,11 @@ SITE = ["chrom", "pos"]
 ALLELES = 16
 
 
+def with_number(df: DataFrame, n: int | DataFrame, name: str) -> DataFrame:
+    """df with a column of the number n: given as such, or as a table of one row and column, so that it is counted in the same job."""
+    return df.withColumn(name, F.lit(n).cast("long")) if isinstance(n, int) else df.join(F.broadcast(n.toDF(name)))
+
+
 def depth_stats(calls: DataFrame) -> DataFrame:
     """chrom, pos, called (genotypes), dp_sum and dp_n (depths): one grouped sum."""
     return calls.groupBy(*SITE).agg(F.count("gt").alias("called"), F.sum("dp").alias("dp_sum"), F.count("dp").alias("dp_n"))
@@ -50,9 +55,9 @@ def _keep(calls: DataFrame, stats: DataFrame, condition: Column) -> DataFrame:
     return calls.join(stats.where(condition).select(*SITE), SITE, "left_semi")
 
 
-def max_missing(calls: DataFrame, share: float, n_samples: int) -> DataFrame:
+def max_missing(calls: DataFrame, share: float, n_samples: int | DataFrame) -> DataFrame:
     """Sites called in at least `share` of the samples."""
-    return _keep(calls, depth_stats(calls), F.col("called") >= share * n_samples)
+    return _keep(calls, with_number(depth_stats(calls), n_samples, "_samples"), F.col("called") >= share * F.col("_samples"))
 
 
 def _minor() -> Column:
@@ -238,12 +243,11 @@ def low_quality_high_depth(sites: DataFrame, mode: str = "sd") -> DataFrame:
     return sites.join(F.broadcast(stats.select(limit.alias("limit")))).where((F.col("dp") > F.col("limit")) & (F.col("qual") < (1 if mode == "mean" else 2) * F.col("dp"))).drop("limit")
 
 
-def depth_cutoffs(calls: DataFrame, n_ind: int) -> DataFrame:
+def depth_cutoffs(calls: DataFrame, n_ind: int | DataFrame) -> DataFrame:
     """Two cutoffs of mean depth: mean + 1.645 deviations of site depth over individuals, and the depth of the deepest 5 %."""
     depth = site_depth(calls)
-    by_sd = depth.agg(F.floor((F.avg("dp") + 1.645 * F.stddev_pop("dp")) / n_ind).alias("by_sd"))
-    by_rank = nearest_rank(depth, "dp", 0.05, last=True).select(F.floor(F.col("value") / n_ind).alias("by_rank"))
-    return by_sd.join(F.broadcast(by_rank))
+    high = depth.agg((F.avg("dp") + 1.645 * F.stddev_pop("dp")).alias("high")).join(F.broadcast(nearest_rank(depth, "dp", 0.05, last=True)))
+    return with_number(high, n_ind, "_n").select(F.floor(F.col("high") / F.col("_n")).alias("by_sd"), F.floor(F.col("value") / F.col("_n")).alias("by_rank"))
 
 
 def filter_max_mean_depth(calls: DataFrame, cutoff: float) -> DataFrame:
@@ -256,10 +260,16 @@ def depth_mismatch(depth: DataFrame, share: float = 0.6) -> DataFrame:
     return depth.join(means, "chrom").where(F.col("dp") * F.col("n") < share * F.col("s")).select(*depth.columns)
 
 
-def final_filter(sites: DataFrame, calls: DataFrame, n_samples: int) -> DataFrame:
+def final_filter(sites: DataFrame, calls: DataFrame, n_samples: int | DataFrame) -> DataFrame:
     """Sites with a call rate of 0.9, every alternate's share from 0.001 to 0.9999, a minor allele and a quality of 30: one pass over calls."""
-    good = min_qual(sites, 30).withColumn("_alts", F.size("alts")).join(allele_sums(calls), SITE)
-    return good.where((F.col("called") >= 0.9 * n_samples) & _every_alternate(0.001, 0.9999, F.col("_alts")) & (_minor() >= 1)).select(*sites.columns)
+    good = min_qual(sites, 30).withColumn("_alts", F.size("alts")).join(with_number(allele_sums(calls), n_samples, "_samples"), SITE)
+    return good.where((F.col("called") >= 0.9 * F.col("_samples")) & _every_alternate(0.001, 0.9999, F.col("_alts")) & (_minor() >= 1)).select(*sites.columns)
+
+
+def first_filter(sites: DataFrame, calls: DataFrame, n_samples: int | DataFrame, share: float = 0.5, copies: int = 3, quality: float = 30) -> DataFrame:
+    """Sites with a call rate of share, so many copies of a minor allele and a quality: max_missing, mac and min_qual in one pass over calls."""
+    stats = with_number(allele_sums(calls), n_samples, "_samples").where((F.col("called") >= share * F.col("_samples")) & (_minor() >= copies))
+    return min_qual(sites, quality).join(stats.select(*SITE), SITE, "left_semi")
 
 
 def filter_chain(sites: DataFrame, calls: DataFrame, overlap: bool = False, mixed: bool = False, cutoff: float | None = None, genotypes: str = "ro > 0 OR ao > 0") -> tuple[DataFrame, DataFrame, DataFrame]:
