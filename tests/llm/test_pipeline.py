@@ -94,7 +94,7 @@ def test_run(spark, data):
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_sql(spark, data, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "labels"):
+    for t in ("documents", "pages", "labels", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{data}/{t}.parquet'")
     key = lambda rows: sorted(map(repr, rows))
     want = con.execute(ORACLE_SQL[name])
