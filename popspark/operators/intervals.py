@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from .reads import natural_key
 #: Fixed value: the pattern of clips of 20 bases and more, two digits from 20 on, or three.
 CLIP = "[2-9].[SH]|[1-9][0-9].[SH]"
 BIN = 1024
+BUCKETS = 1 << 16
 
 
 def filter_clipped(aln: DataFrame) -> DataFrame:
@@ -96,19 +99,57 @@ def order_by_reference(iv: DataFrame, contigs: DataFrame) -> DataFrame:
     return iv.join(contigs.select("contig", "contig_no"), "contig").orderBy("contig_no", "start")
 
 
-def _binned(df: DataFrame, width: int) -> DataFrame:
-    last = F.greatest(F.col("end") - 1, F.col("start"))
-    return df.withColumn("_bin", F.explode(F.sequence(F.floor(F.col("start") / width), F.floor(last / width))))
+def _level(width: int) -> Column:
+    """The finest of nine levels, of bins of width * 32 ** level bases, where an interval is no longer than a bin: it lies in two bins at most."""
+    length = F.col("end") - F.col("start")
+    return sum((length > (width << 5 * k)).cast("int") for k in range(8))
+
+
+def _celled(df: DataFrame, other: DataFrame, up: Callable[[Column, Column], Column], width: int) -> DataFrame:
+    """A row for each cell (_up, _level, _bin) of df's intervals, given the other table.
+
+    Each interval is entered at its own level and once at each coarser level of the other table, never at a finer one.  _up tells
+    (up: of the own and the other's level) which of the two tables has the coarser interval, so that two fine ones never meet in a coarse bin.
+    """
+    own = df.sparkSession.range(9).select(F.col("id").cast("int").alias("_own"))
+    levels = other.select(_level(width).alias("_x")).distinct()
+    grid = own.join(levels).select("_own", up(F.col("_own"), F.col("_x")).alias("_up"), F.greatest("_own", "_x").alias("_level")).distinct()  # 81 rows at most
+    size = F.lit(width).cast("long") * F.expr("shiftleft(1L, 5 * _level)")
+    cells = df.withColumn("_own", _level(width)).join(F.broadcast(grid), "_own").drop("_own").withColumn("_size", size)
+    bins = F.sequence(F.floor(F.col("start") / F.col("_size")), F.floor(F.greatest(F.col("end") - 1, F.col("start")) / F.col("_size")))
+    return cells.withColumn("_bin", F.explode(bins)).withColumn("_bucket", F.pmod(F.xxhash64("contig", "_up", "_level", "_bin"), F.lit(BUCKETS)).cast("int"))
+
+
+def _deep(cells: DataFrame, deep: int, name: str) -> DataFrame:
+    """Buckets of cells with more rows than deep and than four times the mean, and in how many parts to deal them: at most 16,384 buckets, and twice as many parts."""
+    counts = cells.groupBy("_bucket").agg(F.count("*").alias("n"))
+    limit = F.greatest(F.lit(deep), F.ceil(4 * F.sum("n").over(W.partitionBy()) / BUCKETS))
+    return counts.select("_bucket", F.ceil(F.col("n") / limit).cast("int").alias(name)).where(F.col(name) > 1)
 
 
-def overlap_join(a: DataFrame, b: DataFrame, width: int = BIN) -> DataFrame:
+def overlap_join(a: DataFrame, b: DataFrame, width: int = BIN, deep: int = 50_000) -> DataFrame:
     """Pairs of a(contig, start, end, ...) and b(contig, start, end as b_start, b_end, ...) that overlap.
 
-    Both are spread over fixed bins and joined on them; a pair counts only in the bin of the later start.
+    Intervals are joined on bins whose width goes with their length, so one as long as a chromosome has a few rows as well; a pair
+    counts only in the bin of the later start.  Cells are counted in BUCKETS buckets.  The rows of a bucket with more than `deep` are dealt
+    into parts by place and input partition, and each part meets all the other table's rows there.  Dealing repeats no more than about half
+    of the other table's rows beyond those in deep cells.  Rows with a null in contig, start or end give no pair.
+    Both tables are read three times (levels, counts, join), so they are written first.
     """
-    right = _binned(b, width).withColumnRenamed("start", "b_start").withColumnRenamed("end", "b_end")
-    pairs = _binned(a, width).join(right, ["contig", "_bin"]).where("start < b_end AND b_start < end")
-    return pairs.where(F.col("_bin") == F.floor(F.greatest("start", "b_start") / width)).drop("_bin")
+    a, b = written(a), written(b)
+    left, right = _celled(a, b, lambda own, x: x < own, width), _celled(b, a, lambda own, x: x > own, width)
+    deals = [F.broadcast(_deep(left, deep, "_na")), F.broadcast(_deep(right, deep, "_nb"))]
+    mine = lambda n: F.pmod(F.xxhash64("start", "end", F.spark_partition_id()), F.coalesce(n, F.lit(1))).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.coalesce(F.col(n), F.lit(1)) - 1))
+
+    def dealt(cells: DataFrame, own: str, other: str) -> DataFrame:
+        for deal in deals:
+            cells = cells.join(deal, "_bucket", "left")
+        return cells.withColumn("_of" + own, mine(F.col(own))).withColumn("_of" + other, each(other)).drop("_na", "_nb", "_bucket")
+
+    right = dealt(right, "_nb", "_na").withColumnRenamed("start", "b_start").withColumnRenamed("end", "b_end").drop("_size")
+    pairs = dealt(left, "_na", "_nb").join(right, ["contig", "_up", "_level", "_bin", "_of_na", "_of_nb"]).where("start < b_end AND b_start < end")
+    return pairs.where(F.col("_bin") == F.floor(F.greatest("start", "b_start") / F.col("_size"))).drop("_up", "_level", "_bin", "_size", "_of_na", "_of_nb")
 
 
 def interval_counts(iv: DataFrame, aln_iv: DataFrame) -> DataFrame:

@@ -391,3 +391,33 @@ def test_readers_of_written_and_found_files(spark, tmp_path):
     fasta = tmp_path / "x.fa"
     fasta.write_text(">c1 first\nAC\nGT\n>c2\n\n")
     assert {tuple(r) for r in X.read_fasta(spark, str(fasta)).collect()} == {("c1", "ACGT"), ("c2", "")}
+
+
+def test_overlaps_of_all_lengths_and_deep_places(spark):
+    import random
+
+    rng = random.Random(5)
+
+    def own(n):
+        lengths = lambda: rng.choice([0, 1, 40, 1024, 1025, 3000, 40_000]) if rng.random() < 0.4 else rng.randrange(1, 60)
+        rows = [(rng.choice("cd"), start, start + lengths(), i) for i, start in enumerate(rng.randrange(300_000) for _ in range(n))]
+        return [*rows, *[("c", 5000, 5040, n + i) for i in range(30)], ("c", 0, 2_000_000_000, n + 30), (None, 1, 5, n + 31), ("c", None, 5, n + 32)]
+
+    a, b = own(200), own(150)
+    want = sorted((x[3], y[3]) for x in a for y in b if None not in x + y and x[0] == y[0] and x[1] < y[2] and y[1] < x[2])
+    left, right = spark.createDataFrame(a, "contig string, start long, end long, a long"), spark.createDataFrame(b, "contig string, start long, end long, b long")
+    for width, deep in ((1, 50_000), (1024, 3), (1024, 50_000)):
+        assert sorted(map(tuple, I.overlap_join(left, right, width, deep).select("a", "b").collect())) == want
+    assert I.overlap_join(left, right.limit(0)).count() == I.overlap_join(left.limit(0), right).count() == 0
+
+
+def test_a_long_interval_has_a_few_cells_and_a_deep_cell_is_dealt(spark):
+    iv = spark.createDataFrame([("c", 0, 2_000_000_000), ("c", 3, 9)], "contig string, start long, end long")
+    cells = I._celled(iv, iv, lambda own, x: x < own, 1024)
+    assert cells.where("end > 9").count() <= 2 * 2 and cells.where("end = 9").count() == 2  # at its own level and the other's
+    same = spark.range(4000).selectExpr("'c' AS contig", "id % 50 AS start", "id % 50 + 10 AS end")
+    cells = I._celled(same, same, lambda own, x: x < own, 1024)
+    deals = I._deep(cells, 500, "parts").collect()
+    assert [r.parts for r in deals] == [8]
+    dealt = cells.groupBy(F.pmod(F.xxhash64("start", "end", F.spark_partition_id()), F.lit(8))).count().collect()
+    assert len(dealt) == 8 and max(r[1] for r in dealt) < 1000
