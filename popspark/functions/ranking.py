@@ -2,23 +2,56 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..sources.shared import written
+
+#: Buckets of one round of nearest_rank, and the different values that it may list on the driver.
+BUCKETS = 256
+LISTED = 10_000
+
 
-def nearest_rank(df: DataFrame, column: str, d: float, last: bool = False, ascending: bool = False) -> DataFrame:
-    """One row, `value`: the value of column at index int(d * n) of the sorted values (last: int(d * (n - 1))).
+def nearest_rank(df: DataFrame, column: str, d: float, last: bool = False, ascending: bool = False, listed: int = LISTED) -> DataFrame:
+    """One row, `value`: the value of column (of numbers) at index int(d * n) of the sorted values (last: int(d * (n - 1))).
 
-    The values are counted first; only the counts of different values are ordered.
+    Null if there is no such index; null values are left out, NaN is the greatest.  Different values are counted and written
+    first.  Then their range is narrowed to the one of 256 buckets that holds the index, with borders from a quantile sketch
+    (they say where to cut, the counts are exact), until `listed` different values at most are left, which the driver lists.
+    So no task sorts all values, however many are different, and the rounds are the logarithm to base 256 of their number.
     """
-    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("c"))
-    order = F.col("value").asc() if ascending else F.col("value").desc()
-    upto = F.sum("c").over(W.orderBy(order).rowsBetween(W.unboundedPreceding, 0))
-    n = F.sum("c").over(W.partitionBy())
-    found = counts.withColumn("upto", upto).withColumn("at", F.floor(F.lit(d) * (n - 1 if last else n)).cast("long"))
-    inside = found.where("upto > at")
-    return inside.agg((F.min if ascending else F.max)("value").alias("value"))
+    spark, value = df.sparkSession, F.col("value")
+    counts = written(df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("c")))
+    total, rows = counts.agg(F.sum("c"), F.count("*")).first()
+    n, at, inside = total or 0, None, counts
+    if n:
+        index = math.floor(d * (n - 1 if last else n))
+        at = index if ascending else n - 1 - index  # in rising order
+    if at is None or not 0 <= at < n:
+        return spark.createDataFrame([(None,)], counts.select("value").schema)
+    while rows > listed:
+        cuts = inside.agg(F.percentile_approx("value", [i / BUCKETS for i in range(1, BUCKETS)], 10_000)).first()[0]
+        borders = F.array(*map(F.lit, cuts))
+        bucketed = inside.withColumn("bucket", F.size(F.filter(borders, lambda x: x < F.col("value"))))  # bucket k: above border k - 1, up to border k
+        for bucket, c, different in sorted(bucketed.groupBy("bucket").agg(F.sum("c"), F.count("*")).collect()):
+            if at < c:
+                break
+            at -= c
+        if different == rows:  # integers whose neighbours are one double; at most some thousands
+            break
+        rows = different
+        if bucket > 0:
+            inside = inside.where(value > cuts[bucket - 1])
+        if bucket < len(cuts):
+            inside = inside.where(value <= cuts[bucket])
+    for row in inside.orderBy("value").collect():
+        if at < row.c:
+            break
+        at -= row.c
+    return spark.createDataFrame([(row.value,)], counts.select("value").schema)
 
 
 def at_least(df: DataFrame, column: str, lo: int, hi: int, strict: bool = False, by: list[str] | None = None) -> DataFrame:

@@ -29,6 +29,26 @@ def test_nearest_rank(spark):
     assert nearest_rank(df, "x", 1.0, last=True).first().value == 1
     assert nearest_rank(df, "x", 0.9, last=True, ascending=True).first().value == 4
     assert nearest_rank(df.limit(0), "x", 0.5).first().value is None
+    assert nearest_rank(df, "x", 1.0).first().value is None  # index n
+    odd = spark.createDataFrame([(x,) for x in (float("nan"), float("inf"), -0.0, 0.0, float("-inf"))], "x double")
+    assert [str(nearest_rank(odd, "x", d, last=True, ascending=True, listed=1).first().value) for d in (0.0, 0.3, 0.5, 0.75, 1.0)] == ["-inf", "0.0", "0.0", "inf", "nan"]
+
+
+@pytest.mark.parametrize("kind", ["double", "long"])
+def test_nearest_rank_narrows_many_different_values(spark, kind):
+    """Values over many powers of two (long: closer than doubles are), a third of the rows one value; no task sorts them."""
+    rng = np.random.default_rng(3)
+    if kind == "double":
+        own = np.concatenate([rng.choice([-1.0, 1.0], 4000) * 2.0 ** rng.uniform(-900, 900, 4000), np.full(2000, 0.1)])
+    else:
+        own = np.concatenate([2**62 + rng.permutation(4000), np.full(2000, 2**62 + 17)])
+    df = spark.createDataFrame([(x.item(),) for x in own], f"x {kind}").repartition(4)
+    for d in (0.0, 0.4, 0.93):
+        for last, ascending in ((True, True), (True, False)):
+            want = sorted(own.tolist(), reverse=not ascending)[int(d * (len(own) - 1))]
+            assert nearest_rank(df, "x", d, last, ascending, listed=10).first().value == want
+    plan = nearest_rank(df, "x", 0.5)._jdf.queryExecution().toString()
+    assert "Window" not in plan
 
 
 def test_thresholds_are_inclusive(spark):
