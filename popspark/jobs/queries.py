@@ -414,6 +414,11 @@ def _vcf(t: Tables) -> tuple[DataFrame, DataFrame]:
     return X.read_vcf(t.spark, _again(t, lambda p: X.write_vcf(t.sites, t.calls, p, info, ["gt", "dp", "ro", "ao"])))
 
 
+def _typed(t: Tables) -> tuple[DataFrame, DataFrame]:
+    calls, form = t.calls.withColumn("ad", F.array("ro", "ao")), ["gt", "dp", "ad"]
+    return X.read_typed_vcf(t.spark, _again(t, lambda p: X.write_vcf(t.sites, calls, p, ["dp", "ab", "saf"], form, {"ad": "R"})))
+
+
 def _halves(t: Tables) -> list[tuple[DataFrame, DataFrame]]:
     own = [t.calls.where(f"sid {x} 20") for x in ("<", ">=")]
     return [(c.groupBy("chrom", "pos").agg(F.sum("dp").alias("dp"), F.count("*").alias("called")), c) for c in own]
@@ -424,6 +429,8 @@ q("io_1_fastq", lambda t: X.read_fastq(t.spark, _again(t, lambda p: X.write_fast
 q("io_2_read_vcf_calls", lambda t: _vcf(t)[1].selectExpr("chrom", "pos", "sample", "gt", "a1", "a2", *[f"CAST(data['{k.upper()}'] AS BIGINT) AS {k}" for k in ("dp", "ro", "ao")]), "calls", "SELECT chrom, pos, sample, gt, a1, a2, dp, ro, ao FROM calls")
 q("io_3_write_vcf_sites", lambda t: _vcf(t)[0].selectExpr("chrom", "pos", "ref", "array_join(alts, ',') AS alts", "qual", "CAST(info['DP'] AS BIGINT) AS dp", "CAST(info['AB'] AS DOUBLE) AS ab", "CAST(info['SAF'] AS BIGINT) AS saf"), "sites",
   "SELECT chrom, pos, ref, alt1 || CASE WHEN alt2 IS NULL THEN '' ELSE ',' || alt2 END AS alts, qual, dp, ab, saf FROM sites")
+q("io_2_typed_vcf_calls", lambda t: _typed(t)[1].selectExpr("chrom", "pos", "sample", "gt", "data.DP AS dp", "data.AD[0] AS ro", "data.AD[1] AS ao"), "calls", "SELECT chrom, pos, sample, gt, dp, ro, ao FROM calls")
+q("io_2_typed_vcf_sites", lambda t: _typed(t)[0].selectExpr("chrom", "pos", "info.DP AS dp", "info.AB AS ab", "info.SAF AS saf"), "sites", "SELECT chrom, pos, dp, ab, saf FROM sites")
 q("io_4_fasta", lambda t: X.read_fasta(t.spark, _again(t, lambda p: X.write_fasta(t.contigs, p))), "contigs", "SELECT contig, seq FROM contigs")
 q("io_5_bed", lambda t: X.read_bed(t.spark, _again(t, lambda p: X.write_bed(_depths(t), p, "depth")), depth="long"), "cov", f"SELECT contig, {_SE}, depth FROM cov")
 q("io_6_sam", lambda t: X.read_sam(t.spark, _again(t, lambda p: X.write_sam(t.sequenced.withColumn("rnext", F.lit("=")), p))).select("sample", "flag", "contig", "pos", "mapq", "seq", "qual"), "sequenced", "SELECT sample, flag, contig, pos, mapq, seq, qual FROM sequenced")

@@ -126,24 +126,106 @@ def read_fastq(spark: SparkSession, path: str) -> DataFrame:
 _FIXED = ["chrom", "pos", "ref", "alts", "qual", "filter"]
 
 
-def write_vcf(sites: DataFrame, calls: DataFrame, path: str, info: list[str], form: list[str]) -> None:
+#: The types of a VCF header and those of columns.
+VCF_TYPES = {"Integer": "long", "Float": "double", "Flag": "boolean", "Character": "string", "String": "string"}
+
+
+def _declared(df: DataFrame, columns: list[str], kind: str, numbers: dict[str, str]) -> list[str]:
+    """A header line for each of these columns, typed as the column is.  numbers: A, R, G or a count by column; else 1, of arrays unknown."""
+    names = {"long": "Integer", "bigint": "Integer", "int": "Integer", "smallint": "Integer", "tinyint": "Integer", "double": "Float", "float": "Float", "boolean": "Flag"}
+    types, lines = dict(df.dtypes), []
+    for c in columns:
+        listed = types[c].startswith("array<")
+        own = types[c][6:-1] if listed else types[c]
+        own = "Float" if own.startswith("decimal") else names.get(own, "String")
+        number = "0" if own == "Flag" else numbers.get(c, "." if listed else "1")
+        lines.append(f'##{kind}=<ID={c.upper()},Number={number},Type={own},Description="{c}">')
+    return lines
+
+
+def write_vcf(sites: DataFrame, calls: DataFrame, path: str, info: list[str], form: list[str], numbers: dict[str, str] | None = None, contigs: DataFrame | None = None) -> None:
     """A site table and its calls (one row for each site and sample) as VCF, in natural order of contigs.
 
-    info: columns of sites for the INFO field; form: columns of calls for the FORMAT field, gt first.  A sample without a
-    call is ./. there.  The names of the samples, one header line, pass through the driver.
+    info: columns of sites for the INFO field; form: columns of calls for the FORMAT field, gt first.  Arrays are listed with
+    commas, flags (booleans) stand alone.  The header declares both by the columns' types and by numbers (column to A, R, G
+    or a count), and the contigs of contigs(contig, length; a null length is left out) or else of the sites.  A sample without a call is ./. there; of repeated calls
+    of one sample at a site the first cell by its text is written, and calls of no sample are left out.  Cells are put in place by the samples'
+    numbers, so that a line costs as much as it has samples.  The samples' names, one header line, pass through the driver.
     """
-    spark = sites.sparkSession
+    spark, numbers = sites.sparkSession, numbers or {}
+    calls = calls.where("sample IS NOT NULL")
     names = sorted(r[0] for r in calls.select("sample").distinct().collect())
-    cell = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit("./." if c == "gt" else ".")) for c in form])
-    cells = calls.groupBy("chrom", "pos").agg(F.map_from_entries(F.collect_list(F.struct("sample", cell))).alias("cells"))
-    of = F.transform(F.array(*map(F.lit, names)).cast("array<string>"), lambda s: F.coalesce(F.try_element_at("cells", s), F.lit("./.")))
-    text = lambda c, empty: F.when(F.size(c) > 0, F.array_join(c, empty)).otherwise(".")
-    keyed = F.concat_ws(";", *[F.concat(F.lit(f"{c.upper()}="), F.col(c).cast("string")) for c in info]) if info else F.lit(".")
-    line = F.concat_ws("\t", _tabbed("chrom", "pos", F.lit("."), "ref", text("alts", ","), "qual", text("filter", ";"), keyed, F.lit(":".join(c.upper() for c in form))), of)
-    rows = sites.join(cells, ["chrom", "pos"], "left").select(F.lit(1).alias("part"), *[k.alias(n) for k, n in zip(natural_key(F.col("chrom")), ("text", "number"))], "pos", line.alias("value"))
-    head = "\n".join(["##fileformat=VCFv4.2", "\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT", *names])])
-    head = spark.range(1).select(F.lit(0).alias("part"), F.lit("").alias("text"), F.lit(0).alias("number"), F.lit(0).alias("pos"), F.lit(head).alias("value"))
-    _ordered(head.union(rows), *map(F.col, ("part", "text", "number", "pos"))).select("value").write.text(path)
+    types = {**dict(calls.dtypes), **dict(sites.dtypes)}
+
+    def text(df: DataFrame, c: str) -> Column:
+        if not dict(df.dtypes)[c].startswith("array<"):
+            return F.col(c).cast("string")
+        return F.when(F.size(c) > 0, F.array_join(F.transform(c, lambda x: F.coalesce(x.cast("string"), F.lit("."))), ","))
+
+    numbered = spark.createDataFrame(list(enumerate(names)), "_i int, sample string")
+    cell = F.concat_ws(":", *[F.coalesce(text(calls, c), F.lit("./." if c == "gt" else ".")) for c in form])
+    cells = calls.select("chrom", "pos", "sample", cell.alias("_cell")).join(numbered, "sample").groupBy("chrom", "pos").agg(F.array_sort(F.collect_list(F.struct("_i", "_cell"))).alias("_cells"))
+    before = lambda k: F.coalesce(F.get("_cells", k - 1)["_i"], F.lit(-1))
+    gap = F.lit("\t./.")
+    placed = F.transform("_cells", lambda x, k: F.when(x["_i"] > before(k), F.concat(F.repeat(gap, x["_i"] - before(k) - 1), F.lit("\t"), x["_cell"])).otherwise(""))
+    after = F.repeat(gap, F.lit(len(names) - 1) - F.coalesce(F.element_at("_cells", -1)["_i"], F.lit(-1)))
+    of = F.when(F.size("_cells") > 0, F.concat(F.array_join(placed, ""), after)).otherwise(F.repeat(gap, F.lit(len(names))))
+    keyed = [F.when(F.col(c), c.upper()) if types[c] == "boolean" else F.concat(F.lit(f"{c.upper()}="), text(sites, c)) for c in info]
+    listed = lambda c, sep: F.when(F.size(c) > 0, F.array_join(c, sep)).otherwise(".")
+    fixed = _tabbed("chrom", "pos", F.lit("."), "ref", listed("alts", ","), "qual", listed("filter", ";"), F.nullif(F.concat_ws(";", *keyed), F.lit("")), F.lit(":".join(c.upper() for c in form)))
+    place = [k.alias(n) for k, n in zip(natural_key(F.col("chrom")), ("text", "number"))]
+    rows = sites.join(cells, ["chrom", "pos"], "left").select(F.lit(3).alias("part"), *place, "pos", F.concat(fixed, of).alias("value"))
+
+    long = lambda c: F.lit(c).cast("long")
+    top = "\n".join(["##fileformat=VCFv4.2", *_declared(sites, info, "INFO", numbers), *_declared(calls, form, "FORMAT", numbers)])
+    heads = [(0, top), (2, "\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT", *names]))]
+    head = spark.createDataFrame(heads, "part int, value string").select("part", F.lit("").alias("text"), long(0).alias("number"), long(0).alias("pos"), "value")
+    own = sites.select("chrom").distinct().withColumn("length", F.lit(None).cast("long")) if contigs is None else contigs.select(F.col("contig").alias("chrom"), "length")
+    length = F.coalesce(F.concat(F.lit(",length="), F.col("length").cast("string")), F.lit(""))
+    own = own.where("chrom IS NOT NULL").select(F.lit(1).alias("part"), *place, long(0).alias("pos"), F.concat(F.lit("##contig=<ID="), "chrom", length, F.lit(">")).alias("value"))
+    _ordered(head.union(own).union(rows), *map(F.col, ("part", "text", "number", "pos"))).select("value").write.text(path)
+
+
+def vcf_header(spark: SparkSession, path: str) -> DataFrame:
+    """kind (INFO or FORMAT), id, number and type, as the header lines declare them; of several declarations of an id, the first by text."""
+    of = lambda key: F.nullif(F.regexp_extract("value", rf"[<,]{key}=([^,>]*)", 1), F.lit(""))
+    lines = read_lines(spark, path).where(r"value RLIKE '^##(INFO|FORMAT)=<'")
+    own = lines.select(F.regexp_extract("value", "^##([A-Z]+)", 1).alias("kind"), of("ID").alias("id"), F.coalesce(of("Number"), F.lit(".")).alias("number"), F.coalesce(of("Type"), F.lit("String")).alias("type"))
+    return own.where("id IS NOT NULL").groupBy("kind", "id").agg(F.min(F.struct("number", "type")).alias("own")).select("kind", "id", "own.number", "own.type")
+
+
+def read_typed_vcf(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """read_vcf with info and data as structs of the declared fields (names as in the header), and the rest as a map, `other`.
+
+    A field of Number 1 is one value of its type, a Flag is true or false, and all other numbers (A, R, G, a count, unknown)
+    give arrays, in which a full stop or what isn't of the type is null.  A field that a site or call lacks is null.  The
+    header's declarations pass through the driver: a row for each field, found in a pass over the lines.  Fields whose names differ by case only
+    are one column by Spark's rules, so all but the first by code point stay in `other`.
+    """
+    declared = sorted(map(tuple, vcf_header(spark, path).collect()))
+    sites, calls = read_vcf(spark, path)
+
+    def listed(value: Column, to: str) -> Column:
+        return F.transform(F.split(value, ","), lambda x: F.nullif(x, F.lit(".")).try_cast(to))
+
+    def typed(df: DataFrame, column: str, kind: str) -> DataFrame:
+        fields, ids = {}, set()
+        for own, name, number, t in declared:
+            if own != kind or name.lower() in ids:
+                continue
+            ids.add(name.lower())
+            value, to = F.nullif(F.try_element_at(column, F.lit(name)), F.lit(".")), VCF_TYPES.get(t, "string")
+            if t == "Flag":
+                fields[name] = F.map_contains_key(column, name)
+            elif number == "1":
+                fields[name] = value.try_cast(to)
+            else:
+                fields[name] = listed(value, to)
+        other = F.map_filter(column, lambda k, _: ~k.isin(".", *fields))
+        new = F.struct(*[c.alias(n) for n, c in fields.items()]) if fields else F.lit(None).cast("struct<>")
+        return df.select(*[c for c in df.columns if c != column], new.alias(column), other.alias("other"))
+
+    return typed(sites, "info", "INFO"), typed(calls, "data", "FORMAT")
 
 
 def read_vcf(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

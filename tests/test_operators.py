@@ -413,6 +413,42 @@ def test_readers_of_written_and_found_files(spark, tmp_path):
     assert {tuple(r) for r in X.read_fasta(spark, str(fasta)).collect()} == {("c1", "ACGT"), ("c2", "")}
 
 
+def test_typed_vcf_is_what_was_written(spark, tmp_path):
+    sites = spark.createDataFrame(
+        [("c10", 7, "A", ["C", "G"], 3.5, ["q10", "s50"], 4, [0.25, None], True, ["x", "y"]), ("c2", 9, "T", [], None, [], None, [], None, None)],
+        "chrom string, pos long, ref string, alts array<string>, qual double, filter array<string>, dp long, af array<double>, db boolean, tags array<string>",
+    )
+    calls = spark.createDataFrame(
+        [("c10", 7, "S1", "0/1", 3, [2, 1]), ("c10", 7, "S1", "0/1", 3, [2, 1]), ("c10", 7, "S4", "1/2", None, [0, None]), ("c2", 9, "S2", "0/0", 1, None), ("c2", 9, None, "0/0", 1, None), ("c7", 1, "S3", "0/0", 1, None)],
+        "chrom string, pos long, sample string, gt string, dp int, ad array<long>",
+    )
+    contigs = spark.createDataFrame([("c10", 90), ("c2", None)], "contig string, length long")
+    path = str(tmp_path / "typed")
+    X.write_vcf(sites, calls, path, ["dp", "af", "db", "tags"], ["gt", "dp", "ad"], {"af": "A", "ad": "R"}, contigs)
+    lines = "".join(p.read_text() for p in sorted((tmp_path / "typed").glob("part-*"))).splitlines()
+    assert lines == [
+        "##fileformat=VCFv4.2",
+        '##INFO=<ID=DP,Number=1,Type=Integer,Description="dp">', '##INFO=<ID=AF,Number=A,Type=Float,Description="af">',
+        '##INFO=<ID=DB,Number=0,Type=Flag,Description="db">', '##INFO=<ID=TAGS,Number=.,Type=String,Description="tags">',
+        '##FORMAT=<ID=GT,Number=1,Type=String,Description="gt">', '##FORMAT=<ID=DP,Number=1,Type=Integer,Description="dp">',
+        '##FORMAT=<ID=AD,Number=R,Type=Integer,Description="ad">',
+        "##contig=<ID=c2>", "##contig=<ID=c10,length=90>",
+        "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tS1\tS2\tS3\tS4",
+        "c2\t9\t.\tT\t.\t.\t.\t.\tGT:DP:AD\t./.\t0/0:1:.\t./.\t./.",
+        "c10\t7\t.\tA\tC,G\t3.5\tq10;s50\tDP=4;AF=0.25,.;DB;TAGS=x,y\tGT:DP:AD\t0/1:3:2,1\t./.\t./.\t1/2:.:0,.",
+    ]
+    typed, own = X.read_typed_vcf(spark, path)
+    types = dict(typed.dtypes)["info"], dict(own.dtypes)["data"]
+    assert types == ("struct<AF:array<double>,DB:boolean,DP:bigint,TAGS:array<string>>", "struct<AD:array<bigint>,DP:bigint,GT:string>")
+    assert [(r.pos, *r.info, r.other) for r in typed.orderBy("pos").collect()] == [(7, [0.25, None], True, 4, ["x", "y"], {}), (9, None, False, None, None, {})]
+    assert [(r.pos, r["sample"], r.gt, *r.data) for r in own.orderBy("pos", "sample").collect()] == [(7, "S1", "0/1", [2, 1], 3, "0/1"), (7, "S4", "1/2", [0, None], None, "1/2"), (9, "S2", "0/0", None, 1, "0/0")]
+    assert X.vcf_header(spark, path).count() == 7
+    bare = tmp_path / "bare.vcf"
+    bare.write_text("#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\nc\t1\t.\tA\tC\t1\t.\tDP=2;H2\n")
+    typed, own = X.read_typed_vcf(spark, str(bare))
+    assert typed.first().other == {"DP": "2", "H2": None} and own.count() == 0
+
+
 def test_overlaps_of_all_lengths_and_deep_places(spark):
     import random
 
