@@ -1,5 +1,6 @@
 """Operators on small hand-made tables: limits, missing values and printed figures of the walkthroughs."""
 
+import random
 from fractions import Fraction
 from math import factorial
 
@@ -477,3 +478,33 @@ def test_a_long_interval_has_a_few_cells_and_a_deep_cell_is_dealt(spark):
     assert [r.parts for r in deals] == [8]
     dealt = cells.groupBy(F.pmod(F.xxhash64("start", "end", F.spark_partition_id()), F.lit(8))).count().collect()
     assert len(dealt) == 8 and max(r[1] for r in dealt) < 1000
+
+
+def test_merged_coverage_counts_as_the_join_does_and_points_only_inside(spark):
+    rng = random.Random(5)
+    rows = [(rng.choice("ab"), s, s + rng.choice([0, 0, 1, 3, 900])) for s in (rng.randrange(6000) for _ in range(400))] + [("c", 5, 5), ("c", 5, 9), ("c", 9, 9), ("c", 7, 7), ("d", 1, 1)]
+    iv = spark.createDataFrame(rows, "contig string, start long, end long")
+    got = sorted(map(tuple, I.merged_coverage(iv, 64).collect()))
+    assert got == sorted(map(tuple, I.interval_coverage(I.merge_intervals(iv), iv).collect())) and ("c", 5, 9, 2) in got and ("d", 1, 1, 0) in got
+    solid = iv.where("start < end")
+    want = sorted(map(tuple, I.interval_coverage(I.merge_intervals(solid, long_contigs=True), solid).collect()))
+    assert sorted(map(tuple, I.merged_coverage(solid).collect())) == want
+
+
+def test_interval_passes_have_more_parts_for_more_rows(spark, monkeypatch):
+    monkeypatch.setattr(I, "PART_ROWS", 50)
+    iv = spark.range(1000).selectExpr("concat('c', id % 90) AS contig", "id * 3 AS start", "id * 3 + 2 AS end", "concat('s', id % 3) AS sample")
+    merged = I.merge_intervals(iv)
+    assert merged.rdd.getNumPartitions() == 21 and merged.count() == 1000
+    cov = I.merged_coverage(iv)
+    assert cov.rdd.getNumPartitions() == 21 and cov.agg({"depth": "sum"}).first()[0] == 1000
+
+
+def test_samples_are_put_beside_intervals_without_shuffling_their_product(spark):
+    iv = spark.createDataFrame([("a", 0, 10), ("a", 20, 30), (None, 0, 5)], "contig string, start long, end long")
+    aln = spark.createDataFrame([("s", "a", 1, 4), ("s", "a", 2, 4), ("t", "a", 25, 26), (None, "a", 3, 4)], "sample string, contig string, start long, end long")
+    found = I.coverage_by_interval(iv, aln)
+    depth = {("a", "s", 0): 2, ("a", "t", 20): 1}
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(str((c, s, e, p, depth.get((c, p, s), 0))) for c, s, e in [("a", 0, 10), ("a", 20, 30), (None, 0, 5)] for p in ("s", "t", None))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("inline") < plan.index("RepartitionByExpression")  # rows of 0 are made after the last shuffle
