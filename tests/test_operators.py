@@ -508,3 +508,13 @@ def test_samples_are_put_beside_intervals_without_shuffling_their_product(spark)
     assert sorted(map(str, map(tuple, found.collect()))) == sorted(str((c, s, e, p, depth.get((c, p, s), 0))) for c, s, e in [("a", 0, 10), ("a", 20, 30), (None, 0, 5)] for p in ("s", "t", None))
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("inline") < plan.index("RepartitionByExpression")  # rows of 0 are made after the last shuffle
+
+
+def test_pileup_shuffles_pieces_of_reads_and_cuts_them_at_bins(spark):
+    rows = [("s", "c", 1020, 9, 0, "2S6M1I3M", "TTACGTACGTAC", "IIIIII!IIIII"), ("s", "c", 1022, 9, 0, "4M", "GTAC", "*"), ("t", "c", 1, 9, 0, "3M", "AC", "III")]
+    aln = spark.createDataFrame(rows, "sample string, contig string, pos long, mapq long, flag long, cigar string, seq string, qual string")
+    found = M.pileup_counts(aln)
+    got = {(r.pos, r.sample, r.base): r.n for r in found.collect()}
+    assert got == {(1020, "s", "A"): 1, (1021, "s", "C"): 1, (1022, "s", "G"): 2, (1023, "s", "T"): 2, (1024, "s", "A"): 1, (1025, "s", "C"): 2, (1026, "s", "T"): 1, (1027, "s", "A"): 1, (1028, "s", "C"): 1, (1, "t", "A"): 1, (2, "t", "C"): 1}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("explode(sequence(0") < plan.index("RepartitionByExpression")
