@@ -217,3 +217,10 @@ def test_planted_pairs_of_all_lengths_are_found(spark, identity):
     df = spark.createDataFrame([(i, s) for i, (_, s) in enumerate(rows)], "id int, seq string")
     of = {r.id: r.cluster for r in C.cluster_sequences(df, identity).collect()}
     assert sum(of[i] == of[i + 1] for i in range(0, len(rows), 2)) == len(rows) // 2
+
+
+def test_pairs_of_small_blocks_are_those_of_one_block(spark):
+    nodes = C.in_order(spark.createDataFrame(made(17, 30), "id int, seq string")).where("n > 0")
+    found = lambda **sizes: sorted(map(tuple, C.Pairs(nodes, 0.8, **sizes).of(nodes, nodes).collect()))
+    small = C.Pairs(nodes, 0.8, late_bases=200, early_bases=400, hits=10_000)
+    assert all(len(cuts) > 3 for cuts in small.cuts) and found() == found(late_bases=200, early_bases=400, hits=10_000) != []
