@@ -224,3 +224,10 @@ def test_pairs_of_small_blocks_are_those_of_one_block(spark):
     found = lambda **sizes: sorted(map(tuple, C.Pairs(nodes, 0.8, **sizes).of(nodes, nodes).collect()))
     small = C.Pairs(nodes, 0.8, late_bases=60, early_bases=100, hits=10_000)
     assert all(len(cuts) > 0 for cuts in small.cuts) and found() == found(late_bases=60, early_bases=100, hits=10_000) != []
+
+
+def test_no_sequence_is_shuffled_once_for_each_block_of_the_others(spark):
+    nodes = C.in_order(spark.createDataFrame(made(15), "id int, seq string")).where("n > 0")
+    found = C.Pairs(nodes, 0.8, late_bases=60, early_bases=100, hits=10_000).of(nodes, nodes)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "Join Inner" in plan and "shuffle_replicate_nl" in plan
