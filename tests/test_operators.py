@@ -518,3 +518,27 @@ def test_pileup_shuffles_pieces_of_reads_and_cuts_them_at_bins(spark):
     assert got == {(1020, "s", "A"): 1, (1021, "s", "C"): 1, (1022, "s", "G"): 2, (1023, "s", "T"): 2, (1024, "s", "A"): 1, (1025, "s", "C"): 2, (1026, "s", "T"): 1, (1027, "s", "A"): 1, (1028, "s", "C"): 1, (1, "t", "A"): 1, (2, "t", "C"): 1}
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("explode(sequence(0") < plan.index("RepartitionByExpression")
+
+
+def _plain_overlap(a, b, least, frac):
+    found = [(n - 2 * wrong, n) for n in range(max(least, 1), min(len(a), len(b)) + 1) if (wrong := sum(x != y for x, y in zip(a[len(a) - n :], b))) <= frac * n and n > 2 * wrong]
+    return max(found, default=(0, 0))[1]
+
+
+@pytest.mark.parametrize("letters", ["A", "ACGT", "ACGTN", "abcdefghijklmnopqrstuvwxyz"])
+def test_best_overlaps_are_those_of_trying_each(letters):
+    rng = random.Random(len(letters))
+    text = lambda n: "".join(rng.choice(letters) for _ in range(n))
+    fwd = [text(rng.randint(0, 90)) for _ in range(120)]
+    other = ["".join(c if rng.random() > 0.07 else rng.choice(letters) for c in x[rng.randint(0, len(x)) :]) + text(rng.randint(0, 40)) for x in fwd]
+    for least, frac, most in ((10, 0.1, 1 << 18), (0, 0.3, 40), (1, 0.0, 1)):
+        assert R.best_overlaps(fwd, other, least, frac, most).tolist() == [_plain_overlap(a, b, least, frac) for a, b in zip(fwd, other)]
+    assert R.best_overlaps([], [], 10, 0.1).tolist() == []
+
+
+def test_overlaps_are_looked_for_once(spark):
+    """One Python step, and mates that cost something are made once, not for each use."""
+    pairs = spark.createDataFrame([(1, "ACGTACGTACGTAA", "TTACGTACGT")], "id int, fwd string, rev string").withColumn("fwd", F.regexp_replace("fwd", "N", ""))
+    for found in R.merge_overlaps(pairs, 10):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython") == 1 == plan.count("regexp_replace")
