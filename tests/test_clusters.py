@@ -231,3 +231,35 @@ def test_no_sequence_is_shuffled_once_for_each_block_of_the_others(spark):
     found = C.Pairs(nodes, 0.8, late_bases=60, early_bases=100, hits=10_000).of(nodes, nodes)
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "Generate" not in plan and "Join Inner" in plan and "shuffle_replicate_nl" in plan
+
+
+def test_a_sweep_writes_no_link_for_each_cell_nor_between_blocks(spark, monkeypatch):
+    rng, sizes, keep = random.Random(6), [], C.written
+    base, rows = [rng.choice("ACGT") for _ in range(50)], []
+    for _ in range(60):  # near copies of one sequence, all in all cells
+        s = list(base)
+        s[rng.randrange(50)] = rng.choice("ACGT")
+        rows += [(f"s{x}", "".join(s), 9) for x in range(4)]
+    uniq = spark.createDataFrame(rows, "sample string, seq string, n long").distinct()
+    n = uniq.select("seq").distinct().count()
+
+    def counted(df):
+        out = keep(df)
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(C, "written", counted)
+    cells = [1, 2, 3], [1, 2, 3, 4], [0.8, 0.86, 0.9, 0.98, 1.0]
+    got = {tuple(r) for r in C.sweep_reference(uniq, *cells, block=10, first=10).collect()}
+    assert max(sizes) <= n * 10
+    assert got == {tuple(r) for r in C.sweep_reference(uniq, *cells).collect()}
+    assert {r[3] for r in got if r[2] == 1.0} == {n} and {r[3] for r in got if r[2] < 0.9} == {1}
+
+
+def test_a_sweep_in_small_blocks_is_that_in_one(spark):
+    rng, rows = random.Random(3), []
+    for i, s in made(23, 40):
+        rows += [(f"s{x}", s, rng.randint(1, 4)) for x in rng.sample(range(6), rng.randint(1, 5))]
+    uniq = spark.createDataFrame(rows, "sample string, seq string, n long").groupBy("sample", "seq").agg(F.sum("n").alias("n"))
+    swept = lambda **settings: sorted(map(tuple, C.sweep_reference(uniq, [1, 2, 3], [1, 2, 3], [0.8, 0.86, 0.9, 1.0], shortest=4, **settings).collect()))
+    assert swept(block=7, first=3) == swept() and len(swept()) == 36
