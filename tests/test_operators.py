@@ -500,6 +500,14 @@ def test_interval_passes_have_more_parts_for_more_rows(spark, monkeypatch):
     assert cov.rdd.getNumPartitions() == 21 and cov.agg({"depth": "sum"}).first()[0] == 1000
 
 
+def test_files_that_an_overlap_join_shuffles_have_few_rows(spark, monkeypatch):
+    monkeypatch.setattr(I, "FILE_ROWS", 50)
+    iv = spark.range(0, 1000, 1, 1).selectExpr("'c' AS contig", "id * 3 AS start", "id * 3 + 2 AS end")
+    pairs = I.overlap_join(iv, iv)
+    assert max(spark.read.parquet(f).count() for f in pairs.inputFiles()) == 50
+    assert pairs.count() == 1000
+
+
 def test_samples_are_put_beside_intervals_without_shuffling_their_product(spark):
     iv = spark.createDataFrame([("a", 0, 10), ("a", 20, 30), (None, 0, 5)], "contig string, start long, end long")
     aln = spark.createDataFrame([("s", "a", 1, 4), ("s", "a", 2, 4), ("t", "a", 25, 26), (None, "a", 3, 4)], "sample string, contig string, start long, end long")
