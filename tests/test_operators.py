@@ -508,6 +508,16 @@ def test_files_that_an_overlap_join_shuffles_have_few_rows(spark, monkeypatch):
     assert pairs.count() == 1000
 
 
+def test_written_intervals_have_more_parts_for_more_rows(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(X, "PART_ROWS", 50, raising=False)
+    iv = spark.range(1000).selectExpr("concat('c', id % 9) AS contig", "id * 3 AS start", "id * 3 + 2 AS end")
+    X.write_bed(iv, str(tmp_path / "bed"))
+    parts = [f.read_text().splitlines() for f in sorted((tmp_path / "bed").glob("part-*"))]
+    assert max(map(len, parts)) <= 100 and len(parts) >= 20
+    assert [tuple(x.split("\t")) for p in parts for x in p] == [("c" + str(c), str(i * 3), str(i * 3 + 2)) for c in range(9) for i in range(c, 1000, 9)]
+    assert X.read_bed(spark, str(tmp_path / "bed")).count() == 1000
+
+
 def test_samples_are_put_beside_intervals_without_shuffling_their_product(spark):
     iv = spark.createDataFrame([("a", 0, 10), ("a", 20, 30), (None, 0, 5)], "contig string, start long, end long")
     aln = spark.createDataFrame([("s", "a", 1, 4), ("s", "a", 2, 4), ("t", "a", 25, 26), (None, "a", 3, 4)], "sample string, contig string, start long, end long")
