@@ -7,6 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from popspark.operators import alike
 from popspark.operators import clusters as C
 
 
@@ -263,3 +264,47 @@ def test_a_sweep_in_small_blocks_is_that_in_one(spark):
     uniq = spark.createDataFrame(rows, "sample string, seq string, n long").groupBy("sample", "seq").agg(F.sum("n").alias("n"))
     swept = lambda **settings: sorted(map(tuple, C.sweep_reference(uniq, [1, 2, 3], [1, 2, 3], [0.8, 0.86, 0.9, 1.0], shortest=4, **settings).collect()))
     assert swept(block=7, first=3) == swept() and len(swept()) == 36
+
+
+@pytest.mark.parametrize("identity,n", [(0.8, 200), (0.8, 60), (0.9, 300), (0.9, 100)])
+def test_few_pairs_of_unlike_sequences_come_to_their_edits(identity, n):
+    """Texts of few syllables share many short runs; all but true pairs are ruled out near these."""
+    rng, out = random.Random(9), []
+    syllables = ["".join(rng.choice("ACGT") for _ in range(rng.randint(2, 4))) for _ in range(30)]
+    for _ in range(120):
+        s = "".join(rng.choice(syllables) for _ in range(n))[: n + rng.randint(0, 5)]
+        out += [s, s[:20] + s[21:]] if len(out) < 10 else [s]
+    out.sort(key=lambda s: (-len(s), s))
+    found = [set(zip(x["late"], x["early"])) for x in alike._near(alike._Late(out, range(1, len(out) + 1), identity), out, list(range(1, len(out) + 1)))]
+    got = set().union(*found)
+    pairs = [(i, j) for i in range(len(out)) for j in range(i)]
+    edits = C.least_edits([out[i] for i, _ in pairs], [out[j] for _, j in pairs])
+    want = {(i + 1, j + 1) for (i, j), e in zip(pairs, edits) if e <= C.allowed_edits(len(out[i]), identity)}
+    assert want <= got and len(got) <= len(want) + len(out)
+
+
+@pytest.mark.parametrize("identity", [0.8, 0.9])
+def test_repeats_of_long_sequences_hide_no_pair(identity):
+    rng, out = random.Random(10), []
+    for _ in range(7):
+        s = "".join((word * 60)[: rng.randint(30, 300)] for word in ("".join(rng.choice("ACGT") for _ in range(rng.randint(1, 6))) for _ in range(12)))
+        near = list(s[rng.randint(0, 200) :])
+        for at in rng.sample(range(len(near)), int((1 - identity) * len(near) * rng.choice([0.1, 0.9]))):
+            near[at] = rng.choice("ACGT")
+        out += [s, "".join(near)]
+    out.sort(key=lambda s: (-len(s), s))
+    keys = list(range(1, len(out) + 1))
+    got = {(r.late, r.early): r.edits for x in alike._verified(alike._near(alike._Late(out, keys, identity), out, keys)) for r in x.itertuples()}
+    pairs = [(i, j) for i in range(len(out)) for j in range(i)]
+    edits = [alike._by_diagonals(out[i], out[j], C.allowed_edits(len(out[i]), identity)) for i, j in pairs]
+    assert got == {(i + 1, j + 1): e for (i, j), e in zip(pairs, edits) if e <= C.allowed_edits(len(out[i]), identity)} and len(got) >= 6
+
+
+def test_edits_by_diagonals_are_the_least():
+    rng = random.Random(11)
+    for _ in range(60):
+        s = "".join(rng.choice("ACGé") for _ in range(rng.choice([1, 9, 70, 200])))
+        near = "".join(rng.choice(["", "A", "CG"]) if rng.random() < 0.1 else c for c in s)
+        long = rng.choice(["", "GGA"]) + near + rng.choice(["", "AC" * 9])
+        want, most = edits_inside(s, long), rng.choice([0, 3, len(s) // 4])
+        assert alike._by_diagonals(s, long, most) == want if want <= most else alike._by_diagonals(s, long, most) > most
